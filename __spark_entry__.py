@@ -228,10 +228,8 @@ def v5_parse_transaction(spark, d):
 
 @query
 def v6_contract(spark, d):
-    broken = wire.contract_violations(F.col("value"))
-    return events.messages(events.transactions(spark, d)).select(
-        "event_id", F.array_join(broken, ",").alias("violations")
-    )
+    checked = wire.contract_violations(events.messages(events.transactions(spark, d)))
+    return checked.select("event_id", F.array_join("violations", ",").alias("violations"))
 
 
 @query

@@ -83,41 +83,52 @@ def type_indicators() -> dict[str, Column]:
 def double_text(column: Column) -> Column:
     """The shortest decimal text of a double, written as Python and JSON writers do.
 
-    Spark's own text switches to exponents at 1e7; the entity key needs 10000000.0.
+    Spark's own text agrees from 0.001 up to 1e7, then it switches to exponents, where
+    the entity key needs 10000000.0. The other sizes go through a lambda, which keeps
+    their long expression out of the generated code of every row.
     """
-    plain = F.regexp_replace(column.try_cast("decimal(38,17)").cast("string"), r"(\.\d+?)0+$", "$1")
+    size = F.abs(column)
+    agrees = (size == 0) | ((size >= 1e-3) & (size < 1e7))
+    other = F.get(F.transform(F.array(column), _unusual_double_text), 0)
+    return F.when(agrees, column.cast("string")).otherwise(other)
+
+
+def _unusual_double_text(column: Column) -> Column:
+    decimal = column.try_cast("decimal(38,17)").cast("string")
+    plain = F.regexp_replace(decimal, r"(\.\d+?)0+$", "$1")
+
     text = column.cast("string")
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
     power = F.substring_index(text, "E", -1).try_cast("int")
-    digits = F.when(F.abs(power) < 10, F.concat(F.lit("0"), F.abs(power))).otherwise(F.abs(power).cast("string"))
-    exponent = F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), digits)
+    digits = F.abs(power).cast("string")
+    digits = F.when(F.abs(power) < 10, F.concat(F.lit("0"), digits)).otherwise(digits)
+    sign = F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+"))
 
     size = F.abs(column)
     return (
         F.when(F.isnan(column), F.lit("nan"))
-        .when(size == F.lit(float("inf")), F.when(column > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(size == 0, text)
-        .when((size >= 1e16) | (size < 1e-4), exponent)
+        .when(size == float("inf"), F.when(column > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when((size >= 1e16) | (size < 1e-4), F.concat(mantissa, sign, digits))
         .otherwise(plain)
     )
 
 
 def entity_id() -> Column:
-    """Sixteen hex digits that name a transaction; null when a part is null."""
-    payload = F.concat(
+    """Sixteen hex digits that name a transaction.
+
+    A gap counts as the text "nan", so the key is never null and joins on it need no
+    extra null test of the whole expression.
+    """
+    parts = (
         F.col("step").cast("string"),
-        F.lit(":"),
         F.col("type"),
-        F.lit(":"),
         F.col("nameOrig"),
-        F.lit(":"),
         F.col("nameDest"),
-        F.lit(":"),
         double_text(F.col("amount")),
-        F.lit(":"),
         double_text(F.col("oldbalanceOrg")),
     )
-    return F.substring(F.sha2(payload, 256), 1, 16)
+    payload = F.concat_ws(":", *[F.coalesce(p, F.lit("nan")) for p in parts])
+    return F.coalesce(F.substring(F.sha2(payload, 256), 1, 16), F.lit(""))
 
 
 def event_timestamp(base: str = BASE_DATE) -> Column:

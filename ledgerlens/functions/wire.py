@@ -6,7 +6,7 @@ stop a batch or a stream.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +22,29 @@ from ledgerlens.schema import (
 )
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value computed once, however often `use` refers to it."""
-    return F.get(F.transform(F.array(value), use), 0)
+def _read_once(
+    messages: DataFrame, value: str, names: Sequence[str], read: Callable[[Column], list[Column]]
+) -> DataFrame:
+    """The messages with the columns `read` makes from the named fields as variants.
 
+    `read` sees null when the value is not exactly one JSON object, and a null field
+    when the object lacks it; of a repeated field the last one counts. Reading the text
+    as a one-element array is what makes anything after the object an error. Spark
+    pushes no later filter below the generated columns, so a message is parsed once.
+    """
+    text = F.col(value).cast("string")
+    schema = f"array<struct<{', '.join(f'{n}: variant' for n in names)}>>"
+    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), schema, {"allowSingleQuotes": "false"})
+    one_object = F.transform(
+        F.array(items),
+        lambda found: F.when((F.size(found) == 1) & text.rlike(r"^\s*\{"), F.get(found, 0)),
+    )
+    return messages.select("*", F.inline(F.transform(one_object, lambda given: F.struct(*read(given)))))
 
-def _all_fields(variant: Column, dtypes: dict[str, str]) -> Column:
-    """The named fields as one struct; null where absent or not convertible."""
-    fields = ", ".join(f"{name}: {dtype}" for name, dtype in dtypes.items())
-    return F.try_variant_get(variant, "$", f"struct<{fields}>")
+
+def _as(given: Column, name: str, dtype: str) -> Column:
+    """Null when the field is absent or not convertible."""
+    return F.try_variant_get(given[name], "$", dtype)
 
 
 def first_of(problems: list[Column]) -> Column:
@@ -43,91 +57,86 @@ def parse_wire(messages: DataFrame, value: str = "value") -> DataFrame:
     Numbers follow lenient casts: 1, "1", 1.9 and true all read as step 1. Ids must be
     present and not null; unknown fields are ignored.
     """
-    dtypes = {f.name: f.dataType.simpleString() for f in WIRE_SCHEMA.fields if f.name != FLAG}
-
-    def read(v: Column) -> Column:
-        return F.struct(
-            F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("is_object"),
-            _all_fields(v, {n: "variant" for n in WIRE_SCHEMA.names}).alias("given"),
-            _all_fields(v, {**dtypes, FLAG: "double"}).alias("typed"),
-        )
-
-    # One array element per message. Spark does not push a later filter on `error` below
-    # this, so a message is parsed once.
-    parsed = messages.select(
-        "*", F.inline(F.transform(F.array(F.try_parse_json(F.col(value).cast("string"))), read))
-    )
-    typed, given = F.col("typed"), F.col("given")
-    text_flag = F.schema_of_variant(given[FLAG]) == "STRING"
-    flag = F.when(typed[FLAG] != 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    absent = [F.when(given[n].isNull(), F.lit(f"missing:{n}")) for n in REQUIRED_WIRE_FIELDS]
-    unreadable = [F.when(typed[n].isNull(), F.lit(f"invalid:{n}")) for n in REQUIRED_WIRE_FIELDS]
+    plain = [f for f in WIRE_SCHEMA.fields if f.name != FLAG]
+
+    def read(given: Column) -> list[Column]:
+        absent = [F.when(given[n].isNull(), F.lit(f"missing:{n}")) for n in REQUIRED_WIRE_FIELDS]
+        return [
+            *[_as(given, f.name, f.dataType.simpleString()).alias(f.name) for f in plain],
+            _as(given, FLAG, "double").alias("_flag"),
+            F.schema_of_variant(given[FLAG]).alias("_flag_kind"),
+            given.isNotNull().alias("_object"),
+            first_of(absent).alias("_absent"),
+        ]
+
+    parsed = _read_once(messages, value, WIRE_SCHEMA.names, read)
+    text_flag = F.coalesce(F.col("_flag_kind") == "STRING", F.lit(False))
     error = first_of(
         [
-            F.when(~F.col("is_object"), F.lit("not_an_object")),
-            *absent,
-            *unreadable,
-            F.when(~typed["type"].isin(*TRANSACTION_TYPES), F.lit("invalid:type")),
+            F.when(~F.col("_object"), F.lit("not_an_object")),
+            F.col("_absent"),
+            *[F.when(F.col(n).isNull(), F.lit(f"invalid:{n}")) for n in REQUIRED_WIRE_FIELDS],
+            F.when(~F.col("type").isin(*TRANSACTION_TYPES), F.lit("invalid:type")),
             F.when(text_flag, F.lit(f"invalid:{FLAG}")),
         ]
     )
+    flag = F.when(F.col("_flag") != 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
     return parsed.select(
         *messages.columns,
-        *[typed[n].alias(n) for n in dtypes],
-        F.when(~F.coalesce(text_flag, F.lit(False)), flag).alias(FLAG),
+        *[f.name for f in plain],
+        F.when(~text_flag, flag).alias(FLAG),
         error.alias("error"),
     )
 
 
-def _rules(given: Column) -> Column:
-    """Contract rules an object breaks; `given` holds each field as a variant."""
+def contract_violations(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Adds `violations`: names of the contract rules a message breaks, sorted."""
+    fields = (*REQUIRED_WIRE_FIELDS, LABEL, FLAG)
+    text = ("type", *IDENTIFIERS)
+    numeric = [n for n in fields if n not in text]
+
+    def read(given: Column) -> list[Column]:
+        return [
+            # Variant type of a field: null when absent, VOID for a JSON null.
+            *[F.schema_of_variant(given[n]).alias(f"_kind_{n}") for n in fields],
+            *[_as(given, n, "double").alias(f"_number_{n}") for n in numeric],
+            _as(given, "type", "string").alias("_type"),
+            given.isNotNull().alias("_object"),
+        ]
+
+    parsed = _read_once(messages, value, fields, read)
 
     def kind(name: str) -> Column:
-        """Variant type of a field: null when absent, VOID for a JSON null."""
-        return F.schema_of_variant(given[name])
+        return F.col(f"_kind_{name}")
 
     def number(name: str) -> Column:
         """The field's value when it is a JSON number, else null."""
-        is_number = kind(name).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        return F.when(is_number, F.try_variant_get(given[name], "$", "double"))
-
-    def present(name: str) -> Column:
-        return given[name].isNotNull()
+        is_number = F.substring(kind(name), 1, 6).isin("BIGINT", "DECIMA", "DOUBLE", "FLOAT")
+        return F.when(is_number, F.col(f"_number_{name}"))
 
     def unless(holds: Column) -> Column:
         return ~F.coalesce(holds, F.lit(False))
 
-    rules = {f"required:{n}": ~present(n) for n in REQUIRED_WIRE_FIELDS}
-    for n in ("type", *IDENTIFIERS):
-        rules[f"type:{n}"] = present(n) & (kind(n) != "STRING")
-    for n in ("amount", *BALANCES):
-        rules[f"type:{n}"] = present(n) & number(n).isNull()
-    rules["type:step"] = present("step") & unless(number("step") == F.floor(number("step")))
-    for n in ("step", "amount"):
-        rules[f"minimum:{n}"] = number(n) < 0
-    text = F.try_variant_get(given["type"], "$", "string")
-    rules["enum:type"] = (kind("type") == "STRING") & ~text.isin(*TRANSACTION_TYPES)
+    rules = {f"required:{n}": kind(n).isNull() for n in REQUIRED_WIRE_FIELDS}
+    rules |= {f"type:{n}": kind(n) != "STRING" for n in text}
+    rules |= {f"type:{n}": kind(n).isNotNull() & number(n).isNull() for n in ("amount", *BALANCES)}
+    rules["type:step"] = kind("step").isNotNull() & unless(number("step") == F.floor(number("step")))
+    rules |= {f"minimum:{n}": number(n) < 0 for n in ("step", "amount")}
+    rules["enum:type"] = (kind("type") == "STRING") & ~F.col("_type").isin(*TRANSACTION_TYPES)
     for n in (LABEL, FLAG):
-        rules[f"enum:{n}"] = present(n) & unless(number(n).isin(0.0, 1.0))
-    return F.array_compact(F.array(*[F.when(broken, F.lit(rule)) for rule, broken in rules.items()]))
+        rules[f"enum:{n}"] = kind(n).isNotNull() & unless(number(n).isin(0.0, 1.0))
 
-
-def contract_violations(value: Column) -> Column:
-    """Names of the contract rules a JSON message breaks, in alphabetical order."""
-    fields = (*REQUIRED_WIRE_FIELDS, LABEL, FLAG)
-    extra = F.transform(
-        F.array_except(F.json_object_keys(value), F.array(*[F.lit(n) for n in fields])),
-        lambda key: F.concat(F.lit("extra:"), key),
+    broken = F.array_compact(F.array(*[F.when(test, F.lit(rule)) for rule, test in rules.items()]))
+    unknown = F.array_except(F.json_object_keys(value), F.array(*[F.lit(n) for n in fields]))
+    extra = F.transform(unknown, lambda key: F.concat(F.lit("extra:"), key))
+    extra = F.coalesce(extra, F.array().cast("array<string>"))  # a bare NaN hides the keys
+    return parsed.select(
+        *messages.columns,
+        F.when(F.col("_object"), F.array_sort(F.concat(broken, extra)))
+        .otherwise(F.array(F.lit("type:object")))
+        .alias("violations"),
     )
 
-    def check(v: Column) -> Column:
-        given = _all_fields(v, {n: "variant" for n in fields})
-        found = F.concat(_once(given, _rules), extra)
-        is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-        return F.when(is_object, F.array_sort(found)).otherwise(F.array(F.lit("type:object")))
-
-    return _once(F.try_parse_json(value), check)
-
 
 def request_problem() -> Column:
     """First rule a scoring request breaks, null when it may be scored.
