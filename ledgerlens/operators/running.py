@@ -86,9 +86,14 @@ def running_totals(
         *[F.sum(c).over(group).alias(f"{c}_total") for c in counts],
         F.lead("_first").over(group.orderBy("_range")).alias("_next_range"),
     )
+    # Null-safe, so that a group without a name keeps its rows.
+    offsets = offsets.withColumnsRenamed({c: f"_of_{c}" for c in [*by, "_range"]})
+    same = F.col("_range") == F.col("_of__range")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     if few_groups:
         offsets = F.broadcast(offsets)
-    joined = ranged.join(offsets, [*by, "_range"])
+    joined = ranged.join(offsets, same).drop(*[f"_of_{c}" for c in [*by, "_range"]])
 
     inside = Window.partitionBy(*by, "_range").orderBy(value)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)

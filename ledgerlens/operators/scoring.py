@@ -30,6 +30,10 @@ MALFORMED = "malformed"
 NOT_READY = "not_ready"
 COUNTED = (SUCCESS, INVALID, UNAVAILABLE)
 
+HOT_KEYS = 100
+HOT_SHARE = 0.01
+SKETCH_SIZE = 1024
+
 
 def _no_features() -> Column:
     absent = F.lit(True)
@@ -38,22 +42,48 @@ def _no_features() -> Column:
     return absent
 
 
+def _keyed(requests: DataFrame) -> DataFrame:
+    return requests if ENTITY_KEY in requests.columns else requests.withColumn(ENTITY_KEY, entity_id())
+
+
+def hot_keys(keyed: DataFrame) -> DataFrame:
+    """Keys with about one percent of the requests or more: at most a hundred rows.
+
+    A sketch of fixed size finds them in one pass. It may miss or add a key; that moves
+    rows between two equal ways of joining and never changes a result.
+    """
+    sketch = F.call_function("approx_top_k", F.col(ENTITY_KEY), F.lit(HOT_KEYS), F.lit(SKETCH_SIZE))
+    top = keyed.agg(sketch.alias("top"), F.count("*").alias("n")).select("n", F.inline("top"))
+    return top.where(F.col("count") >= HOT_SHARE * F.col("n")).select(F.col("item").alias(ENTITY_KEY))
+
+
+def _join_by_key(keyed: DataFrame, stored: DataFrame, how: str) -> DataFrame:
+    """Joins requests to one stored row per key without sending a hot key to one task.
+
+    Both sides grow with the log, so the join shuffles. Requests of hot keys stay where
+    they are and meet the stored rows of those keys (at most one each) by broadcast.
+    Requests of a micro-batch join directly: a sketch cannot run inside a stream.
+    """
+    if keyed.isStreaming:
+        return keyed.join(stored, ENTITY_KEY, how)
+    hot = F.broadcast(hot_keys(keyed))
+    hot_rows = F.broadcast(stored.join(hot, ENTITY_KEY, "left_semi"))
+    spread = keyed.join(hot, ENTITY_KEY, "left_anti").join(stored, ENTITY_KEY, how)
+    return spread.unionByName(keyed.join(hot, ENTITY_KEY, "left_semi").join(hot_rows, ENTITY_KEY, how))
+
+
 def lookup(requests: DataFrame, stored: DataFrame) -> DataFrame:
-    """Left join on the entity key. `stored` has one row per key.
+    """Requests with their stored features, null where none are stored.
 
-    Neither side is broadcast by hint: both grow with the log. A key that many
-    requests share is split by adaptive skew handling, which may cut the left side
-    of a left join.
+    `stored` has one row per key.
     """
-    keyed = requests if ENTITY_KEY in requests.columns else requests.withColumn(ENTITY_KEY, entity_id())
-    return keyed.join(stored.select(ENTITY_KEY, *FEATURE_NAMES), ENTITY_KEY, "left")
+    return _join_by_key(_keyed(requests), stored.select(ENTITY_KEY, *FEATURE_NAMES), "left")
 
 
 def missing_features(requests: DataFrame, stored: DataFrame) -> DataFrame:
     """Requests without a stored row, or whose stored features are all null."""
     present = stored.where(~_no_features()).select(ENTITY_KEY)
-    keyed = requests if ENTITY_KEY in requests.columns else requests.withColumn(ENTITY_KEY, entity_id())
-    return keyed.join(present, ENTITY_KEY, "left_anti")
+    return _join_by_key(_keyed(requests), present, "left_anti")
 
 
 def outcome_column() -> Column:

@@ -47,10 +47,14 @@ def dtype_failures(text_rows: DataFrame) -> DataFrame:
     return found.select("r.*").where("failures > 0")
 
 
+def unknown_type() -> Column:
+    """True for a type outside the vocabulary, null included."""
+    return ~F.coalesce(F.col("type").isin(*TRANSACTION_TYPES), F.lit(False))
+
+
 def unexpected_types(df: DataFrame) -> DataFrame:
-    """Type values outside the vocabulary, null included, each once, sorted."""
-    known = F.coalesce(F.col("type").isin(*TRANSACTION_TYPES), F.lit(False))
-    return df.where(~known).select("type").distinct().orderBy("type")
+    """Type values outside the vocabulary, each once, sorted."""
+    return df.where(unknown_type()).select("type").distinct().orderBy("type")
 
 
 def trainable(df: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from ledgerlens.operators import drift, metrics, models, store
 from ledgerlens.operators.prepare import add_features, encode
 from ledgerlens.operators.split import temporal_split
 from ledgerlens.operators.validation import split_classes, trainable
-from ledgerlens.schema import LABEL, MODEL_INPUTS
+from ledgerlens.schema import LABEL, MODEL_INPUTS, TRANSACTION_SCHEMA
+from ledgerlens.session import scratch_path
 from ledgerlens.sources import log as log_source
 from ledgerlens.sources import tables
 from ledgerlens.streaming import online
@@ -46,8 +47,14 @@ def processed(raw: DataFrame) -> DataFrame:
 
 
 def preprocess(spark: SparkSession, csv_path: str, out: str) -> DataFrame:
-    """Load, check, derive, encode, split, write; returns the written table."""
-    raw = log_source.read_log(spark, csv_path)
+    """Load, check, derive, encode, split, write; returns the written table.
+
+    The checked log is kept as parquet in the shared folder: the passes that follow read
+    one column each, and only the last reads them all.
+    """
+    staged = scratch_path(spark, "checked-log")
+    log_source.read_log(spark, csv_path).write.parquet(staged)
+    raw = spark.read.schema(TRANSACTION_SCHEMA).parquet(staged)
     assert_trainable(raw)
     tables.write_splits(processed(raw), out)
     written = tables.read_splits(spark, out)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerlens.errors import LogReadError
 from ledgerlens.functions.features import finite
 from ledgerlens.operators.prepare import head_sample
-from ledgerlens.operators.validation import EXPECTED_TYPES, dtype_counts, unexpected_types
+from ledgerlens.operators.validation import EXPECTED_TYPES, dtype_counts, unexpected_types, unknown_type
 from ledgerlens.schema import TRANSACTION_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -65,13 +65,16 @@ def read_log(
     rows = read_text_rows(spark, path)
     require_columns(rows)
     try:
-        # One pass: row count, broken lines and misfits of every column.
-        checked = dtype_counts(rows, extra=[F.count("*").alias("_rows"), F.count(_BROKEN).alias("_bad")])
-        counted = checked.first().asDict()
-        strange = unexpected_types(rows).limit(20).collect()  # enough for a message
+        # One pass: row count, broken lines, unknown types and misfits of every column.
+        extra = [
+            F.count("*").alias("_rows"),
+            F.count(_BROKEN).alias("_bad"),
+            F.count_if(unknown_type()).alias("_unknown"),
+        ]
+        counted = dtype_counts(rows, extra).first().asDict()
     except PySparkException as error:
         raise LogReadError(f"failed to parse {path}: {error}") from error
-    total, bad = counted.pop("_rows"), counted.pop("_bad")
+    total, bad, unknown = (counted.pop(c) for c in ("_rows", "_bad", "_unknown"))
     if not total:
         raise LogReadError(f"{path} has no rows")
     if bad:
@@ -79,8 +82,9 @@ def read_log(
     misfits = {c: f"expected {EXPECTED_TYPES[c]}, {n} values differ" for c, n in counted.items() if n}
     if misfits:
         raise LogReadError(f"column types do not match: {misfits}")
-    if strange:
-        raise LogReadError(f"unexpected transaction types: {[r.type for r in strange]}")
+    if unknown:
+        named = [r.type for r in unexpected_types(rows).limit(20).collect()]  # enough for a message
+        raise LogReadError(f"{unknown} rows have unexpected transaction types: {named}")
     table = typed(rows)
     log.info("read %s rows from %s", total, path)
     return table if nrows is None else head_sample(table, nrows, order)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.errors import FeatureError, ModelError, PredictionLogError
+from ledgerlens.functions.features import entity_id
 from ledgerlens.operators import metrics, models, scoring, store
 from ledgerlens.plans import jobs
 from ledgerlens.schema import FEATURE_NAMES, LABEL, MODEL_INPUTS
@@ -131,9 +132,19 @@ def test_outcomes(log, row):
     assert scoring.missing_features(log, stored.unionByName(blank)).count() == 20
 
 
-def test_hot_key_requests_are_all_answered(spark, log):
-    many = log.where("step = 3").crossJoin(spark.range(5000)).drop("id")
-    assert scoring.lookup(many, store.build_offline(log)).where("hour_of_day = 3").count() == 5000
+def test_hot_keys_are_answered_like_the_rest(spark, log):
+    """Half of the requests share one stored key, a quarter one that is not stored."""
+    many = log.unionByName(log.where("step = 3").crossJoin(spark.range(4000)).drop("id"))
+    many = many.unionByName(log.where("step = 50").crossJoin(spark.range(2000)).drop("id"))
+    stored = store.build_offline(log.where("step <= 40"))
+    assert scoring.hot_keys(many.withColumn("transaction_id", entity_id())).count() == 2
+    found = scoring.lookup(many, stored)
+    assert found.count() == 6060
+    assert found.where("hour_of_day IS NOT NULL").count() == 4040
+    assert found.where("hour_of_day <> pmod(step, 24)").isEmpty()
+    missing = scoring.missing_features(many, stored)
+    assert missing.count() == 2020
+    assert sorted(r.step for r in missing.select("step").distinct().collect()) == list(range(41, 61))
 
 
 def test_result_row(spark):
