@@ -388,7 +388,7 @@ def dq_type_counts(spark, d):
 
 @query
 def dq_describe(spark, d):
-    return rounded(quality.describe(events.raw_log(spark, d)), "value")
+    return rounded(quality.describe(events.raw_log(spark, d)), "value", places=8)
 
 
 @query
@@ -646,7 +646,7 @@ def mon_fraud_per_hour(spark, d):
 
 @query
 def mon_mean_probability(spark, d):
-    return rounded(monitoring.mean_probability(outcome_log(spark, d)), "mean_probability")
+    return rounded(monitoring.mean_probability(outcome_log(spark, d)), "mean_probability", places=12)
 
 
 @query

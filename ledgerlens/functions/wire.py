@@ -138,21 +138,26 @@ def contract_violations(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def request_problem() -> Column:
-    """First rule a scoring request breaks, null when it may be scored.
-
-    Stricter than the wire record: amounts and balances may not be negative.
-    """
-    numbers = ("step", "amount", *BALANCES)
+def record_problem() -> Column:
+    """Why a row cannot be a wire record: a missing field or an unknown type."""
     return first_of(
         [
             *[F.when(F.col(n).isNull(), F.lit(f"missing:{n}")) for n in REQUIRED_WIRE_FIELDS],
             F.when(~F.col("type").isin(*TRANSACTION_TYPES), F.lit("unknown:type")),
-            *[F.when(F.col(n) < 0, F.lit(f"negative:{n}")) for n in numbers],
         ]
     )
 
 
+def request_problem() -> Column:
+    """First rule a scoring request breaks, null when it may be scored.
+
+    Stricter than the wire record: the step, amount and balances may not be negative.
+    """
+    numbers = ("step", "amount", *BALANCES)
+    negative = [F.when(F.col(n) < 0, F.lit(f"negative:{n}")) for n in numbers]
+    return first_of([record_problem(), *negative])
+
+
 def wire_struct() -> Column:
     """The ten wire fields; the flag is written as 0 or 1."""
     flag = F.when(F.coalesce(F.col(FLAG), F.lit(0)) != 0, F.lit(1)).otherwise(F.lit(0)).cast("long")

@@ -219,8 +219,9 @@ def train_compare(
             raise ModelError("the train split is empty")
         # The fits share the cached rows and run side by side, like MLlib's own
         # cross-validation; Spark schedules their jobs.
+        in_thread = inheritable_thread_target(train.sparkSession)
         with ThreadPoolExecutor(parallelism) as pool:
-            jobs = [pool.submit(inheritable_thread_target(fit), train, s, counts, order) for s in specs]
+            jobs = [pool.submit(in_thread(fit), train, s, counts, order) for s in specs]
             models = {s.name: job.result() for s, job in zip(specs, jobs)}
     finally:
         train.unpersist()

@@ -15,24 +15,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_RADIX = 8
+# Spans per group in the first step of a quantile.
+_SPANS = _RADIX**3
+
+
 def range_count(df: DataFrame) -> int:
-    """Power of two, at least twice the shuffle partitions of the session."""
+    """Power of eight, at least twice the shuffle partitions of the session."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << max(2, (2 * partitions - 1).bit_length())
+    count = _RADIX
+    while count < 2 * partitions:
+        count *= _RADIX
+    return count
 
 
-def _range_of(value: Column, cuts: Column, count: int) -> Column:
-    """Number of cuts below the value: a binary search over `count - 1` sorted cuts."""
-    strides = []
-    stride = count // 2
+def _place(df: DataFrame, value: str, cuts: str, count: int, name: str) -> DataFrame:
+    """Adds `name`: how many of the `count - 1` sorted cuts lie below the value.
+
+    Each step is a projection that narrows the place to an eighth, so the search runs in
+    generated code. No step is nullable, which spares joins on the place a null test
+    that would repeat the search.
+    """
+    base, stride = F.lit(0), count // _RADIX
     while stride:
-        strides.append(F.lit(stride))
-        stride //= 2
-    return F.aggregate(
-        F.array(*strides),
-        F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at),
-    )
+        below = [F.get(F.col(cuts), base + (j * stride - 1)) < F.col(value) for j in range(1, _RADIX)]
+        passed = sum((F.coalesce(b.cast("int"), F.lit(0)) for b in below), F.lit(0))
+        step = name if stride == 1 else f"{name}_{stride}"
+        df = df.withColumn(step, base + passed * stride)
+        base, stride = F.col(step), stride // _RADIX
+    return df.drop(cuts, *[c for c in df.columns if c.startswith(f"{name}_")])
 
 
 def with_ranges(grouped: DataFrame, value: str, counts: Sequence[str]) -> DataFrame:
@@ -43,17 +54,12 @@ def with_ranges(grouped: DataFrame, value: str, counts: Sequence[str]) -> DataFr
     """
     n = range_count(grouped)
     size = sum((F.col(c) for c in counts), F.lit(0))
+    points = [i / n for i in range(1, n)]
     cuts = grouped.agg(
-        F.percentile_approx(
-            F.when(size >= 0, F.col(value)), [i / n for i in range(1, n)], 4 * n
-        ).alias("_cuts")
+        F.percentile_approx(F.when(size >= 0, F.col(value)), points, 4 * n).alias("_cuts")
     )
     # One row of n - 1 numbers, whatever the data size.
-    return (
-        grouped.crossJoin(F.broadcast(cuts))
-        .withColumn("_range", _range_of(F.col(value), F.col("_cuts"), n))
-        .drop("_cuts")
-    )
+    return _place(grouped.crossJoin(F.broadcast(cuts)), value, "_cuts", n, "_range")
 
 
 def running_totals(
@@ -113,33 +119,59 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles as columns q0, q1, ... with one row per group.
 
-    `by` must take a fixed handful of values. Nulls are left out.
+    `by` must take a fixed handful of values. Nulls are left out. The rows are counted
+    per span between estimated cuts; the exact counts tell which spans hold the wanted
+    ranks, and only the values of those few spans are shuffled and ranked.
     """
     by = list(by)
-    grouped = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    ranked = running_totals(grouped, value, ["_n"], by)
-    last = F.col("_n_total") - 1
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    points = [i / _SPANS for i in range(1, _SPANS)]
+    # One row per group, of a fixed size.
+    cuts = F.broadcast(rows.groupBy(*by).agg(F.percentile_approx("_v", points, 4 * _SPANS).alias("_cuts")))
+    paired = rows.join(cuts, by) if by else rows.crossJoin(cuts)
+    placed = _place(paired, "_v", "_cuts", _SPANS, "_span")
+
+    # At most `_SPANS` rows per group from here to `wanted`.
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        placed.groupBy(*by, "_span")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_all", F.sum("_rows").over(group))
+    )
+    places = [F.lit(float(f)) * (F.col("_all") - 1) for f in fractions]
+
+    def holds(rank: Column, first: Column, rows_here: Column) -> Column:
+        return (first <= rank) & (rank < first + rows_here)
+
+    hit = F.lit(False)
+    for place in places:
+        for rank in (F.floor(place), F.ceil(place)):
+            hit = hit | holds(rank, F.col("_first"), F.col("_rows"))
+    wanted = F.broadcast(spans.where(hit).select(*by, "_span", "_first", "_all"))
+
+    near = placed.join(wanted, [*by, "_span"]).groupBy(*by, "_span", "_first", "_all", "_v")
+    ranked = running_totals(near.agg(F.count("*").alias("_n")), "_v", ["_n"], [*by, "_span"])
+    start = F.col("_first") + F.col("_n_before")
 
     def at(rank: Column) -> Column:
-        here = (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
-        return F.max(F.when(here, F.col(value)))
+        return F.max(F.when(holds(rank, start, F.col("_n")), F.col("_v")))
 
     picks = []
-    for i, fraction in enumerate(fractions):
-        place = F.lit(float(fraction)) * last
+    for i, place in enumerate(places):
         picks += [
             at(F.floor(place)).alias(f"_low{i}"),
             at(F.ceil(place)).alias(f"_high{i}"),
             F.max(place - F.floor(place)).alias(f"_part{i}"),
         ]
     picked = ranked.groupBy(*by).agg(*picks)
-    return picked.select(
-        *by,
-        *[
-            (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}")).alias(f"q{i}")
-            for i in range(len(fractions))
-        ],
-    )
+
+    def between(i: int) -> Column:
+        low, high, part = (F.col(f"_{name}{i}") for name in ("low", "high", "part"))
+        return (low + (high - low) * part).alias(f"q{i}")
+
+    return picked.select(*by, *[between(i) for i in range(len(fractions))])
 
 
 def row_numbers(df: DataFrame, order: str, by: Sequence[str] = ()) -> DataFrame:

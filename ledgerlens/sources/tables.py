@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.errors import FeatureError, ModelError, PredictionLogError
-from ledgerlens.functions.wire import wire_json
+from ledgerlens.functions.wire import record_problem, wire_json
 from ledgerlens.operators.models import check_splits
 from ledgerlens.operators.prepare import head_sample
 from ledgerlens.operators.scoring import append_log
@@ -53,11 +53,14 @@ def read_offline_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def wire_messages(
-    good: DataFrame, limit: int | None = None, order: tuple[str, ...] = ("step",)
+    log: DataFrame, limit: int | None = None, order: tuple[str, ...] = ("step",)
 ) -> DataFrame:
-    """One JSON message per row; the label is not part of it."""
-    rows = good if limit is None else head_sample(good, limit, order)
-    return rows.select(wire_json().alias("value"))
+    """One JSON message per row of the log, or of its first rows, without the label.
+
+    Rows that are no wire record are skipped.
+    """
+    rows = log if limit is None else head_sample(log, limit, order)
+    return rows.where(record_problem().isNull()).select(wire_json().alias("value"))
 
 
 def write_wire(messages: DataFrame, path: str | None = None, **kafka: str) -> None:

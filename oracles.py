@@ -204,7 +204,7 @@ def _described(column: str) -> str:
         "max": f"max({column})",
     }
     return " UNION ALL ".join(
-        f"SELECT '{column}' AS \"column\", '{stat}' AS stat, round({value}, 6) AS value FROM t"
+        f"SELECT '{column}' AS \"column\", '{stat}' AS stat, round({value}, 8) AS value FROM t"
         for stat, value in stats.items()
     )
 
@@ -500,7 +500,7 @@ def statements() -> dict[str, str]:
         "mon_mean_probability": _outcomes(
             "SELECT time_bucket(INTERVAL '5 minutes', logged_at) AS window_start, "
             "time_bucket(INTERVAL '5 minutes', logged_at) + INTERVAL '5 minutes' AS window_end, "
-            "round(avg(fraud_probability), 6) AS mean_probability FROM ol WHERE outcome = 'success' GROUP BY 1, 2"
+            "round(avg(fraud_probability), 12) AS mean_probability FROM ol WHERE outcome = 'success' GROUP BY 1, 2"
         ),
         "mon_class_distribution": _outcomes(
             "SELECT time_bucket(INTERVAL '1 hour', logged_at) AS window_start, "

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.running import exact_quantiles, range_count, row_numbers, running_totals
+from ledgerlens.operators.running import _place, exact_quantiles, range_count, row_numbers, running_totals
 
 
 def brute(rows):
@@ -33,9 +33,24 @@ def test_running_totals_equal_brute_force(spark, shape, few_groups):
     assert {(r.g, r.v): (r.n_before, r.n_total, r._next) for r in got} == brute(rows)
 
 
-def test_range_count_is_a_power_of_two(spark):
-    n = range_count(spark.range(1))
-    assert n & (n - 1) == 0 and n >= 8
+def test_range_count_follows_the_shuffle_partitions(spark):
+    assert range_count(spark.range(1)) == 8
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        assert range_count(spark.range(1)) == 4096
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("partitions", [4, 32, 256])
+def test_place_counts_the_cuts_below(spark, partitions):
+    rng = random.Random(partitions)
+    n = partitions * 2
+    cuts = sorted(rng.randint(0, 50) / 2 for _ in range(n - 1))
+    rows = [(float(v),) for v in range(-1, 28)] + [(None,)]
+    df = spark.createDataFrame(rows, "v double").withColumn("c", F.lit(cuts))
+    for r in _place(df, "v", "c", n, "at").collect():
+        assert r["at"] == (0 if r.v is None else sum(c < r.v for c in cuts))
 
 
 def test_quantiles_equal_numpy(spark):
