@@ -161,7 +161,8 @@ def src_stream_first_n(spark, d):
 def sink_wire_json(spark, d):
     path = scratch_path(spark, "wire")
     tables.write_wire(tables.wire_messages(events.transactions(spark, d)), path)
-    return wire.parse_wire(spark.read.text(path)).drop("value")
+    parsed = wire.parse_wire(spark.read.text(path))
+    return parsed.where("error IS NULL").drop("value", "error")
 
 
 @query

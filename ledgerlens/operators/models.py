@@ -322,7 +322,8 @@ def check_splits(data: DataFrame) -> None:
     """Refuses a processed table that lacks a split or the label."""
     if LABEL not in data.columns:
         raise ModelError(f"column {LABEL!r} is missing")
-    found = {r.split for r in data.select("split").distinct().collect()}  # at most three names
+    known = data.where(F.col("split").isin(*SPLITS)).select("split").distinct()
+    found = {r.split for r in known.collect()}  # at most three rows
     absent = [s for s in SPLITS if s not in found]
     if absent:
         raise ModelError(f"processed data lacks the splits {absent}")

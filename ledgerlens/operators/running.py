@@ -36,13 +36,13 @@ def _place(df: DataFrame, value: str, cuts: str, count: int, name: str) -> DataF
     generated code. No step is nullable, which spares joins on the place a null test
     that would repeat the search.
     """
-    base, stride = F.lit(0), count // _RADIX
+    base, stride = "0", count // _RADIX
     while stride:
-        below = [F.get(F.col(cuts), base + (j * stride - 1)) < F.col(value) for j in range(1, _RADIX)]
-        passed = sum((F.coalesce(b.cast("int"), F.lit(0)) for b in below), F.lit(0))
+        below = [f"`{cuts}`[{base} + {j * stride - 1}] < `{value}`" for j in range(1, _RADIX)]
+        passed = " + ".join(f"coalesce(int({test}), 0)" for test in below)
         step = name if stride == 1 else f"{name}_{stride}"
-        df = df.withColumn(step, base + passed * stride)
-        base, stride = F.col(step), stride // _RADIX
+        df = df.withColumn(step, F.expr(f"{base} + {stride} * ({passed})"))
+        base, stride = f"`{step}`", stride // _RADIX
     return df.drop(cuts, *[c for c in df.columns if c.startswith(f"{name}_")])
 
 

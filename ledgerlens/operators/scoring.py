@@ -62,7 +62,8 @@ def _join_by_key(keyed: DataFrame, stored: DataFrame, how: str) -> DataFrame:
 
     Both sides grow with the log, so the join shuffles. Requests of hot keys stay where
     they are and meet the stored rows of those keys (at most one each) by broadcast.
-    Requests of a micro-batch join directly: a sketch cannot run inside a stream.
+    A stream joins directly, since a sketch cannot run inside it; within `foreachBatch`
+    the requests are a table again.
     """
     if keyed.isStreaming:
         return keyed.join(stored, ENTITY_KEY, how)

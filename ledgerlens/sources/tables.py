@@ -72,13 +72,16 @@ def write_wire(messages: DataFrame, path: str | None = None, **kafka: str) -> No
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
-    """Logged predictions; blank lines are skipped, an absent or empty log is refused."""
+    """Logged predictions; blank lines are skipped, an absent or empty log is refused.
+
+    A line that is no log record ends the job that reads it.
+    """
     try:
         # Read as text first: a blank line would come out of the JSON reader as nulls.
         lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     except AnalysisException as error:
         raise PredictionLogError(f"nothing is logged at {path}") from error
-    rows = lines.select(F.from_json("value", PREDICTION_LOG_SCHEMA).alias("r")).select("r.*")
+    rows = lines.select(F.from_json("value", PREDICTION_LOG_SCHEMA, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     if lines.isEmpty():
         raise PredictionLogError(f"the prediction log at {path} is empty")
     return rows

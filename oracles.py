@@ -309,7 +309,7 @@ def statements() -> dict[str, str]:
         "src_stream_bounded": "SELECT count(*) AS messages, count(DISTINCT event_id) AS distinct_messages FROM events",
         "src_stream_first_n": f"{_with(SENT)} SELECT event_id, step, type, amount FROM t "
         "WHERE k NOT IN (0, 1, 2, 3, 7) ORDER BY event_id LIMIT 1000",
-        "sink_wire_json": _log(f"SELECT {WIRE}, CAST(NULL AS VARCHAR) AS error FROM t"),
+        "sink_wire_json": _log(f"SELECT {WIRE} FROM t"),
         "sink_prediction_log": "SELECT 2 * count(*) AS rows, count(DISTINCT ts) AS times FROM events",
         "src_prediction_log": _scored(
             f"SELECT {WIRE}, prediction, fraud_probability, '1' AS model_version, "

@@ -174,6 +174,9 @@ def test_log_skips_blank_lines_and_refuses_nothing(spark, tmp_path):
     path = tmp_path / "log.jsonl"
     path.write_text("\n" + json.dumps({"step": 1, "prediction": 0}) + "\n   \n\n")
     assert [r.step for r in tables.read_prediction_log(spark, str(path)).collect()] == [1]
+    path.write_text("half a li\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        tables.read_prediction_log(spark, str(path)).collect()
     path.write_text("\n\n")
     with pytest.raises(PredictionLogError, match="empty"):
         tables.read_prediction_log(spark, str(path))
