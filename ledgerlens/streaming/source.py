@@ -26,14 +26,11 @@ def text_messages(spark: SparkSession, folder: str, files_per_batch: int = 1000)
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
 
 
-def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_transactions(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
     """The events table as a file stream of transactions."""
-    events = (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .option("recursiveFileLookup", "false")
-        .parquet(sf_dir)
-    )
+    # The pattern takes a single file as well as a folder of part files.
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    events = reader.parquet(f"{sf_dir}/events.parque[t]")
     return as_transactions(events)
 
 
