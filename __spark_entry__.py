@@ -868,9 +868,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return split_summary(spark, "/root/testdata/sf0.001")
 
 
+def text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the text operators, where their subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
+    except ImportError:
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLE_SQL, **pipeline_sql}
+
+
 def queries() -> dict[str, Query]:
-    return dict(_REGISTERED)
+    return {**_REGISTERED, **text_queries()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    return {**oracles.statements(), **text_queries()[1]}
