@@ -137,6 +137,56 @@ def places(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return first[:-1], np.maximum(first[:-1], first[1:] - n + 1)
 
 
+def ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... count[0] of them, then those of the next."""
+    total = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    return np.repeat(begin - total[:-1], count) + np.arange(total[-1])
+
+
+class IdCache:
+    """Ids of the words that a process has met, by hash; emptied when it is full."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def look_up(self, hashes: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and how many each has.
+
+        `encode` gives the ids of new words as a list of arrays, for their places.
+        """
+        keys, one, word = np.unique(hashes, return_index=True, return_inverse=True)
+        new = self._unknown(keys)
+        if len(self.keys) + len(new) > self.most:
+            self.clear()
+            new = np.arange(len(keys))
+        if len(new):
+            self._add(keys[new], encode(one[new]))
+        at = np.searchsorted(self.keys, keys)[word]
+        count = self.first[at + 1] - self.first[at] if len(at) else np.zeros(0, np.int64)
+        return self.ids[ranges(self.first[at], count)], count
+
+    def _unknown(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, keys)
+        inside = at < len(self.keys)
+        known = np.zeros(len(keys), bool)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        return np.flatnonzero(~known)
+
+    def _add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+        size = np.array([len(x) for x in ids], np.int64)
+        count = np.concatenate([np.diff(self.first), size])
+        begin = np.concatenate([self.first[:-1], len(self.ids) + np.cumsum(size) - size])
+        flat = np.concatenate([self.ids, *ids]).astype(np.uint32)
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys)
+        self.keys, self.first = keys[order], np.concatenate([[0], np.cumsum(count[order])])
+        self.ids = flat[ranges(begin[order], count[order])]
+
+
 def held_out(doc_id: pa.Array, modulus: int) -> np.ndarray:
     """crc32 of the id as text, modulo: 2 is held out; a missing id counts as empty text."""
     return np.array([zlib.crc32(b"" if d is None else str(d).encode()) % modulus == 2 for d in doc_id.to_pylist()], bool)

@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import ngram_join
+from ledgerlens.llm import (
+    decontaminate,
+    fingerprints,
+    html_text,
+    maxent_lm,
+    ngram_join,
+    pieces,
+    quality,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from ledgerlens.llm.common import read
+from ledgerlens.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,3 +36,64 @@ def query(make: Query) -> Query:
 @query
 def op1_ngram_jaccard_join(spark, d):
     return ngram_join.jaccard_components(read(spark, d, "documents"))
+
+
+@query
+def op2_token_files(spark, d):
+    folder = scratch_path(spark, "token-files")
+    token_files.write_tokens(read(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return token_files.read_tokens(spark, folder)
+
+
+@query
+def op3_toxicity(spark, d):
+    return toxicity.toxicity(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@query
+def op4_benchmark_decontamination(spark, d):
+    """One row per contaminated document and item that it has."""
+    found = decontaminate.benchmark_hits(read(spark, d, "documents"), read(spark, d, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select(
+        "doc_id", "hit.item_id", "hit.distance", F.col("hit.begin").alias("begin_char"), F.col("hit.end").alias("end_char")
+    )
+
+
+@query
+def op5_quality(spark, d):
+    return quality.quality(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@query
+def op6_substring_dedup(spark, d):
+    out = substring_dedup.substring_dedup(read(spark, d, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_sentence_pieces(spark, d):
+    """Per document: its ids' count and checksum, the digest of the decoded text, and whether that is the text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    tokens = pieces.encode_pieces(read(spark, d, "documents").select("doc_id", "text"), model)
+    return pieces.decode_pieces(tokens, model).select(
+        "doc_id",
+        F.size("token_ids").alias("n_tokens"),
+        pieces.crc32_of_ids("token_ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+@query
+def op8_lm_scoring(spark, d):
+    return maxent_lm.lm_scores(read(spark, d, "documents"))
+
+
+@query
+def op9_html_extraction(spark, d):
+    return html_text.main_texts(read(spark, d, "pages"))
+
+
+@query
+def op10_document_fingerprints(spark, d):
+    return fingerprints.beside_next(read(spark, d, "documents"))
