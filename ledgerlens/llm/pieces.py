@@ -21,6 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.llm import common
 from ledgerlens.llm.common import IdCache, hash_slices, mix, ranges
@@ -194,8 +195,7 @@ def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
             ids = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
             yield pa.record_batch([batch.column(0), batch.column(1), ids], ["rest", "text", "token_ids"])
 
-    rest = packed.schema["rest"].dataType.simpleString()
-    out = packed.mapInArrow(encode, f"rest {rest}, text string, token_ids array<int>")
+    out = packed.mapInArrow(encode, T.StructType([*packed.schema.fields, *T.StructType.fromDDL("token_ids array<int>").fields]))
     return out.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c != "token_ids"), "token_ids")
 
 
@@ -216,8 +216,7 @@ def decode_pieces(tokens: DataFrame, model_file: str) -> DataFrame:
                 ["rest", "token_ids", "decoded"],
             )
 
-    rest = packed.schema["rest"].dataType.simpleString()
-    out = packed.mapInArrow(decode, f"rest {rest}, token_ids array<int>, decoded string")
+    out = packed.mapInArrow(decode, T.StructType([*packed.schema.fields, *T.StructType.fromDDL("decoded string").fields]))
     return out.select(
         *(F.col(c) if c == "token_ids" else F.col(f"rest.`{c}`").alias(c) for c in tokens.columns if c != "decoded"), "decoded"
     )

@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.llm import common
 from ledgerlens.llm.common import ngram_hashes, split_words, stored, text_bytes
@@ -269,6 +270,10 @@ def _outcome(batch, window: int, touched=None):
     )
 
 
+def _fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
+
 def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     """All rows and columns of `docs`, with n_words, n_removed and kept (words left, joined).
 
@@ -329,8 +334,8 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     )
 
     listed = spark.sparkContext.broadcast(common.key_filter(touched, "seq", 22))
-    rest = base.schema["rest"].dataType.simpleString()
-    result = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, rest {rest}, n_words long, n_removed long, kept string"
+    carried = [base.schema[c] for c in ("doc_id", "text", "rest")]
+    result = T.StructType([*carried, *_fields("n_words long, n_removed long, kept string")])
 
     def split(batches, wanted: bool):
         for batch in batches:
@@ -345,7 +350,7 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
                 yield _outcome(some, window)
 
     clean = base.mapInArrow(lambda b: split(b, False), result)
-    placed = base.mapInArrow(lambda b: split(b, True), f"doc_id long, text string, rest {rest}, seq long").join(touched, "seq", "left")
+    placed = base.mapInArrow(lambda b: split(b, True), T.StructType([*carried, *_fields("seq long")])).join(touched, "seq", "left")
     marked = placed.select("doc_id", "text", "rest", "seq", "first_id", "found").mapInArrow(
         lambda batches: (_outcome(b, window, touched=True) for b in batches), result
     )

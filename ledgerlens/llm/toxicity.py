@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.llm import common
 from ledgerlens.llm.common import KEEP, mix, split_words, text_bytes
@@ -231,7 +232,8 @@ def scores_of_texts(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
             p = shared.value.probabilities(batch.column(0))
             yield pa.record_batch([batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["rest", "score", "predicted"])
 
-    out = packed.mapInArrow(score, f"rest {packed.schema['rest'].dataType.simpleString()}, score double, predicted int")
+    made = T.StructType.fromDDL("score double, predicted int").fields
+    out = packed.mapInArrow(score, T.StructType([packed.schema["rest"], *made]))
     return out.select(*(F.col(f"rest.`{c}`").alias(c) for c in names), "score", "predicted")
 
 
