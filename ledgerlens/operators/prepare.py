@@ -17,6 +17,8 @@ from ledgerlens.functions.features import (
 )
 from ledgerlens.schema import ENTITY_KEY, EVENT_TIME, FEATURE_NAMES, IDENTIFIERS, MODEL_INPUTS
 
+# Below so many rows an ordered limit needs no estimate first; the rows are the same.
+ESTIMATED_FROM = 1 << 20
 FeatureStep = Mapping[str, Callable[[], Column]] | Callable[[DataFrame], DataFrame]
 DEFAULT_STEPS: tuple[FeatureStep, ...] = (FEATURE_EXPRESSIONS,)
 
@@ -80,6 +82,27 @@ def feature_view(featured: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def head_sample(df: DataFrame, n: int, order: Sequence[str] = ("step",)) -> DataFrame:
-    """The first n rows of the log; tables have no file order, so `order` stands in."""
-    return df.orderBy(*order).limit(n)
+def head_sample(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:
+    """The first n rows of the log; tables have no file order, so `order` stands in.
+
+    Without one, rows are ordered by step and entity id, and rows that share both by
+    their values, so every run and every branch of a plan takes the same rows.
+    """
+    keys = [F.col("step"), entity_id(), F.xxhash64(*df.columns)] if order is None else [F.col(c) for c in order]
+    return smallest(df, n, keys)
+
+
+def smallest(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
+    """The first n rows by `keys`, without n rows of every partition meeting in one task.
+
+    The first key is a number. Its value at about the n-th place is estimated with a margin;
+    only the rows up to it are ordered, unless they turn out to be fewer than n.
+    """
+    total = df.count()
+    if total > 4 * n + ESTIMATED_FROM:
+        share = min(1.0, 2.0 * n / total + 0.01)
+        first = df.select(keys[0].alias("k")).agg(F.percentile_approx("k", share, 1000).alias("limit")).first().limit
+        near = df.where(keys[0].isNull() | (keys[0] <= F.lit(first)))
+        if first is not None and near.count() >= n:
+            df = near
+    return df.orderBy(*keys).limit(n)

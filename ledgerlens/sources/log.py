@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ def read_text_rows(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("header", True)
+        # Every part file's own header is held against the first one's.
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BROKEN)
         .csv(path)
@@ -55,8 +58,16 @@ def typed(text_rows: DataFrame) -> DataFrame:
     return text_rows.select(*columns)
 
 
+def _names(types: DataFrame, most: int = 200) -> str:
+    """The distinct types as a bounded text, which says how many it leaves out."""
+    first = types.select(F.substring("type", 1, 80).alias("type")).distinct().orderBy("type")
+    shown = [r.type for r in first.limit(most).collect()]
+    more = types.distinct().count() - len(shown)
+    return f"{shown}" + (f" and {more} more" if more > 0 else "")
+
+
 def read_log(
-    spark: SparkSession, path: str, nrows: int | None = None, order: tuple[str, ...] = ("step",)
+    spark: SparkSession, path: str, nrows: int | None = None, order: tuple[str, ...] | None = None
 ) -> DataFrame:
     """Reads and checks a CSV log; refuses one that breaks the schema.
 
@@ -72,7 +83,7 @@ def read_log(
             F.count_if(unknown_type()).alias("_unknown"),
         ]
         counted = dtype_counts(rows, extra).first().asDict()
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise LogReadError(f"failed to parse {path}: {error}") from error
     total, bad, unknown = (counted.pop(c) for c in ("_rows", "_bad", "_unknown"))
     if not total:
@@ -83,8 +94,7 @@ def read_log(
     if misfits:
         raise LogReadError(f"column types do not match: {misfits}")
     if unknown:
-        named = [r.type for r in unexpected_types(rows).limit(20).collect()]  # enough for a message
-        raise LogReadError(f"{unknown} rows have unexpected transaction types: {named}")
+        raise LogReadError(f"{unknown} rows have unexpected transaction types: {_names(unexpected_types(rows))}")
     table = typed(rows)
     log.info("read %s rows from %s", total, path)
     return table if nrows is None else head_sample(table, nrows, order)

@@ -79,3 +79,28 @@ def test_line_with_too_many_fields(spark, csv, dict_rows):
     with open(path, "a") as f:
         f.write("1,PAYMENT,1.0,C1,1.0,1.0,M1,1.0,1.0,0,0,99\n")
     refuse(spark, path, "broken")
+
+
+def test_part_files_with_another_header_are_refused(spark, csv, dict_rows, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    columns = list(TRANSACTION_SCHEMA.names)
+    csv(dict_rows[:30], columns, "parts/a.csv")
+    i, j = columns.index("amount"), columns.index("oldbalanceOrg")
+    columns[i], columns[j] = columns[j], columns[i]
+    csv(dict_rows[30:], columns, "parts/b.csv")
+    refuse(spark, str(folder), "parse|header")
+
+
+def test_part_files_with_one_header(spark, csv, dict_rows, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    csv(dict_rows[:30], name="parts/a.csv")
+    csv(dict_rows[30:], name="parts/b.csv")
+    assert read_log(spark, str(folder)).count() == 60
+
+
+def test_all_unknown_types_are_named(spark, csv, dict_rows):
+    for i in range(30):
+        dict_rows[i]["type"] = f"GIFT{i}"
+    refuse(spark, csv(dict_rows), "GIFT29")
