@@ -1,8 +1,8 @@
 """Running totals and exact quantiles over an ordered column, without one big task.
 
 A plain window without PARTITION BY pulls every row into one task. Here the ordered
-values are cut into even ranges, each range is summed, and the range sums (a few
-thousand rows) give every range its starting offset. The windows then run inside one
+values are cut into even ranges, each range is summed, and the range sums (4096
+rows per group at most) give every range its starting offset. The windows then run inside one
 range each. Nothing is approximated: only the places of the cuts are estimated, and
 any cut gives the same result.
 """
@@ -16,19 +16,13 @@ from pyspark.sql import functions as F
 
 
 _RADIX = 8
-# Spans per group in the first step of a quantile.
+# Ranges of an ordered column, and spans per group in the first step of a quantile. Fixed,
+# so the sketch that finds the cuts and the rows that carry the offsets stay as small as
+# they are on any cluster; a range is sorted by one task, which spills if it is large.
+RANGES = _RADIX**4
 _SPANS = _RADIX**3
 
 
-def range_count(df: DataFrame) -> int:
-    """Power of eight, at least twice the shuffle partitions of the session."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    count = _RADIX
-    while count < 2 * partitions:
-        count *= _RADIX
-    return count
-
-
 def _place(df: DataFrame, value: str, cuts: str, count: int, name: str) -> DataFrame:
     """Adds `name`: how many of the `count - 1` sorted cuts lie below the value.
 
@@ -52,7 +46,7 @@ def with_ranges(grouped: DataFrame, value: str, counts: Sequence[str]) -> DataFr
     The cuts read the counts too, so Spark sees the same aggregate here as in the
     caller's other branches and reuses its shuffle.
     """
-    n = range_count(grouped)
+    n = RANGES
     size = sum((F.col(c) for c in counts), F.lit(0))
     points = [i / n for i in range(1, n)]
     cuts = grouped.agg(
@@ -67,14 +61,12 @@ def running_totals(
     value: str,
     counts: Sequence[str],
     by: Sequence[str] = (),
-    few_groups: bool = True,
     following: bool = False,
 ) -> DataFrame:
     """Adds `<count>_before` and `<count>_total` per count, in ascending value order.
 
-    `grouped` has one row per (by, value), value not null. `few_groups` says that `by`
-    takes a fixed handful of values (columns, splits, models); the offsets are then at
-    most ranges x groups rows and are broadcast. Leave it off for open-ended keys.
+    `grouped` has one row per (by, value), value not null. The offsets are at most
+    `RANGES` rows per group and carry no join hint: their size decides how they are joined.
     `following` also adds `_next`, the next value of the group.
     """
     by = list(by)
@@ -82,7 +74,7 @@ def running_totals(
     sums = ranged.groupBy(*by, "_range").agg(
         *[F.sum(c).alias(c) for c in counts], F.min(value).alias("_first")
     )
-    # At most `range_count` rows per group reach this window.
+    # At most `RANGES` rows per group reach this window.
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -97,8 +89,6 @@ def running_totals(
     same = F.col("_range") == F.col("_of__range")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    if few_groups:
-        offsets = F.broadcast(offsets)
     joined = ranged.join(offsets, same).drop(*[f"_of_{c}" for c in [*by, "_range"]])
 
     inside = Window.partitionBy(*by, "_range").orderBy(value)
@@ -181,7 +171,7 @@ def row_numbers(df: DataFrame, order: str, by: Sequence[str] = ()) -> DataFrame:
     """
     counted = df.withColumn("_one", F.lit(1).cast("long"))
     return (
-        running_totals(counted, order, ["_one"], by, few_groups=not by)
+        running_totals(counted, order, ["_one"], by)
         .withColumnRenamed("_one_before", "_row")
         .drop("_one", "_one_total")
     )

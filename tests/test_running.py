@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.running import _place, exact_quantiles, range_count, row_numbers, running_totals
+from ledgerlens.operators.running import RANGES, _place, exact_quantiles, row_numbers, running_totals
 
 
 def brute(rows):
@@ -19,9 +19,8 @@ def brute(rows):
     return out  # a group may be nameless
 
 
-@pytest.mark.parametrize("few_groups", [True, False])
 @pytest.mark.parametrize("shape", ["uniform", "skewed", "tiny", "equal"])
-def test_running_totals_equal_brute_force(spark, shape, few_groups):
+def test_running_totals_equal_brute_force(spark, shape):
     rng = random.Random(shape)
     rows = {}
     for _ in range({"tiny": 3, "equal": 50}.get(shape, 800)):
@@ -29,17 +28,18 @@ def test_running_totals_equal_brute_force(spark, shape, few_groups):
         v = {"skewed": rng.expovariate(9), "equal": 1.5}.get(shape, rng.uniform(-5, 5))
         rows[g, v] = rng.randint(0, 1000 if shape == "skewed" else 3)
     df = spark.createDataFrame([(g, v, n) for (g, v), n in rows.items()], "g string, v double, n long")
-    got = running_totals(df, "v", ["n"], ["g"], few_groups=few_groups, following=True).collect()
+    got = running_totals(df, "v", ["n"], ["g"], following=True).collect()
     assert {(r.g, r.v): (r.n_before, r.n_total, r._next) for r in got} == brute(rows)
 
 
-def test_range_count_follows_the_shuffle_partitions(spark):
-    assert range_count(spark.range(1)) == 8
-    spark.conf.set("spark.sql.shuffle.partitions", "300")
+def test_cuts_do_not_follow_the_shuffle_partitions(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"), F.lit(1).cast("long").alias("n"))
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
     try:
-        assert range_count(spark.range(1)) == 4096
+        plan = running_totals(df, "v", ["n"])._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert f", {4 * RANGES}," in plan and RANGES == 4096
 
 
 @pytest.mark.parametrize("partitions", [4, 32, 256])
