@@ -14,18 +14,20 @@ from ledgerlens.schema import (
     FEATURE_NAMES,
     FEATURE_TTL_DAYS,
     FEATURE_VIEW_SCHEMA,
+    SOURCE_OFFSET,
     WRITTEN_AT,
 )
 
 
 def latest_per_key(rows: DataFrame, key: str = ENTITY_KEY) -> DataFrame:
-    """One row per key: the newest by event time, then by write time.
+    """One row per key: the newest by event time, then by write time, then the last sent.
 
-    An aggregate, so copies of a hot key shrink before the shuffle. Rows that tie on
-    both clocks are ordered by their values, which keeps replays deterministic.
+    `source_offset` is the place of a message in its source, so the last write wins and a
+    replay gives the same rows. An aggregate, so copies of a hot key shrink before the
+    shuffle. Only rows that tie on all of these are ordered by their values.
     """
     others = [c for c in rows.columns if c != key]
-    clocks = [c for c in (EVENT_TIME, WRITTEN_AT) if c in others]
+    clocks = [c for c in (EVENT_TIME, WRITTEN_AT, SOURCE_OFFSET) if c in others]
     newest = F.max(F.struct(*clocks, *[c for c in others if c not in clocks]))
     return rows.groupBy(key).agg(newest.alias("r")).select(*[key if c == key else f"r.{c}" for c in rows.columns])
 
@@ -34,10 +36,13 @@ def within_ttl(rows: DataFrame, as_of: Column, days: int = FEATURE_TTL_DAYS) ->
     return rows.where(F.col(EVENT_TIME) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
-def build_offline(raw: DataFrame) -> DataFrame:
-    """Feature view rows of a raw log; the result must match the declared view."""
-    view = feature_view(add_features(raw))
-    got = [(f.name, f.dataType) for f in view.schema.fields]
+def build_offline(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Feature view rows of a raw log; the result must match the declared view.
+
+    Columns in `keep` (the source offset) are carried along.
+    """
+    view = feature_view(add_features(raw), keep)
+    got = [(f.name, f.dataType) for f in view.schema.fields if f.name not in keep]
     want = [(f.name, f.dataType) for f in FEATURE_VIEW_SCHEMA.fields]
     if got != want:
         raise FeatureError(f"feature view is {got}, expected {want}")

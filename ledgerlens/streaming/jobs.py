@@ -11,7 +11,8 @@ from ledgerlens.functions.features import entity_id, finite
 from ledgerlens.functions.wire import parse_wire
 from ledgerlens.operators import monitoring
 from ledgerlens.operators.prepare import add_features, feature_view
-from ledgerlens.schema import ENTITY_KEY, NUMERIC_COLUMNS
+from ledgerlens.schema import ENTITY_KEY, NUMERIC_COLUMNS, SOURCE_OFFSET
+from ledgerlens.streaming import online
 
 OK, SKIPPED = "OK", "SKIPPED"
 
@@ -38,7 +39,10 @@ def status_rows(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     `invalid` is a message that does not parse, `processing` one whose features fail.
     """
-    done = with_features(parse_wire(messages))
+    return _status(with_features(parse_wire(messages)), keep)
+
+
+def _status(done: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     kind = F.when(F.col("error").startswith("processing"), "processing").when(
         F.col("error").isNotNull(), "invalid"
     )
@@ -51,6 +55,32 @@ def status_rows(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def worker(online_path: str, status_path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: features of the good messages into the online table, and
+    one status per message, from one parse. A batch that fails is retried as a whole; both
+    writes replace what an earlier try left.
+
+    `messages` have `value` and, where the source has one, `source_offset`.
+    """
+
+    def write(messages: DataFrame, batch: int) -> None:
+        run = online.run_of(messages.sparkSession)
+        done = with_features(parse_wire(online.with_offset(messages, batch))).persist()
+        try:
+            good = feature_view(done.where(F.col("error").isNull()), (SOURCE_OFFSET,))
+            online.write_batch(good, online_path, run, batch)
+            told = _status(done, (SOURCE_OFFSET,))
+            told.write.mode("overwrite").parquet(f"{status_path}/run={run}/batch={batch}")
+        finally:
+            done.unpersist()
+
+    return write
+
+
+def read_status(spark: SparkSession, status_path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").parquet(status_path)
+
+
 def first_valid(messages: DataFrame, n: int, order: tuple[str, ...]) -> DataFrame:
     """The first n messages that parse, by offset."""
     good = parse_wire(messages).where(F.col("error").isNull()).drop("error")
@@ -84,3 +114,13 @@ def live_windows(log: DataFrame, delay: str = "10 minutes", panel=monitoring.req
     """A panel over a growing log: a window is final once the watermark passes it."""
     timed = log.withColumn("logged_at", F.col("logged_at").cast("timestamp"))
     return panel(timed.withWatermark("logged_at", delay), **settings)
+
+
+def with_open_windows(closed: DataFrame, log: DataFrame, panel=monitoring.request_rate, **settings) -> DataFrame:
+    """What a bounded run emitted, and the windows that its watermark had not yet passed.
+
+    `log` is the run's input as a table; only its rows after the last closed window are read.
+    """
+    last = closed.agg(F.max("window_end").alias("_last"))
+    open_rows = log.crossJoin(F.broadcast(last)).where("_last IS NULL OR logged_at >= _last")  # one row
+    return closed.unionByName(panel(open_rows.drop("_last"), **settings))

@@ -1,76 +1,198 @@
 """The online feature table: newest row per key, written by streams.
 
+    batches/run=<query>/batch=<n>   newest rows of one micro-batch
+    base-<id>/bucket=<b>            all earlier rows folded into one per key, by key bucket
+    versions/v=<n>                  which base holds, and which batches it has folded in
+
 A micro-batch adds only its own newest rows, in a folder named after the query and the
-batch, so its cost does not grow with the table and a retried batch replaces itself.
-Reading takes the newest row per key over all folders. Compaction rewrites them as one.
+batch, so its cost does not grow with the table and a retried batch replaces itself. A
+reader takes the last complete version: its base, and every batch that is not folded in.
+`compact` writes a new base beside the old one, then the version that points to it; folders
+that the version before last needed go then, so a stream and readers of the previous
+version may run meanwhile. One compaction runs at a time; two would write one version
+number, and the second is refused.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.errors import FeatureError
 from ledgerlens.operators.store import latest_per_key, within_ttl
-from ledgerlens.schema import EVENT_TIME, FEATURE_VIEW_SCHEMA, WRITTEN_AT
+from ledgerlens.schema import ENTITY_KEY, EVENT_TIME, FEATURE_VIEW_SCHEMA, SOURCE_OFFSET, WRITTEN_AT
 
 ONLINE_SCHEMA = T.StructType(
-    [*FEATURE_VIEW_SCHEMA.fields, T.StructField(WRITTEN_AT, T.TimestampNTZType())]
+    [
+        *FEATURE_VIEW_SCHEMA.fields,
+        T.StructField(WRITTEN_AT, T.TimestampNTZType()),
+        T.StructField(SOURCE_OFFSET, T.LongType()),
+    ]
 )
+BUCKETS = 64
+_BUCKET = "bucket"
+_BASE_SCHEMA = T.StructType([*ONLINE_SCHEMA.fields, T.StructField(_BUCKET, T.IntegerType())])
 _QUERY_ID = "sql.streaming.queryId"
+_VERSION_SCHEMA = "kind string, path string"
+
 
+def with_offset(rows: DataFrame, batch: int) -> DataFrame:
+    """Adds the place of a row in its source where the source gives none: batch, then row."""
+    if SOURCE_OFFSET in rows.columns:
+        return rows
+    return rows.withColumn(SOURCE_OFFSET, F.lit(batch).cast("long") * (1 << 45) + F.monotonically_increasing_id())
 
-def stamped(rows: DataFrame) -> DataFrame:
-    """Adds the write time; a stream's rows carry their own event time there, so that
-    a replay writes the same table."""
-    return rows if WRITTEN_AT in rows.columns else rows.withColumn(WRITTEN_AT, F.col(EVENT_TIME))
+
+def stamped(rows: DataFrame, batch: int = 0) -> DataFrame:
+    """Adds the write time and the offset; a stream's rows carry their own event time as
+    write time, so that a replay writes the same table."""
+    timed = rows if WRITTEN_AT in rows.columns else rows.withColumn(WRITTEN_AT, F.col(EVENT_TIME))
+    return with_offset(timed, batch)
 
 
 def write_batch(rows: DataFrame, path: str, run: str, batch: int) -> None:
     """Newest row per key of one batch; writing the same batch again replaces it."""
-    newest = latest_per_key(stamped(rows).select(*ONLINE_SCHEMA.names))
-    newest.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
+    newest = latest_per_key(stamped(rows, batch).select(*ONLINE_SCHEMA.names))
+    newest.write.mode("overwrite").parquet(f"{path}/batches/run={run}/batch={batch}")
+
+
+def run_of(spark: SparkSession) -> str:
+    """The running stream's id, the same after a restart from its checkpoint."""
+    return spark.sparkContext.getLocalProperty(_QUERY_ID) or "batch"
 
 
 def upsert_into(path: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that upserts feature rows into the table at `path`."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        run = rows.sparkSession.sparkContext.getLocalProperty(_QUERY_ID) or "batch"
-        write_batch(rows, path, run, batch)
+        write_batch(rows, path, run_of(rows.sparkSession), batch)
 
     return write
 
 
+# ---- versions
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    base: str | None
+    folded: frozenset[str]
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def current_version(spark: SparkSession, path: str, back: int = 0) -> Version:
+    """The last complete version, or the one `back` before it."""
+    numbers = [int(v.removeprefix("v=")) for v in _folders(spark, f"{path}/versions")]
+    done = [n for n in sorted(numbers) if _complete(spark, f"{path}/versions/v={n}")]
+    if len(done) <= back:
+        return Version(0, None, frozenset())
+    number = done[-1 - back]
+    rows = spark.read.schema(_VERSION_SCHEMA).json(f"{path}/versions/v={number}").collect()
+    base = next((r.path for r in rows if r.kind == "base"), None)
+    return Version(number, base, frozenset(r.path for r in rows if r.kind == "folded"))
+
+
+def _batches(spark: SparkSession, path: str) -> list[str]:
+    """All complete batches, as run=<query>/batch=<n>."""
+    runs = _folders(spark, f"{path}/batches")
+    found = [f"{r}/{b}" for r in runs for b in _folders(spark, f"{path}/batches/{r}")]
+    return [b for b in found if _complete(spark, f"{path}/batches/{b}")]
+
+
+# ---- reading
+
+
+def _read(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    version = current_version(spark, path)
+    fresh = [f"{path}/batches/{b}" for b in _batches(spark, path) if b not in version.folded]
+    if version.base is None and not fresh:
+        raise FeatureError(f"no online features at {path}")
+    rows = spark.createDataFrame([], ONLINE_SCHEMA) if not fresh else spark.read.schema(ONLINE_SCHEMA).parquet(*fresh)
+    if key is not None:
+        rows = rows.where(F.col(ENTITY_KEY) == key)
+    if version.base is not None:
+        base = spark.read.schema(_BASE_SCHEMA).parquet(f"{path}/{version.base}")
+        if key is not None:
+            # A constant, so only one bucket's folder is listed and read.
+            base = base.where((F.col(_BUCKET) == _bucket(F.lit(key))) & (F.col(ENTITY_KEY) == key))
+        rows = rows.unionByName(base.drop(_BUCKET))
+    return rows
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
-    """All written rows, superseded ones included."""
-    try:
-        return spark.read.schema(ONLINE_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as error:
-        raise FeatureError(f"no online features at {path}") from error
+    """All rows that the current version holds, superseded ones included."""
+    return _read(spark, path)
 
 
 def read_online(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
     """One row per key; with `as_of`, rows past their time to live are left out."""
-    newest = latest_per_key(read_rows(spark, path))
+    newest = latest_per_key(_read(spark, path))
     return newest if as_of is None else within_ttl(newest, as_of)
 
 
-def compact(spark: SparkSession, path: str) -> None:
-    """Rewrites all folders as one. Run it while no stream is writing.
+def read_key(spark: SparkSession, path: str, key: str, as_of: Column | None = None) -> DataFrame:
+    """The row of one key: its bucket of the base, and a pushed filter on the fresh batches."""
+    newest = latest_per_key(_read(spark, path, key))
+    return newest if as_of is None else within_ttl(newest, as_of)
+
+
+# ---- compaction
+
+
+def compact(spark: SparkSession, path: str, as_of: Column | None = None) -> int:
+    """Folds all complete batches into a new base; the number of the version made.
 
-    The merged folder is complete before the old ones go; a crash in between leaves
-    copies, which reading ignores.
+    With `as_of`, rows past their time to live are dropped for good.
     """
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    old = [status.getPath() for status in fs.listStatus(fs_path) if status.isDirectory()]
-    merged = read_online(spark, path)
-    merged.write.mode("overwrite").parquet(f"{path}/run=merged-{uuid.uuid4().hex}/batch=0")
-    for folder in old:
-        fs.delete(folder, True)
+    before = current_version(spark, path)
+    fresh = [b for b in _batches(spark, path) if b not in before.folded]
+    rows = read_online(spark, path, as_of)
+    base = f"base-{uuid.uuid4().hex}"
+    by_bucket = rows.withColumn(_BUCKET, _bucket(F.col(ENTITY_KEY)))
+    by_bucket.repartition(BUCKETS, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/{base}")
+    # Only of folders that are still there, so the list does not grow with the table's age.
+    here = [b for b in _batches(spark, path) if b in before.folded or b in fresh]
+    folded = [("base", base), *(("folded", b) for b in here)]
+    number = before.number + 1
+    # Fails if the version is there, so two compactions cannot both win.
+    spark.createDataFrame(folded, _VERSION_SCHEMA).coalesce(1).write.mode("error").json(f"{path}/versions/v={number}")
+    _forget(spark, path, before)
+    return number
+
+
+def _forget(spark: SparkSession, path: str, previous: Version) -> None:
+    """Deletes what neither the current nor the previous version reads."""
+    current = current_version(spark, path)
+    for folder in _folders(spark, path):
+        if folder.startswith("base-") and folder not in (current.base, previous.base):
+            _delete(spark, f"{path}/{folder}")
+    for batch in previous.folded:
+        _delete(spark, f"{path}/batches/{batch}")

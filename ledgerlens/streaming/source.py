@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.functions.wire import wire_json
-from ledgerlens.sources.events import EVENTS_SCHEMA, as_transactions, messages
+from ledgerlens.schema import SOURCE_OFFSET
+from ledgerlens.sources.events import EVENTS_SCHEMA, as_transactions, corrected, messages
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -17,7 +18,13 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str
         .option("startingOffsets", "earliest")
         .options(**options)
         .load()
-        .selectExpr("CAST(value AS STRING) AS value", "partition", "offset", "timestamp")
+        .selectExpr(
+            "CAST(value AS STRING) AS value",
+            "partition",
+            "timestamp",
+            # A key is always in one partition, so its offsets order its messages.
+            f"offset AS {SOURCE_OFFSET}",
+        )
     )
 
 
@@ -34,6 +41,11 @@ def event_transactions(spark: SparkSession, sf_dir: str, files_per_batch: int =
     return as_transactions(events)
 
 
+def corrected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Well-formed messages with their offsets; some keys are sent again with other values."""
+    return corrected(event_transactions(spark, sf_dir)).select(SOURCE_OFFSET, wire_json().alias("value"))
+
+
 def event_messages(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """The same as wire messages: good and malformed, or every row well formed."""
     rows = event_transactions(spark, sf_dir)
