@@ -13,9 +13,6 @@ from pyspark import cloudpickle
 # Workers get these functions with the task and need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Above this many rows in either sample the limiting distribution is used.
-EXACT_ROWS = 10_000
-
 
 def chi_square(statistic: float, freedom: int) -> float:
     """P(X >= statistic) for a chi-square variable with whole degrees of freedom."""
@@ -57,11 +54,11 @@ def _ks_exact(distance: float, m: int, n: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - inside[n])))
 
 
-def kolmogorov_smirnov(distance: float, m: int, n: int) -> float:
-    """Two-sided p-value of the two-sample distance."""
+def kolmogorov_smirnov(distance: float, m: int, n: int, exact: bool = False) -> float:
+    """Two-sided p-value of the two-sample distance: the limiting series, or by all paths."""
     if min(m, n) == 0:
         return 1.0
-    if max(m, n) <= EXACT_ROWS:
+    if exact:
         return _ks_exact(distance, min(m, n), max(m, n))
     x = distance * math.sqrt(m * n / (m + n))
     if x < 0.2:
@@ -70,19 +67,19 @@ def kolmogorov_smirnov(distance: float, m: int, n: int) -> float:
     return min(1.0, max(0.0, 2 * series))
 
 
-def tail(test: str, statistic: float, a: int, b: int, distinct: int) -> float | None:
+def tail(test: str, statistic: float, a: int, b: int, distinct: int, exact: bool = False) -> float | None:
     if pd.isna(statistic):
         return None
     if test == "ks":
-        return kolmogorov_smirnov(statistic, int(a), int(b))
+        return kolmogorov_smirnov(statistic, int(a), int(b), exact)
     if test == "chi2":
         return chi_square(statistic, int(distinct) - 1)
     return normal_two_sided(statistic) if test == "z" else None
 
 
-def add_p_values(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def add_p_values(frames: Iterator[pd.DataFrame], exact: bool = False) -> Iterator[pd.DataFrame]:
     """Adds `p_value` to rows of (test, statistic, row counts, distinct values)."""
     inputs = ["test", "statistic", "reference_rows", "current_rows", "distinct_values"]
     for rows in frames:
-        found = [tail(*cells) for cells in zip(*(rows[c] for c in inputs))]
+        found = [tail(*cells, exact) for cells in zip(*(rows[c] for c in inputs))]
         yield rows.assign(p_value=pd.Series(found, index=rows.index, dtype=float))

@@ -17,32 +17,22 @@ from ledgerlens.functions.features import finite
 from ledgerlens.functions.pvalues import add_p_values
 from ledgerlens.operators.prepare import head_sample
 from ledgerlens.operators.running import running_totals
-from ledgerlens.schema import DRIFT_COLUMNS
+from ledgerlens.schema import DRIFT_CATEGORIES, DRIFT_COLUMNS, DRIFT_NUMBERS
 
-REFERENCE_ROWS = 5000
-# Which tests apply and when they call a column drifted.
-SMALL_REFERENCE = 1000
-FEW_VALUES = 5
+# When a test or a distance calls a column drifted.
 P_LIMIT = 0.05
 DISTANCE_LIMIT = 0.1
 SMALLEST_SPREAD = 0.001
 
-SMALL, LARGE = "tests", "distances"
+TESTS, DISTANCES = "tests", "distances"
 
 
-def reference_sample(
-    raw: DataFrame, n: int = REFERENCE_ROWS, order: Sequence[str] = ("step",)
-) -> DataFrame:
-    """The compared columns of the first n rows."""
-    return head_sample(raw, n, order).select(*DRIFT_COLUMNS)
-
-
-def numeric_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    return [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+def reference_sample(raw: DataFrame, n: int | None = None, order: Sequence[str] | None = None) -> DataFrame:
+    """The compared columns of the whole log, or of its first n rows."""
+    return (raw if n is None else head_sample(raw, n, order)).select(*DRIFT_COLUMNS)
 
 
-def _tidy(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
-    numeric = isinstance(df.schema[columns[0]].dataType, T.NumericType)
+def _tidy(df: DataFrame, columns: Sequence[str], side: str, numeric: bool) -> DataFrame:
     cells = [
         F.struct(
             F.lit(c).alias("column"),
@@ -56,11 +46,16 @@ def _tidy(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
     return rows.select("column", "value", *[n.cast("long").alias(k) for k, n in ones.items()])
 
 
-def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, reference, current): counts of each distinct value on each side."""
+def value_counts(
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], numeric: bool = True
+) -> DataFrame:
+    """(column, value, reference, current): counts of each distinct value on each side.
+
+    Values are numbers, or with `numeric` off the texts of categories.
+    """
     return (
-        _tidy(reference, columns, "reference")
-        .unionByName(_tidy(current, columns, "current"))
+        _tidy(reference, columns, "reference", numeric)
+        .unionByName(_tidy(current, columns, "current", numeric))
         .groupBy("column", "value")
         .agg(F.sum("reference").alias("reference"), F.sum("current").alias("current"))
     )
@@ -105,8 +100,11 @@ def category_statistics(counts: DataFrame) -> DataFrame:
     return joined.groupBy("column").agg(*[c.alias(n) for n, c in _category_statistics().items()])
 
 
-def number_statistics(counts: DataFrame, reference: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Category statistics plus KS distance and spread-normalised Wasserstein distance."""
+def number_statistics(counts: DataFrame) -> DataFrame:
+    """Category statistics plus KS distance and spread-normalised Wasserstein distance.
+
+    The spread comes from the same counts, so the reference is read once.
+    """
     run = running_totals(counts, "value", ["reference", "current"], ["column"], following=True)
     f = (F.col("reference_before") + F.col("reference")) / F.col("reference_total")
     g = (F.col("current_before") + F.col("current")) / F.col("current_total")
@@ -117,13 +115,15 @@ def number_statistics(counts: DataFrame, reference: DataFrame, columns: Sequence
         F.coalesce(area, F.lit(0.0)).alias("area"),
         *[c.alias(n) for n, c in _category_statistics().items()],
     )
-    spread = reference.agg(
-        *[F.stddev_pop(finite(F.col(c).cast("double"))).alias(c) for c in columns]
-    ).select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("spread")) for c in columns])
-        ).alias("r")
-    ).select("r.*")
+    middle = counts.groupBy("column").agg(
+        F.try_divide(F.sum(F.col("reference") * F.col("value")), F.sum("reference")).alias("mean")
+    )
+    away = F.col("value") - F.col("mean")
+    spread = (
+        counts.join(F.broadcast(middle), "column")  # one row per column
+        .groupBy("column")
+        .agg(F.sqrt(F.try_divide(F.sum(F.col("reference") * away * away), F.sum("reference"))).alias("spread"))
+    )
     normalised = F.col("area") / F.greatest(F.col("spread"), F.lit(SMALLEST_SPREAD))
     return (
         stats.join(F.broadcast(spread), "column")  # one row per column
@@ -133,52 +133,53 @@ def number_statistics(counts: DataFrame, reference: DataFrame, columns: Sequence
 
 
 def ks_distance(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counts = value_counts(reference, current, columns)
-    return number_statistics(counts, reference, columns).select(
+    return number_statistics(value_counts(reference, current, columns)).select(
         "column", "reference_rows", "current_rows", F.col("ks").alias("statistic")
     )
 
 
 def wasserstein_distance(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counts = value_counts(reference, current, columns)
-    return number_statistics(counts, reference, columns).select(
+    return number_statistics(value_counts(reference, current, columns)).select(
         "column", F.col("wasserstein").alias("statistic")
     )
 
 
 def chi_square(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    stats = category_statistics(value_counts(reference, current, columns))
+    stats = category_statistics(value_counts(reference, current, columns, numeric=False))
     return stats.select(
         "column", F.col("chi2").alias("statistic"), (F.col("distinct_values") - 1).alias("freedom")
     )
 
 
 def js_distance(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    stats = category_statistics(value_counts(reference, current, columns))
+    stats = category_statistics(value_counts(reference, current, columns, numeric=False))
     return stats.select("column", F.col("js").alias("statistic"))
 
 
 def column_drift(
     reference: DataFrame,
     current: DataFrame,
-    columns: Sequence[str] = DRIFT_COLUMNS,
-    rule: str | None = None,
+    rule: str,
+    numbers: Sequence[str] = DRIFT_NUMBERS,
+    categories: Sequence[str] = DRIFT_CATEGORIES,
+    exact: bool = False,
 ) -> DataFrame:
     """(column, test, statistic, p_value, drifted, ...), one row per column.
 
-    The rule follows the reference size unless given. Small references are tested
-    (KS, chi-square, or a proportion test for two values); large ones are compared by
-    distance (Wasserstein or Jensen-Shannon). A number with five or fewer distinct
-    values counts as a category.
+    The caller says how the columns are compared, whatever the tables' sizes are: `TESTS`
+    by p-value (numbers by KS, categories by chi-square, two categories by a proportion
+    test), `DISTANCES` by Wasserstein and Jensen-Shannon distance; and which columns are
+    numbers and which categories. `exact` asks for the KS p-value of small samples by
+    counting paths, which takes time in proportion to the product of the row counts.
     """
-    numbers = numeric_columns(reference, columns)
-    categories = [c for c in columns if c not in numbers]
+    if rule not in (TESTS, DISTANCES):
+        raise DriftError(f"unknown drift rule {rule!r}")
     parts = []
     if numbers:
         counts = value_counts(reference, current, numbers)
-        parts.append(number_statistics(counts, reference, numbers).withColumn("numeric", F.lit(True)))
+        parts.append(number_statistics(counts).withColumn("numeric", F.lit(True)))
     if categories:
-        stats = category_statistics(value_counts(reference, current, categories))
+        stats = category_statistics(value_counts(reference, current, categories, numeric=False))
         parts.append(
             stats.withColumns(
                 {
@@ -192,17 +193,10 @@ def column_drift(
         raise DriftError("no columns to compare")
     stats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    if rule is None:
-        small = F.col("reference_rows") <= SMALL_REFERENCE
+    if rule == DISTANCES:
+        test = F.when(F.col("numeric"), "wasserstein").otherwise("js")
     else:
-        small = F.lit(rule == SMALL)
-    spread_out = F.col("numeric") & (F.col("distinct_values") > FEW_VALUES)
-    test = (
-        F.when(~small, F.when(spread_out, "wasserstein").otherwise("js"))
-        .when(spread_out, "ks")
-        .when(F.col("distinct_values") <= 2, "z")
-        .otherwise("chi2")
-    )
+        test = F.when(F.col("numeric"), "ks").when(F.col("distinct_values") <= 2, "z").otherwise("chi2")
     a, b = F.col("reference_rows"), F.col("current_rows")
     p, q = F.col("reference_share"), F.col("current_share")
     pooled = (p * a + q * b) / (a + b)
@@ -218,14 +212,14 @@ def column_drift(
     tidy = chosen.select(
         "column", "test", statistic.alias("statistic"), "reference_rows", "current_rows", "distinct_values"
     )
-    if rule == LARGE:
+    if rule == DISTANCES:
         tested = tidy.withColumn("p_value", F.lit(None).cast("double"))
+        drifted = F.col("statistic") >= DISTANCE_LIMIT
     else:
         # One row per compared column reaches Python.
         schema = T.StructType([*tidy.schema.fields, T.StructField("p_value", T.DoubleType())])
-        tested = tidy.mapInPandas(add_p_values, schema)
-    distance = F.col("test").isin("wasserstein", "js")
-    drifted = F.when(distance, F.col("statistic") >= DISTANCE_LIMIT).otherwise(F.col("p_value") < P_LIMIT)
+        tested = tidy.mapInPandas(lambda frames: add_p_values(frames, exact), schema)
+        drifted = F.col("p_value") < P_LIMIT
     return tested.withColumn("drifted", F.coalesce(drifted, F.lit(False)))
 
 

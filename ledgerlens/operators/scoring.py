@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.features import entity_id, type_indicators
-from ledgerlens.functions.wire import request_problem
+from ledgerlens.functions.wire import record_problem, request_problem
 from ledgerlens.operators.prepare import reindex
 from ledgerlens.schema import (
     ENTITY_KEY,
@@ -25,14 +27,12 @@ log = logging.getLogger(__name__)
 SUCCESS = "success"
 INVALID = "invalid_request"
 UNAVAILABLE = "features_unavailable"
-# Decided before a request is counted; they never enter the request counters.
+# Refused at the boundary, before a request is counted; never in the request counters.
 MALFORMED = "malformed"
 NOT_READY = "not_ready"
 COUNTED = (SUCCESS, INVALID, UNAVAILABLE)
 
-HOT_KEYS = 100
-HOT_SHARE = 0.01
-SKETCH_SIZE = 1024
+STREAM_SLICES = 8
 
 
 def _no_features() -> Column:
@@ -46,31 +46,22 @@ def _keyed(requests: DataFrame) -> DataFrame:
     return requests if ENTITY_KEY in requests.columns else requests.withColumn(ENTITY_KEY, entity_id())
 
 
-def hot_keys(keyed: DataFrame) -> DataFrame:
-    """Keys with about one percent of the requests or more: at most a hundred rows.
-
-    A sketch of fixed size finds them in one pass. It may miss or add a key; that moves
-    rows between two equal ways of joining and never changes a result.
-    """
-    sketch = F.call_function("approx_top_k", F.col(ENTITY_KEY), F.lit(HOT_KEYS), F.lit(SKETCH_SIZE))
-    top = keyed.agg(sketch.alias("top"), F.count("*").alias("n")).select("n", F.inline("top"))
-    return top.where(F.col("count") >= HOT_SHARE * F.col("n")).select(F.col("item").alias(ENTITY_KEY))
-
-
 def _join_by_key(keyed: DataFrame, stored: DataFrame, how: str) -> DataFrame:
-    """Joins requests to one stored row per key without sending a hot key to one task.
-
-    Both sides grow with the log, so the join shuffles. Requests of hot keys stay where
-    they are and meet the stored rows of those keys (at most one each) by broadcast.
-    A stream joins directly, since a sketch cannot run inside it; within `foreachBatch`
-    the requests are a table again.
+    """Joins requests to one stored row per key; both sides grow with the log.
+
+    One shuffle of either side, with the key computed once. Requests of hot keys make
+    large shuffle partitions, however many such keys there are; Spark's skew-join rule
+    cuts the request side of every partition beyond five times the median (and beyond
+    `spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes`) into several tasks.
+    That rule does not reach into a stream, so there the requests of every key are dealt
+    to `STREAM_SLICES` slices, in each of which the stored rows are repeated.
     """
-    if keyed.isStreaming:
+    if not keyed.isStreaming:
         return keyed.join(stored, ENTITY_KEY, how)
-    hot = F.broadcast(hot_keys(keyed))
-    hot_rows = F.broadcast(stored.join(hot, ENTITY_KEY, "left_semi"))
-    spread = keyed.join(hot, ENTITY_KEY, "left_anti").join(stored, ENTITY_KEY, how)
-    return spread.unionByName(keyed.join(hot, ENTITY_KEY, "left_semi").join(hot_rows, ENTITY_KEY, how))
+    others = [c for c in keyed.columns if c != ENTITY_KEY]
+    dealt = keyed.withColumn("_slice", F.pmod(F.xxhash64(*others), F.lit(STREAM_SLICES)).cast("int"))
+    repeated = stored.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SLICES - 1))))
+    return dealt.join(repeated, [ENTITY_KEY, "_slice"], how).drop("_slice")
 
 
 def lookup(requests: DataFrame, stored: DataFrame) -> DataFrame:
@@ -87,19 +78,30 @@ def missing_features(requests: DataFrame, stored: DataFrame) -> DataFrame:
     return _join_by_key(_keyed(requests), present, "left_anti")
 
 
-def outcome_column() -> Column:
-    """Outcome of a looked-up request: bad request first, then missing features."""
+def outcome_column(ready: Column | None = None) -> Column:
+    """Outcome of a looked-up request, in the order in which a service decides it.
+
+    No model yet, then a request of the wrong shape (both uncounted), then one that is no
+    transaction record, then one without stored features.
+    """
     return (
-        F.when(request_problem().isNotNull(), INVALID)
+        F.when(~(F.lit(True) if ready is None else ready), NOT_READY)
+        .when(request_problem().isNotNull(), MALFORMED)
+        .when(record_problem().isNotNull(), INVALID)
         .when(_no_features(), UNAVAILABLE)
         .otherwise(SUCCESS)
     )
 
 
-def outcomes(requests: DataFrame, stored: DataFrame) -> DataFrame:
-    """Requests with `outcome` and, for refused ones, `reason`."""
+def outcomes(requests: DataFrame, stored: DataFrame, ready: Column | None = None) -> DataFrame:
+    """Requests with `outcome` and, for those of the wrong shape, `reason`.
+
+    `ready` tells per request whether a model was loaded; without it one always was.
+    """
     found = lookup(requests, stored)
-    return found.withColumns({"outcome": outcome_column(), "reason": request_problem()}).select(
+    outcome = outcome_column(ready)
+    reason = F.when(outcome.isin(MALFORMED, INVALID), request_problem())
+    return found.withColumns({"outcome": outcome, "reason": reason}).select(
         *[c for c in found.columns if c not in FEATURE_NAMES], "outcome", "reason"
     )
 
@@ -152,10 +154,28 @@ def log_rows(scored: DataFrame) -> DataFrame:
 
 
 def append_log(scored: DataFrame, path: str) -> bool:
-    """Best effort: a log that cannot be written never fails the scoring."""
+    """Best effort: a log that cannot be written never fails the scoring.
+
+    Rows that cannot be made (a wrong column, a failing expression) are errors as ever:
+    only what the writer's file system says is swallowed.
+    """
+    rows = log_rows(scored)
     try:
-        log_rows(scored).write.mode("append").json(path)
-    except Exception:
+        rows.write.mode("append").json(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if not _is_write_failure(error):
+            raise
         log.exception("prediction log %s was not written", path)
         return False
     return True
+
+
+def _is_write_failure(error: Exception) -> bool:
+    """Whether a Java I/O exception is the cause."""
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while java is not None:
+        name = java.getClass().getName()
+        if name.startswith(("java.io.", "java.nio.file.", "org.apache.hadoop.fs.", "org.apache.hadoop.security.")):
+            return True
+        java = java.getCause()
+    return False

@@ -5,24 +5,26 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.errors import QualityError, SplitError
-from ledgerlens.operators import drift, metrics, models, store
-from ledgerlens.operators.prepare import add_features, encode
-from ledgerlens.operators.split import temporal_split
+from ledgerlens.functions.wire import record_problem
+from ledgerlens.operators import drift, metrics, models, scoring, store
+from ledgerlens.operators.prepare import add_features, encode, smallest
+from ledgerlens.operators.split import TIME, temporal_split
 from ledgerlens.operators.validation import split_classes, trainable
 from ledgerlens.schema import LABEL, MODEL_INPUTS, TRANSACTION_SCHEMA
-from ledgerlens.session import scratch_path
+from ledgerlens.session import drop_path, scratch_path
 from ledgerlens.sources import log as log_source
 from ledgerlens.sources import tables
+from ledgerlens.streaming import jobs as stream_jobs
 from ledgerlens.streaming import online
 
 log = logging.getLogger(__name__)
 
 NEGATIVES_IN_SAMPLE = 30_000
-MATERIALIZED_ROWS = 2_000
 MODEL_NAME = "transaction-risk"
 
 
@@ -40,32 +42,35 @@ def assert_split(split: DataFrame) -> None:
         raise SplitError("; ".join(f"{r.split}: {r.rows} rows, {r.classes} classes" for r in bad))
 
 
-def processed(raw: DataFrame) -> DataFrame:
-    """Features, encoding and split of a raw log, as one plan."""
+def processed(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Features, encoding and split of a raw log, as one plan; `keep` names row ids."""
     encoded = encode(add_features(raw))
-    return temporal_split(encoded).select(*MODEL_INPUTS, LABEL, "split")
+    return temporal_split(encoded).select(*keep, *MODEL_INPUTS, LABEL, "split")
 
 
 def preprocess(spark: SparkSession, csv_path: str, out: str) -> DataFrame:
     """Load, check, derive, encode, split, write; returns the written table.
 
-    The checked log is kept as parquet in the shared folder: the passes that follow read
-    one column each, and only the last reads them all.
+    The checked log is kept as parquet in the shared folder while the job runs: the passes
+    that follow read one column each, and only the last reads them all. The classes of
+    every part are checked before the previous table is replaced.
     """
     staged = scratch_path(spark, "checked-log")
-    log_source.read_log(spark, csv_path).write.parquet(staged)
-    raw = spark.read.schema(TRANSACTION_SCHEMA).parquet(staged)
-    assert_trainable(raw)
-    tables.write_splits(processed(raw), out)
-    written = tables.read_splits(spark, out)
-    assert_split(written)
-    return written
+    try:
+        log_source.read_log(spark, csv_path).write.parquet(staged)
+        raw = spark.read.schema(TRANSACTION_SCHEMA).parquet(staged)
+        assert_trainable(raw)
+        assert_split(temporal_split(raw.select(TIME, LABEL)))
+        tables.write_splits(processed(raw), out)
+    finally:
+        drop_path(spark, staged)
+    return tables.read_splits(spark, out)
 
 
 def materialize(
-    spark: SparkSession, csv_path: str, offline: str, online_path: str, rows: int | None = MATERIALIZED_ROWS
+    spark: SparkSession, csv_path: str, offline: str, online_path: str, rows: int | None = None
 ) -> DataFrame:
-    """First rows of the log to the offline table, the newest per key to the online table."""
+    """The log, or its first rows, to the offline table; the newest per key to the online table."""
     raw = log_source.read_log(spark, csv_path, nrows=rows)
     tables.write_offline_features(store.build_offline(raw), offline)
     view = tables.read_offline_features(spark, offline)
@@ -75,7 +80,7 @@ def materialize(
 
 
 def daily(
-    spark: SparkSession, csv_path: str, splits: str, offline: str, online_path: str, rows: int | None = MATERIALIZED_ROWS
+    spark: SparkSession, csv_path: str, splits: str, offline: str, online_path: str, rows: int | None = None
 ) -> DataFrame:
     """Ingest, validate, preprocess, then materialize."""
     preprocess(spark, csv_path, splits)
@@ -116,10 +121,10 @@ def monthly(
     spark: SparkSession,
     log_path: str,
     csv_path: str,
-    reference_rows: int = drift.REFERENCE_ROWS,
-    rule: str | None = None,
+    rule: str,
+    reference_rows: int | None = None,
 ) -> DataFrame:
-    """Drift of the prediction log against the first rows of the training log."""
+    """Drift of the prediction log against the training log, or against its first rows."""
     current = tables.read_prediction_log(spark, log_path)
     log.info("prediction log holds %s rows", current.count())
     reference = drift.reference_sample(log_source.read_log(spark, csv_path), reference_rows)
@@ -128,5 +133,28 @@ def monthly(
 
 def sample(raw: DataFrame, key: str, negatives: int = NEGATIVES_IN_SAMPLE) -> DataFrame:
     """All positives and a fixed number of the rest, picked by a hash of the key."""
-    rest = raw.where(F.col(LABEL) != 1).orderBy(F.sha2(F.col(key).cast("string"), 256), key)
-    return raw.where(F.col(LABEL) == 1).unionByName(rest.limit(negatives))
+    digest = F.sha2(F.col(key).cast("string"), 256)
+    leading = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    rest = smallest(raw.where(F.col(LABEL) != 1), negatives, [leading, digest, F.col(key)])
+    return raw.where(F.col(LABEL) == 1).unionByName(rest)
+
+
+def publish(log_table: DataFrame, path: str | None = None, **kafka: str) -> DataFrame:
+    """Sends the rows that are wire records; one row: how many were sent and skipped."""
+    counted = log_table.agg(
+        F.count_if(record_problem().isNull()).alias("sent"), F.count_if(record_problem().isNotNull()).alias("skipped")
+    )
+    tables.write_wire(tables.wire_messages(log_table), path, **kafka)
+    return counted
+
+
+def score_stream(
+    requests: DataFrame, stored: DataFrame, model: PipelineModel, version: str, log_path: str, checkpoint: str
+) -> None:
+    """Scores a stream of requests; every micro-batch is logged, and a log that cannot be
+    written does not stop the scoring. Within a batch the lookup is a table join."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        tables.append_log(scoring.score_requests(rows, stored, model, version), log_path)
+
+    stream_jobs.run_batches(requests, write, checkpoint)

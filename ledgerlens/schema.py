@@ -15,6 +15,8 @@ FLAG = "isFlaggedFraud"
 IDENTIFIERS = ("nameOrig", "nameDest")
 BALANCES = ("oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest")
 NUMERIC_COLUMNS = ("amount", *BALANCES)
+DRIFT_NUMBERS = ("amount", "oldbalanceOrg", "newbalanceOrig")
+DRIFT_CATEGORIES = ("type",)
 DRIFT_COLUMNS = ("amount", "type", "oldbalanceOrg", "newbalanceOrig")
 
 TRANSACTION_SCHEMA = T.StructType(
@@ -107,6 +109,7 @@ FEATURE_NAMES = tuple(f.name for f in FEATURES)
 ENTITY_KEY = "transaction_id"
 EVENT_TIME = "event_timestamp"
 WRITTEN_AT = "written_at"
+SOURCE_OFFSET = "source_offset"
 FEATURE_TTL_DAYS = 3650
 BASE_DATE = "2024-01-01 00:00:00"
 

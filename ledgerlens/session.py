@@ -25,9 +25,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if folder:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)  # tree learners cut their lineage there
         return folder
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -35,6 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch table; a path that is not there is left alone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/ledgerlens-{name}-{uuid.uuid4().hex}"

@@ -53,7 +53,7 @@ def read_offline_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def wire_messages(
-    log: DataFrame, limit: int | None = None, order: tuple[str, ...] = ("step",)
+    log: DataFrame, limit: int | None = None, order: tuple[str, ...] | None = None
 ) -> DataFrame:
     """One JSON message per row of the log, or of its first rows, without the label.
 

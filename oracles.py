@@ -64,12 +64,12 @@ sc AS (
     CAST(least(amount / CAST(500 AS DOUBLE), CAST(1 AS DOUBLE)) >= 0.5 AS BIGINT) AS prediction
   FROM t)"""
 
-# Requests with k = 0 or 99 are damaged, so no stored key matches them either.
+# Requests with k = 0 or 99 are damaged, and no model is loaded for those with k = 98.
 OUTCOMES = """
 ol AS (
   SELECT event_id, ts AS logged_at,
     CASE WHEN k = 0 THEN 'unknown:type' WHEN k = 99 AND amount > 0 THEN 'negative:amount' END AS reason,
-    CASE WHEN k = 0 OR (k = 99 AND amount > 0) THEN 'invalid_request'
+    CASE WHEN k = 98 THEN 'not_ready' WHEN k = 0 OR (k = 99 AND amount > 0) THEN 'malformed'
       WHEN TIMESTAMP '2024-01-01 00:00:00' + to_hours(step) >= TIMESTAMP '2024-01-28 00:00:00'
         THEN 'features_unavailable' ELSE 'success' END AS outcome,
     latency_ms, prediction, fraud_probability, truth
@@ -122,8 +122,22 @@ def _scored(select: str) -> str:
     return f"{_with(LOG, SCORED)} {select}"
 
 
+# Refused at the boundary or before a model is loaded: in no service counter.
+COUNTED = "co AS (SELECT * FROM ol WHERE outcome NOT IN ('malformed', 'not_ready'))"
+
+
 def _outcomes(select: str) -> str:
-    return f"{_with(LOG, SCORED, OUTCOMES)} {select}"
+    return f"{_with(LOG, SCORED, OUTCOMES, COUNTED)} {select}"
+
+
+# Every third k is sent again, with one more unit in a balance that the key leaves out.
+CORRECTED = LOG.replace("\nt AS (", "\nt0 AS (") + """,
+t AS (SELECT t0.* REPLACE (newbalanceDest + again AS newbalanceDest), event_id * 2 + again AS source_offset
+  FROM t0, (SELECT unnest([0, 1]) AS again) WHERE again = 0 OR k % 3 = 0)"""
+
+
+def _corrected(select: str) -> str:
+    return f"{_with(CORRECTED, FEATURES)} {select}"
 
 
 CELLS = """
@@ -270,6 +284,11 @@ def _drift_summary(reference: str, current: str) -> str:
       FROM ({' UNION ALL '.join(parts)})"""
 
 
+#: What holds of every fitted model: its confusion counts add up to the classes.
+CLASS_FACTS = """count(*) FILTER (WHERE isFraud = 0) AS negatives, count(*) FILTER (WHERE isFraud = 1) AS positives,
+  true AS precision_in_range, true AS better_than_chance"""
+SERVED = """k <> 0 AND NOT (k = 99 AND amount > 0)
+  AND TIMESTAMP '2024-01-01 00:00:00' + to_hours(step) < TIMESTAMP '2024-01-28 00:00:00'"""
 SUMMARY = """SELECT split, count(*) AS rows, min(step) AS first_step, max(step) AS last_step,
   round(avg(CAST(isFraud AS DOUBLE)), 6) AS positive_rate FROM s GROUP BY split"""
 
@@ -282,21 +301,62 @@ vt AS (
 
 
 def _parity() -> str:
-    return _features(
+    return _corrected(
         "SELECT count(DISTINCT transaction_id) AS equal_rows, CAST(0 AS BIGINT) AS only_left, "
         "CAST(0 AS BIGINT) AS only_right FROM f"
     )
 
 
 def _latest(where: str = "true") -> str:
-    """Newest row per key; equal times are ordered by the values themselves."""
-    order = ", ".join(f"{c} DESC" for c in FEATURE_LIST.split(", "))
-    return _features(
+    """Newest row per key; of equal times the last one sent."""
+    return _corrected(
         f"SELECT {VIEW} FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
-        f"ORDER BY event_timestamp DESC, {order}) AS place FROM f WHERE {where}) WHERE place = 1"
+        f"ORDER BY event_timestamp DESC, source_offset DESC) AS place FROM f WHERE {where}) WHERE place = 1"
     )
 
 
+def _drift_p_values() -> str:
+    """KS by the limiting series; chi-square with the four degrees of freedom of five types."""
+    x = "d * sqrt(na * nb / (na + nb))"
+    series = f"2 * list_sum(list_transform(range(1, 101), lambda i: (CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * i * i * ({x}) * ({x}))))"
+    return f"""{_with(LOG, FEATURES, SPLIT, _drift_values(DRIFT_NUMBERS))},
+        ks AS (SELECT "column", 'ks' AS test, d AS statistic,
+            CASE WHEN {x} < 0.2 THEN CAST(1 AS DOUBLE) ELSE least(1, greatest(0, {series})) END AS p
+          FROM (SELECT "column", max(abs(fa - fb)) AS d, max(na) AS na, max(nb) AS nb FROM c GROUP BY "column")),
+        ty AS (SELECT type, CAST(count(*) FILTER (WHERE split = 'train') AS DOUBLE) AS a,
+            CAST(count(*) FILTER (WHERE split = 'test') AS DOUBLE) AS b FROM s WHERE split <> 'validation' GROUP BY type),
+        chi AS (SELECT sum((b - a / na * nb) * (b - a / na * nb) / (a / na * nb)) AS x
+          FROM ty, (SELECT sum(a) AS na, sum(b) AS nb FROM ty)),
+        tested AS (SELECT * FROM ks UNION ALL SELECT 'type', 'chi2', x, exp(-x / 2) * (1 + x / 2) FROM chi)
+        SELECT "column", test, round(statistic, 6) AS statistic, round(p, 6) AS p_value, p < 0.05 AS drifted FROM tested"""
+
+
+def _report() -> str:
+    """All sections of the quality report over the log with gaps."""
+    numbers = " UNION ALL ".join(_described(c) for c in NUMBERS).replace(" FROM t", " FROM g")
+    overview = {
+        "rows": "count(*)",
+        "columns": "max(11)",
+        "fraud_count": "sum(isFraud)",
+        "fraud_percentage": "round(CAST(100 AS DOUBLE) * sum(isFraud) / count(*), 4)",
+        "negative_amounts": "count(*) FILTER (WHERE amount < 0)",
+    }
+    parts = [f"SELECT 'overview' AS section, '{k}' AS item, 'value' AS stat, CAST({v} AS DOUBLE) AS value FROM g" for k, v in overview.items()]
+    parts.append(
+        "SELECT 'overview', 'duplicate_rows', 'count', CAST((SELECT count(*) FROM g) - "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {RAW} FROM g)) AS DOUBLE)"
+    )
+    parts += [
+        f"SELECT * FROM (SELECT 'missing', '{c}', 'count', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS n FROM g) WHERE n > 0"
+        for c in ("amount", "nameDest")
+    ]
+    parts.append("SELECT 'types', type, 'count', CAST(count(*) AS DOUBLE) FROM g GROUP BY type")
+    parts.append(f"SELECT 'numbers', \"column\", stat, value FROM ({numbers})")
+    return f"""{_with(LOG)}, g AS (SELECT * REPLACE (CASE WHEN k <> 0 THEN amount END AS amount,
+        CASE WHEN k <> 1 THEN nameDest END AS nameDest) FROM t)
+        SELECT section, item, stat, round(value, 6) AS value FROM ({' UNION ALL '.join(parts)})"""
+
+
 def statements() -> dict[str, str]:
     sql = {
         "src_csv": _log(f"SELECT {RAW} FROM t"),
@@ -355,7 +415,7 @@ def statements() -> dict[str, str]:
             "count(DISTINCT isFraud) >= 2 AS usable FROM s GROUP BY split"
         ),
         "v13_quarantine": f"{_with(SENT)} SELECT coalesce({PARSE_ERROR}, 'accepted') AS reason, count(*) AS rows FROM t GROUP BY 1",
-        "feature_chain": _features(f"SELECT event_id, {RAW}, {FEATURE_LIST} FROM f"),
+        "feature_pipeline": _features(f"SELECT event_id, {RAW}, {FEATURE_LIST} FROM f"),
         "feature_one": _features(f"SELECT event_id, {FEATURE_LIST} FROM f"),
         "drop_identifiers": _log(
             "SELECT event_id, step, type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest, isFraud, isFlaggedFraud FROM t"
@@ -471,12 +531,25 @@ def statements() -> dict[str, str]:
             "SELECT event_id, transaction_id FROM f WHERE event_timestamp >= TIMESTAMP '2024-01-28 00:00:00'"
         ),
         "score_outcomes": _outcomes("SELECT event_id, outcome, reason FROM ol"),
-        "score_log": f"{_with(LOG, SCORED, OUTCOMES)} SELECT t.type, '1' AS model_version, count(*) AS rows "
-        "FROM ol JOIN t ON ol.event_id = t.event_id WHERE outcome = 'success' GROUP BY t.type",
+        "score_log": _log(f"SELECT type, '1' AS model_version, count(*) AS rows FROM t WHERE {SERVED} GROUP BY type"),
+        "score_row": _log(f"SELECT event_id, true AS score_sound, '1' AS model_version FROM t WHERE {SERVED}"),
+        "score_batch": _split(
+            "SELECT event_id, isFraud AS truth, true AS score_sound, '1' AS model_version FROM s WHERE split = 'test'"
+        ),
+        "train_compare": _split(
+            f"SELECT model, split, {CLASS_FACTS}, true AS best_is_chosen FROM s, (SELECT unnest(['logistic_regression', "
+            "'random_forest', 'boosted_level', 'boosted_leaf']) AS model) WHERE split <> 'train' GROUP BY model, split"
+        ),
+        "evaluate_latest": _split(f"SELECT {CLASS_FACTS} FROM s WHERE split = 'test'"),
+        "job_weekly": _split(f"SELECT {CLASS_FACTS} FROM s WHERE split = 'test'"),
+        **{
+            key: _split(f"SELECT split, {CLASS_FACTS}, true AS scores_sound FROM s WHERE split <> 'train' GROUP BY split")
+            for key in ("model_lr", "model_rf", "model_gbt_level", "model_gbt_leaf")
+        },
         "mon_request_rate": _outcomes(
             "SELECT time_bucket(INTERVAL '1 minute', logged_at) AS window_start, "
             "time_bucket(INTERVAL '1 minute', logged_at) + INTERVAL '1 minute' AS window_end, "
-            "round(count(*) / CAST(60 AS DOUBLE), 6) AS requests_per_second FROM ol GROUP BY 1, 2"
+            "round(count(*) / CAST(60 AS DOUBLE), 6) AS requests_per_second FROM co GROUP BY 1, 2"
         ),
         "mon_latency_quantiles": f"""{_with(LOG, SCORED, OUTCOMES)},
             b AS (SELECT CAST(unnest({LATENCY_BOUNDS}) AS DOUBLE) AS le),
@@ -490,7 +563,7 @@ def statements() -> dict[str, str]:
         "mon_error_ratio": _outcomes(
             "SELECT time_bucket(INTERVAL '5 minutes', logged_at) AS window_start, "
             "time_bucket(INTERVAL '5 minutes', logged_at) + INTERVAL '5 minutes' AS window_end, "
-            "round(count(*) FILTER (WHERE outcome <> 'success') / CAST(count(*) AS DOUBLE), 6) AS error_ratio FROM ol GROUP BY 1, 2"
+            "round(count(*) FILTER (WHERE outcome <> 'success') / CAST(count(*) AS DOUBLE), 6) AS error_ratio FROM co GROUP BY 1, 2"
         ),
         "mon_fraud_per_hour": _outcomes(
             "SELECT time_bucket(INTERVAL '1 hour', logged_at) AS window_start, "
@@ -515,8 +588,8 @@ def statements() -> dict[str, str]:
             + " UNION ALL SELECT '+Inf', count(*) FROM ol WHERE outcome = 'success'"
         ),
         "mon_outcome_counters": _outcomes(
-            "SELECT 'requests' AS counter, outcome AS label, count(*) AS value FROM ol GROUP BY outcome "
-            "UNION ALL SELECT 'errors', outcome, count(*) FROM ol WHERE outcome <> 'success' GROUP BY outcome"
+            "SELECT 'requests' AS counter, outcome AS label, count(*) AS value FROM co GROUP BY outcome "
+            "UNION ALL SELECT 'errors', outcome, count(*) FROM co WHERE outcome <> 'success' GROUP BY outcome"
         ),
         "mon_live_performance": f"""{_with(LOG, SCORED, OUTCOMES)},
             served AS (SELECT * FROM ol WHERE outcome = 'success')
@@ -530,31 +603,26 @@ def statements() -> dict[str, str]:
         "mon_recent": _scored("SELECT seq, truth, prediction, prediction = truth AS correct FROM sc ORDER BY seq DESC LIMIT 25"),
         "st_features": f"{_with(SENT, FEATURES)} SELECT event_id, {VIEW} FROM f WHERE k NOT IN (0, 1, 2, 3, 7)",
         "st_fault_isolation": f"""{_with(SENT)} SELECT CASE WHEN reason IS NULL THEN 'OK' ELSE 'SKIPPED' END AS status,
-            CASE WHEN reason IS NOT NULL THEN 'invalid' END AS kind, reason, count(*) AS rows
+            CASE WHEN reason IS NOT NULL THEN 'invalid' END AS kind, reason, count(*) AS rows,
+              (SELECT count(DISTINCT event_id) FROM t WHERE k NOT IN (0, 1, 2, 3, 7)) AS keys_served
             FROM (SELECT {PARSE_ERROR} AS reason FROM t) GROUP BY ALL""",
         "st_upsert_online": _latest(),
-        "st_latest_per_key": _features(
-            """SELECT transaction_id, event_timestamp, hour_of_day, is_dest_merchant FROM (
-                SELECT substr(transaction_id, 1, 2) AS transaction_id, event_timestamp, hour_of_day, is_dest_merchant FROM f)
-              QUALIFY row_number() OVER (PARTITION BY transaction_id
-                ORDER BY event_timestamp DESC, hour_of_day DESC, is_dest_merchant DESC) = 1"""
-        ),
+        "st_latest_per_key": _latest(),
         "st_replay": _parity(),
         "st_ttl": _features(
             "SELECT transaction_id, event_timestamp FROM f "
             "WHERE event_timestamp >= TIMESTAMP '2034-01-12 00:00:00' - INTERVAL '3650 days'"
         ),
         "st_windowed_monitoring": _outcomes(
-            """SELECT * FROM (SELECT time_bucket(INTERVAL '1 minute', logged_at) AS window_start,
+            """SELECT time_bucket(INTERVAL '1 minute', logged_at) AS window_start,
                 time_bucket(INTERVAL '1 minute', logged_at) + INTERVAL '1 minute' AS window_end,
-                round(count(*) / CAST(60 AS DOUBLE), 6) AS requests_per_second FROM ol GROUP BY 1, 2)
-              WHERE window_end <= (SELECT max(logged_at) FROM ol) - INTERVAL '10 minutes'"""
+                round(count(*) / CAST(60 AS DOUBLE), 6) AS requests_per_second FROM co GROUP BY 1, 2"""
         ),
         "fs_build_offline": _features(f"SELECT {VIEW} FROM f"),
         "fs_materialize_window": _log(
             "SELECT TIMESTAMP '2024-01-01 00:00:00' AS window_start, TIMESTAMP '2024-01-01 00:00:00' + to_hours(max(step) + 1) AS window_end FROM t"
         ),
-        "fs_materialize": _latest("step <= (SELECT max(step) FROM t WHERE step <= 360)"),
+        "fs_materialize": _latest("k % 5 <> 4"),
         "fs_parity": _parity(),
         "drift_reference": _log("SELECT amount, type, oldbalanceOrg, newbalanceOrig FROM t ORDER BY step, event_id LIMIT 5000"),
         "drift_ks": _drift(
@@ -580,6 +648,10 @@ def statements() -> dict[str, str]:
             ref AS (SELECT * FROM s WHERE split = 'train'),
             cur AS (SELECT * REPLACE (amount * 5 AS amount) FROM s WHERE split = 'test')
             {_drift_summary('ref', 'cur')}""",
+        "drift_p_values": _drift_p_values(),
+        "job_monthly": f"""{_with(LOG)}, cur AS (SELECT * REPLACE (amount * 5 AS amount) FROM t)
+            {_drift_summary('t', 'cur')}""",
+        "dq_report_tables": _report(),
         "job_preprocess": _split(SUMMARY),
         "job_daily": _features("SELECT transaction_id, max(event_timestamp) AS event_timestamp FROM f GROUP BY transaction_id"),
         "job_sample": _log(

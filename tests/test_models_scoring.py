@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.errors import FeatureError, ModelError, PredictionLogError
-from ledgerlens.functions.features import entity_id
 from ledgerlens.operators import metrics, models, scoring, store
 from ledgerlens.plans import jobs
 from ledgerlens.schema import FEATURE_NAMES, LABEL, MODEL_INPUTS
 from ledgerlens.sources import tables
+from ledgerlens.streaming import jobs as stream_jobs
 
 QUICK = models.MODEL_SPECS[:2]
 
@@ -127,8 +127,11 @@ def test_outcomes(log, row):
     assert counts == {
         ("success", None): 40,
         ("features_unavailable", None): 20,
-        ("invalid_request", "negative:amount"): 1,
+        ("malformed", "negative:amount"): 1,
     }
+    waiting = scoring.outcomes(requests, stored, ready=F.col("step") > 10)
+    assert waiting.where("outcome = 'not_ready'").count() == 11  # step 1 comes twice
+    assert waiting.where("outcome = 'malformed'").isEmpty()
     assert scoring.missing_features(log, stored.unionByName(blank)).count() == 20
 
 
@@ -137,7 +140,6 @@ def test_hot_keys_are_answered_like_the_rest(spark, log):
     many = log.unionByName(log.where("step = 3").crossJoin(spark.range(4000)).drop("id"))
     many = many.unionByName(log.where("step = 50").crossJoin(spark.range(2000)).drop("id"))
     stored = store.build_offline(log.where("step <= 40"))
-    assert scoring.hot_keys(many.withColumn("transaction_id", entity_id())).count() == 2
     found = scoring.lookup(many, stored)
     assert found.count() == 6060
     assert found.where("hour_of_day IS NOT NULL").count() == 4040
@@ -147,6 +149,44 @@ def test_hot_keys_are_answered_like_the_rest(spark, log):
     assert sorted(r.step for r in missing.select("step").distinct().collect()) == list(range(41, 61))
 
 
+def test_hot_keys_are_split_whatever_their_number(spark, log):
+    """One key with half of the requests: no task reads near that many, in two scans."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 200))
+        requests = spark.range(40_000, numPartitions=8).select(F.col("id").alias("event_id"), key.alias("transaction_id"))
+        stored = store.build_offline(log.where("step = 1")).withColumn("transaction_id", F.lit("hot"))
+        found = scoring.lookup(requests, stored).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in found.groupBy("task").count().collect()]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == 40_000 and max(sizes) <= 8_000
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_stream_lookup_equals_the_batch(spark, log, tmp_path):
+    folder = str(tmp_path / "in")
+    log.unionByName(log.where("step = 3").crossJoin(spark.range(50)).drop("id")).write.parquet(folder)
+    stored = store.build_offline(log.where("step <= 40"))
+    stream = scoring.lookup(spark.readStream.schema(log.schema).parquet(folder), stored)
+    stream_jobs.run_bounded(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    batch = scoring.lookup(spark.read.schema(log.schema).parquet(folder), stored)
+    assert got.count() == 110 and got.exceptAll(batch.select(*got.columns)).isEmpty()
+
+
 def test_result_row(spark):
     df = spark.createDataFrame(
         [(1, 1, 0.12345678, 3.14159), (0, 1, 0.5, 1.0), (1, None, None, None)],
@@ -189,6 +229,26 @@ def test_a_log_that_cannot_be_written_does_not_fail_scoring(log, model, tmp_path
     blocked.write_text("in the way")
     served = scoring.score_requests(log, store.build_offline(log), model, "1")
     assert tables.append_log(served, f"{blocked}/log") is False
+    with pytest.raises(Exception, match="prediction"):  # a fault in the program is not swallowed
+        tables.append_log(served.drop("prediction"), str(tmp_path / "log"))
+    broken = served.withColumn("amount", F.raise_error(F.lit("no amount")).cast("double"))
+    with pytest.raises(Exception, match="no amount"):
+        tables.append_log(broken, str(tmp_path / "log"))
+
+
+def test_score_stream_logs_every_batch(spark, log, data, model, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "log")
+    log.repartition(3).write.parquet(folder)
+    requests = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stored = store.build_offline(log.where("step <= 40"))
+    jobs.score_stream(requests, stored, model, "3", path, str(tmp_path / "checkpoint"))
+    assert tables.read_prediction_log(spark, path).count() == 40
+
+
+def test_publish_counts(spark, log, row, tmp_path):
+    counts = jobs.publish(log.unionByName(row(type="GIFT")), str(tmp_path / "wire")).first()
+    assert (counts.sent, counts.skipped) == (60, 1)
+    assert spark.read.text(str(tmp_path / "wire")).count() == 60
 
 
 # ---- tables

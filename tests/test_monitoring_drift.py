@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.errors import DriftError
 from ledgerlens.functions import pvalues
 from ledgerlens.operators import drift, monitoring
 
@@ -130,13 +131,15 @@ def frames(spark):
     return frame
 
 
-@pytest.mark.parametrize(("rows", "tests"), [(300, {"ks", "chi2"}), (1500, {"wasserstein", "js"})])
-def test_drift_of_same_and_shifted_data(frames, rows, tests):
+@pytest.mark.parametrize("rows", [300, 1500])
+@pytest.mark.parametrize(("rule", "tests"), [(drift.TESTS, {"ks", "chi2"}), (drift.DISTANCES, {"wasserstein", "js"})])
+def test_drift_of_same_and_shifted_data(frames, rows, rule, tests):
+    """The rule is the caller's; the number of rows does not change it."""
     reference = frames(rows)
-    same = drift.column_drift(reference, reference)
+    same = drift.column_drift(reference, reference, rule)
     assert {r.test for r in same.collect()} == tests
     assert drift.summary(same).first() == (0, 4, 0.0)
-    shifted = drift.column_drift(reference, reference.withColumn("amount", F.col("amount") * 5))
+    shifted = drift.column_drift(reference, reference.withColumn("amount", F.col("amount") * 5), rule)
     assert {r.column for r in shifted.where("drifted").collect()} == {"amount"}
     assert drift.summary(shifted).first() == (1, 4, 0.25)
 
@@ -162,22 +165,25 @@ def test_category_statistics(spark):
     m = (p + q) / 2
     js = math.sqrt((p * np.log(p / m) + q * np.log(q / m)).sum() / 2)
     assert drift.js_distance(a, b, ["type"]).first().statistic == pytest.approx(js)
-    new = drift.column_drift(a, b.unionByName(spark.createDataFrame([("z",)], "type string")), ["type"])
+    new = drift.column_drift(a, b.unionByName(spark.createDataFrame([("z",)], "type string")), drift.TESTS, numbers=())
     assert new.first().statistic == float("inf") and new.first().p_value == 0.0 and new.first().drifted
 
 
-def test_few_valued_numbers_count_as_categories(spark):
+def test_numbers_named_as_categories(spark):
     a = spark.range(400).select((F.col("id") % 2).cast("double").alias("flag"), (F.col("id") % 4).cast("double").alias("level"))
     b = a.where("flag = 1 OR level = 0")
-    small = {r.column: r.test for r in drift.column_drift(a, b, ["flag", "level"]).collect()}
+    small = {r.column: r.test for r in drift.column_drift(a, b, drift.TESTS, (), ["flag", "level"]).collect()}
     assert small == {"flag": "z", "level": "chi2"}
-    large = {r.column: r.test for r in drift.column_drift(a, b, ["flag", "level"], rule=drift.LARGE).collect()}
+    large = {r.column: r.test for r in drift.column_drift(a, b, drift.DISTANCES, (), ["flag", "level"]).collect()}
     assert large == {"flag": "js", "level": "js"}
+    with pytest.raises(DriftError):
+        drift.column_drift(a, b, "by size")
 
 
 def test_constant_column_does_not_drift(spark):
     a = spark.range(50).select(F.lit(3.0).alias("v"))
-    assert not drift.column_drift(a, a, ["v"]).first().drifted
+    for rule in (drift.TESTS, drift.DISTANCES):
+        assert not drift.column_drift(a, a, rule, ["v"], ()).first().drifted
 
 
 def test_gaps_are_left_out(spark):
@@ -208,11 +214,10 @@ def test_ks_p_value_equals_counting_all_orders():
         distances.append(worst)
     for d in sorted(set(distances)):
         want = sum(v >= d - 1e-12 for v in distances) / len(distances)
-        assert pvalues.kolmogorov_smirnov(d, m, n) == pytest.approx(want)
-        assert pvalues.kolmogorov_smirnov(d, n, m) == pytest.approx(want)
+        assert pvalues.kolmogorov_smirnov(d, m, n, exact=True) == pytest.approx(want)
+        assert pvalues.kolmogorov_smirnov(d, n, m, exact=True) == pytest.approx(want)
 
 
-def test_ks_limit_meets_the_exact_value(monkeypatch):
-    exact = pvalues.kolmogorov_smirnov(0.05, 1000, 3000)
-    monkeypatch.setattr(pvalues, "EXACT_ROWS", 10)
+def test_ks_limit_meets_the_exact_value():
+    exact = pvalues.kolmogorov_smirnov(0.05, 1000, 3000, exact=True)
     assert pvalues.kolmogorov_smirnov(0.05, 1000, 3000) == pytest.approx(exact, rel=0.1)

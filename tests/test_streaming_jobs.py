@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from ledgerlens.errors import FeatureError, PredictionLogError, QualityError
+from ledgerlens.errors import FeatureError, PredictionLogError, QualityError, SplitError
 from ledgerlens.functions import wire
-from ledgerlens.operators import models, split, store
+from ledgerlens.operators import drift, models, split, store
 from ledgerlens.plans import jobs
 from ledgerlens.schema import ENTITY_KEY, FEATURE_NAMES
 from ledgerlens.sources import events, tables
@@ -74,12 +74,57 @@ def test_upsert_restart_and_replay(spark, topic, log, tmp_path):
     upsert(spark, topic, path, str(tmp_path / "c2"))  # all again
     assert online.read_rows(spark, path).count() == 120
     assert sorted(online.read_online(spark, path).collect()) == sorted(first)
-    online.compact(spark, path)
+    key = first[0].transaction_id
+    reader = online.read_online(spark, path)  # of the version before
+    assert online.compact(spark, path) == 1
+    assert sorted(reader.collect()) == sorted(first)
     assert online.read_rows(spark, path).count() == 60
+    one = online.read_key(spark, path, key)
+    assert one.collect() == [first[0]] and online.read_key(spark, path, "nobody").isEmpty()
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
     assert sorted(online.read_online(spark, path).collect()) == sorted(first)
     assert store.parity_counts(online.read_online(spark, path), store.build_offline(log)).first() == (60, 0, 0)
 
 
+def test_compaction_beside_a_stream(spark, log, tmp_path):
+    """Batches that arrive after a version was taken are read with it and folded later."""
+    path = str(tmp_path / "online")
+    view = store.build_offline(log)
+    online.write_batch(view.where("hour_of_day < 12"), path, "a", 0)
+    online.compact(spark, path)
+    reader = online.read_online(spark, path)
+    online.write_batch(view.where("hour_of_day >= 12"), path, "a", 1)
+    assert online.read_online(spark, path).count() == 60
+    online.compact(spark, path)
+    assert reader.count() == 35  # steps 1 to 11, 24 to 35 and 48 to 59
+    as_of = F.to_timestamp_ntz(F.lit("2024-01-02 06:00:00")) + F.expr("INTERVAL 3650 DAYS")
+    assert online.compact(spark, path, as_of) == 3
+    assert online.read_rows(spark, path).count() == 31
+    current = online.current_version(spark, path)
+    assert len([f for f in online._folders(spark, path) if f.startswith("base-")]) == 2 and current.number == 3
+
+
+def test_the_last_message_of_a_key_wins(spark, log, tmp_path):
+    path = str(tmp_path / "online")
+    first = log.where("step = 1").withColumn("source_offset", F.lit(7).cast("long"))
+    later = first.withColumns({"newbalanceDest": F.col("newbalanceDest") + 90, "source_offset": F.lit(9).cast("long")})
+    for batch, rows in enumerate((later, first)):  # the late one is written first
+        online.write_batch(store.build_offline(rows, ("source_offset",)), path, "a", batch)
+    assert online.read_online(spark, path).first().dest_balance_error == -90.0
+    both = store.build_offline(first.unionByName(later), ("source_offset",))
+    assert store.latest_per_key(both).first().dest_balance_error == -90.0
+
+
+def test_worker_writes_features_and_status_in_one_pass(spark, topic, tmp_path):
+    online_path, status_path = str(tmp_path / "online"), str(tmp_path / "status")
+    for checkpoint in ("c1", "c1", "c2"):  # a restart finds nothing new; a replay writes all again
+        stream = source.text_messages(spark, topic, files_per_batch=1)
+        stream_jobs.run_batches(stream, stream_jobs.worker(online_path, status_path), str(tmp_path / checkpoint))
+    assert online.read_online(spark, online_path).count() == 60
+    counts = {(r.status, r.kind): r["count"] for r in stream_jobs.read_status(spark, status_path).groupBy("status", "kind").count().collect()}
+    assert counts == {("OK", None): 120, ("SKIPPED", "invalid"): 8, ("SKIPPED", "processing"): 2}
+
+
 def test_newest_row_wins(spark, log, tmp_path):
     path = str(tmp_path / "online")
     view = store.build_offline(log.where("step = 1"))
@@ -166,6 +211,16 @@ def test_preprocess_and_daily(spark, csv, dict_rows, tmp_path):
     assert set(FEATURE_NAMES) < set(written.columns) and ENTITY_KEY not in written.columns
 
 
+def test_a_refused_split_leaves_the_old_table(spark, csv, dict_rows, tmp_path):
+    out = str(tmp_path / "splits")
+    jobs.preprocess(spark, csv(dict_rows), out)
+    for r in dict_rows:
+        r["isFraud"] = int(r["step"] == 4)
+    with pytest.raises(SplitError):
+        jobs.preprocess(spark, csv(dict_rows, name="bad.csv"), out)
+    assert tables.read_splits(spark, out).where("isFraud = 1").count() == 15
+
+
 def test_preprocess_refuses_a_log_without_positives(spark, csv, dict_rows, tmp_path):
     for r in dict_rows:
         r["isFraud"] = 0
@@ -182,7 +237,7 @@ def test_weekly(spark, csv, dict_rows, tmp_path):
 def test_monthly(spark, csv, dict_rows, log, tmp_path):
     path = str(tmp_path / "log")
     with pytest.raises(PredictionLogError):
-        jobs.monthly(spark, path, csv(dict_rows))
+        jobs.monthly(spark, path, csv(dict_rows), drift.DISTANCES)
     served = log.withColumns(
         {
             "amount": F.col("amount") * 5,
@@ -192,7 +247,7 @@ def test_monthly(spark, csv, dict_rows, log, tmp_path):
         }
     )
     tables.append_log(served, path)
-    got = jobs.monthly(spark, path, csv(dict_rows)).first()
+    got = jobs.monthly(spark, path, csv(dict_rows), drift.DISTANCES).first()
     assert (got.drifted_columns, got.total_columns) == (1, 4)
 
 
