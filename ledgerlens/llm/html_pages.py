@@ -116,10 +116,15 @@ class Page:
     def article(self) -> None:
         d = self.draw
         tag = d.choice(["article", "article", "article", "main", "div", "section"])
-        self.html.append(f"<{tag}{'' if tag in ('article', 'main') and d.random() < 0.6 else self.named(ARTICLE)}>")
+        bare = d.random() < 0.1  # some pages have no container for the article
+        name = "" if tag in ("article", "main") and d.random() < 0.6 else self.named(ARTICLE)
+        self.html.append("" if bare else f"<{tag}{name}>")
         inner = d.random() < 0.3
         if d.random() < 0.8:
+            headed = not bare and d.random() < 0.2
+            self.html.append("<header>" * headed)
             self.block("h1", self.words(1, 10), 1)
+            self.html.append("</header>" * headed)
         self.html.append(f"<div{self.named(ARTICLE)}>" * inner)
         for _ in range(d.randint(1, 12)):
             kind = d.choices(["p", "h2", "ul", "blockquote", "pre", "bold", "table", "bare"], [60, 8, 6, 5, 3, 10, 3, 5])[0]
@@ -142,12 +147,12 @@ class Page:
             else:
                 text = self.words(1, 90) if kind != "h2" else self.words(1, 6)
                 self.block(kind, text + (f" {self.link()} {self.words(1, 9)}" if d.random() < 0.15 else ""), 1)
-            if d.random() < 0.1:
+            if d.random() < 0.3:
                 self.aside_of_article()
         self.html.append("</div>" * inner)
         if d.random() < 0.2:
             self.aside_of_article()
-        self.html.append(f"</{tag}>")
+        self.html.append("" if bare else f"</{tag}>")
 
     def build(self) -> tuple[str, list[int]]:
         d = self.draw

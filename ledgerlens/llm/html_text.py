@@ -257,7 +257,7 @@ def train(pages: list[tuple[str, list[int]]], rounds: int = 120, rate: float = 0
     return Field(index, *weights)
 
 
-def main_texts(pages: DataFrame, examples: int = 400) -> DataFrame:
+def main_texts(pages: DataFrame, examples: int = 800) -> DataFrame:
     """page_id, url, text, n_chars of every row, from its whole html (null: empty).
 
     The text is empty, not null, where a page has no main text. Other columns are ignored;

@@ -7,7 +7,7 @@ from odd_rows import small
 
 @pytest.fixture(scope="module")
 def field():
-    return ht.train(labelled_pages(400))
+    return ht.train(labelled_pages(800))
 
 
 def test_blocks():
