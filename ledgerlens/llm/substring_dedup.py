@@ -13,8 +13,8 @@ aggregate with map-side sums). Runs of windows with one anchor meet in one place
 of doc_id; there the earlier runs form the automaton and each run is streamed through it.
 Runs that were seen before are neither inserted nor streamed again.
 
-Anchors with more than 1/16384 of all runs are hot (there are at most 16384 of them). Their
-windows are counted by one aggregate per window, with map-side minima, and joined back;
+Anchors with more than 1/16384 of all runs, and more than 32768 runs, are hot (there are at
+most 16384 of them). Their windows are counted by one aggregate per window, with map-side minima, and joined back;
 that join is split by Spark where it is skewed. Results are exact on both ways.
 """
 
@@ -33,7 +33,9 @@ from ledgerlens.llm import common
 from ledgerlens.llm.common import ngram_hashes, split_words, stored, text_bytes
 
 ANCHOR = 6
-HOT_SHARE, HOT_LEAST = 1 << 14, 4096
+#: A group of so many runs is streamed through its automaton by one task in about a second
+#: and holds some hundred megabytes at worst; larger ones are hot if they pass the share.
+HOT_SHARE, HOT_LEAST = 1 << 14, 1 << 15
 
 
 class SuffixAutomaton:
