@@ -27,6 +27,7 @@ from ledgerlens.llm.common import KEEP, mix, split_words, text_bytes
 
 BUCKET_BITS = 17
 GRAMS = (3, 4, 5)
+WORDS_AT_ONCE = 1 << 15
 
 
 @dataclass
@@ -65,8 +66,12 @@ def subwords(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[n
 def bags(data: np.ndarray, offsets: np.ndarray) -> Bags:
     words = split_words(data, offsets, lower=True)
     _, one, word = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    rows, bag = subwords(words.data, words.start[one], words.length[one])
-    return Bags(word, words.first, rows, bag)
+    rows, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for some in np.array_split(one, len(one) // WORDS_AT_ONCE + 1):
+        part, first = subwords(words.data, words.start[some], words.length[some])
+        rows.append(part)
+        size.append(np.diff(first))
+    return Bags(word, words.first, np.concatenate(rows), np.concatenate([[0], np.cumsum(np.concatenate(size))]))
 
 
 @dataclass
