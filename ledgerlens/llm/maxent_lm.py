@@ -10,7 +10,7 @@ in the class. Every history's probabilities sum to one, unknown words included.
 Training covers every training token in every round: tasks sum the gradient of the log
 likelihood for their part, one aggregate of fixed size adds these up, and the driver moves
 the weights by the gradient over its curvature bound. Counts are gathered over the whole
-corpus. The 2^18 most frequent words are broadcast; counts of all others reach the
+corpus. At most 2^18 frequent words are broadcast; counts of all others reach the
 documents by a join, once per distinct text of a task. Scores need only log(c + 1) there,
 so nothing else is joined.
 """
@@ -33,6 +33,8 @@ END_CLASS, OTHER_CLASS = CLASSES - 1, CLASSES - 2
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 END_ENDING = 1 << 16
 FREQUENT = 1 << 18
+#: Bytes of text whose class scores mostly stay in cache; larger and smaller pieces took longer.
+IN_CACHE = 1 << 18
 HELD = 7
 
 
@@ -74,18 +76,26 @@ def features(t: Tokens, kind: np.ndarray) -> list[np.ndarray]:
     return [row(one), ROWS + row(one * K2 + two), 2 * ROWS + row(two), 3 * ROWS + near.astype(np.int64) * CLASSES + far]
 
 
-def class_logs(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """log P(class | history) of every token and class."""
-    z = weights[rows[0]] + bias
+def _class_scores(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Logits of every token and class, the largest of a token moved to 0."""
+    z = weights[rows[0]]
+    z += bias
     for r in rows[1:]:
         z += weights[r]
     z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+    return z
+
+
+def class_logs(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """log P(class | history) of every token and class."""
+    z = _class_scores(weights, bias, rows)
+    z -= np.log(np.exp(z).sum(1, keepdims=True))
+    return z
 
 
-def _pieces(column: pa.Array):
+def _pieces(column: pa.Array, limit: int = 1 << 20):
     data, offsets = text_bytes(column)
-    for low, high in common.pieces(offsets, 1 << 20):
+    for low, high in common.pieces(offsets, limit):
         yield low, high, tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
 
 
@@ -109,28 +119,49 @@ def _counts(batches, most: int = 1 << 20):
     yield out()
 
 
-def _gradient(batches, class_of: np.ndarray, weights, bias: np.ndarray):
-    """Per row of the weight table: observed and expected tokens of each class, of one task."""
-    size = KINDS * ROWS
-    seen, expected = np.zeros(size * CLASSES), np.zeros((size, CLASSES))
+def _observed(batches, class_of: np.ndarray):
+    """Per row of the weight table, a task's tokens of each class; the same in every round."""
+    seen = np.zeros(KINDS * ROWS * CLASSES)
     for batch in batches:
+        at = [np.zeros(0, np.int64)]
         for _, _, t in _pieces(batch.column(0)):
             kind = class_of[t.ending]
-            rows = features(t, kind)
-            p = None if weights is None else np.exp(class_logs(weights, bias, rows))
+            at += [r * CLASSES + kind for r in features(t, kind)]
+        seen += np.bincount(np.concatenate(at), minlength=len(seen))
+    yield from _table(seen.reshape(-1, CLASSES))
+
+
+def _expected(batches, class_of: np.ndarray, weights: np.ndarray, bias: np.ndarray):
+    """The same as the model expects them, summed over a task's histories."""
+    total = np.zeros((KINDS * ROWS, CLASSES))
+    for batch in batches:
+        for _, _, t in _pieces(batch.column(0), IN_CACHE):
+            rows = features(t, class_of[t.ending])
+            p = _class_scores(weights, bias, rows)
+            np.exp(p, out=p)
+            p /= p.sum(1, keepdims=True)
             for r in rows:
-                seen += np.bincount(r * CLASSES + kind, minlength=size * CLASSES)
-                if p is not None:
-                    order = np.argsort(r, kind="stable")
-                    own, begin = np.unique(r[order], return_index=True)
-                    expected[own] += np.add.reduceat(p[order], begin, axis=0)
-    seen = seen.reshape(size, CLASSES)
-    some = np.flatnonzero(seen.sum(1))
-    both = np.concatenate([seen[some], expected[some]], axis=1)
-    yield pa.record_batch([pa.array(some), *(pa.array(both[:, k]) for k in range(2 * CLASSES))], ["row", *GRADIENT])
+                order = np.argsort(r, kind="stable")
+                own, begin = np.unique(r[order], return_index=True)
+                total[own] += np.add.reduceat(p[order], begin, axis=0)
+    yield from _table(total)
 
 
-GRADIENT = [f"{x}{k}" for x in ("s", "e") for k in range(CLASSES)]
+def _table(sums: np.ndarray):
+    some = np.flatnonzero(sums.any(1))
+    yield pa.record_batch([pa.array(some), *(pa.array(sums[some, k]) for k in range(CLASSES))], ["row", *COLUMNS])
+
+
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The tasks' tables added up: at most KINDS * ROWS rows, whatever the corpus is."""
+    rows = parts.groupBy("row").agg(*(F.sum(x).alias(x) for x in COLUMNS)).toPandas()
+    out = np.zeros((KINDS * ROWS, CLASSES))
+    out[rows["row"].to_numpy()] = rows[COLUMNS].to_numpy()
+    return out
+
+
+COLUMNS = [f"c{k}" for k in range(CLASSES)]
+TABLE = "row long, " + ", ".join(f"{x} double" for x in COLUMNS)
 
 
 @dataclass
@@ -159,24 +190,42 @@ def fit(training: DataFrame, vocabulary: DataFrame, rounds: int = 3, prior: floa
     share = (tokens_in + 1) / (total + CLASSES)
     bias = np.log(share).astype(np.float32)
     weights = np.zeros((KINDS * ROWS, CLASSES), np.float32)
-    context = training.sparkSession.sparkContext
+    context, texts = training.sparkSession.sparkContext, training.select("text")
+    if total:
+        seen = _summed(texts.mapInArrow(lambda b: _observed(b, class_of), TABLE))
     for k in range(rounds if total else 0):
-        now = context.broadcast(weights if k else None)
-        parts = training.select("text").mapInArrow(
-            lambda b, now=now: _gradient(b, class_of, now.value, bias), "row long, " + ", ".join(f"{x} double" for x in GRADIENT)
-        )
-        summed = parts.groupBy("row").agg(*(F.sum(x).alias(x) for x in GRADIENT)).toPandas()
-        row, both = summed["row"].to_numpy(), summed[GRADIENT].to_numpy()
-        seen, expected = both[:, :CLASSES], both[:, CLASSES:]
-        if not k:
-            expected = seen.sum(1, keepdims=True) * share
-        weights[row] += ((seen - expected) / (np.maximum(seen, expected) + prior)).astype(np.float32) / (1 if k else 2)
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "n").toPandas()
+        if k:
+            now = context.broadcast(weights)
+            expected = _summed(texts.mapInArrow(lambda b, now=now: _expected(b, class_of, now.value, bias), TABLE))
+        else:
+            expected = seen.sum(1, keepdims=True) * share  # of weights that are all zero
+        step = (seen - expected) / (np.maximum(seen, expected) + prior)
+        weights = weights + step.astype(np.float32) / (1 if k else 2)
+    top = frequent_words(vocabulary).toPandas()
     words = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
     return Model(class_of, weights, bias, class_total, words[order], top["n"].to_numpy(np.int64)[order], total, int(endings["v"].sum()))
 
 
+def frequent_words(vocabulary: DataFrame) -> DataFrame:
+    """The words above a count, the lowest that at most `FREQUENT` words are above.
+
+    Counts fall into sixteen classes per doubling, so a thousand sums decide, and no task
+    gathers the top of every partition.
+    """
+    level = F.floor(F.log2("n") * 16)
+    sizes = vocabulary.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()
+    least, taken = None, 0
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        taken += row["words"]
+        if taken > FREQUENT:
+            break
+        least = row["level"]
+    if least is None:
+        return vocabulary.select("word", "n").limit(0)
+    return vocabulary.filter(level >= least).select("word", "n")
+
+
 def _frequent(model: Model, hashes: np.ndarray) -> np.ndarray:
     """Counts of the frequent words, -1 for others."""
     if not len(model.words):
@@ -196,7 +245,7 @@ def _documents(batches, shared):
     for batch in batches:
         held = common.held_out(batch.column(0), HELD)
         n, known, logs, gain, key = [], [], [], [], []
-        for _, _, t in _pieces(batch.column(1)):
+        for _, _, t in _pieces(batch.column(1), IN_CACHE):
             kind = model.class_of[t.ending]
             value = class_logs(model.weights, model.bias, features(t, kind))[np.arange(len(kind)), kind] - smooth[kind]
             count = _frequent(model, t.hash)
