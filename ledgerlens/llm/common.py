@@ -146,17 +146,18 @@ def ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
 class IdCache:
     """Ids of the words that a process has met, by hash; emptied when it is full."""
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 19):
         self.most = most
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.keys, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def look_up(self, hashes: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and how many each has.
 
-        `encode` gives the ids of new words as a list of arrays, for their places.
+        `encode` gives the ids of new words, by their places: all ids, and counts.
         """
         keys, one, word = np.unique(hashes, return_index=True, return_inverse=True)
         new = self._unknown(keys)
@@ -164,10 +165,10 @@ class IdCache:
             self.clear()
             new = np.arange(len(keys))
         if len(new):
-            self._add(keys[new], encode(one[new]))
+            self._add(keys[new], *encode(one[new]))
         at = np.searchsorted(self.keys, keys)[word]
-        count = self.first[at + 1] - self.first[at] if len(at) else np.zeros(0, np.int64)
-        return self.ids[ranges(self.first[at], count)], count
+        count = self.count[at].astype(np.int64)
+        return self.ids[ranges(self.begin[at], count)], count
 
     def _unknown(self, keys: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, keys)
@@ -176,15 +177,15 @@ class IdCache:
         known[inside] = self.keys[at[inside]] == keys[inside]
         return np.flatnonzero(~known)
 
-    def _add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
-        size = np.array([len(x) for x in ids], np.int64)
-        count = np.concatenate([np.diff(self.first), size])
-        begin = np.concatenate([self.first[:-1], len(self.ids) + np.cumsum(size) - size])
-        flat = np.concatenate([self.ids, *ids]).astype(np.uint32)
+    def _add(self, keys: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Ids stay in the order in which they came; only the keys are sorted."""
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
         keys = np.concatenate([self.keys, keys])
         order = np.argsort(keys)
-        self.keys, self.first = keys[order], np.concatenate([[0], np.cumsum(count[order])])
-        self.ids = flat[ranges(begin[order], count[order])]
+        self.keys = keys[order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.count = np.concatenate([self.count, size.astype(np.int32)])[order]
 
 
 def held_out(doc_id: pa.Array, modulus: int) -> np.ndarray:
@@ -193,8 +194,17 @@ def held_out(doc_id: pa.Array, modulus: int) -> np.ndarray:
 
 
 def sample_by_hash(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """A bounded sample that depends on the key alone."""
-    return df.orderBy(F.xxhash64(key), key).limit(rows)
+    """The `rows` rows of smallest key hash: a bounded sample that depends on the key alone.
+
+    The hashes are even, so only those below a bound that leaves about twice as many rows
+    are ordered, unless fewer than wanted are below it.
+    """
+    total = df.count()
+    bound = min((1 << 63) - 1, -(1 << 63) + (2 * rows + 1000) * (1 << 64) // max(total, 1))
+    near = df.filter(F.xxhash64(key) <= F.lit(bound))
+    if near.count() < min(rows, total):
+        near = df
+    return near.orderBy(F.xxhash64(key), key).limit(rows)
 
 
 # ---- fixed-size filters: they admit every key they were made of, and some others

@@ -131,7 +131,7 @@ class PieceEncoder:
     def __init__(self, table: PieceTable):
         self.table, self.cache = table, IdCache()
 
-    def _new(self, points: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    def _new(self, points: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         out: list = [None] * len(start)
         for size in np.unique(length):
             same = np.flatnonzero(length == size)
@@ -139,7 +139,7 @@ class PieceEncoder:
                 words = points[start[some][:, None] + np.arange(size)]
                 for i, ids in zip(some, viterbi(words, self.table), strict=True):
                     out[i] = ids
-        return out
+        return np.concatenate(out), np.array([len(ids) for ids in out], np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids begin."""

@@ -15,6 +15,7 @@ so one document is found by its index entry and read by decompressing its frame
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 
@@ -32,42 +33,89 @@ from ledgerlens.llm.common import split_words, text_bytes
 
 MAGIC, VERSION, HEADER = b"TIDS", 1, struct.Struct("<4sHHQQ")
 SEGMENT_BYTES = 1 << 20
+SENTENCE_MARK, ALNUM = (np.array([chr(b) in chars for b in range(256)]) for chars in (".,;:!?", string.ascii_letters + string.digits))
 SEGMENT_COLUMNS = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens long, segment binary"
 
 
 class WordEncoder:
-    """Encodes whole texts; every distinct word once, since no token spans ASCII space.
+    """Encodes whole texts; every distinct word once.
 
-    Words are encoded many to a text with a special token between them.
+    No token spans ASCII space, the tokenizer lower-cases, and it cuts before a run of
+    sentence marks that follows a letter or digit; so ASCII case is folded and such runs
+    count as words of their own. Words with a "<" may hold a special token, which depends
+    on case, and are left as they are. Words are encoded many to a text, with a special
+    token between them.
     """
 
     def __init__(self, definition: str, separator: str, separator_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
-        self.separator, self.separator_id = separator, separator_id
+        self.between = np.frombuffer(f" {separator} ".encode(), np.uint8)
+        self.separator_id = separator_id
         self.cache = common.IdCache()
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        encode = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
-        out: list[np.ndarray] = []
-        for low in range(0, len(words), 512):
-            some = words[low : low + 512]
-            ids = encode(f" {self.separator} ".join(some))
-            cuts = np.flatnonzero(ids == self.separator_id)
-            if len(cuts) == len(some) - 1:
-                parts = np.split(ids, cuts)
-                out += [parts[0], *(p[1:] for p in parts[1:])]
+    def _encode(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the given words, and how many each has."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for low in range(0, len(start), 512):
+            begin, size = start[low : low + 512], length[low : low + 512]
+            step = size + len(self.between)
+            joined = np.empty(step.sum(), np.uint8)
+            at = np.cumsum(step) - step
+            joined[common.ranges(at, size)] = data[common.ranges(begin, size)]
+            joined[((at + size)[:, None] + np.arange(len(self.between))).ravel()] = np.tile(self.between, len(size))
+            got = self._ids(joined.tobytes().decode())
+            cuts = np.flatnonzero(got == self.separator_id)
+            if len(cuts) == len(size):
+                ids.append(np.delete(got, cuts))
+                counts.append(np.diff(np.concatenate([[-1], cuts])) - 1)
             else:  # a word has the special token itself
-                out += [encode(w) for w in some]
-        return out
+                each = [self._ids(data[b : b + n].tobytes().decode()) for b, n in zip(begin, size, strict=True)]
+                ids += each
+                counts.append(np.array([len(x) for x in each], np.int64))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids begin."""
-        words = split_words(*text_bytes(texts))
-        ids, count = self.cache.look_up(
-            words.hashes(), lambda places: self._encode([words.text(i).decode() for i in places])
-        )
-        return ids, np.concatenate([[0], np.cumsum(count)])[words.first]
+        whole, offsets = text_bytes(texts)
+        ids, first = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for low, high in common.pieces(offsets):
+            words = split_words(whole[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            data, start, length, begin = _units(words)
+            part, count = self.cache.look_up(
+                common.hash_slices(data, start, length),
+                lambda at, d=data, s=start, n=length: self._encode(d, s[at], n[at]),
+            )
+            ids.append(part)
+            first.append(first[-1][-1] + np.concatenate([[0], np.cumsum(count)])[begin[1:]])
+        return np.concatenate(ids), np.concatenate(first)
+
+
+def _units(words: common.Words) -> tuple[np.ndarray, ...]:
+    """Words with ASCII case folded and their trailing sentence marks apart."""
+    data = common.LOWER[words.data]
+    marked = np.flatnonzero(words.data == ord("<"))
+    special = np.unique(np.searchsorted(words.start, marked, "right") - 1)
+    for i in special:
+        part = slice(words.start[i], words.start[i] + words.length[i])
+        data[part] = words.data[part]
+    tail = np.zeros(len(words.start), np.int64)
+    going = np.arange(len(tail))
+    while len(going):
+        last = words.start[going] + words.length[going] - 1 - tail[going]
+        going = going[(words.length[going] - tail[going] > 1) & SENTENCE_MARK[data[last]]]
+        tail[going] += 1
+    before = data[words.start + words.length - 1 - tail] if len(tail) else data[:0]
+    tail[~ALNUM[before]] = 0
+    has = np.flatnonzero(tail)
+    place = np.arange(len(tail)) + np.cumsum(tail > 0) - (tail > 0)
+    start, length = (np.empty(len(tail) + len(has), np.int64) for _ in range(2))
+    start[place], length[place] = words.start, words.length - tail
+    start[place[has] + 1], length[place[has] + 1] = (words.start + words.length - tail)[has], tail[has]
+    return data, start, length, words.first + np.concatenate([[0], np.cumsum(tail > 0)])[words.first]
 
 
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
@@ -149,7 +197,9 @@ def write_tokens(
                 [pa.array([ids[a:b].astype(f"<u{width}").tobytes()[: 1 << 16] for a, b in zip(first, first[1:])], pa.binary())], ["ids"]
             )
 
-    sample = common.sample_by_hash(base.filter("text is not null"), "doc_id", sample_docs).select("text")
+    # Ids first, so that no texts but those of the sample are moved.
+    taken = common.sample_by_hash(base.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", sample_docs)
+    sample = base.join(F.broadcast(taken), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")).select("text")
     dictionary = train_dictionary([bytes(r[0]) for r in sample.mapInArrow(raw, "ids binary").collect() if r[0]], dictionary_bytes)
     hashed = dictionary_hash(dictionary)
     shared = spark.sparkContext.broadcast(dictionary)
@@ -200,9 +250,11 @@ def write_tokens(
         if held:
             yield row()
 
+    # The texts are dealt out, not the frames: the job that samples ids for the ranges
+    # would run the encoder over everything first.
     ordered = (
-        base.mapInArrow(frames, "doc_id long, n_tokens long, frame binary")
-        .repartitionByRange("doc_id")
+        base.repartitionByRange("doc_id")
+        .mapInArrow(frames, "doc_id long, n_tokens long, frame binary")
         .sortWithinPartitions("doc_id", "frame")
     )
     ordered.mapInArrow(segments, SEGMENT_COLUMNS).write.parquet(f"{folder}/segments")

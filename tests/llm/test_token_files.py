@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -45,6 +46,16 @@ def test_odd_rows(spark, tmp_path):
     assert tf.token_ids(spark, str(tmp_path / "t"), 99) == []
 
 
+def test_words_by_the_library():
+    tokenizer = Tokenizer.from_file(FILE)
+    encoder = tf.WordEncoder(open(FILE).read(), "<|endoftext|>", tokenizer.token_to_id("<|endoftext|>"))
+    texts = ["Don't!! WON'T.", "<|ENDOFTEXT|>, <|endoftext|>. x<|endoftext|>.", "A\u030a. I\u0307! É, é.", "... . !a! 1.5, a.b.", "", None, "x.\u0301 (y.) z!?;:", "\u2003a\u00a0b.", "'s. 's!"]
+    for _ in range(2):
+        ids, first = encoder.encode(pa.array(texts))
+        for t, a, b in zip(texts, first, first[1:], strict=False):
+            assert ids[a:b].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, t
+
+
 def test_no_rows(spark, tmp_path):
     assert written(no_docs(spark), tmp_path / "t").count() == 0
 
