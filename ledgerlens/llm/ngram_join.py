@@ -13,12 +13,22 @@ A pair is looked for in the segments of the larger set's band; a set whose partn
 fall in the next band is indexed there too. Keys with several sets give candidates, linked
 as stars around the smallest set first, then exactly: every pair under a shared key whose
 sets are not yet in one component is verified. No candidate is dropped or capped.
+
+Before the exact check a pair is held against parity sketches: bit i tells whether an odd
+number of a set's tokens hash to i, so two sketches never differ in more bits than the sets
+in tokens, and a pair that differs in more than it may is no link. The pairs under a key
+are compared by their sketches inside a task; keys with many sets are cut into blocks, and
+each pair of blocks is a group of its own. Rounds put out only the nearest set of another
+component for each set, as many as there are sets, and verify these; when no round brings
+a new pair, all possible links that are left are put out and verified.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,6 +40,10 @@ from ledgerlens.llm import common
 from ledgerlens.llm.common import K1, mix, ngram_hashes, places, split_words, stored, text_bytes
 from ledgerlens.llm.graph import components
 
+BLOCK = 4096
+#: Groups of so few sets are compared many at a time, by lists of so many pairs.
+SMALL_GROUP, PAIRS_AT_ONCE = 64, 1 << 20
+BROADCAST_NODES = 500_000
 SET_LOW, SET_HIGH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -52,20 +66,69 @@ def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def set_keys(sets: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for a set, as two signed longs."""
-    both = np.array([mix(sets ^ SET_LOW).sum(), mix(sets ^ SET_HIGH).sum()], np.uint64)
-    return tuple(int(x) for x in mix(both ^ np.uint64(len(sets))).view(np.int64))
+def hashed(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each token: one deals it out, the other is summed."""
+    return mix(sets ^ SET_LOW), mix(sets ^ SET_HIGH)
+
+
+def set_key(value: np.ndarray) -> int:
+    """64 bits that stand for a set, from the summed hashes of its tokens."""
+    return int(mix(mix(value).sum(keepdims=True) ^ np.uint64(len(value))).view(np.int64)[0])
+
+
+def sketch(dealt: np.ndarray) -> bytes:
+    """Parities of the tokens per slot, in four or more bits per token."""
+    bits = max(9, (4 * len(dealt) - 1).bit_length())
+    return np.packbits(np.bincount((dealt >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1 > 0).tobytes()
+
+
+@dataclass
+class Sketches:
+    """Sketches of many sets in one buffer, read by row at any size they can be folded to."""
+
+    data: np.ndarray
+    offset: np.ndarray
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Sketches:
+        column = column.cast(pa.large_binary())
+        offset = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+        return cls(np.frombuffer(column.buffers()[2], np.uint8), offset)
+
+    def size(self) -> np.ndarray:
+        return np.diff(self.offset)
+
+    def rows(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Rows of words, folded to so many bytes."""
+        out = np.empty((len(at), length), np.uint8)
+        sizes = self.offset[at + 1] - self.offset[at]
+        for size in np.unique(sizes):
+            same = np.flatnonzero(sizes == size)
+            part = self.data[self.offset[at[same]][:, None] + np.arange(size)]
+            if size > length:
+                bits = np.unpackbits(part, axis=1).reshape(len(same), length * 8, -1)
+                part = np.packbits(bits.sum(2, dtype=np.uint8) & 1, axis=1)
+            out[same] = part
+        return out.view(np.uint64)
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the finer one folded to the other's size."""
+    short, long = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    if len(short) < len(long):
+        bits = np.unpackbits(long).reshape(len(short) * 8, -1)
+        long = np.packbits(bits.sum(1) & 1 > 0)
+    return int(np.bitwise_count(short ^ long).sum())
 
 
 def _sizes(batches, n: int):
     for batch in batches:
-        rows = [(len(s), *(set_keys(s) if len(s) else (None, None))) for s in shingle_sets(batch.column(1), n)]
-        size, low, high = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.record_batch(
-            [batch.column(0), pa.array(size, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())],
-            ["doc_id", "n_shingles", "node", "check"],
-        )
+        size, node = [], []
+        for s in shingle_sets(batch.column(1), n):
+            size.append(len(s))
+            node.append(set_key(hashed(s)[1]) if len(s) else None)
+        numbers = [pa.array(x, pa.int64()) for x in (size, node)]
+        yield pa.record_batch([batch.column(0), *numbers], ["doc_id", "n_shingles", "node"])
 
 
 # ---- bands and segments
@@ -105,32 +168,31 @@ def allocate(low: int, high: int, count: int, num: int, den: int) -> tuple[int,
     return best[1]
 
 
-def segment_keys(sets: np.ndarray, band: int, plan: tuple[int, int, int]) -> np.ndarray:
+def segment_keys(dealt: np.ndarray, value: np.ndarray, band: int, plan: tuple[int, int, int]) -> np.ndarray:
     """Keys of a set in the segments of a band: whole ones and one-deletion neighbours."""
     deletions, whole, spare = plan
     segments = deletions + whole
-    value = mix(sets ^ SET_HIGH)
-    at = ((mix(sets ^ SET_LOW) >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
+    at = ((dealt >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
     total = np.zeros(segments, np.uint64)
     np.add.at(total, at, value)
-    count = np.bincount(at, minlength=segments)
-    empty = np.flatnonzero(count[deletions:] == 0)[:spare] + deletions
-    kept = np.delete(np.arange(segments), empty)
+    kept = np.arange(segments)
+    if spare and len(empty := np.flatnonzero(np.bincount(at, minlength=segments)[deletions:] == 0)):
+        kept = np.delete(kept, empty[:spare] + deletions)
     salt = mix(np.arange(segments, dtype=np.uint64) + np.uint64(band << 32) + K1)
-    keys = [mix(total[kept] ^ salt[kept])]
-    if deletions:
-        inside = at < deletions
-        keys.append(mix((total[at[inside]] - value[inside]) ^ salt[at[inside]]))
-    return np.concatenate(keys)
+    keys = mix(total[kept] ^ salt[kept])
+    if not deletions:
+        return keys
+    inside = at < deletions
+    return np.concatenate([keys, mix((total[at[inside]] - value[inside]) ^ salt[at[inside]])])
 
 
-def index_keys(sets: np.ndarray, edges: list[tuple[int, int]], plans: list, num: int, den: int) -> np.ndarray:
-    size = len(sets)
-    band = next(k for k, (low, high) in enumerate(edges) if low <= size < high)
-    out = [segment_keys(sets, band, plans[band])]
+def index_keys(dealt: np.ndarray, value: np.ndarray, edges: list[tuple[int, int]], plans: list, num: int, den: int):
+    size = len(value)
+    band = bisect.bisect_right(edges, (size, math.inf)) - 1
+    own = segment_keys(dealt, value, band, plans[band])
     if band + 1 < len(edges) and size * den >= num * edges[band + 1][0]:
-        out.append(segment_keys(sets, band + 1, plans[band + 1]))
-    return np.concatenate(out)
+        return np.concatenate([own, segment_keys(dealt, value, band + 1, plans[band + 1])])
+    return own
 
 
 def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
@@ -139,10 +201,11 @@ def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
     for batch in batches:
         keys, nodes = [], []
         for s in shingle_sets(batch.column(0), n):
-            if not len(s) or (node := set_keys(s)[0]) in seen:
+            dealt, value = hashed(s)
+            if not len(s) or (node := set_key(value)) in seen:
                 continue
             seen.add(node)
-            mine = index_keys(s, edges, plans, num, den)
+            mine = index_keys(dealt, value, edges, plans, num, den)
             if wanted is not None:
                 mine = mine[common.admitted(mine, wanted.value)]
             keys.append(mine.view(np.int64))
@@ -152,18 +215,20 @@ def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
 
 
 def _blobs(batches, n: int, wanted):
-    """(node, set as bytes) of the sets that the filter admits, once per task."""
+    """(node, size, sketch, set as bytes) of the sets that the filter admits, once per task."""
     seen: set[int] = set()
     for batch in batches:
-        nodes, blobs = [], []
+        rows: list[tuple[int, int, bytes, bytes]] = []
         for s in shingle_sets(batch.column(0), n):
-            if not len(s) or (node := set_keys(s)[0]) in seen:
+            dealt, value = hashed(s)
+            if not len(s) or (node := set_key(value)) in seen:
                 continue
             seen.add(node)
             if common.admitted(np.array([node]), wanted.value)[0]:
-                nodes.append(node)
-                blobs.append(s.tobytes())
-        yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], ["node", "items"])
+                rows.append((node, len(s), sketch(dealt), s.tobytes()))
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "n", "sketch", "items"])
 
 
 # ---- verification
@@ -181,12 +246,150 @@ def _linked(batches, num: int, den: int):
         yield frame.loc[keep, ["a", "b"]]
 
 
+def _alike(batches, num: int, den: int):
+    for frame in batches:
+        keep = np.zeros(len(frame), bool)
+        for i, (m, n, x, y) in enumerate(zip(frame["m"], frame["n"], frame["x"], frame["y"], strict=True)):
+            keep[i] = (
+                min(m, n) * den >= num * max(m, n) and sketch_distance(x, y) * (den + num) <= (den - num) * (m + n)
+            )
+        yield frame.loc[keep, ["a", "b"]]
+
+
+def _with_both(pairs: DataFrame, items: DataFrame, x: str) -> DataFrame:
+    """Pairs (a, b) with what the two nodes have: columns m, x of a and n, y of b."""
+    left = items.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col(x).alias("x"))
+    right = items.select(F.col("node").alias("b"), "n", F.col(x).alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(
-        lambda batches: _linked(batches, num, den), "a long, b long"
+    """The pairs that are links: by sketches first, then by the sets of those that remain."""
+    near = _with_both(pairs, sets, "sketch").mapInPandas(lambda b: _alike(b, num, den), "a long, b long")
+    near = stored(near, "near")
+    ends = _ends(near)
+    if ends.count() <= BROADCAST_NODES:
+        ends = F.broadcast(ends)
+    own = sets.join(ends, "node", "left_semi")
+    return _with_both(near, own, "items").mapInPandas(lambda b: _linked(b, num, den), "a long, b long")
+
+
+GROUP = ("key", "low", "high", "block")
+
+
+def _possible(batches, num: int, den: int, nearest: bool):
+    """Rows sorted by `GROUP`: pairs of different roots under a key that may be links.
+
+    A group is two blocks of at most about `BLOCK` sets, or one with itself; it is held
+    until it is whole.
+    """
+    held = None
+    for batch in batches:
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        group = [batch.column(k).to_numpy() for k in range(3)]
+        last = np.flatnonzero(np.any([g != g[-1:] for g in group], axis=0))
+        cut = last[-1] + 1 if len(last) else 0
+        held = batch.slice(cut)
+        if cut:
+            yield _pairs(batch.slice(0, cut), num, den, nearest)
+    if held is not None and held.num_rows:
+        yield _pairs(held, num, den, nearest)
+
+
+def _pairs(batch: pa.RecordBatch, num: int, den: int, nearest: bool) -> pa.RecordBatch:
+    """Pairs of whole groups that may be links; with `nearest` one for each set that has any."""
+    key, low, high, block, node, root, size = (batch.column(k).to_numpy() for k in range(7))
+    sketches = Sketches.of(batch.column(7))
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+    begin = np.append(np.flatnonzero(new), len(key))
+    own = np.cumsum(new) - 1
+    lefts = np.bincount(own, block == low)
+    right = np.where(low[begin[:-1]] == high[begin[:-1]], -1, begin[:-1] + lefts.astype(np.int64))
+    found = [(np.zeros(0, np.int64),) * 3]
+    small = np.diff(begin)[own] <= SMALL_GROUP
+    at = np.flatnonzero(small)
+    first = np.where(right[own[at]] < 0, at + 1, np.where(block[at] == low[at], right[own[at]], begin[own[at] + 1]))
+    count = begin[own[at] + 1] - first
+    for part in np.array_split(np.arange(len(at)), int(count.sum()) // PAIRS_AT_ONCE + 1):
+        i, j = np.repeat(at[part], count[part]), common.ranges(first[part], count[part])
+        keep = _may_differ(i, j, root, size, num, den)
+        found.append(_near_pairs(i[keep], j[keep], node, size, sketches, num, den))
+    for g in np.flatnonzero(np.diff(begin) > SMALL_GROUP):
+        rows = np.arange(begin[g], begin[g + 1])
+        partners = rows if right[g] < 0 else rows[rows >= right[g]]
+        found += _near_blocks(rows if right[g] < 0 else rows[rows < right[g]], partners, node, root, size, sketches, num, den, nearest)
+    a, b, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+    if nearest and len(a):
+        end, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+        order = np.lexsort((distance[pair], end))
+        one = np.concatenate([[True], end[order][1:] != end[order][:-1]])
+        kept = np.unique(pair[order][one])
+        a, b = a[kept], b[kept]
+    return pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def _may_differ(i, j, root, size, num: int, den: int) -> np.ndarray:
+    return (root[i] != root[j]) & (np.minimum(size[i], size[j]) * den >= num * np.maximum(size[i], size[j]))
+
+
+def _near_pairs(i, j, node, size, sketches: Sketches, num: int, den: int):
+    """(a, b, distance) of listed pairs whose sketches are close enough; each pair once."""
+    a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+    order = np.lexsort((b, a))
+    one = np.ones(len(order), bool)
+    one[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    i, j = i[order[one]], j[order[one]]
+    length = np.minimum(sketches.size()[i], sketches.size()[j])
+    distance = np.zeros(len(i), np.int64)
+    for bytes_ in np.unique(length):
+        for same in np.array_split(np.flatnonzero(length == bytes_), int((length == bytes_).sum() * bytes_) // (1 << 22) + 1):
+            differ = sketches.rows(i[same], int(bytes_)) ^ sketches.rows(j[same], int(bytes_))
+            distance[same] = np.bitwise_count(differ).sum(1, dtype=np.int64)
+    near = distance * (den + num) <= (den - num) * (size[i] + size[j])
+    i, j = i[near], j[near]
+    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), distance[near]
+
+
+def _near_blocks(rows, partners, node, root, size, sketches: Sketches, num: int, den: int, nearest: bool):
+    """The same for all pairs of two blocks of a large group, a strip of rows at a time."""
+    length = int(min(sketches.size()[rows].min(), sketches.size()[partners].min()))
+    left, right = sketches.rows(rows, length), sketches.rows(partners, length)
+    for part in np.array_split(np.arange(len(rows)), len(rows) // 128 + 1):
+        distance = np.zeros((len(part), len(partners)), np.int32)
+        for word in range(left.shape[1]):
+            distance += np.bitwise_count(left[part, word][:, None] ^ right[:, word][None])
+        both = size[rows[part]][:, None] + size[partners][None]
+        near = (distance * (den + num) <= (den - num) * both) & (root[rows[part]][:, None] != root[partners][None])
+        if nearest:
+            i = np.flatnonzero(near.any(1))
+            j = np.where(near[i], distance[i], np.iinfo(np.int32).max).argmin(1) if len(i) else i
+        else:
+            i, j = np.nonzero(near)
+        x, y = node[rows[part[i]]], node[partners[j]]
+        yield np.minimum(x, y), np.maximum(x, y), distance[i, j].astype(np.int64)
+
+
+def possible_links(placed: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool = False) -> DataFrame:
+    """Pairs under a shared key that are in different components and may be links.
+
+    `placed`: key, node, root. Keys of one component need no pairs and are left out. With
+    `nearest`, of each set under a key only the pair that its sketch makes likeliest.
+    """
+    mixed = placed.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.count("*").alias("many"))
+    mixed = mixed.filter("l < h").select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
+    rows = placed.join(mixed, "key").join(sets.select("node", "n", "sketch"), "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("key", "node", "root", "n", "sketch", "block", other).select(
+        "key", "node", "root", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
+    dealt = rows.repartition("key", "low", "high").sortWithinPartitions(*GROUP)
+    columns = dealt.select(*GROUP, "node", "root", "n", "sketch")
+    return columns.mapInArrow(lambda b: _possible(b, num, den, nearest), "a long, b long").distinct()
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -201,7 +404,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     base = docs.select("doc_id", "text")
     texts = base.select("text")
     sizes = stored(
-        base.mapInArrow(lambda b: _sizes(b, n), "doc_id long, n_shingles long, node long, check long"), "sizes"
+        base.mapInArrow(lambda b: _sizes(b, n), "doc_id long, n_shingles long, node long"), "sizes"
     )
     nodes = stored(
         sizes.filter("node is not null")
@@ -237,46 +440,29 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         .distinct(),
         "stars",
     )
-    ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    ends = _ends(stars)
     listed = spark.sparkContext.broadcast(common.key_filter(ends, "node"))
-    sets = stored(
-        texts.mapInArrow(lambda b: _blobs(b, n, listed), "node long, items binary")
+    sets = (
+        texts.mapInArrow(lambda b: _blobs(b, n, listed), "node long, n long, sketch binary, items binary")
         .join(ends, "node", "left_semi")
-        .dropDuplicates(["node"]),
-        "sets",
-    )
-
-    nearest = stored(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
-    links = stored(verified(nearest, sets, num, den), "links-1")
-    roots = components(links)
-    rest = stored(_apart(stars.join(nearest, ["a", "b"], "left_anti"), roots), "rest")
-    links = stored(links.unionByName(verified(rest, sets, num, den)), "links-2")
-    roots = components(links)
-    done = nearest.unionByName(rest)
-    placed = members.select("key", "node").join(roots, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root")
+        .dropDuplicates(["node"])
     )
-    mixed = placed.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h").select("key")
-    placed = stored(placed.join(mixed, "key"), "mixed")
-    other = placed.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
-    cross = (
-        placed.withColumnRenamed("node", "a")
-        .join(other, "key")
-        .filter("a < b and root <> other")
-        .select("a", "b")
-        .distinct()
-        .join(done, ["a", "b"], "left_anti")
-    )
-    links = stored(links.unionByName(verified(cross, sets, num, den)), "links-3")
-    roots = stored(components(links), "roots")
-    return _labelled(sizes, nodes, roots)
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of which the ends are not in one component."""
-    for end in ("a", "b"):
-        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
-    return pairs.filter("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
+    sets = stored(sets, "sets")
+    links, done = stored(verified(stars, sets, num, den), "links"), stars
+    members = members.select("key", "node")
+    for nearest in (True, False):
+        while True:
+            roots = components(links)
+            placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+            new = possible_links(placed, sets, num, den, nearest).join(done, ["a", "b"], "left_anti")
+            new = stored(new, "possible")
+            if new.isEmpty():
+                break
+            found = stored(verified(new, sets, num, den), "found")
+            links, done = links.unionByName(found), done.unionByName(new)
+            if not nearest or found.isEmpty():
+                break
+    return _labelled(sizes, nodes, stored(components(links), "roots"))
 
 
 def _labelled(sizes: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import ngram_join as nj
@@ -65,3 +66,52 @@ def test_sketches_never_exceed_the_distance():
         y = np.unique(np.concatenate([x[draw.random(len(x)) < 0.8], draw.integers(0, 2**63, 50).astype(np.uint64)]))
         distance = len(np.setxor1d(x, y))
         assert nj.sketch_distance(nj.sketch(nj.hashed(x)[0]), nj.sketch(nj.hashed(y)[0])) <= distance
+
+
+@pytest.mark.parametrize("nearest", [False, True])
+def test_small_and_large_groups_give_the_same_pairs(monkeypatch, nearest):
+    """Groups of one block and of two, of sets of many sizes, by lists of pairs and by strips."""
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 2**63, n).astype(np.uint64)) for n in (40, 43, 150, 160, 600, 640)]
+    sets = [np.unique(np.where(draw.random(len(s)) < 0.015 * k, draw.integers(0, 2**63, len(s)).astype(np.uint64), s)) for s in sets for k in range(5)]
+    rows = []
+    for key in range(6):
+        for i in draw.permutation(len(sets))[:20]:
+            low, high = (0, 0) if key % 2 else (0, 1)
+            rows.append((key, low, high, int(i) % 2 if high else 0, int(i), int(i) // 2, len(sets[i]), nj.sketch(nj.hashed(sets[i])[0])))
+    rows.sort(key=lambda r: r[:4])
+    kinds = [pa.int64()] * 7 + [pa.binary()]
+    batch = pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], list("abcdefgh"))
+
+    def pairs(step, small):
+        monkeypatch.setattr(nj, "SMALL_GROUP", small)
+        parts = (batch.slice(i, step) for i in range(0, batch.num_rows, step))
+        return {p for out in nj._possible(parts, 85, 100, nearest) for p in zip(*(c.to_pylist() for c in out.columns))}
+
+    listed = pairs(7, 64)
+    assert len(listed) > 10
+    if not nearest:
+        assert listed == pairs(200, 64)
+        strips = pairs(7, 0)  # folded to the group's shortest sketch, so some more may stay
+        assert listed <= strips and len(strips) < 3 * len(listed)
+    assert all(a < b and a // 2 != b // 2 for a, b in listed)
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_pairs_in_blocks_equal_all_pairs(spark, monkeypatch, block):
+    """Sets under one key, in components of three: every pair across them that is close enough."""
+    monkeypatch.setattr(nj, "BLOCK", block)
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 2**63, 300).astype(np.uint64)
+    sets = [np.unique(np.where(draw.random(300) < 0.06 * (i % 4), draw.integers(0, 2**63, 300).astype(np.uint64), base)) for i in range(20)]
+    placed = spark.createDataFrame([(1, i, i // 3) for i in range(20)], "key long, node long, root long")
+    rows = [(i, len(s), nj.sketch(nj.hashed(s)[0])) for i, s in enumerate(sets)]
+    got = {tuple(r) for r in nj.possible_links(placed, spark.createDataFrame(rows, "node long, n long, sketch binary"), 85, 100).collect()}
+    close = {
+        (i, j)
+        for i in range(20)
+        for j in range(i)
+        if i // 3 != j // 3 and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert {(b, a) for a, b in close} <= got and all(a < b and a // 3 != b // 3 for a, b in got)
+    assert len(got) < 150
