@@ -11,7 +11,8 @@ six-word sequences; equal windows have equal anchors, and neighbouring windows m
 theirs. Windows whose anchor stands in one text only cannot repeat and are dropped (one
 aggregate with map-side sums). Runs of windows with one anchor meet in one place, in order
 of doc_id; there the earlier runs form the automaton and each run is streamed through it.
-Runs that were seen before are neither inserted nor streamed again.
+Runs that were seen before are neither inserted nor streamed again: a later document loses
+them whole, another place in the same document loses what the first place did.
 
 Anchors with more than 1/16384 of all runs, and more than 32768 runs, are hot (there are at
 most 16384 of them). Their windows are counted by one aggregate per window, with map-side minima, and joined back;
@@ -201,16 +202,17 @@ def _match(batches, window: int):
         for anchor, doc, seq, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if anchor != key:
                 key, known, automaton, single = anchor, {}, None, None
-            first = known.get(words)
-            if first is not None:
+            if words in known:
+                first, mask = known[words]
                 if first < doc:
-                    out.append((doc, seq, start, (1 << len(words) // 8 - window + 1) - 1))
+                    mask = (1 << len(words) // 8 - window + 1) - 1
+                if mask:
+                    out.append((doc, seq, start, mask))
                 continue
-            known[words] = doc
             items = np.frombuffer(words, np.int64).tolist()
             if automaton is None:
                 if single is None:
-                    single = items, doc
+                    known[words], single = (doc, 0), (items, doc)
                     continue
                 automaton = SuffixAutomaton()
                 automaton.add(*single)
@@ -218,6 +220,7 @@ def _match(batches, window: int):
             for i, owner in enumerate(automaton.first_owners(items, window)):
                 if owner is not None and owner < doc:
                     mask |= 1 << (i - window + 1)
+            known[words] = doc, mask
             if mask:
                 out.append((doc, seq, start, mask))
             automaton.add(items, doc)

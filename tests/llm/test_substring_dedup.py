@@ -44,6 +44,32 @@ def test_small_alphabet(spark, monkeypatch, hot):
     assert outcome(sd.substring_dedup(docs)) == sd.brute_force(docs.toPandas())
 
 
+def test_equals_all_windows_of_a_larger_table(spark):
+    docs = small(spark, "documents", "/root/testdata/sf0.1")
+    assert outcome(sd.substring_dedup(docs)) == sd.brute_force(docs.toPandas())
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_blocks_repeated_in_one_document(spark, monkeypatch, hot):
+    """Every place of a shared passage goes, also where its surroundings are repeated."""
+    if hot:
+        monkeypatch.setattr(sd, "HOT_LEAST", 0)
+        monkeypatch.setattr(sd, "HOT_SHARE", 1 << 62)
+    block = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    texts = [block("p", 13)]
+    for d, size in enumerate((13, 14, 20, 30)):
+        texts[0] += f" cut{d} " + block(f"p{d}x", size)
+        own = f"{block(f'x{d}y', 20)} {block(f'p{d}x', size)} {block(f'z{d}y', 20)}"
+        texts.append(f"{own} {own} between {own}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = outcome(sd.substring_dedup(docs))
+    assert got == sd.brute_force(docs.toPandas())
+    assert [got[d][1] for d in range(5)] == [0, 39, 42, 60, 90]
+    again = docs.unionByName(docs.filter("doc_id > 0").selectExpr("doc_id", "concat('other ', text, ' end') as text"))
+    rows = sorted((r.doc_id, r.n_removed) for r in sd.substring_dedup(again).collect())
+    assert rows == [(0, 0), (1, 39), (1, 39), (2, 42), (2, 42), (3, 60), (3, 60), (4, 90), (4, 90)]
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark, with_clashes=True)
     out = sd.substring_dedup(docs)
