@@ -32,9 +32,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows without an id cannot be named by a group and stay; of rows that repeat an id all
     that are the smallest of their group stay.
     """
-    classes = ngram_join.jaccard_components(docs)
-    dropped = classes.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    classes = ngram_join.jaccard_components(docs, keyed=True)
+    dropped = classes.filter("component_id < doc_id").select("doc_id", "node").distinct()
+    return ngram_join.with_nodes(docs.select(*COLUMNS)).join(dropped, ["doc_id", "node"], "left_anti").select(*COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

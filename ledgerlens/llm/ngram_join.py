@@ -35,6 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.llm import common
 from ledgerlens.llm.common import K1, mix, ngram_hashes, places, split_words, stored, text_bytes
@@ -392,13 +393,28 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+def with_nodes(docs: DataFrame, n: int = 4) -> DataFrame:
+    """All rows and columns of `docs`, with `node`: the key of the text's set, null without shingles."""
+    others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("text", "node"))).alias("rest")
+    base = docs.select(others, "text")
+
+    def keyed(batches):
+        for batch in batches:
+            nodes = [set_key(hashed(s)[1]) if len(s) else None for s in shingle_sets(batch.column(1), n)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(nodes, pa.int64())], ["rest", "text", "node"])
+
+    out = base.mapInArrow(keyed, T.StructType([*base.schema.fields, T.StructField("node", T.LongType())]))
+    return out.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c != "node"), "node")
+
+
+def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, keyed: bool = False) -> DataFrame:
     """Documents with the classes of the links J >= num / den between their n-gram sets.
 
     Takes columns doc_id and text, others are ignored. Returns doc_id, n_shingles,
     component_id. Null or empty texts have no shingles, no links and their own id; a null
     doc_id gives a null component unless it is linked to a row that has one; repeated
     rows and repeated ids are rows like others. Copies are one node however many they are.
+    With `keyed` there is a fourth column, the row's `node` as `with_nodes` has it.
     """
     spark = docs.sparkSession
     base = docs.select("doc_id", "text")
@@ -462,17 +478,17 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
             links, done = links.unionByName(found), done.unionByName(new)
             if not nearest or found.isEmpty():
                 break
-    return _labelled(sizes, nodes, stored(components(links), "roots"))
+    return _labelled(sizes, nodes, stored(components(links), "roots"), ("node",) if keyed else ())
 
 
-def _labelled(sizes: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+def _labelled(sizes: DataFrame, nodes: DataFrame, roots: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     named = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), "first_id"
     )
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     label = named.join(least, "root").select("node", "component_id")
     return sizes.join(label, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more
     )
 
 
