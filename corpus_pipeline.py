@@ -18,6 +18,8 @@ from ledgerlens.llm.common import read, stored
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Trained and iterative stages have no SQL; tests hold run() against plain versions.
 ORACLE_SQL = None
+#: Near copies share four fifths of their five-word sequences; op1's query has its own values.
+ALIKE = {"n": 5, "num": 80, "den": 100}
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +34,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows without an id cannot be named by a group and stay; of rows that repeat an id all
     that are the smallest of their group stay.
     """
-    classes = ngram_join.jaccard_components(docs, keyed=True)
+    classes = ngram_join.jaccard_components(docs, **ALIKE, keyed=True)
     dropped = classes.filter("component_id < doc_id").select("doc_id", "node").distinct()
-    return ngram_join.with_nodes(docs.select(*COLUMNS)).join(dropped, ["doc_id", "node"], "left_anti").select(*COLUMNS)
+    rows = ngram_join.with_nodes(docs.select(*COLUMNS), ALIKE["n"])
+    return rows.join(dropped, ["doc_id", "node"], "left_anti").select(*COLUMNS)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

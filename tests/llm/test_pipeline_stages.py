@@ -16,3 +16,12 @@ def test_one_of_each_group_where_ids_are_repeated(spark):
     docs = documents(spark, [(3, a), (5, a), (5, b), (9, near_b), (9, ""), (10, "")])
     got = sorted((r.doc_id, r.text) for r in cp.one_of_each_group(spark, docs, SMALL).collect())
     assert got == sorted([(3, a), (5, b), (9, ""), (10, "")])
+
+
+def test_near_copies_by_five_words(spark):
+    """Four replaced words of 200: 176 of 216 five-word sequences are shared, six leave too few."""
+    text, near, far = numbered("w", 200), numbered("w", 200, {30, 70, 110, 150}), numbered("w", 200, {20, 50, 80, 110, 140, 170})
+    docs = documents(spark, [(1, text), (2, near)])
+    assert [r.doc_id for r in cp.one_of_each_group(spark, docs, SMALL).collect()] == [1]
+    docs = documents(spark, [(1, text), (2, far)])
+    assert sorted(r.doc_id for r in cp.one_of_each_group(spark, docs, SMALL).collect()) == [1, 2]
