@@ -28,11 +28,22 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b|(display\s*:\s*none)""", re.I)
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
-RAW = {"script", "style", "template", "svg", "iframe", "object", "noscript", "math", "textarea", "select", "noembed", "noframes"}
+#: Never page text; without a closing tag these reach to the end of the page.
+RAW = {"script", "style", "template", "iframe", "textarea", "noembed", "noframes"}
+#: Not shown with the text; without a closing tag of their own only the opening tag is passed over.
+HIDDEN = {"svg", "noscript", "select", "annotation", "annotation-xml"}
+HIDDEN_TAGS = re.compile(
+    rf"""<!--.*?(?:-->|\Z)|<({"|".join(sorted(RAW))})(?=[\s/>])(?:.*?</\1(?=[\s/>])|.*)"""
+    rf"""|<(/?)({"|".join(sorted(HIDDEN))})(?=[\s/>])((?>[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    re.S | re.I,
+)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
     "q", "ruby", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr",
+    "object", "param", "math", "semantics", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover",
+    "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable",
+    "mtd", "mtext", "mtr", "munder", "munderover",
 }
 #: An opening tag closes an open element of these, up to the nearest of the borders.
 CLOSES = {
@@ -57,8 +68,23 @@ def _names(attributes: str) -> tuple[str, ...]:
             out.append("hidden")
         else:
             value = m[2] or m[3] or m[4] or ""
-            out += [p.lower() for p in NAME_PARTS.findall(value)][:16]
-    return tuple(out)
+            out += [p.lower() for p in NAME_PARTS.findall(value)]
+    return tuple(dict.fromkeys(out))
+
+
+def _hidden_ends(page: str) -> dict[int, int]:
+    """Where the hidden elements that have a closing tag of their own begin and end."""
+    begun: dict[str, list[int]] = {}
+    out = {}
+    for m in HIDDEN_TAGS.finditer(page):
+        if not m[3]:
+            continue
+        open_at = begun.setdefault(m[3].lower(), [])
+        if m[2] and open_at:
+            out[open_at.pop()] = m.end()
+        elif not m[2] and not m[4].endswith("/"):
+            open_at.append(m.start())
+    return out
 
 
 def blocks(page: str) -> list[Block]:
@@ -68,6 +94,7 @@ def blocks(page: str) -> list[Block]:
     texts: list[str] = []
     linked, links, at = 0, 0, 0
     base: tuple = ()
+    hidden: dict[int, int] | None = None
 
     def flush():
         nonlocal texts, linked
@@ -109,10 +136,15 @@ def blocks(page: str) -> list[Block]:
             texts.append(" ")
             continue
         if not closing and tag in RAW:
-            if tag not in ("noscript", "template", "svg", "math", "select", "object") or not m[3].endswith("/"):
+            if tag != "template" or not m[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else size
             continue
+        if tag in HIDDEN:
+            if hidden is None:
+                hidden = _hidden_ends(page)
+            at = max(at, hidden.get(m.start(), at))
+            continue
         if tag not in INLINE:
             flush()
         if closing:

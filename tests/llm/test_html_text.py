@@ -17,6 +17,26 @@ def test_blocks():
     assert ht.blocks("") == [] and [b.text for b in ht.blocks("a < b & c <")] == ["a < b & c <"]
 
 
+def test_elements_that_are_not_closed():
+    texts = lambda page: [b.text for b in ht.blocks(page)]
+    for tag in ("svg", "noscript", "select", "object", "math"):
+        assert texts(f"<p>one <{tag} a='>'>two</p><p>three</p>") == ["one two", "three"], tag
+        assert texts(f"<p>one <{tag.upper()}>two</p><p>three <{tag}>four</{tag}> five</p>")[0] == "one two", tag
+    for tag in ("svg", "noscript", "select"):
+        assert texts(f"<p>a<{tag}>b<i>c</i></{tag}>d</p><p>e <{tag}>f<p>g <{tag}>h</{tag}> i") == ["ad", "e f", "g i"], tag
+        assert texts(f"<p>a<{tag}>b<!-- <{tag}> --><script>'<{tag}>'</script>c</{tag} >d") == ["ad"], tag
+    assert texts("<p>a<svg>b<svg>c</svg>d</svg>e<svg/>") == ["ae"]
+    for tag in ("script", "style", "textarea", "template", "iframe"):
+        assert texts(f"<p>one <{tag}>two</p><p>three</p>") == ["one"], tag
+    math = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>TeX</annotation></semantics></math>"
+    assert texts(f"<p>Let {math} be.</p><p>See <object data='x'><param name='y'>the text</object> here.") == ["Let x=2 be.", "See the text here."]
+
+
+def test_names_behind_a_long_list():
+    (block,) = ht.blocks(f'<div class="{" ".join(f"mt-{c}" for c in "abcdefghijklmnopqrst")} sidebar">x</div>')
+    assert "sidebar" in block.path[0][1] and "named sidebar" in ht.features(block, 0, 1)
+
+
 def test_labels_fit_the_blocks():
     assert all(len(ht.blocks(p)) == len(y) for p, y in labelled_pages(200))
 
