@@ -33,6 +33,8 @@ from ledgerlens.llm.common import split_words, text_bytes
 
 MAGIC, VERSION, HEADER = b"TIDS", 1, struct.Struct("<4sHHQQ")
 SEGMENT_BYTES = 1 << 20
+#: A document's ids are samples of so many bytes for the dictionary.
+SAMPLE_BYTES = 1 << 16
 SENTENCE_MARK, ALNUM = (np.array([chr(b) in chars for b in range(256)]) for chars in (".,;:!?", string.ascii_letters + string.digits))
 SEGMENT_COLUMNS = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens long, segment binary"
 
@@ -178,8 +180,8 @@ def write_tokens(
     """Encodes every whole text (null: empty), appends `end_id`, writes the token folder.
 
     Rows are ordered by doc_id (missing ids first; equal ids by their frames, so repeated
-    rows are all kept in a defined order). The dictionary is trained on `sample_docs`
-    documents taken by hash of the id.
+    rows are all kept in a defined order). The dictionary is trained on all ids of
+    `sample_docs` documents taken by hash of the id; the driver holds these.
     """
     spark = docs.sparkSession
     with open(tokenizer_file) as f:
@@ -193,9 +195,9 @@ def write_tokens(
         encoder = _encoder(plan.value)
         for batch in batches:
             ids, first = encoder.encode(batch.column(0))
-            yield pa.record_batch(
-                [pa.array([ids[a:b].astype(f"<u{width}").tobytes()[: 1 << 16] for a, b in zip(first, first[1:])], pa.binary())], ["ids"]
-            )
+            whole = (ids[a:b].astype(f"<u{width}").tobytes() for a, b in zip(first, first[1:]))
+            parts = [x[at : at + SAMPLE_BYTES] for x in whole for at in range(0, len(x), SAMPLE_BYTES)]
+            yield pa.record_batch([pa.array(parts, pa.binary())], ["ids"])
 
     # Ids first, so that no texts but those of the sample are moved.
     taken = common.sample_by_hash(base.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", sample_docs)

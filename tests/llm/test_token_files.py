@@ -56,6 +56,18 @@ def test_words_by_the_library():
             assert ids[a:b].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_dictionary_sees_whole_documents(spark, tmp_path, monkeypatch):
+    """A document of several samples' length is in the samples from its first id to its last."""
+    text = " ".join(f"w{i} and" for i in range(60_000))
+    seen = []
+    train = tf.train_dictionary
+    monkeypatch.setattr(tf, "train_dictionary", lambda samples, size: seen.extend(samples) or train(samples, size))
+    written(spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id long, text string"), tmp_path / "t").count()
+    ids = Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids
+    assert 2 * len(ids) > 3 * tf.SAMPLE_BYTES and max(map(len, seen)) <= tf.SAMPLE_BYTES
+    assert b"".join(seen) == np.array(ids, "<u2").tobytes()
+
+
 def test_no_rows(spark, tmp_path):
     assert written(no_docs(spark), tmp_path / "t").count() == 0
 
