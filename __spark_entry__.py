@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -910,11 +911,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def text_queries() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the text operators, where their subpackage is installed."""
-    try:
-        import corpus_pipeline
-        from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
-    except ImportError:
+    if find_spec("ledgerlens.llm") is None or find_spec("corpus_pipeline") is None:
         return {}, {}
+    import corpus_pipeline
+    from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
+
     pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLE_SQL, **pipeline_sql}
 

@@ -10,7 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from ledgerlens.schema import TRANSACTION_SCHEMA, TRANSACTION_TYPES
 from ledgerlens.session import local_session
 
-SMALL = "/root/testdata/sf0.001"
 _CYCLE = ("PAYMENT", "TRANSFER", "CASH_OUT", "CASH_IN", "DEBIT")
 assert set(_CYCLE) == set(TRANSACTION_TYPES)
 

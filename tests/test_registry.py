@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import mismatch
-from conftest import SMALL
+from helpers import SMALL
 
 # The text operators have tests of their own.
 QUERIES, ORACLES = dict(entry._REGISTERED), entry.oracles.statements()

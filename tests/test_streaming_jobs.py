@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL
 from ledgerlens.errors import FeatureError, PredictionLogError, QualityError, SplitError
 from ledgerlens.functions import wire
 from ledgerlens.operators import drift, models, split, store
