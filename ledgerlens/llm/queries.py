@@ -19,6 +19,7 @@ from ledgerlens.llm import (
     substring_dedup,
     token_files,
     toxicity,
+    url_rules,
 )
 from ledgerlens.llm.common import read
 from ledgerlens.session import scratch_path
@@ -97,3 +98,35 @@ def op9_html_extraction(spark, d):
 @query
 def op10_document_fingerprints(spark, d):
     return fingerprints.beside_next(read(spark, d, "documents"))
+
+
+@query
+def op11_url_filters(spark, d):
+    judged = url_rules.judge_urls(read(spark, d, "pages"), url_rules.ADDRESSES, url_rules.UNWANTED)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE_SQL["op11_url_filters"] = r"""
+WITH split AS (
+    SELECT page_id,
+        translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND prefix(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND prefix(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/') THEN 'org/'
+        WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/de/') THEN 'com/de/'
+    END AS rule
+    FROM split
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(host, '(^|[.])(adult|ads|casino|spam)-') OR regexp_matches(host, '-(bets|pills)[.]') THEN 'block'
+    ELSE 'allow'
+END AS verdict
+FROM ruled
+"""
