@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    conversation_trie,
     decontaminate,
     fingerprints,
     html_text,
@@ -130,3 +131,56 @@ SELECT page_id, host, path, rule, CASE
 END AS verdict
 FROM ruled
 """
+
+
+@query
+def op12_conversation_prefix_trie(spark, d):
+    return conversation_trie.prefix_trie(read(spark, d, "conversations"))
+
+
+#: crc32 of ASCII text, from the polynomial alone.
+_CRC32 = """
+    SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+"""
+
+
+def _crc32_sql(text: str) -> str:
+    octets = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    step = "lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), {step}), 4294967295)"
+
+
+ORACLE_SQL["op12_conversation_prefix_trie"] = f"""
+WITH crc AS ({_CRC32}),
+convs AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+    SELECT conv_id, own, {_crc32_sql('conv_id::VARCHAR')} % 9 AS h FROM convs, crc
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS turns
+    FROM heads c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 5
+), prefixes AS (
+    SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+), nodes AS (
+    SELECT depth, turns[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+    FROM prefixes GROUP BY ALL
+), kids AS (
+    SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), known AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN nodes.depth = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(prefix[nodes.depth].t)) END AS saved
+    FROM nodes LEFT JOIN kids USING (depth, prefix)
+), below AS (
+    SELECT v.depth, v.prefix, sum(u.saved) AS saved_tokens, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves
+    FROM (SELECT saved, n_children, prefix, unnest(range(0, depth + 1)) AS at FROM known) u
+    JOIN known v ON v.depth = u.at AND v.prefix = u.prefix[1:u.at] GROUP BY ALL
+)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, b.n_leaves,
+    b.saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM known k JOIN below b USING (depth, prefix)
+LEFT JOIN known p ON p.depth = k.depth - 1 AND p.prefix = k.prefix[1:k.depth - 1]
+"""

@@ -17,7 +17,7 @@ def test_one_query_for_each_operator():
 def test_whole_table(spark, name):
     out = QUERIES[name](spark, SMALL)
     table = "pages" if name.startswith(("op9", "op11")) else "documents"
-    if not name.startswith("op4"):
+    if not name.startswith(("op4", "op12", "op13")):
         assert out.count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
 
 
