@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
+    conversation_repair,
     conversation_trie,
     decontaminate,
     fingerprints,
@@ -184,3 +185,83 @@ SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children,
 FROM known k JOIN below b USING (depth, prefix)
 LEFT JOIN known p ON p.depth = k.depth - 1 AND p.prefix = k.prefix[1:k.depth - 1]
 """
+
+
+@query
+def op13_conversation_repair(spark, d):
+    return conversation_repair.repair_conversations(conversation_repair.damaged(read(spark, d, "conversations")))
+
+
+def _cheapest(*candidates: str) -> str:
+    """The least of some (cost, audit, lines); what cannot be reached costs a million or more."""
+    return f"list_min([{', '.join(candidates)}])"
+
+
+def _edited(state: str, cost: str, edit: str, line: str | None = None) -> str:
+    lines = f"{state}.l" if line is None else f"list_append({state}.l, {line})"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'l': {lines}}}"
+
+
+def _row_states() -> str:
+    keep = "(CASE WHEN gone OR initial != '{}' THEN 1000000 WHEN cut THEN 5 ELSE 0 END)"
+    other = "(CASE WHEN gone THEN 1000000 WHEN cut THEN 6 ELSE 1 END)"
+    own = "role || ':' || text"
+    into_u = [_edited(s, keep.format("u"), "K", own) for s in ("n", "s", "w")]
+    into_u += [_edited(s, other, "R", "'user:' || text") for s in ("n", "s", "w")]
+    into_a = [_edited("v", keep.format("a"), "K", own), _edited("v", other, "R", "'assistant:' || text")]
+    return f"""
+        {_edited('n', '2', 'D')} AS n,
+        {_cheapest(_edited('s', '2', 'D'), _edited('n', keep.format('s'), 'K', own))} AS s,
+        {_cheapest(_edited('v', '2', 'D'), *into_u)} AS u,
+        {_cheapest(_edited('w', '2', 'D'), *into_a)} AS a"""
+
+
+_TO_U = _cheapest("u", *[_edited(s, "5", "I", "'user:'") for s in ("n", "s", "a")])
+_TO_A = _cheapest("a", _edited("u", "5", "I", "'assistant:'"))
+_NOWHERE = "{'c': 1000000::BIGINT, 'a': '', 'l': []::VARCHAR[]}"
+
+ORACLE_SQL["op13_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS ({_CRC32}),
+given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+    FROM conversations, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM given WHERE kind > 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+    FROM damaged
+), flagged AS (
+    SELECT *, body = '' AS blank, body != '' AND i > min(i) OVER (PARTITION BY conv_id, role, text) AS again, left(role, 1) AS initial
+    FROM placed
+), marked AS (
+    SELECT *, blank OR again AS gone, NOT blank AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS cut,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM flagged
+), states AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'l': []::VARCHAR[]}} AS n,
+        {_NOWHERE} AS s, {_NOWHERE} AS u, {_NOWHERE} AS a FROM conversations
+    UNION ALL
+    SELECT conv_id, i, {_row_states()}
+    FROM (
+        SELECT x.conv_id, m.i, m.role, m.text, m.initial, m.gone, m.cut, x.n, x.s, {_TO_U} AS v, {_TO_A} AS w
+        FROM states x JOIN marked m ON m.conv_id IS NOT DISTINCT FROM x.conv_id AND m.i = x.i + 1
+    )
+), ends AS (
+    SELECT conv_id, {_cheapest('n', 'a', _edited('u', '5', 'I', "'assistant:'"))} AS best
+    FROM states QUALIFY i = max(i) OVER (PARTITION BY conv_id)
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+        count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+    sha256(array_to_string(best.l, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
