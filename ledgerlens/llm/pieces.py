@@ -174,29 +174,36 @@ class PieceDecoder:
         return [data[a:b].decode("utf-8", "replace")[1:] for a, b in zip(at, at[1:], strict=False)]
 
 
-def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_file: str, checksum: bool = False) -> DataFrame:
     """All rows and columns of `docs`, with token_ids: array of int. Null and empty: no ids.
 
-    A column named token_ids is replaced.
+    With `checksum` there is ids_crc32, too: crc32 of the ids as little-endian unsigned
+    32-bit numbers. Columns of these names are replaced.
     """
+    made = "token_ids array<int>" + ", ids_crc32 long" * checksum
+    new = ["token_ids", "ids_crc32"][: 1 + checksum]
     shared = docs.sparkSession.sparkContext.broadcast(PieceTable.load(model_file))
-    others = [c for c in docs.columns if c not in ("text", "token_ids")]
+    others = [c for c in docs.columns if c not in ("text", *new)]
     packed = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("rest"), "text")
 
     def encode(batches):
         encoder = PieceEncoder(shared.value)
         for batch in batches:
             texts = common.text_array(batch.column(1)).to_pylist()
-            parts = []
+            parts, sums = [], []
             sizes = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
             for low, high in common.pieces(sizes, 1 << 20):
                 ids, first = encoder.encode(texts[low:high])
                 parts.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32))))
+                if checksum:
+                    octets = memoryview(ids.astype("<u4").tobytes())
+                    sums += [zlib.crc32(octets[4 * a : 4 * b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             ids = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
-            yield pa.record_batch([batch.column(0), batch.column(1), ids], ["rest", "text", "token_ids"])
+            columns = [batch.column(0), batch.column(1), ids, pa.array(sums, pa.int64())]
+            yield pa.record_batch(columns[: 2 + len(new)], ["rest", "text", *new])
 
-    out = packed.mapInArrow(encode, T.StructType([*packed.schema.fields, *T.StructType.fromDDL("token_ids array<int>").fields]))
-    return out.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c != "token_ids"), "token_ids")
+    out = packed.mapInArrow(encode, T.StructType([*packed.schema.fields, *T.StructType.fromDDL(made).fields]))
+    return out.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in new), *new)
 
 
 def decode_pieces(tokens: DataFrame, model_file: str) -> DataFrame:
@@ -222,13 +229,6 @@ def decode_pieces(tokens: DataFrame, model_file: str) -> DataFrame:
     )
 
 
-def crc32_of_ids(column: str):
-    """crc32 of an array of int as little-endian unsigned 32-bit numbers, in the JVM."""
-    digits = F.transform(column, lambda x: F.lpad(F.hex(x), 8, "0"))
-    swapped = F.transform(digits, lambda h: F.concat(*(F.substring(h, at, 2) for at in (7, 5, 3, 1))))
-    return F.crc32(F.unhex(F.array_join(swapped, "")))
-
-
 def viterbi_plain(text: str, model_file: str) -> float:
     """Greatest score sum of a text without byte pieces, by a plain table, for tests."""
     sp = sentencepiece.SentencePieceProcessor(model_file=model_file)

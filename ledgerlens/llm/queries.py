@@ -77,11 +77,11 @@ def op6_substring_dedup(spark, d):
 def op7_sentence_pieces(spark, d):
     """Per document: its ids' count and checksum, the digest of the decoded text, and whether that is the text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    tokens = pieces.encode_pieces(read(spark, d, "documents").select("doc_id", "text"), model)
+    tokens = pieces.encode_pieces(read(spark, d, "documents").select("doc_id", "text"), model, checksum=True)
     return pieces.decode_pieces(tokens, model).select(
         "doc_id",
         F.size("token_ids").alias("n_tokens"),
-        pieces.crc32_of_ids("token_ids").alias("ids_crc32"),
+        "ids_crc32",
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )

@@ -37,9 +37,9 @@ def test_library_decodes_the_ids():
 
 def test_tables(spark):
     for docs in (small(spark, "documents"), odd_docs(spark, with_clashes=True), no_docs(spark)):
-        tokens = sp.encode_pieces(docs, MODEL)
-        assert tokens.columns == [*docs.columns, "token_ids"]
-        out = sp.decode_pieces(tokens, MODEL).select("text", "token_ids", "decoded", sp.crc32_of_ids("token_ids").alias("crc")).collect()
+        tokens = sp.encode_pieces(docs, MODEL, checksum=True)
+        assert tokens.columns == [*docs.columns, "token_ids", "ids_crc32"]
+        out = sp.decode_pieces(tokens, MODEL).collect()
         assert len(out) == docs.count()
         for r in out:
-            assert r.decoded == (r.text or "") and r.crc == sp.crc32_of(r.token_ids)
+            assert r.decoded == (r.text or "") and r.ids_crc32 == sp.crc32_of(r.token_ids)
