@@ -64,14 +64,30 @@ def subwords(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[n
 
 
 def bags(data: np.ndarray, offsets: np.ndarray) -> Bags:
-    words = split_words(data, offsets, lower=True)
-    _, one, word = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    """Words and n-grams of texts, made from pieces of about two megabytes.
+
+    Beside the result, memory holds a hash per word and what one piece needs.
+    """
+    seen, new_keys = np.zeros(0, np.uint64), [np.zeros(0, np.uint64)]
+    hashes, count = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     rows, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-    for some in np.array_split(one, len(one) // WORDS_AT_ONCE + 1):
-        part, first = subwords(words.data, words.start[some], words.length[some])
-        rows.append(part)
-        size.append(np.diff(first))
-    return Bags(word, words.first, np.concatenate(rows), np.concatenate([[0], np.cumsum(np.concatenate(size))]))
+    for low, high in common.pieces(offsets):
+        words = split_words(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], lower=True)
+        hashes.append(words.hashes())
+        count.append(np.diff(words.first))
+        keys, one = np.unique(hashes[-1], return_index=True)
+        fresh = ~np.isin(keys, seen, assume_unique=True)
+        seen = np.union1d(seen, keys)
+        new_keys.append(keys[fresh])
+        for some in np.array_split(one[fresh], int(fresh.sum()) // WORDS_AT_ONCE + 1):
+            part, first = subwords(words.data, words.start[some], words.length[some])
+            rows.append(part)
+            size.append(np.diff(first))
+    # Words are numbered as they came; `seen` is in order of their hashes.
+    number = np.argsort(np.concatenate(new_keys)).astype(np.int32)
+    word = np.concatenate([number[np.searchsorted(seen, h)] for h in hashes])
+    first = np.concatenate([[0], np.cumsum(np.concatenate(count))])
+    return Bags(word, first, np.concatenate(rows), np.concatenate([[0], np.cumsum(np.concatenate(size))]))
 
 
 @dataclass
@@ -166,16 +182,24 @@ def _some(x: Bags, docs: np.ndarray) -> Bags:
 
 def _first_step(x: Bags, error: np.ndarray) -> np.ndarray:
     """AdaGrad's first pass over documents as bags of distinct words: sum over root of squares."""
-    doc = np.repeat(np.arange(len(error)), np.diff(x.first))
-    pairs = np.unique(doc * np.int64(len(x.bag)) + x.word)
-    doc, word = pairs // len(x.bag), pairs % len(x.bag)
     words = len(x.bag) - 1
-    total, square = np.bincount(word, error[doc], words), np.bincount(word, error[doc] ** 2, words)
-    count = np.diff(x.bag)
-    size = 1 << BUCKET_BITS
-    total = np.bincount(x.rows, np.repeat(total, count), size)
-    square = np.bincount(x.rows, np.repeat(square, count), size)
-    return total / np.sqrt(square + 1)
+    total, square = np.zeros(words), np.zeros(words)
+    for docs in np.array_split(np.arange(len(error)), len(x.word) // (1 << 18) + 1):
+        if len(docs):
+            low, high = x.first[docs[0]], x.first[docs[-1] + 1]
+            doc = np.repeat(docs, np.diff(x.first[docs[0] : docs[-1] + 2]))
+            pairs = np.unique(doc * np.int64(words + 1) + x.word[low:high])
+            doc, word = pairs // (words + 1), pairs % (words + 1)
+            total += np.bincount(word, error[doc], words)
+            square += np.bincount(word, error[doc] ** 2, words)
+    up, squared = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
+    for some in np.array_split(np.arange(words), words // WORDS_AT_ONCE + 1):
+        if len(some):
+            low, high = some[0], some[-1] + 1
+            rows, count = x.rows[x.bag[low] : x.bag[high]], np.diff(x.bag[low : high + 1])
+            up += np.bincount(rows, np.repeat(total[low:high], count), len(up))
+            squared += np.bincount(rows, np.repeat(square[low:high], count), len(up))
+    return up / np.sqrt(squared + 1)
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", rows_per_class: int = 2000) -> Model:
