@@ -11,14 +11,14 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 from ledgerlens.errors import ModelError
-from ledgerlens.operators import metrics, versions
+from ledgerlens.operators import boosting, metrics, versions
 from ledgerlens.operators.scoring import score_vectors
 from ledgerlens.schema import LABEL, MODEL_INPUTS, SPLITS, feature_version
 from ledgerlens.session import shared_dir
@@ -125,26 +125,19 @@ def _forest(order: Sequence[str], counts: ClassCounts) -> Estimator:
 
 
 def _boosted(order: Sequence[str], **settings) -> Estimator:
-    trees = GBTClassifier(
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        maxIter=200,
-        stepSize=0.1,
-        seed=SEED,
-        maxMemoryInMB=1024,
-        checkpointInterval=10,
-        **settings,
+    trees = boosting.BoostedTrees(
+        inputCols=list(order), labelCol=LABEL, weightCol=WEIGHT, maxIter=200, stepSize=0.1, l2=1.0, **settings
     )
-    return Pipeline(stages=[_assembler(order), trees])
+    return Pipeline(stages=[trees])
 
 
 def _boosted_by_level(order: Sequence[str], counts: ClassCounts) -> Estimator:
-    return _boosted(order, maxDepth=6)
+    return _boosted(order, growth=boosting.LEVEL, maxDepth=6)
 
 
 def _boosted_by_leaf(order: Sequence[str], counts: ClassCounts) -> Estimator:
-    # MLlib has no L2 on leaf values; minimum leaf size and row sampling stand in.
-    return _boosted(order, maxDepth=8, minInstancesPerNode=20, subsamplingRate=0.8)
+    # Without the L2 penalty a large class weight ruins leaf-wise growth, the more the longer.
+    return _boosted(order, growth=boosting.LEAF, maxLeaves=31, minRows=20, minHessian=1e-3)
 
 
 @dataclass(frozen=True)
