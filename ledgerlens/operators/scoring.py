@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import logging
-
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -22,8 +18,6 @@ from ledgerlens.schema import (
     RAW_MODEL_INPUTS,
 )
 
-log = logging.getLogger(__name__)
-
 SUCCESS = "success"
 INVALID = "invalid_request"
 UNAVAILABLE = "features_unavailable"
@@ -151,31 +145,3 @@ def log_rows(scored: DataFrame) -> DataFrame:
     )
     known = scored if "logged_at" in scored.columns else scored.withColumn("logged_at", now)
     return known.select(*[F.col(f.name).cast(f.dataType) for f in PREDICTION_LOG_SCHEMA.fields])
-
-
-def append_log(scored: DataFrame, path: str) -> bool:
-    """Best effort: a log that cannot be written never fails the scoring.
-
-    Rows that cannot be made (a wrong column, a failing expression) are errors as ever:
-    only what the writer's file system says is swallowed.
-    """
-    rows = log_rows(scored)
-    try:
-        rows.write.mode("append").json(path)
-    except (PySparkException, Py4JJavaError) as error:
-        if not _is_write_failure(error):
-            raise
-        log.exception("prediction log %s was not written", path)
-        return False
-    return True
-
-
-def _is_write_failure(error: Exception) -> bool:
-    """Whether a Java I/O exception is the cause."""
-    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
-    while java is not None:
-        name = java.getClass().getName()
-        if name.startswith(("java.io.", "java.nio.file.", "org.apache.hadoop.fs.", "org.apache.hadoop.security.")):
-            return True
-        java = java.getCause()
-    return False

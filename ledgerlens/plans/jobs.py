@@ -17,8 +17,8 @@ from ledgerlens.operators.split import TIME, temporal_split
 from ledgerlens.operators.validation import split_classes, trainable
 from ledgerlens.schema import LABEL, MODEL_INPUTS, TRANSACTION_SCHEMA
 from ledgerlens.session import drop_path, scratch_path
+from ledgerlens.sources import batch_log, tables
 from ledgerlens.sources import log as log_source
-from ledgerlens.sources import tables
 from ledgerlens.streaming import jobs as stream_jobs
 from ledgerlens.streaming import online
 
@@ -26,6 +26,7 @@ log = logging.getLogger(__name__)
 
 NEGATIVES_IN_SAMPLE = 30_000
 MODEL_NAME = "transaction-risk"
+MATERIALIZED = "materialized"
 
 
 def assert_trainable(df: DataFrame) -> None:
@@ -75,16 +76,23 @@ def materialize(
     tables.write_offline_features(store.build_offline(raw), offline)
     view = tables.read_offline_features(spark, offline)
     latest = store.materialize(view, store.materialize_window(raw))
-    online.write_batch(latest, online_path, "materialized", 0)
+    online.write_batch(latest, online_path, MATERIALIZED, online.next_batch(spark, online_path, MATERIALIZED))
     return online.read_online(spark, online_path)
 
 
 def daily(
     spark: SparkSession, csv_path: str, splits: str, offline: str, online_path: str, rows: int | None = None
 ) -> DataFrame:
-    """Ingest, validate, preprocess, then materialize."""
+    """Ingest, validate, preprocess, materialize, then fold the online table's batches."""
     preprocess(spark, csv_path, splits)
-    return materialize(spark, csv_path, offline, online_path, rows)
+    materialize(spark, csv_path, offline, online_path, rows)
+    online.compact(spark, online_path)
+    return online.read_online(spark, online_path)
+
+
+def fold_log(spark: SparkSession, log_path: str) -> int:
+    """Folds the prediction log's batches; may run beside the stream that writes them."""
+    return batch_log.fold(spark, log_path)
 
 
 def train(
@@ -151,10 +159,12 @@ def publish(log_table: DataFrame, path: str | None = None, **kafka: str) -> Data
 def score_stream(
     requests: DataFrame, stored: DataFrame, model: PipelineModel, version: str, log_path: str, checkpoint: str
 ) -> None:
-    """Scores a stream of requests; every micro-batch is logged, and a log that cannot be
-    written does not stop the scoring. Within a batch the lookup is a table join."""
+    """Scores a stream of requests; every micro-batch is logged once, however often it is
+    tried, and a log that cannot be written does not stop the scoring. Within a batch the
+    lookup is a table join."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        tables.append_log(scoring.score_requests(rows, stored, model, version), log_path)
+        served = scoring.score_requests(rows, stored, model, version)
+        tables.append_log(served, log_path, online.run_of(rows.sparkSession), batch)
 
     stream_jobs.run_batches(requests, write, checkpoint)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,19 +13,11 @@ from ledgerlens.errors import FeatureError, ModelError, PredictionLogError
 from ledgerlens.functions.wire import record_problem, wire_json
 from ledgerlens.operators.models import check_splits
 from ledgerlens.operators.prepare import head_sample
-from ledgerlens.operators.scoring import append_log
+from ledgerlens.operators.scoring import log_rows
 from ledgerlens.schema import FEATURE_VIEW_SCHEMA, PREDICTION_LOG_SCHEMA
+from ledgerlens.sources import batch_log
 
-__all__ = [
-    "append_log",
-    "read_offline_features",
-    "read_prediction_log",
-    "read_splits",
-    "wire_messages",
-    "write_offline_features",
-    "write_splits",
-    "write_wire",
-]
+log = logging.getLogger(__name__)
 
 
 def write_splits(split: DataFrame, path: str) -> None:
@@ -71,14 +66,45 @@ def write_wire(messages: DataFrame, path: str | None = None, **kafka: str) -> No
         messages.write.mode("append").text(path)
 
 
+def append_log(scored: DataFrame, path: str, run: str | None = None, batch: int = 0) -> bool:
+    """Best effort: a log that cannot be written never fails the scoring.
+
+    A stream names its run and batch, and a batch that was logged before is not logged
+    again. Rows that cannot be made (a wrong column, a failing expression) are errors as
+    ever: only what the writer's file system says is swallowed.
+    """
+    rows = log_rows(scored)
+    try:
+        batch_log.append(rows, path, run, batch)
+    except (PySparkException, Py4JJavaError) as error:
+        if not _is_write_failure(error):
+            raise
+        log.exception("prediction log %s was not written", path)
+        return False
+    return True
+
+
+def _is_write_failure(error: Exception) -> bool:
+    """Whether a Java I/O exception is the cause."""
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while java is not None:
+        name = java.getClass().getName()
+        if name.startswith(("java.io.", "java.nio.file.", "org.apache.hadoop.fs.", "org.apache.hadoop.security.")):
+            return True
+        java = java.getCause()
+    return False
+
+
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
     """Logged predictions; blank lines are skipped, an absent or empty log is refused.
 
-    A line that is no log record ends the job that reads it.
+    Of a log of batches only what is committed; else the path is files of JSON lines. A
+    line that is no log record ends the job that reads it.
     """
     try:
         # Read as text first: a blank line would come out of the JSON reader as nulls.
-        lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+        lines = batch_log.lines(spark, path) if batch_log.is_log(spark, path) else spark.read.text(path)
+        lines = lines.where(F.length(F.trim("value")) > 0)
     except AnalysisException as error:
         raise PredictionLogError(f"nothing is logged at {path}") from error
     rows = lines.select(F.from_json("value", PREDICTION_LOG_SCHEMA, {"mode": "FAILFAST"}).alias("r")).select("r.*")

@@ -15,9 +15,10 @@ number, and the second is refused.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from ledgerlens.errors import FeatureError
 from ledgerlens.operators.store import latest_per_key, within_ttl
 from ledgerlens.schema import ENTITY_KEY, EVENT_TIME, FEATURE_VIEW_SCHEMA, SOURCE_OFFSET, WRITTEN_AT
+from ledgerlens.sources import folders
 
 ONLINE_SCHEMA = T.StructType(
     [
@@ -83,44 +85,42 @@ class Version:
     number: int
     base: str | None
     folded: frozenset[str]
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder; none if it is not there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(target):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    last: dict[str, int] = field(default_factory=dict)  # highest folded batch of each run
 
 
 def current_version(spark: SparkSession, path: str, back: int = 0) -> Version:
     """The last complete version, or the one `back` before it."""
-    numbers = [int(v.removeprefix("v=")) for v in _folders(spark, f"{path}/versions")]
-    done = [n for n in sorted(numbers) if _complete(spark, f"{path}/versions/v={n}")]
+    marks = folders.matches(spark, f"{path}/versions/v=*/_SUCCESS", 2)
+    done = sorted(int(m.split("/")[0].removeprefix("v=")) for m in marks)
     if len(done) <= back:
         return Version(0, None, frozenset())
     number = done[-1 - back]
     rows = spark.read.schema(_VERSION_SCHEMA).json(f"{path}/versions/v={number}").collect()
     base = next((r.path for r in rows if r.kind == "base"), None)
-    return Version(number, base, frozenset(r.path for r in rows if r.kind == "folded"))
+    last = {k: int(n) for k, _, n in (r.path.rpartition("=") for r in rows if r.kind == "last")}
+    return Version(number, base, frozenset(r.path for r in rows if r.kind == "folded"), last)
 
 
 def _batches(spark: SparkSession, path: str) -> list[str]:
-    """All complete batches, as run=<query>/batch=<n>."""
-    runs = _folders(spark, f"{path}/batches")
-    found = [f"{r}/{b}" for r in runs for b in _folders(spark, f"{path}/batches/{r}")]
-    return [b for b in found if _complete(spark, f"{path}/batches/{b}")]
+    """All complete batches, as run=<query>/batch=<n>; one listing."""
+    marks = folders.matches(spark, f"{path}/batches/run=*/batch=*/_SUCCESS", 3)
+    return [m.removesuffix("/_SUCCESS") for m in marks]
+
+
+def _last_batches(batches: Iterable[str]) -> dict[str, int]:
+    """The highest batch number of each run."""
+    last: dict[str, int] = {}
+    for b in batches:
+        run, _, number = b.removeprefix("run=").rpartition("/batch=")
+        last[run] = max(last.get(run, -1), int(number))
+    return last
+
+
+def next_batch(spark: SparkSession, path: str, run: str) -> int:
+    """A batch number of a run that writes now and then; higher than any it had before,
+    folded ones included, so that its rows are read and win ties. One writer per run."""
+    known = _last_batches([*_batches(spark, path), *(f"run={k}/batch={n}" for k, n in current_version(spark, path).last.items())])
+    return known.get(run, -1) + 1
 
 
 # ---- reading
@@ -180,10 +180,12 @@ def compact(spark: SparkSession, path: str, as_of: Column | None = None) -> int:
     by_bucket.repartition(BUCKETS, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/{base}")
     # Only of folders that are still there, so the list does not grow with the table's age.
     here = [b for b in _batches(spark, path) if b in before.folded or b in fresh]
-    folded = [("base", base), *(("folded", b) for b in here)]
+    last = {k: max(n, before.last.get(k, -1)) for k, n in (before.last | _last_batches(here)).items()}
+    names = [("base", base), *(("folded", b) for b in here)]
+    names += [("last", f"{k}={n}") for k, n in last.items() if not _is_query(k)]
     number = before.number + 1
     # Fails if the version is there, so two compactions cannot both win.
-    spark.createDataFrame(folded, _VERSION_SCHEMA).coalesce(1).write.mode("error").json(f"{path}/versions/v={number}")
+    spark.createDataFrame(names, _VERSION_SCHEMA).coalesce(1).write.mode("error").json(f"{path}/versions/v={number}")
     _forget(spark, path, before)
     return number
 
@@ -191,8 +193,13 @@ def compact(spark: SparkSession, path: str, as_of: Column | None = None) -> int:
 def _forget(spark: SparkSession, path: str, previous: Version) -> None:
     """Deletes what neither the current nor the previous version reads."""
     current = current_version(spark, path)
-    for folder in _folders(spark, path):
+    for folder in folders.names(spark, path):
         if folder.startswith("base-") and folder not in (current.base, previous.base):
-            _delete(spark, f"{path}/{folder}")
+            folders.delete(spark, f"{path}/{folder}")
     for batch in previous.folded:
-        _delete(spark, f"{path}/batches/{batch}")
+        folders.delete(spark, f"{path}/batches/{batch}")
+
+
+def _is_query(run: str) -> bool:
+    """Streams count their batches themselves; their ids are not listed for ever."""
+    return re.fullmatch("[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", run) is not None

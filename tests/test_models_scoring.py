@@ -7,7 +7,7 @@ from ledgerlens.errors import FeatureError, ModelError, PredictionLogError
 from ledgerlens.operators import metrics, models, scoring, store
 from ledgerlens.plans import jobs
 from ledgerlens.schema import FEATURE_NAMES, LABEL, MODEL_INPUTS
-from ledgerlens.sources import tables
+from ledgerlens.sources import batch_log, folders, tables
 from ledgerlens.streaming import jobs as stream_jobs
 
 QUICK = models.MODEL_SPECS[:2]
@@ -245,6 +245,58 @@ def test_score_stream_logs_every_batch(spark, log, data, model, tmp_path):
     assert tables.read_prediction_log(spark, path).count() == 40
 
 
+def test_a_batch_is_logged_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([(i,) for i in range(10)], "step long")
+    assert batch_log.append(rows, path, "q", 0) and batch_log.append(rows, path, "q", 1)
+    assert not batch_log.append(rows, path, "q", 1)
+    assert batch_log.append(rows, path) and batch_log.append(rows, path, "r", 1)
+    assert batch_log.lines(spark, path).count() == 40
+    # A killed writer: rows without a commit, and half a fold.
+    rows.write.json(f"{path}/data/q/2/dead")
+    (tmp_path / "log/folds/1").mkdir(parents=True)
+    assert batch_log.lines(spark, path).count() == 40
+    # Two attempts that commit at once are one batch.
+    rows.write.json(f"{path}/data/q/3/bbbb")
+    rows.limit(3).write.json(f"{path}/data/q/3/aaaa")
+    for attempt in ("bbbb", "aaaa"):
+        assert folders.create_once(spark, f"{path}/commits/q/3.{attempt}")
+    assert batch_log.lines(spark, path).count() == 43
+
+
+def test_a_log_is_folded_beside_its_writer(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([(i,) for i in range(10)], "step long").repartition(4)
+    for k in range(3):
+        batch_log.append(rows, path, "q", k)
+    reader = batch_log.lines(spark, path)
+    assert batch_log.fold(spark, path) == 1 and reader.count() == 30
+    batch_log.append(rows, path, "q", 3)
+    assert not batch_log.append(rows, path, "q", 2)  # folded, and tried again
+    assert batch_log.lines(spark, path).count() == 40
+    reader = batch_log.lines(spark, path)
+    assert batch_log.fold(spark, path) == 2 and reader.count() == 40
+    assert list(batch_log.committed(spark, path)) == ["q/3"]
+    assert batch_log.fold(spark, path) == 2  # nothing new
+    assert len(folders.names(spark, f"{path}/segments")) == 2
+    assert batch_log.lines(spark, path).count() == 40
+    with pytest.raises(PredictionLogError):
+        batch_log.lines(spark, str(tmp_path / "none"))
+
+
+def test_a_scored_batch_that_runs_twice_is_read_once(spark, log, data, model, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "log")
+    log.coalesce(1).write.parquet(folder)
+    requests = spark.readStream.schema(log.schema).parquet(folder)
+    stored = store.build_offline(log)
+    for _ in range(2):
+        jobs.score_stream(requests, stored, model, "3", path, str(tmp_path / "checkpoint"))
+        # As if the driver had died after the log was written, before the batch was done.
+        for f in (tmp_path / "checkpoint/commits").iterdir():
+            f.unlink()
+    assert tables.read_prediction_log(spark, path).count() == 60
+
+
 def test_publish_counts(spark, log, row, tmp_path):
     counts = jobs.publish(log.unionByName(row(type="GIFT")), str(tmp_path / "wire")).first()
     assert (counts.sent, counts.skipped) == (60, 1)

@@ -9,7 +9,7 @@ from ledgerlens.functions import wire
 from ledgerlens.operators import drift, models, split, store
 from ledgerlens.plans import jobs
 from ledgerlens.schema import ENTITY_KEY, FEATURE_NAMES
-from ledgerlens.sources import events, tables
+from ledgerlens.sources import events, folders, tables
 from ledgerlens.streaming import jobs as stream_jobs
 from ledgerlens.streaming import online, source
 
@@ -101,7 +101,7 @@ def test_compaction_beside_a_stream(spark, log, tmp_path):
     assert online.compact(spark, path, as_of) == 3
     assert online.read_rows(spark, path).count() == 31
     current = online.current_version(spark, path)
-    assert len([f for f in online._folders(spark, path) if f.startswith("base-")]) == 2 and current.number == 3
+    assert len([f for f in folders.names(spark, path) if f.startswith("base-")]) == 2 and current.number == 3
 
 
 def test_the_last_message_of_a_key_wins(spark, log, tmp_path):
@@ -150,6 +150,27 @@ def test_hot_key_collapses_to_one_row(spark, log):
     assert store.latest_per_key(many).count() == 2
 
 
+def test_a_materialization_after_a_compaction_is_served(spark, csv, dict_rows, tmp_path):
+    paths = [str(tmp_path / n) for n in ("offline", "online")]
+    jobs.materialize(spark, csv(dict_rows[:20], name="a.csv"), *paths)
+    online.compact(spark, paths[1])
+    jobs.materialize(spark, csv(dict_rows[20:45], name="b.csv"), *paths)
+    assert online.read_online(spark, paths[1]).count() == 45
+    online.compact(spark, paths[1])
+    online.compact(spark, paths[1])  # drops the folders of both
+    changed = store.build_offline(log_of(spark, dict_rows[:1])).withColumn("hour_of_day", F.lit(7).cast("long"))
+    online.write_batch(changed, paths[1], jobs.MATERIALIZED, online.next_batch(spark, paths[1], jobs.MATERIALIZED))
+    assert online.next_batch(spark, paths[1], jobs.MATERIALIZED) == 3
+    assert online.read_online(spark, paths[1]).where("hour_of_day = 7").count() == 3  # steps 7 and 31, and the changed one
+    assert online.read_online(spark, paths[1]).count() == 45
+
+
+def log_of(spark, rows):
+    from ledgerlens.schema import TRANSACTION_SCHEMA
+
+    return spark.createDataFrame([tuple(r[n] for n in TRANSACTION_SCHEMA.names) for r in rows], TRANSACTION_SCHEMA)
+
+
 def test_time_to_live(spark, log, tmp_path):
     path = str(tmp_path / "online")
     online.write_batch(store.build_offline(log), path, "a", 0)
