@@ -18,9 +18,11 @@ Before the exact check a pair is held against parity sketches: bit i tells wheth
 number of a set's tokens hash to i, so two sketches never differ in more bits than the sets
 in tokens, and a pair that differs in more than it may is no link. The pairs under a key
 are compared by their sketches inside a task; keys with many sets are cut into blocks, and
-each pair of blocks is a group of its own. Rounds put out only the nearest set of another
-component for each set, as many as there are sets, and verify these; when no round brings
-a new pair, all possible links that are left are put out and verified.
+each pair of blocks is a group of its own. The sets of a key's largest component are not
+compared with each other. All pairs that may be links are verified, and that is the end of
+a key, unless a group has very many of them: such a group puts out the nearest pair of each
+set only, and its key goes to another round, with the components found by then. When a
+round finds no link, the keys that are left put out all their pairs.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ from ledgerlens.llm.graph import components
 BLOCK = 4096
 #: Groups of so few sets are compared many at a time, by lists of so many pairs.
 SMALL_GROUP, PAIRS_AT_ONCE = 64, 1 << 20
+#: A larger group gives all its near pairs if there are no more than so many a set.
+PER_SET = 4
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 16, 4 << 20
 BROADCAST_NODES = 500_000
 SET_LOW, SET_HIGH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
@@ -83,34 +88,41 @@ def sketch(dealt: np.ndarray) -> bytes:
     return np.packbits(np.bincount((dealt >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1 > 0).tobytes()
 
 
-@dataclass
+#: Two neighbouring bits become their parity: a byte gives four bits.
+HALF = np.array([sum((b >> 2 * k & 1 ^ b >> 2 * k + 1 & 1) << k for k in range(4)) for b in range(256)], np.uint8)
+
+
 class Sketches:
     """Sketches of many sets in one buffer, read by row at any size they can be folded to."""
 
-    data: np.ndarray
-    offset: np.ndarray
-
-    @classmethod
-    def of(cls, column: pa.Array) -> Sketches:
+    def __init__(self, column: pa.Array):
         column = column.cast(pa.large_binary())
-        offset = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
-        return cls(np.frombuffer(column.buffers()[2], np.uint8), offset)
-
-    def size(self) -> np.ndarray:
-        return np.diff(self.offset)
+        self.offset = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+        self.data = np.frombuffer(column.buffers()[2], np.uint8)
+        self.size = np.diff(self.offset)
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _level(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's place, and all rows of that size or more, folded to it."""
+        if length not in self.levels:
+            place, same = np.full(len(self.size), -1, np.int64), np.flatnonzero(self.size == length)
+            parts = [np.zeros((0, length), np.uint8)]
+            for some in np.array_split(same, len(same) * length // (1 << 20) + 1):
+                parts.append(self.data[self.offset[some][:, None] + np.arange(length)])
+            place[same] = np.arange(len(same))
+            longer = np.flatnonzero(self.size > length)
+            if len(longer):
+                above, rows = self._level(2 * length)
+                rows = HALF[rows[above[longer]]]
+                parts.append(rows[:, ::2] << 4 | rows[:, 1::2])
+                place[longer] = len(same) + np.arange(len(longer))
+            self.levels[length] = place, np.concatenate(parts)
+        return self.levels[length]
 
     def rows(self, at: np.ndarray, length: int) -> np.ndarray:
         """Rows of words, folded to so many bytes."""
-        out = np.empty((len(at), length), np.uint8)
-        sizes = self.offset[at + 1] - self.offset[at]
-        for size in np.unique(sizes):
-            same = np.flatnonzero(sizes == size)
-            part = self.data[self.offset[at[same]][:, None] + np.arange(size)]
-            if size > length:
-                bits = np.unpackbits(part, axis=1).reshape(len(same), length * 8, -1)
-                part = np.packbits(bits.sum(2, dtype=np.uint8) & 1, axis=1)
-            out[same] = part
-        return out.view(np.uint64)
+        place, rows = self._level(length)
+        return rows[place[at]].view(np.uint64)
 
 
 def sketch_distance(x: bytes, y: bytes) -> int:
@@ -200,7 +212,7 @@ def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
     """(key, node) once per set of a task; with `wanted` only keys that it admits."""
     seen: set[int] = set()
     for batch in batches:
-        keys, nodes = [], []
+        keys, nodes, held = [], [], 0
         for s in shingle_sets(batch.column(0), n):
             dealt, value = hashed(s)
             if not len(s) or (node := set_key(value)) in seen:
@@ -211,15 +223,34 @@ def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
                 mine = mine[common.admitted(mine, wanted.value)]
             keys.append(mine.view(np.int64))
             nodes.append(np.full(len(mine), node, np.int64))
-        if keys:
-            yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["key", "node"])
+            held += len(mine)
+            if held >= ROWS_AT_ONCE:
+                yield from _sliced(keys, nodes)
+                keys, nodes, held = [], [], 0
+        yield from _sliced(keys, nodes)
+
+
+def _sliced(keys: list[np.ndarray], nodes: list[np.ndarray]):
+    """Batches of few rows: buffers on both sides of the worker stay small."""
+    if keys:
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        for low in range(0, len(key), ROWS_AT_ONCE):
+            part = slice(low, low + ROWS_AT_ONCE)
+            yield pa.record_batch([pa.array(key[part]), pa.array(node[part])], ["key", "node"])
 
 
 def _blobs(batches, n: int, wanted):
     """(node, size, sketch, set as bytes) of the sets that the filter admits, once per task."""
     seen: set[int] = set()
+
+    def made(rows):
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "n", "sketch", "items"])
+
     for batch in batches:
         rows: list[tuple[int, int, bytes, bytes]] = []
+        held = 0
         for s in shingle_sets(batch.column(0), n):
             dealt, value = hashed(s)
             if not len(s) or (node := set_key(value)) in seen:
@@ -227,9 +258,11 @@ def _blobs(batches, n: int, wanted):
             seen.add(node)
             if common.admitted(np.array([node]), wanted.value)[0]:
                 rows.append((node, len(s), sketch(dealt), s.tobytes()))
-        columns = zip(*rows, strict=True) if rows else [[]] * 4
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "n", "sketch", "items"])
+                held += s.nbytes
+                if held >= BYTES_AT_ONCE:
+                    yield made(rows)
+                    rows, held = [], 0
+        yield made(rows)
 
 
 # ---- verification
@@ -282,7 +315,8 @@ def _possible(batches, num: int, den: int, nearest: bool):
     """Rows sorted by `GROUP`: pairs of different roots under a key that may be links.
 
     A group is two blocks of at most about `BLOCK` sets, or one with itself; it is held
-    until it is whole.
+    until it is whole. With `nearest` a group that has more than `PER_SET` pairs a set gives
+    only the nearest of each set, and its key.
     """
     held = None
     for batch in batches:
@@ -298,15 +332,15 @@ def _possible(batches, num: int, den: int, nearest: bool):
 
 
 def _pairs(batch: pa.RecordBatch, num: int, den: int, nearest: bool) -> pa.RecordBatch:
-    """Pairs of whole groups that may be links; with `nearest` one for each set that has any."""
+    """Pairs (a, b) of whole groups that may be links, and the keys that have more."""
     key, low, high, block, node, root, size = (batch.column(k).to_numpy() for k in range(7))
-    sketches = Sketches.of(batch.column(7))
+    sketches = Sketches(batch.column(7))
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
     begin = np.append(np.flatnonzero(new), len(key))
     own = np.cumsum(new) - 1
     lefts = np.bincount(own, block == low)
     right = np.where(low[begin[:-1]] == high[begin[:-1]], -1, begin[:-1] + lefts.astype(np.int64))
-    found = [(np.zeros(0, np.int64),) * 3]
+    found, more = [(np.zeros(0, np.int64),) * 2], []
     small = np.diff(begin)[own] <= SMALL_GROUP
     at = np.flatnonzero(small)
     first = np.where(right[own[at]] < 0, at + 1, np.where(block[at] == low[at], right[own[at]], begin[own[at] + 1]))
@@ -317,16 +351,17 @@ def _pairs(batch: pa.RecordBatch, num: int, den: int, nearest: bool) -> pa.Recor
         found.append(_near_pairs(i[keep], j[keep], node, size, sketches, num, den))
     for g in np.flatnonzero(np.diff(begin) > SMALL_GROUP):
         rows = np.arange(begin[g], begin[g + 1])
-        partners = rows if right[g] < 0 else rows[rows >= right[g]]
-        found += _near_blocks(rows if right[g] < 0 else rows[rows < right[g]], partners, node, root, size, sketches, num, den, nearest)
-    a, b, distance = (np.concatenate(x) for x in zip(*found, strict=True))
-    if nearest and len(a):
-        end, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
-        order = np.lexsort((distance[pair], end))
-        one = np.concatenate([[True], end[order][1:] != end[order][:-1]])
-        kept = np.unique(pair[order][one])
-        a, b = a[kept], b[kept]
-    return pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+        left, partners = (rows, rows) if right[g] < 0 else (rows[rows < right[g]], rows[rows >= right[g]])
+        i, j, all_of_them = _near_blocks(left, partners, root, size, sketches, num, den, nearest)
+        found.append((np.minimum(node[i], node[j]), np.maximum(node[i], node[j])))
+        if not all_of_them:
+            more.append(key[begin[g]])
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    columns = [pa.array(x, pa.int64()) for x in (a, b)], pa.nulls(len(more), pa.int64())
+    return pa.record_batch(
+        [pa.concat_arrays([c, columns[1]]) for c in columns[0]] + [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(more, pa.int64())])],
+        ["a", "b", "more"],
+    )
 
 
 def _may_differ(i, j, root, size, num: int, den: int) -> np.ndarray:
@@ -334,13 +369,13 @@ def _may_differ(i, j, root, size, num: int, den: int) -> np.ndarray:
 
 
 def _near_pairs(i, j, node, size, sketches: Sketches, num: int, den: int):
-    """(a, b, distance) of listed pairs whose sketches are close enough; each pair once."""
+    """(a, b) of listed pairs whose sketches are close enough; each pair once."""
     a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
     order = np.lexsort((b, a))
     one = np.ones(len(order), bool)
     one[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
     i, j = i[order[one]], j[order[one]]
-    length = np.minimum(sketches.size()[i], sketches.size()[j])
+    length = np.minimum(sketches.size[i], sketches.size[j])
     distance = np.zeros(len(i), np.int64)
     for bytes_ in np.unique(length):
         for same in np.array_split(np.flatnonzero(length == bytes_), int((length == bytes_).sum() * bytes_) // (1 << 22) + 1):
@@ -348,45 +383,76 @@ def _near_pairs(i, j, node, size, sketches: Sketches, num: int, den: int):
             distance[same] = np.bitwise_count(differ).sum(1, dtype=np.int64)
     near = distance * (den + num) <= (den - num) * (size[i] + size[j])
     i, j = i[near], j[near]
-    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), distance[near]
+    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
 
-def _near_blocks(rows, partners, node, root, size, sketches: Sketches, num: int, den: int, nearest: bool):
-    """The same for all pairs of two blocks of a large group, a strip of rows at a time."""
-    length = int(min(sketches.size()[rows].min(), sketches.size()[partners].min()))
+def _near_blocks(rows, partners, root, size, sketches: Sketches, num: int, den: int, nearest: bool):
+    """Places (i, j) of near pairs of two blocks, a strip of rows at a time, and whether
+    these are all."""
+    length = int(min(sketches.size[rows].min(), sketches.size[partners].min()))
     left, right = sketches.rows(rows, length), sketches.rows(partners, length)
+    most = PER_SET * (len(rows) + len(partners)) if nearest else math.inf
+    found, total = [(np.zeros(0, np.int64),) * 3], 0
     for part in np.array_split(np.arange(len(rows)), len(rows) // 128 + 1):
         distance = np.zeros((len(part), len(partners)), np.int32)
         for word in range(left.shape[1]):
             distance += np.bitwise_count(left[part, word][:, None] ^ right[:, word][None])
         both = size[rows[part]][:, None] + size[partners][None]
         near = (distance * (den + num) <= (den - num) * both) & (root[rows[part]][:, None] != root[partners][None])
-        if nearest:
-            i = np.flatnonzero(near.any(1))
-            j = np.where(near[i], distance[i], np.iinfo(np.int32).max).argmin(1) if len(i) else i
-        else:
-            i, j = np.nonzero(near)
-        x, y = node[rows[part[i]]], node[partners[j]]
-        yield np.minimum(x, y), np.maximum(x, y), distance[i, j].astype(np.int64)
+        if rows is partners:
+            near &= part[:, None] < np.arange(len(partners))[None]
+        i, j = np.nonzero(near)
+        found.append((part[i], j, distance[i, j]))
+        if total <= most < total + len(i):
+            found = [_nearest(found)]
+        elif total > most:
+            found[-1] = _nearest(found[-1:])
+        total += len(i)
+    i, j, _ = (np.concatenate(x) for x in zip(*found, strict=True))
+    return rows[i], partners[j], total <= most
+
+
+def _nearest(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row, and of each partner, the pair of least distance."""
+    i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+    kept = []
+    for end in (i, j):
+        order = np.lexsort((distance, end))
+        kept.append(order[np.concatenate([[True], end[order][1:] != end[order][:-1]])] if len(order) else order)
+    kept = np.unique(np.concatenate(kept))
+    return i[kept], j[kept], distance[kept]
 
 
 def possible_links(placed: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool = False) -> DataFrame:
-    """Pairs under a shared key that are in different components and may be links.
+    """Pairs (a, b) under a shared key that are in different components and may be links.
 
-    `placed`: key, node, root. Keys of one component need no pairs and are left out. With
-    `nearest`, of each set under a key only the pair that its sketch makes likeliest.
+    `placed`: key, node, root. Keys of one component need no pairs and are left out. Of the
+    others the largest component is kept apart, in blocks of its own that meet only blocks
+    of the other sets. Rows with `more` name the keys of which only nearest pairs are here.
     """
-    mixed = placed.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.count("*").alias("many"))
-    mixed = mixed.filter("l < h").select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
+    by_root = placed.groupBy("key", "root").count().groupBy("key")
+    mixed = by_root.agg(F.max(F.struct("count", "root")).alias("big"), F.sum("count").alias("many"), F.count("*").alias("roots"))
+    apart = F.when(F.col("big.count") > 1, F.col("big.count")).otherwise(0)
+    mixed = mixed.filter("roots > 1").select(
+        "key",
+        F.when(apart > 0, F.col("big.root")).alias("big"),
+        F.ceil((F.col("many") - apart) / BLOCK).cast("int").alias("others"),
+        F.ceil(apart / BLOCK).cast("int").alias("bigs"),
+    )
     rows = placed.join(mixed, "key").join(sets.select("node", "n", "sketch"), "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    is_big, dealt = F.coalesce(F.col("root") == F.col("big"), F.lit(False)), F.xxhash64("node")
+    rows = rows.withColumn(
+        "block",
+        F.when(is_big, F.col("others") + F.pmod(dealt, F.col("bigs"))).otherwise(F.pmod(dealt, F.col("others"))).cast("int"),
+    )
+    meets = F.col("others") - 1 + F.when(is_big, 0).otherwise(F.col("bigs"))
+    other = F.explode(F.sequence(F.lit(0), meets)).alias("other")
     rows = rows.select("key", "node", "root", "n", "sketch", "block", other).select(
         "key", "node", "root", "n", "sketch", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
     dealt = rows.repartition("key", "low", "high").sortWithinPartitions(*GROUP)
     columns = dealt.select(*GROUP, "node", "root", "n", "sketch")
-    return columns.mapInArrow(lambda b: _possible(b, num, den, nearest), "a long, b long").distinct()
+    return columns.mapInArrow(lambda b: _possible(b, num, den, nearest), "a long, b long, more long").distinct()
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -466,18 +532,19 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     sets = stored(sets, "sets")
     links, done = stored(verified(stars, sets, num, den), "links"), stars
     members = members.select("key", "node")
-    for nearest in (True, False):
-        while True:
-            roots = components(links)
-            placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-            new = possible_links(placed, sets, num, den, nearest).join(done, ["a", "b"], "left_anti")
-            new = stored(new, "possible")
-            if new.isEmpty():
-                break
-            found = stored(verified(new, sets, num, den), "found")
-            links, done = links.unionByName(found), done.unionByName(new)
-            if not nearest or found.isEmpty():
-                break
+    nearest = True
+    while True:
+        roots = components(links)
+        placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        round_ = stored(possible_links(placed, sets, num, den, nearest), "possible")
+        new = stored(round_.filter("more is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "new-pairs")
+        found = stored(verified(new, sets, num, den), "found")
+        links, done = links.unionByName(found), done.unionByName(new)
+        open_keys = round_.filter("more is not null").select(F.col("more").alias("key"))
+        if open_keys.isEmpty():
+            break
+        members = stored(members.join(open_keys, "key", "left_semi"), "open-members")
+        nearest = not found.isEmpty()
     return _labelled(sizes, nodes, stored(components(links), "roots"), ("node",) if keyed else ())
 
 

@@ -13,8 +13,13 @@ def test_equals_all_pairs(spark, shingle):
     assert got == nj.brute_force(docs.toPandas(), shingle, 60, 100)
 
 
-def test_near_copies_of_one_text(spark):
-    """Chains of edits: neighbours are linked, the ends are not."""
+@pytest.mark.parametrize("rounds", [False, True])
+def test_near_copies_of_one_text(spark, monkeypatch, rounds):
+    """Chains of edits: neighbours are linked, the ends are not. Also with every key in
+    several blocks and in rounds of nearest pairs."""
+    if rounds:
+        for name, value in (("PER_SET", 0), ("SMALL_GROUP", 1), ("BLOCK", 8), ("ROWS_AT_ONCE", 64), ("BYTES_AT_ONCE", 500)):
+            monkeypatch.setattr(nj, name, value)
     words = [f"w{i}" for i in range(200)]
     rows = []
     for k in range(30):
@@ -86,14 +91,19 @@ def test_small_and_large_groups_give_the_same_pairs(monkeypatch, nearest):
     def pairs(step, small):
         monkeypatch.setattr(nj, "SMALL_GROUP", small)
         parts = (batch.slice(i, step) for i in range(0, batch.num_rows, step))
-        return {p for out in nj._possible(parts, 85, 100, nearest) for p in zip(*(c.to_pylist() for c in out.columns))}
-
-    listed = pairs(7, 64)
-    assert len(listed) > 10
-    if not nearest:
-        assert listed == pairs(200, 64)
-        strips = pairs(7, 0)  # folded to the group's shortest sketch, so some more may stay
-        assert listed <= strips and len(strips) < 3 * len(listed)
+        found = [p for out in nj._possible(parts, 85, 100, nearest) for p in zip(*(c.to_pylist() for c in out.columns))]
+        return {p[:2] for p in found if p[2] is None}, {p[2] for p in found} - {None}
+
+    listed, more = pairs(7, 64)
+    assert len(listed) > 10 and not more
+    assert (listed, more) == pairs(200, 64)
+    strips, more = pairs(7, 0)  # folded to the group's shortest sketch, so some more may stay
+    assert listed <= strips and len(strips) < 3 * len(listed) and not more
+    monkeypatch.setattr(nj, "PER_SET", 0)
+    fewer, more = pairs(7, 0)
+    assert fewer <= strips and bool(more) == nearest
+    assert {x for p in fewer for x in p} == {x for p in strips for x in p}
+    assert nearest or fewer == strips
     assert all(a < b and a // 2 != b // 2 for a, b in listed)
 
 
@@ -106,7 +116,9 @@ def test_pairs_in_blocks_equal_all_pairs(spark, monkeypatch, block):
     sets = [np.unique(np.where(draw.random(300) < 0.06 * (i % 4), draw.integers(0, 2**63, 300).astype(np.uint64), base)) for i in range(20)]
     placed = spark.createDataFrame([(1, i, i // 3) for i in range(20)], "key long, node long, root long")
     rows = [(i, len(s), nj.sketch(nj.hashed(s)[0])) for i, s in enumerate(sets)]
-    got = {tuple(r) for r in nj.possible_links(placed, spark.createDataFrame(rows, "node long, n long, sketch binary"), 85, 100).collect()}
+    found = nj.possible_links(placed, spark.createDataFrame(rows, "node long, n long, sketch binary"), 85, 100)
+    assert found.filter("more is not null").isEmpty()
+    got = {(r.a, r.b) for r in found.collect()}
     close = {
         (i, j)
         for i in range(20)
