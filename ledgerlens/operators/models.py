@@ -22,6 +22,7 @@ from ledgerlens.operators import boosting, metrics, versions
 from ledgerlens.operators.scoring import score_vectors
 from ledgerlens.schema import LABEL, MODEL_INPUTS, SPLITS, feature_version
 from ledgerlens.session import shared_dir
+from ledgerlens.sources import folders
 
 SEED = 42
 WEIGHT = "_weight"
@@ -267,21 +268,62 @@ def save_runs(runs: Runs, folder: str, order: Sequence[str] = MODEL_INPUTS) -> N
 
 
 def read_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """The version table; empty before the first registration."""
+    """The version table with the stage each version is in now; empty before the first one."""
     try:
-        return spark.read.schema(versions.VERSION_SCHEMA).parquet(f"{folder}/versions")
+        # A folder for each: writers of one folder at once would remove each other's work.
+        each = {"recursiveFileLookup": "true"}
+        known = spark.read.options(**each).schema(versions.VERSION_SCHEMA).parquet(f"{folder}/versions")
     except AnalysisException:
         return spark.createDataFrame([], versions.VERSION_SCHEMA)
+    try:
+        moves = spark.read.options(**each).schema(versions.MOVE_SCHEMA).parquet(f"{folder}/moves")
+    except AnalysisException:
+        return known
+    return versions.moved(known, moves)
+
+
+def _claimed(spark: SparkSession, folder: str, what: str, least: int = 1) -> int:
+    """A number that no other caller gets: one more than any that is claimed."""
+    taken = [int(n) for n in folders.names(spark, f"{folder}/claims/{what}", files=True) if n.isdigit()]
+    number = max([least - 1, *taken]) + 1
+    while not folders.create_once(spark, f"{folder}/claims/{what}/{number}"):
+        number += 1
+    return number
 
 
 def register(spark: SparkSession, folder: str, name: str, run_id: str, stage: str = "None") -> str:
-    """Gives the run the next version number of the name."""
-    version = versions.next_version(read_versions(spark, folder), name)
+    """Gives the run the next version number of the name; of two callers at once each gets
+    a number of its own."""
+    known = versions.next_version(read_versions(spark, folder), name)
+    version = str(_claimed(spark, folder, f"versions/{name}", int(known)))
     row = spark.createDataFrame([(name, version, run_id, stage)], versions.VERSION_SCHEMA)
-    row.write.mode("append").parquet(f"{folder}/versions")
+    row.write.parquet(f"{folder}/versions/{name}/{version}")
     return version
 
 
+def promote(
+    spark: SparkSession, folder: str, name: str, version: str, stage: str = versions.PRODUCTION, archive: bool = True
+) -> None:
+    """Moves a version to a stage; with `archive` those that are there now leave it.
+
+    A move is a row; the last row of a version counts, so moves at once do not mix.
+    """
+    named = read_versions(spark, folder).where(F.col("name") == name)
+    if named.where(F.col("version") == version).isEmpty():
+        raise ModelError(f"{name!r} has no version {version!r}")
+    number = _claimed(spark, folder, f"moves/{name}")
+    there = named.where((F.col("stage") == stage) & (F.col("version") != version)) if archive else named.limit(0)
+    moves = there.select("name", "version", F.lit(versions.ARCHIVED).alias("stage"), F.lit(number).cast("long").alias("move"))
+    moved = spark.createDataFrame([(name, version, stage, number)], versions.MOVE_SCHEMA)
+    moves.unionByName(moved).coalesce(1).write.parquet(f"{folder}/moves/{name}/{number}")
+
+
+def production_model(spark: SparkSession, folder: str, name: str) -> tuple[str, tuple[str, ...], PipelineModel]:
+    """Version, input order and model of the newest version in Production."""
+    version, run_id = versions.resolve(read_versions(spark, folder), name, versions.PRODUCTION)
+    return version, load_feature_names(spark, folder, run_id), load_model(folder, run_id)
+
+
 def load_model(folder: str, run_id: str) -> PipelineModel:
     return PipelineModel.load(f"{folder}/models/{run_id}")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -15,7 +17,6 @@ from ledgerlens.schema import (
     FEATURE_NAMES,
     MODEL_INPUTS,
     PREDICTION_LOG_SCHEMA,
-    RAW_MODEL_INPUTS,
 )
 
 SUCCESS = "success"
@@ -114,15 +115,22 @@ def score_vectors(df: DataFrame, model: PipelineModel, version: str) -> DataFram
 
 
 def score_requests(
-    requests: DataFrame, stored: DataFrame, model: PipelineModel, version: str
+    requests: DataFrame,
+    stored: DataFrame,
+    model: PipelineModel,
+    version: str,
+    order: Sequence[str] = MODEL_INPUTS,
 ) -> DataFrame:
-    """Served requests: every request column, then class, probability and version."""
+    """Served requests: every request column, then class, probability and version.
+
+    `order` is what the model was trained on.
+    """
     found = lookup(requests, stored).where(outcome_column() == SUCCESS)
     names = [c for c in found.columns if c not in FEATURE_NAMES]
     inputs = found.withColumns(type_indicators())
     # The trained order is restated here, so an input the model knows but the request
     # lacks becomes 0 rather than an error.
-    ordered = reindex(inputs, MODEL_INPUTS, keep=[n for n in names if n not in RAW_MODEL_INPUTS])
+    ordered = reindex(inputs, order, keep=[n for n in names if n not in order])
     scored = score_vectors(ordered, model, version)
     return scored.select(*names, "prediction", "fraud_probability", "model_version")
 

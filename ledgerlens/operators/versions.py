@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 from ledgerlens.errors import ModelError
 
-PRODUCTION = "Production"
+PRODUCTION, ARCHIVED = "Production", "Archived"
 VERSION_SCHEMA = "name string, version string, run_id string, stage string"
+MOVE_SCHEMA = "name string, version string, stage string, move long"
+
+
+def moved(versions: DataFrame, moves: DataFrame) -> DataFrame:
+    """The versions with the stage of their last move, where they have one."""
+    last = moves.groupBy("name", "version").agg(F.max_by("stage", "move").alias("_stage"))
+    joined = versions.join(last, ["name", "version"], "left")
+    return joined.select("name", "version", "run_id", F.coalesce("_stage", "stage").alias("stage"))
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:

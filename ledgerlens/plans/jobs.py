@@ -157,14 +157,38 @@ def publish(log_table: DataFrame, path: str | None = None, **kafka: str) -> Data
 
 
 def score_stream(
-    requests: DataFrame, stored: DataFrame, model: PipelineModel, version: str, log_path: str, checkpoint: str
+    requests: DataFrame,
+    stored: DataFrame,
+    model: PipelineModel,
+    version: str,
+    log_path: str,
+    checkpoint: str,
+    order: Sequence[str] = MODEL_INPUTS,
 ) -> None:
     """Scores a stream of requests; every micro-batch is logged once, however often it is
     tried, and a log that cannot be written does not stop the scoring. Within a batch the
     lookup is a table join."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        served = scoring.score_requests(rows, stored, model, version)
+        served = scoring.score_requests(rows, stored, model, version, order)
         tables.append_log(served, log_path, online.run_of(rows.sparkSession), batch)
 
     stream_jobs.run_batches(requests, write, checkpoint)
+
+
+def score_with_production(
+    spark: SparkSession,
+    requests: DataFrame,
+    stored: DataFrame,
+    folder: str,
+    log_path: str,
+    checkpoint: str,
+    name: str = MODEL_NAME,
+) -> str:
+    """Scores a stream with the version that is in Production when it starts; its number.
+
+    Refuses when none is: a newly trained version has to be promoted first.
+    """
+    version, order, model = models.production_model(spark, folder, name)
+    score_stream(requests, stored, model, version, log_path, checkpoint, order)
+    return version

@@ -1,9 +1,10 @@
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from ledgerlens.errors import ModelError
-from ledgerlens.operators import metrics, versions
+from ledgerlens.operators import metrics, models, versions
 
 
 def scored(spark, truth, predicted, probability):
@@ -12,19 +13,20 @@ def scored(spark, truth, predicted, probability):
 
 
 def test_perfect(spark):
-    got = metrics.evaluate(scored(spark, [0, 0, 1, 1], [0, 0, 1, 1], [0.1, 0.2, 0.9, 0.95])).first()
+    got = metrics.evaluate(scored(spark, [1, 0, 1, 0, 0, 1, 0], [1, 0, 1, 0, 0, 1, 0], [0.7, 0.05, 0.66, 0.3, 0.41, 0.99, 0.12])).first()
     assert [got[m] for m in (*metrics.SCORES, *metrics.RANKING)] == [1.0] * 6
-    assert (got.true_positives, got.true_negatives, got.false_positives, got.false_negatives) == (2, 2, 0, 0)
+    assert (got.true_positives, got.true_negatives, got.false_positives, got.false_negatives) == (3, 4, 0, 0)
 
 
 def test_all_wrong(spark):
-    got = metrics.evaluate(scored(spark, [0, 0, 1, 1], [1, 1, 0, 0], [0.9, 0.8, 0.1, 0.2])).first()
+    got = metrics.evaluate(scored(spark, [1, 0, 0, 1, 0], [0, 1, 1, 0, 1], [0.22, 0.51, 0.77, 0.08, 0.64])).first()
     assert (got.accuracy, got.precision, got.recall, got.f1, got.roc_auc) == (0.0, 0.0, 0.0, 0.0, 0.0)
+    assert (got.false_positives, got.false_negatives) == (3, 2)
 
 
 def test_never_positive(spark):
-    got = metrics.evaluate(scored(spark, [0, 0, 0, 1], [0, 0, 0, 0], [0.1, 0.2, 0.1, 0.3])).first()
-    assert (got.precision, got.recall, got.f1, got.false_negatives) == (0.0, 0.0, 0.0, 1)
+    got = metrics.evaluate(scored(spark, [0, 1, 0, 1, 0, 0], [0] * 6, [0.02, 0.4, 0.31, 0.45, 0.11, 0.27])).first()
+    assert (got.precision, got.recall, got.f1, got.false_negatives) == (0.0, 0.0, 0.0, 2)
     assert got.roc_auc == 1.0
 
 
@@ -106,6 +108,40 @@ def test_versions_compare_as_numbers(spark):
     assert versions.next_version(table, "new") == "1"
 
 
+def test_the_last_move_of_a_version_counts(spark):
+    moves = [("m", "12", "Production", 2), ("m", "10", "Archived", 2), ("m", "12", "Staging", 1), ("x", "1", "Production", 9)]
+    now = versions.moved(version_table(spark), spark.createDataFrame(moves, versions.MOVE_SCHEMA))
+    stages = {(r["name"], r.version): r.stage for r in now.collect()}
+    assert stages == {("m", "9"): "Production", ("m", "10"): "Archived", ("m", "12"): "Production", ("n", "1"): "None"}
+
+
+def test_registrations_at_once_get_numbers_of_their_own(spark, tmp_path):
+    folder = str(tmp_path / "models")
+    with ThreadPoolExecutor(6) as pool:
+        got = list(pool.map(lambda k: models.register(spark, folder, "m", f"run{k}"), range(6)))
+    assert sorted(map(int, got)) == [1, 2, 3, 4, 5, 6]
+    table = {r.version: r.run_id for r in models.read_versions(spark, folder).collect()}
+    assert table == {v: f"run{k}" for k, v in enumerate(got)}
+    assert models.register(spark, folder, "m", "later") == "7" and models.register(spark, folder, "other", "q") == "1"
+
+
+def test_promotion_moves_a_version(spark, tmp_path):
+    folder = str(tmp_path / "models")
+    for run in ("r1", "r2", "r3"):
+        models.register(spark, folder, "m", run)
+    with pytest.raises(ModelError, match="Production"):
+        versions.resolve(models.read_versions(spark, folder), "m", versions.PRODUCTION)
+    for version, run in (("2", "r2"), ("3", "r3"), ("1", "r1")):  # the last one is a step back
+        models.promote(spark, folder, "m", version)
+        assert versions.resolve(models.read_versions(spark, folder), "m", versions.PRODUCTION) == (version, run)
+    stages = {r.version: r.stage for r in models.read_versions(spark, folder).collect()}
+    assert stages == {"1": "Production", "2": "Archived", "3": "Archived"}
+    models.promote(spark, folder, "m", "3", archive=False)
+    assert versions.resolve(models.read_versions(spark, folder), "m", versions.PRODUCTION) == ("3", "r3")
+    with pytest.raises(ModelError, match="no version"):
+        models.promote(spark, folder, "m", "9")
+
+
 def test_absent_versions_are_refused(spark):
     table = version_table(spark)
     with pytest.raises(ModelError, match="registered"):

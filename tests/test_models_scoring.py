@@ -297,6 +297,21 @@ def test_a_scored_batch_that_runs_twice_is_read_once(spark, log, data, model, tm
     assert tables.read_prediction_log(spark, path).count() == 60
 
 
+def test_production_scores_a_stream(spark, log, data, tmp_path):
+    models_at, path = str(tmp_path / "models"), str(tmp_path / "log")
+    log.write.parquet(str(tmp_path / "in"))
+    requests = spark.readStream.schema(log.schema).parquet(str(tmp_path / "in"))
+    stored = store.build_offline(log.where("step <= 30"))
+    for _ in range(2):
+        jobs.train(spark, data, models_at, specs=QUICK[:1])
+    with pytest.raises(ModelError, match="Production"):
+        jobs.score_with_production(spark, requests, stored, models_at, path, str(tmp_path / "c"))
+    models.promote(spark, models_at, jobs.MODEL_NAME, "1")
+    assert jobs.score_with_production(spark, requests, stored, models_at, path, str(tmp_path / "c")) == "1"
+    logged = tables.read_prediction_log(spark, path)
+    assert logged.count() == 30 and {r.model_version for r in logged.collect()} == {"1"}
+
+
 def test_publish_counts(spark, log, row, tmp_path):
     counts = jobs.publish(log.unionByName(row(type="GIFT")), str(tmp_path / "wire")).first()
     assert (counts.sent, counts.skipped) == (60, 1)
