@@ -6,6 +6,9 @@ and are the same in every process, so they can be shuffled, stored and compared.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,6 +47,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def frugal(task):
+    """A task's generator that gives free memory back to the system when it ends.
+
+    Spark uses a Python worker for many tasks; what one of them has freed would otherwise
+    stay with the worker, beside the needs of the others on the executor.
+    """
+
+    @functools.wraps(task)
+    def run(*args):
+        try:
+            yield from task(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * K2
     x = (x ^ (x >> np.uint64(27))) * K3

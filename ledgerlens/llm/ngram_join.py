@@ -134,6 +134,7 @@ def sketch_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(short ^ long).sum())
 
 
+@common.frugal
 def _sizes(batches, n: int):
     for batch in batches:
         size, node = [], []
@@ -208,6 +209,7 @@ def index_keys(dealt: np.ndarray, value: np.ndarray, edges: list[tuple[int, int]
     return own
 
 
+@common.frugal
 def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
     """(key, node) once per set of a task; with `wanted` only keys that it admits."""
     seen: set[int] = set()
@@ -239,6 +241,7 @@ def _sliced(keys: list[np.ndarray], nodes: list[np.ndarray]):
             yield pa.record_batch([pa.array(key[part]), pa.array(node[part])], ["key", "node"])
 
 
+@common.frugal
 def _blobs(batches, n: int, wanted):
     """(node, size, sketch, set as bytes) of the sets that the filter admits, once per task."""
     seen: set[int] = set()
@@ -268,6 +271,7 @@ def _blobs(batches, n: int, wanted):
 # ---- verification
 
 
+@common.frugal
 def _linked(batches, num: int, den: int):
     for frame in batches:
         keep = np.zeros(len(frame), bool)
@@ -280,6 +284,7 @@ def _linked(batches, num: int, den: int):
         yield frame.loc[keep, ["a", "b"]]
 
 
+@common.frugal
 def _alike(batches, num: int, den: int):
     for frame in batches:
         keep = np.zeros(len(frame), bool)
@@ -311,6 +316,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 GROUP = ("key", "low", "high", "block")
 
 
+@common.frugal
 def _possible(batches, num: int, den: int, nearest: bool):
     """Rows sorted by `GROUP`: pairs of different roots under a key that may be links.
 
@@ -464,6 +470,7 @@ def with_nodes(docs: DataFrame, n: int = 4) -> DataFrame:
     others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("text", "node"))).alias("rest")
     base = docs.select(others, "text")
 
+    @common.frugal
     def keyed(batches):
         for batch in batches:
             nodes = [set_key(hashed(s)[1]) if len(s) else None for s in shingle_sets(batch.column(1), n)]

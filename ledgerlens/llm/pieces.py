@@ -186,6 +186,7 @@ def encode_pieces(docs: DataFrame, model_file: str, checksum: bool = False) -> D
     others = [c for c in docs.columns if c not in ("text", *new)]
     packed = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("rest"), "text")
 
+    @common.frugal
     def encode(batches):
         encoder = PieceEncoder(shared.value)
         for batch in batches:
@@ -212,6 +213,7 @@ def decode_pieces(tokens: DataFrame, model_file: str) -> DataFrame:
     others = [c for c in tokens.columns if c not in ("token_ids", "decoded")]
     packed = tokens.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("rest"), "token_ids")
 
+    @common.frugal
     def decode(batches):
         decoder = PieceDecoder(shared.value)
         for batch in batches:

@@ -137,12 +137,14 @@ def runs(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray
     return text[begin], at[begin], np.diff(np.append(begin, len(at))), value[at[begin]]
 
 
+@common.frugal
 def _sequences(batches):
     for batch in batches:
         out = [sequence_hash(h[a:b]) for _, w, h in _texts(batch.column(1)) for a, b in zip(w.first, w.first[1:])]
         yield pa.record_batch([batch.column(0), pa.array(out, pa.int64())], ["doc_id", "seq"])
 
 
+@common.frugal
 def _anchors(batches, window: int):
     seen: set[int] = set()
     for batch in batches:
@@ -154,6 +156,7 @@ def _anchors(batches, window: int):
             yield pa.record_batch([pa.array(anchor[keep].view(np.int64)), pa.array(seqs[text[keep]])], ["anchor", "seq"])
 
 
+@common.frugal
 def _live_runs(batches, window: int, live):
     """Runs under anchors that the filter admits; of equal texts the smallest doc_id so far."""
     seen: dict[int, int] = {}
@@ -194,6 +197,7 @@ RUN = "anchor long, doc_id long, seq long, start int, words binary"
 FOUND = "doc_id long, seq long, start int, mask int"
 
 
+@common.frugal
 def _match(batches, window: int):
     """Rows sorted by anchor and doc_id: windows of each run that an earlier document has."""
     key = object()
@@ -230,6 +234,7 @@ def _match(batches, window: int):
         )
 
 
+@common.frugal
 def _windows(batches, window: int):
     for batch in batches:
         rows = []
@@ -342,6 +347,7 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     carried = [base.schema[c] for c in ("doc_id", "text", "rest")]
     result = T.StructType([*carried, *_fields("n_words long, n_removed long, kept string")])
 
+    @common.frugal
     def split(batches, wanted: bool):
         for batch in batches:
             seqs = np.array(

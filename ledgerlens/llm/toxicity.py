@@ -27,7 +27,7 @@ from ledgerlens.llm.common import KEEP, mix, split_words, text_bytes
 
 BUCKET_BITS = 17
 GRAMS = (3, 4, 5)
-WORDS_AT_ONCE = 1 << 15
+WORDS_AT_ONCE = 1 << 13
 
 
 @dataclass
@@ -239,6 +239,7 @@ def scores(docs: DataFrame, model, threshold: float) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @common.frugal
     def score(batches):
         for batch in batches:
             p = shared.value.probabilities(batch.column(1))
@@ -256,6 +257,7 @@ def scores_of_texts(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     packed = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in names)).alias("rest"))
 
+    @common.frugal
     def score(batches):
         for batch in batches:
             p = shared.value.probabilities(batch.column(0))
