@@ -47,7 +47,7 @@ from ledgerlens.schema import (
 from ledgerlens.session import scratch_path, shared_dir
 from ledgerlens.sources import events, log, tables
 from ledgerlens.streaming import jobs as stream_jobs
-from ledgerlens.streaming import online, source
+from ledgerlens.streaming import online, panels, source, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTERED: dict[str, Query] = {}
@@ -776,15 +776,21 @@ def st_ttl(spark, d):
     return store.within_ttl(view, as_of).select(ENTITY_KEY, "event_timestamp")
 
 
+@query
+def st_state_newest(spark, d):
+    """The stream of `st_upsert_online` into a keyed state; the rows that the state holds."""
+    rows = stream_jobs.feature_rows(source.corrected_messages(spark, d), (SOURCE_OFFSET,))
+    checkpoint = scratch_path(spark, "state-checkpoint")
+    state.keep_newest(rows, checkpoint)
+    return state.read_newest(spark, checkpoint).drop(SOURCE_OFFSET)
+
+
 @query
 def st_windowed_monitoring(spark, d):
-    stored = events.stored_features(events.transactions(spark, d))
-    live = events.outcome_log(source.event_transactions(spark, d), stored)
-    ends = ("window_start", "window_end")
-    rows = stream_jobs.live_windows(live).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ends})
-    log = events.outcome_log(events.transactions(spark, d), stored)
-    whole = stream_jobs.with_open_windows(bounded(rows, "windows"), log)
-    return rounded(whole, "requests_per_second")
+    live = events.outcome_log(source.event_transactions(spark, d), events.stored_features(events.transactions(spark, d)))
+    path = scratch_path(spark, "panels")
+    stream_jobs.run_batches(live, panels.write_into(path), scratch_path(spark, "panels-checkpoint"))
+    return rounded(panels.request_rate(panels.read(spark, path)), "requests_per_second")
 
 
 # ---- feature tables

@@ -46,7 +46,7 @@ def request_rate(
     return _named(counted, (F.col("n") / F.lit(float(seconds))).alias("requests_per_second"))
 
 
-def _quantile_from_buckets(fraction: float) -> Column:
+def quantile_from_buckets(fraction: float) -> Column:
     """Linear interpolation inside the bucket that holds the rank.
 
     A rank beyond the last bound reads as the last bound.
@@ -70,7 +70,7 @@ def latency_quantiles(log: DataFrame, size: str = "5 minutes", slide: str | None
         F.count("*").alias("total"), *[F.count_if(seconds <= b).alias(f"le{i}") for i, b in enumerate(LATENCY_BOUNDS)]
     )
     counts = counts.withColumn("upto", F.array(*[F.col(f"le{i}") for i in range(len(LATENCY_BOUNDS))]))
-    return _named(counts, *[_quantile_from_buckets(q / 100).alias(f"p{q}") for q in (50, 95, 99)])
+    return _named(counts, *[quantile_from_buckets(q / 100).alias(f"p{q}") for q in (50, 95, 99)])
 
 
 def error_ratio(log: DataFrame, size: str = "5 minutes", slide: str | None = None) -> DataFrame:

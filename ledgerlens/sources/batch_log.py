@@ -19,6 +19,7 @@ time; of two, the second is refused.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,8 +78,11 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(read)
 
 
-def fold(spark: SparkSession, path: str) -> int:
-    """Folds the batches since the last fold; the number of the fold that is valid then."""
+def fold(spark: SparkSession, path: str, shrink: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """Folds the batches since the last fold; the number of the fold that is valid then.
+
+    `shrink` may turn their lines into fewer that say the same.
+    """
     number, segments, folded = last_fold(spark, path)
     here = committed(spark, path)
     fresh = {b: a for b, a in here.items() if b not in folded}
@@ -87,7 +91,9 @@ def fold(spark: SparkSession, path: str) -> int:
     read = [f"{path}/data/{b}/{a}" for b, a in fresh.items()]
     files = 1 + sum(folders.size(spark, f) for f in read) // FILE_BYTES
     segment = uuid.uuid4().hex
-    spark.read.text(read).repartition(files).write.text(f"{path}/segments/{segment}")
+    lines = spark.read.text(read)
+    lines = lines if shrink is None else shrink(lines)
+    lines.repartition(files).write.text(f"{path}/segments/{segment}")
     # Of folded batches only those that are still there, so the list does not grow with age.
     names = [("segment", s) for s in (*segments, segment)] + [("folded", b) for b in here]
     listed = spark.createDataFrame(names, _FOLD_SCHEMA).coalesce(1)

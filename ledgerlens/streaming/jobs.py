@@ -114,13 +114,3 @@ def live_windows(log: DataFrame, delay: str = "10 minutes", panel=monitoring.req
     """A panel over a growing log: a window is final once the watermark passes it."""
     timed = log.withColumn("logged_at", F.col("logged_at").cast("timestamp"))
     return panel(timed.withWatermark("logged_at", delay), **settings)
-
-
-def with_open_windows(closed: DataFrame, log: DataFrame, panel=monitoring.request_rate, **settings) -> DataFrame:
-    """What a bounded run emitted, and the windows that its watermark had not yet passed.
-
-    `log` is the run's input as a table; only its rows after the last closed window are read.
-    """
-    last = closed.agg(F.max("window_end").alias("_last"))
-    open_rows = log.crossJoin(F.broadcast(last)).where("_last IS NULL OR logged_at >= _last")  # one row
-    return closed.unionByName(panel(open_rows.drop("_last"), **settings))

@@ -608,6 +608,7 @@ def statements() -> dict[str, str]:
             FROM (SELECT {PARSE_ERROR} AS reason FROM t) GROUP BY ALL""",
         "st_upsert_online": _latest(),
         "st_latest_per_key": _latest(),
+        "st_state_newest": _latest(),
         "st_replay": _parity(),
         "st_ttl": _features(
             "SELECT transaction_id, event_timestamp FROM f "
