@@ -165,7 +165,7 @@ def allocate(low: int, high: int, count: int, num: int, den: int) -> tuple[int,
     """
     need = (den - num) * 2 * (high - 1) // (den + num) + 1
     size, best = (low + high - 1) / 2, None
-    for spare in range(9):
+    for spare in sorted({*range(9), *range(9, need // 2 + 9, max(1, need // 64))}):
         units = need + spare
         for deletions in sorted({*range(min(8, units // 2) + 1), units // 2}):
             whole = units - 2 * deletions
@@ -173,8 +173,8 @@ def allocate(low: int, high: int, count: int, num: int, den: int) -> tuple[int,
             empty = math.exp(-low / segments)
             mean = whole * empty
             left = sum(
-                (k - spare) * math.exp(-mean) * mean**k / math.factorial(k) for k in range(spare + 1, spare + 30)
-            )
+                (k - spare) * math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) for k in range(spare + 1, spare + 30)
+            ) if mean else 0.0
             pairs = (count * left) ** 2 / max(1, 2 * whole) + deletions * (count * empty) ** 2 / 2
             cost = count * (whole + deletions * (1 + size / segments)) + pairs
             if best is None or cost < best[0]:
