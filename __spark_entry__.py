@@ -901,7 +901,9 @@ def job_monthly(spark, d):
     path = scratch_path(spark, "log")
     shifted = prediction_rows(spark, d).withColumn("amount", F.col("amount") * 5)
     tables.append_log(shifted, path)
-    return jobs.monthly(spark, path, csv_log(spark, d), drift.DISTANCES)
+    profile = scratch_path(spark, "profile")
+    jobs.profile_reference(spark, csv_log(spark, d), profile)
+    return jobs.monthly(spark, path, profile, drift.DISTANCES)
 
 
 @query

@@ -6,9 +6,10 @@ from a single shuffle of pre-aggregated counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,7 @@ from ledgerlens.functions.pvalues import add_p_values
 from ledgerlens.operators.prepare import head_sample
 from ledgerlens.operators.running import running_totals
 from ledgerlens.schema import DRIFT_CATEGORIES, DRIFT_COLUMNS, DRIFT_NUMBERS
+from ledgerlens.session import scratch_path
 
 # When a test or a distance calls a column drifted.
 P_LIMIT = 0.05
@@ -25,6 +27,7 @@ DISTANCE_LIMIT = 0.1
 SMALLEST_SPREAD = 0.001
 
 TESTS, DISTANCES = "tests", "distances"
+PROFILE_SCHEMA = "column string, value double, text string, rows long, numeric boolean"
 
 
 def reference_sample(raw: DataFrame, n: int | None = None, order: Sequence[str] | None = None) -> DataFrame:
@@ -61,6 +64,49 @@ def value_counts(
     )
 
 
+# ---- a stored reference
+
+
+def reference_profile(
+    reference: DataFrame, numbers: Sequence[str] = DRIFT_NUMBERS, categories: Sequence[str] = DRIFT_CATEGORIES
+) -> DataFrame:
+    """(column, numeric, value, text, rows): how often each value of a compared column occurs.
+
+    All that a comparison needs of the reference, which need not be read again.
+    """
+    parts = []
+    for columns, numeric in ((numbers, True), (categories, False)):
+        if columns:
+            counted = _tidy(reference, columns, "reference", numeric).groupBy("column", "value").agg(F.sum("reference").alias("rows"))
+            value = F.col("value") if numeric else F.lit(None).cast("double")
+            text = F.lit(None).cast("string") if numeric else F.col("value")
+            parts.append(counted.select("column", F.lit(numeric).alias("numeric"), value.alias("value"), text.alias("text"), "rows"))
+    if not parts:
+        raise DriftError("no columns to compare")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def write_profile(reference: DataFrame, path: str, **columns: Sequence[str]) -> None:
+    """Numbers and categories in folders of their own, so a comparison of one skips the other."""
+    reference_profile(reference, **columns).write.mode("overwrite").partitionBy("numeric").parquet(path)
+
+
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(PROFILE_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        raise DriftError(f"no reference profile at {path}") from error
+
+
+def merged_counts(profile: DataFrame, current: DataFrame, columns: Sequence[str], numeric: bool = True) -> DataFrame:
+    """`value_counts` with the reference side from its profile."""
+    value = F.col("value" if numeric else "text")
+    known = profile.where((F.col("numeric") == numeric) & F.col("column").isin(*columns))
+    stored = known.select("column", value.alias("value"), F.col("rows").alias("reference"), F.lit(0).cast("long").alias("current"))
+    both = stored.unionByName(_tidy(current, columns, "current", numeric)).groupBy("column", "value")
+    return both.agg(F.sum("reference").alias("reference"), F.sum("current").alias("current"))
+
+
 def _share_columns() -> tuple[Column, Column]:
     p = F.try_divide(F.col("reference").cast("double"), F.col("reference_total"))
     q = F.try_divide(F.col("current").cast("double"), F.col("current_total"))
@@ -100,11 +146,16 @@ def category_statistics(counts: DataFrame) -> DataFrame:
     return joined.groupBy("column").agg(*[c.alias(n) for n, c in _category_statistics().items()])
 
 
-def number_statistics(counts: DataFrame) -> DataFrame:
-    """Category statistics plus KS distance and spread-normalised Wasserstein distance.
+def number_statistics(counts: DataFrame, distance: bool = True) -> DataFrame:
+    """Category statistics plus KS distance and, with `distance`, the spread-normalised
+    Wasserstein distance (else null).
 
-    The spread comes from the same counts, so the reference is read once.
+    The counts are written to the shared folder first: cuts, ranges, totals and spread all
+    read them, and the tables they come from only once.
     """
+    path = scratch_path(counts.sparkSession, "value-counts")
+    counts.write.parquet(path)
+    counts = counts.sparkSession.read.schema(counts.schema).parquet(path)
     run = running_totals(counts, "value", ["reference", "current"], ["column"], following=True)
     f = (F.col("reference_before") + F.col("reference")) / F.col("reference_total")
     g = (F.col("current_before") + F.col("current")) / F.col("current_total")
@@ -115,6 +166,8 @@ def number_statistics(counts: DataFrame) -> DataFrame:
         F.coalesce(area, F.lit(0.0)).alias("area"),
         *[c.alias(n) for n, c in _category_statistics().items()],
     )
+    if not distance:
+        return stats.withColumn("wasserstein", F.lit(None).cast("double")).drop("area")
     middle = counts.groupBy("column").agg(
         F.try_divide(F.sum(F.col("reference") * F.col("value")), F.sum("reference")).alias("mean")
     )
@@ -133,7 +186,7 @@ def number_statistics(counts: DataFrame) -> DataFrame:
 
 
 def ks_distance(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return number_statistics(value_counts(reference, current, columns)).select(
+    return number_statistics(value_counts(reference, current, columns), distance=False).select(
         "column", "reference_rows", "current_rows", F.col("ks").alias("statistic")
     )
 
@@ -172,14 +225,36 @@ def column_drift(
     numbers and which categories. `exact` asks for the KS p-value of small samples by
     counting paths, which takes time in proportion to the product of the row counts.
     """
+    return _compared(lambda c, numeric: value_counts(reference, current, c, numeric), rule, numbers, categories, exact)
+
+
+def profile_drift(
+    profile: DataFrame,
+    current: DataFrame,
+    rule: str,
+    numbers: Sequence[str] = DRIFT_NUMBERS,
+    categories: Sequence[str] = DRIFT_CATEGORIES,
+    exact: bool = False,
+) -> DataFrame:
+    """`column_drift` against a stored profile of the reference."""
+    return _compared(lambda c, numeric: merged_counts(profile, current, c, numeric), rule, numbers, categories, exact)
+
+
+def _compared(
+    counts_of: Callable[[Sequence[str], bool], DataFrame],
+    rule: str,
+    numbers: Sequence[str],
+    categories: Sequence[str],
+    exact: bool,
+) -> DataFrame:
     if rule not in (TESTS, DISTANCES):
         raise DriftError(f"unknown drift rule {rule!r}")
     parts = []
     if numbers:
-        counts = value_counts(reference, current, numbers)
-        parts.append(number_statistics(counts).withColumn("numeric", F.lit(True)))
+        found = number_statistics(counts_of(numbers, True), distance=rule == DISTANCES)
+        parts.append(found.withColumn("numeric", F.lit(True)))
     if categories:
-        stats = category_statistics(value_counts(reference, current, categories, numeric=False))
+        stats = category_statistics(counts_of(categories, False))
         parts.append(
             stats.withColumns(
                 {

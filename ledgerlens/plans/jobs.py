@@ -125,18 +125,17 @@ def weekly(
     return models.evaluate_version(spark, data, folder, MODEL_NAME)
 
 
-def monthly(
-    spark: SparkSession,
-    log_path: str,
-    csv_path: str,
-    rule: str,
-    reference_rows: int | None = None,
-) -> DataFrame:
-    """Drift of the prediction log against the training log, or against its first rows."""
+def profile_reference(spark: SparkSession, csv_path: str, profile_path: str, rows: int | None = None) -> None:
+    """Profiles the training log, or its first rows, for the monthly comparisons."""
+    reference = drift.reference_sample(log_source.read_log(spark, csv_path), rows)
+    drift.write_profile(reference, profile_path)
+
+
+def monthly(spark: SparkSession, log_path: str, profile_path: str, rule: str) -> DataFrame:
+    """Drift of the prediction log against the stored profile; reads no training row."""
     current = tables.read_prediction_log(spark, log_path)
     log.info("prediction log holds %s rows", current.count())
-    reference = drift.reference_sample(log_source.read_log(spark, csv_path), reference_rows)
-    return drift.summary(drift.column_drift(reference, current, rule=rule))
+    return drift.summary(drift.profile_drift(drift.read_profile(spark, profile_path), current, rule))
 
 
 def sample(raw: DataFrame, key: str, negatives: int = NEGATIVES_IN_SAMPLE) -> DataFrame:

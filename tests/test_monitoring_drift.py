@@ -221,3 +221,26 @@ def test_ks_p_value_equals_counting_all_orders():
 def test_ks_limit_meets_the_exact_value():
     exact = pvalues.kolmogorov_smirnov(0.05, 1000, 3000, exact=True)
     assert pvalues.kolmogorov_smirnov(0.05, 1000, 3000) == pytest.approx(exact, rel=0.1)
+
+
+@pytest.mark.parametrize("rule", [drift.TESTS, drift.DISTANCES])
+def test_a_stored_profile_gives_the_same_drift(spark, tmp_path, rule):
+    draw = random.Random(9)
+
+    def table(n, scale):
+        rows = [(draw.choice([None, float("nan"), round(draw.gauss(100, 20) * scale, 1)]), draw.choice(["A", "B", None, "C"]), draw.random(), 1.0) for _ in range(n)]
+        return spark.createDataFrame(rows, "amount double, type string, oldbalanceOrg double, newbalanceOrig double")
+
+    reference, current = table(400, 1), table(90, 3)
+    path = str(tmp_path / "profile")
+    drift.write_profile(reference, path)
+    profile = drift.read_profile(spark, path)
+    assert profile.agg(F.sum("rows")).first()[0] == drift.reference_profile(reference).agg(F.sum("rows")).first()[0]
+    got = {r["column"]: r for r in drift.profile_drift(profile, current, rule).collect()}
+    want = {r["column"]: r for r in drift.column_drift(reference, current, rule).collect()}
+    assert got.keys() == want.keys() and len(got) == 4
+    for c in want:
+        for name in ("test", "reference_rows", "current_rows", "distinct_values", "drifted"):
+            assert got[c][name] == want[c][name]
+        for name in ("statistic", "p_value"):
+            assert got[c][name] == (want[c][name] if want[c][name] is None else pytest.approx(want[c][name]))

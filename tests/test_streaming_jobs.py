@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import SMALL
-from ledgerlens.errors import FeatureError, PredictionLogError, QualityError, SplitError
+from ledgerlens.errors import DriftError, FeatureError, PredictionLogError, QualityError, SplitError
 from ledgerlens.functions import wire
 from ledgerlens.operators import drift, models, split, store
 from ledgerlens.plans import jobs
@@ -256,9 +256,9 @@ def test_weekly(spark, csv, dict_rows, tmp_path):
 
 
 def test_monthly(spark, csv, dict_rows, log, tmp_path):
-    path = str(tmp_path / "log")
+    path, profile = str(tmp_path / "log"), str(tmp_path / "profile")
     with pytest.raises(PredictionLogError):
-        jobs.monthly(spark, path, csv(dict_rows), drift.DISTANCES)
+        jobs.monthly(spark, path, profile, drift.DISTANCES)
     served = log.withColumns(
         {
             "amount": F.col("amount") * 5,
@@ -268,7 +268,11 @@ def test_monthly(spark, csv, dict_rows, log, tmp_path):
         }
     )
     tables.append_log(served, path)
-    got = jobs.monthly(spark, path, csv(dict_rows), drift.DISTANCES).first()
+    with pytest.raises(DriftError, match="profile"):
+        jobs.monthly(spark, path, profile, drift.DISTANCES)
+    jobs.profile_reference(spark, csv(dict_rows), profile)
+    (tmp_path / "log.csv").unlink()  # no training row is read again
+    got = jobs.monthly(spark, path, profile, drift.DISTANCES).first()
     assert (got.drifted_columns, got.total_columns) == (1, 4)
 
 
