@@ -41,6 +41,33 @@ def op1_ngram_jaccard_join(spark, d):
     return ngram_join.jaccard_components(read(spark, d, "documents"))
 
 
+_WORDS = r"[^\x20\x09-\x0D]+"
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op1_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all({_FOLDED}, '{_WORDS}') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM worded WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+), reached AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), least AS (
+    SELECT a AS doc_id, min(b) AS b FROM reached GROUP BY a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON least.doc_id = d.doc_id
+"""
+
+
 @query
 def op2_token_files(spark, d):
     folder = scratch_path(spark, "token-files")
@@ -73,6 +100,27 @@ def op6_substring_dedup(spark, d):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE_SQL["op6_substring_dedup"] = rf"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM worded WHERE len(w) >= 13)
+), first AS (
+    SELECT k, min(doc_id) AS least FROM windows GROUP BY k
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place FROM windows JOIN first USING (k) WHERE least < doc_id
+), marked AS (
+    SELECT x.doc_id, x.place, x.word, gone.place IS NULL AS stays
+    FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM worded) x
+    LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.place = x.place
+)
+SELECT d.doc_id, count(place) AS n_words, count(place) FILTER (WHERE NOT stays) AS n_removed,
+    sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (WHERE stays), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked ON marked.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 @query
 def op7_sentence_pieces(spark, d):
     """Per document: its ids' count and checksum, the digest of the decoded text, and whether that is the text."""
