@@ -21,6 +21,7 @@ import oracles
 from ledgerlens.functions import wire
 from ledgerlens.functions.features import entity_id, event_timestamp
 from ledgerlens.operators import (
+    buckets,
     drift,
     metrics,
     models,
@@ -627,6 +628,15 @@ def score_lookup_join(spark, d):
     return scoring.lookup(t, events.stored_features(t)).select("event_id", ENTITY_KEY, *FEATURE_NAMES)
 
 
+@query
+def score_lookup_buckets(spark, d):
+    """The lookup of `score_lookup_join` with the stored rows in key buckets."""
+    t, path = events.transactions(spark, d), scratch_path(spark, "buckets")
+    buckets.write_buckets(events.stored_features(t), path, 16)
+    found = buckets.lookup(t, buckets.read_buckets(spark, path))
+    return found.select("event_id", ENTITY_KEY, *FEATURE_NAMES)
+
+
 @query
 def score_missing(spark, d):
     t = events.transactions(spark, d)

@@ -527,6 +527,14 @@ def statements() -> dict[str, str]:
             )
             + " FROM f"
         ),
+        "score_lookup_buckets": _features(
+            "SELECT event_id, transaction_id, "
+            + ", ".join(
+                f"CASE WHEN event_timestamp < TIMESTAMP '2024-01-28 00:00:00' THEN {c} END AS {c}"
+                for c in FEATURE_LIST.split(", ")
+            )
+            + " FROM f"
+        ),
         "score_missing": _features(
             "SELECT event_id, transaction_id FROM f WHERE event_timestamp >= TIMESTAMP '2024-01-28 00:00:00'"
         ),
