@@ -9,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
+import gc
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,6 +48,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of queries that nothing refers to any more.
+
+    Its cleaner follows the driver's garbage collection, which small plans rarely cause.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def frugal(task):
     """A task's generator that gives free memory back to the system when it ends.
 

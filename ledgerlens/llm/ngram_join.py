@@ -19,10 +19,10 @@ number of a set's tokens hash to i, so two sketches never differ in more bits th
 in tokens, and a pair that differs in more than it may is no link. The pairs under a key
 are compared by their sketches inside a task; keys with many sets are cut into blocks, and
 each pair of blocks is a group of its own. The sets of a key's largest component are not
-compared with each other. All pairs that may be links are verified, and that is the end of
-a key, unless a group has very many of them: such a group puts out the nearest pair of each
-set only, and its key goes to another round, with the components found by then. When a
-round finds no link, the keys that are left put out all their pairs.
+compared with each other. Of the pairs that may be links a group puts out those that
+connect its components, nearest first; if it has others, its key goes to another round,
+with the components found by then. Keys of one component are done. When a round finds no
+link, the keys that are left put out all their pairs.
 """
 
 from __future__ import annotations
@@ -46,8 +46,6 @@ from ledgerlens.llm.graph import components
 BLOCK = 4096
 #: Groups of so few sets are compared many at a time, by lists of so many pairs.
 SMALL_GROUP, PAIRS_AT_ONCE = 64, 1 << 20
-#: A larger group gives all its near pairs if there are no more than so many a set.
-PER_SET = 4
 ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 16, 4 << 20
 BROADCAST_NODES = 500_000
 SET_LOW, SET_HIGH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -321,8 +319,8 @@ def _possible(batches, num: int, den: int, nearest: bool):
     """Rows sorted by `GROUP`: pairs of different roots under a key that may be links.
 
     A group is two blocks of at most about `BLOCK` sets, or one with itself; it is held
-    until it is whole. With `nearest` a group that has more than `PER_SET` pairs a set gives
-    only the nearest of each set, and its key.
+    until it is whole. With `nearest` a group gives only pairs that connect components,
+    nearest first, and its key if there are others.
     """
     held = None
     for batch in batches:
@@ -346,7 +344,7 @@ def _pairs(batch: pa.RecordBatch, num: int, den: int, nearest: bool) -> pa.Recor
     own = np.cumsum(new) - 1
     lefts = np.bincount(own, block == low)
     right = np.where(low[begin[:-1]] == high[begin[:-1]], -1, begin[:-1] + lefts.astype(np.int64))
-    found, more = [(np.zeros(0, np.int64),) * 2], []
+    found = [(np.zeros(0, np.int64),) * 3]
     small = np.diff(begin)[own] <= SMALL_GROUP
     at = np.flatnonzero(small)
     first = np.where(right[own[at]] < 0, at + 1, np.where(block[at] == low[at], right[own[at]], begin[own[at] + 1]))
@@ -358,11 +356,11 @@ def _pairs(batch: pa.RecordBatch, num: int, den: int, nearest: bool) -> pa.Recor
     for g in np.flatnonzero(np.diff(begin) > SMALL_GROUP):
         rows = np.arange(begin[g], begin[g + 1])
         left, partners = (rows, rows) if right[g] < 0 else (rows[rows < right[g]], rows[rows >= right[g]])
-        i, j, all_of_them = _near_blocks(left, partners, root, size, sketches, num, den, nearest)
-        found.append((np.minimum(node[i], node[j]), np.maximum(node[i], node[j])))
-        if not all_of_them:
-            more.append(key[begin[g]])
-    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.append(_near_blocks(left, partners, own, root, size, sketches, num, den, nearest))
+    i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+    kept = _spanning(own[i], root[i], root[j], distance) if nearest else np.ones(len(i), bool)
+    more = np.unique(key[begin[np.unique(own[i[~kept]])]])
+    a, b = (f(node[i[kept]], node[j[kept]]) for f in (np.minimum, np.maximum))
     columns = [pa.array(x, pa.int64()) for x in (a, b)], pa.nulls(len(more), pa.int64())
     return pa.record_batch(
         [pa.concat_arrays([c, columns[1]]) for c in columns[0]] + [pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(more, pa.int64())])],
@@ -388,17 +386,35 @@ def _near_pairs(i, j, node, size, sketches: Sketches, num: int, den: int):
             differ = sketches.rows(i[same], int(bytes_)) ^ sketches.rows(j[same], int(bytes_))
             distance[same] = np.bitwise_count(differ).sum(1, dtype=np.int64)
     near = distance * (den + num) <= (den - num) * (size[i] + size[j])
-    i, j = i[near], j[near]
-    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+    return i[near], j[near], distance[near]
+
+
+def _spanning(group, x, y, distance) -> np.ndarray:
+    """Of pairs between components x and y of a group, nearest first, those that connect
+    what no pair before them has connected in the group."""
+    kept, above = np.zeros(len(group), bool), {}
 
+    def top(c):
+        while (up := above.get(c, c)) != c:
+            above[c] = above.get(up, up)
+            c = up
+        return c
 
-def _near_blocks(rows, partners, root, size, sketches: Sketches, num: int, den: int, nearest: bool):
-    """Places (i, j) of near pairs of two blocks, a strip of rows at a time, and whether
-    these are all."""
+    order = np.argsort(distance, kind="stable")
+    for at, g, p, q in zip(order.tolist(), group[order].tolist(), x[order].tolist(), y[order].tolist()):
+        p, q = top((g, p)), top((g, q))
+        if p != q:
+            above[p] = q
+            kept[at] = True
+    return kept
+
+
+def _near_blocks(rows, partners, own, root, size, sketches: Sketches, num: int, den: int, nearest: bool):
+    """Places (i, j) and distances of the near pairs of two blocks, a strip of rows at a
+    time; with `nearest` of every strip those that connect, and one more if any is left out."""
     length = int(min(sketches.size[rows].min(), sketches.size[partners].min()))
     left, right = sketches.rows(rows, length), sketches.rows(partners, length)
-    most = PER_SET * (len(rows) + len(partners)) if nearest else math.inf
-    found, total = [(np.zeros(0, np.int64),) * 3], 0
+    found = [(np.zeros(0, np.int64),) * 3]
     for part in np.array_split(np.arange(len(rows)), len(rows) // 128 + 1):
         distance = np.zeros((len(part), len(partners)), np.int32)
         for word in range(left.shape[1]):
@@ -408,25 +424,14 @@ def _near_blocks(rows, partners, root, size, sketches: Sketches, num: int, den:
         if rows is partners:
             near &= part[:, None] < np.arange(len(partners))[None]
         i, j = np.nonzero(near)
-        found.append((part[i], j, distance[i, j]))
-        if total <= most < total + len(i):
-            found = [_nearest(found)]
-        elif total > most:
-            found[-1] = _nearest(found[-1:])
-        total += len(i)
-    i, j, _ = (np.concatenate(x) for x in zip(*found, strict=True))
-    return rows[i], partners[j], total <= most
-
-
-def _nearest(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each row, and of each partner, the pair of least distance."""
-    i, j, distance = (np.concatenate(x) for x in zip(*found, strict=True))
-    kept = []
-    for end in (i, j):
-        order = np.lexsort((distance, end))
-        kept.append(order[np.concatenate([[True], end[order][1:] != end[order][:-1]])] if len(order) else order)
-    kept = np.unique(np.concatenate(kept))
-    return i[kept], j[kept], distance[kept]
+        i, j, distance = rows[part[i]], partners[j], distance[i, j].astype(np.int64)
+        if nearest and len(i):
+            kept = _spanning(own[i], root[i], root[j], distance)
+            if not kept.all():  # it stays behind again, and so names its key
+                kept[np.argmin(kept)] = True
+            i, j, distance = i[kept], j[kept], distance[kept]
+        found.append((i, j, distance))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def possible_links(placed: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool = False) -> DataFrame:
@@ -518,6 +523,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         .filter("a < b"),
         "shared-keys",
     )
+    common.let_go(spark)
     many = shared.filter("members > 2").select("key", "a")
     wanted = spark.sparkContext.broadcast(common.key_filter(many, "key"))
     again = texts.mapInArrow(lambda b: _keys(b, n, edges, plans, num, den, wanted), "key long, node long")
@@ -537,10 +543,12 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         .dropDuplicates(["node"])
     )
     sets = stored(sets, "sets")
+    common.let_go(spark)
     links, done = stored(verified(stars, sets, num, den), "links"), stars
     members = members.select("key", "node")
     nearest = True
     while True:
+        common.let_go(spark)
         roots = components(links)
         placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         round_ = stored(possible_links(placed, sets, num, den, nearest), "possible")

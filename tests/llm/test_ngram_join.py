@@ -18,7 +18,7 @@ def test_near_copies_of_one_text(spark, monkeypatch, rounds):
     """Chains of edits: neighbours are linked, the ends are not. Also with every key in
     several blocks and in rounds of nearest pairs."""
     if rounds:
-        for name, value in (("PER_SET", 0), ("SMALL_GROUP", 1), ("BLOCK", 8), ("ROWS_AT_ONCE", 64), ("BYTES_AT_ONCE", 500)):
+        for name, value in (("SMALL_GROUP", 1), ("BLOCK", 8), ("ROWS_AT_ONCE", 64), ("BYTES_AT_ONCE", 500)):
             monkeypatch.setattr(nj, name, value)
     words = [f"w{i}" for i in range(200)]
     rows = []
@@ -95,15 +95,17 @@ def test_small_and_large_groups_give_the_same_pairs(monkeypatch, nearest):
         return {p[:2] for p in found if p[2] is None}, {p[2] for p in found} - {None}
 
     listed, more = pairs(7, 64)
-    assert len(listed) > 10 and not more
-    assert (listed, more) == pairs(200, 64)
-    strips, more = pairs(7, 0)  # folded to the group's shortest sketch, so some more may stay
-    assert listed <= strips and len(strips) < 3 * len(listed) and not more
-    monkeypatch.setattr(nj, "PER_SET", 0)
-    fewer, more = pairs(7, 0)
-    assert fewer <= strips and bool(more) == nearest
-    assert {x for p in fewer for x in p} == {x for p in strips for x in p}
-    assert nearest or fewer == strips
+    assert len(listed) > 10
+    strips, left = pairs(7, 0)  # folded to the group's shortest sketch, so some more may stay
+    if nearest:
+        monkeypatch.setattr(nj, "SMALL_GROUP", 64)
+        every = [p for out in nj._possible([batch], 85, 100, False) for p in zip(*(c.to_pylist() for c in out.columns))]
+        assert listed <= {p[:2] for p in every} and more
+        assert {x // 2 for p in listed for x in p} == {x // 2 for p in every for x in p[:2]}
+        assert more <= left | more and len(listed) <= 6 * 14
+    else:
+        assert (listed, more) == pairs(200, 64) and not more and not left
+        assert listed <= strips and len(strips) < 3 * len(listed)
     assert all(a < b and a // 2 != b // 2 for a, b in listed)
 
 
