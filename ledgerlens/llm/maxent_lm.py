@@ -1,11 +1,16 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-Tokens are lower-cased words and one end per document. A word's class is its last two
-bytes, if they are among the most frequent endings of the training tokens. The model is
-P(word | history) = P(class | history) * (c + 1) / (N_class + V_class + 1): the first factor
-is a softmax over classes with four hashed features (previous word, previous two words, the
-word before with one skipped, classes of the two before), the second is the smoothed count
-in the class. Every history's probabilities sum to one, unknown words included.
+Tokens are lower-cased words and one end per document. Words lie in 256 cells, in 16 groups
+of 16: the 160 most frequent words and the end have cells of their own, the others share the
+cell of their last two bytes, if these are a frequent ending, or one of 32 cells by a hash
+of them. Cells of alike endings are neighbours, and so mostly in one group. The model is
+P(word | history) = P(group | history) * P(cell | group, history) * (c + 1) / (N + V + 1),
+N and V being the cell's tokens and words. The first two factors are softmaxes, each with
+its own weights on four hashed features (previous word, previous two words, the word before
+with one skipped, cells of the two before); the second shares its rows out to the groups by
+their tokens. Words with a cell of their own are thus told apart by the history, words in
+one cell by their smoothed count. Every history's probabilities sum to one, unknown words
+included.
 
 Training covers every training token in every round: tasks sum the gradient of the log
 likelihood for their part, one aggregate of fixed size adds these up, and the driver moves
@@ -26,14 +31,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
-from ledgerlens.llm.common import K2, mix, split_words, stored, text_bytes
-
-CLASSES, ROWS, KINDS = 48, 4096, 4
-END_CLASS, OTHER_CLASS = CLASSES - 1, CLASSES - 2
+from ledgerlens.llm.common import K2, K3, mix, split_words, stored, text_bytes
+
+CELLS, WIDE, KINDS = 256, 16, 4
+GROUPS = CELLS // WIDE
+#: Rows of a kind of feature: in the softmax over groups, in the one over a group's cells.
+OUTER, INNER = 4096, 8192
+TABLE_ROWS = KINDS * (OUTER + INNER)
+#: Words with a cell of their own, and cells that all endings share which have none.
+OWN, SHARED = 160, 32
+END_CELL = CELLS - 1
 END, START = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 END_ENDING = 1 << 16
 FREQUENT = 1 << 18
-#: Bytes of text whose class scores mostly stay in cache; larger and smaller pieces took longer.
+#: Bytes of text whose scores mostly stay in cache.
 IN_CACHE = 1 << 18
 HELD = 7
 
@@ -68,29 +79,92 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     return Tokens(hashes, ending, first)
 
 
-def features(t: Tokens, kind: np.ndarray) -> list[np.ndarray]:
-    """Rows of the weight table of each token's history, one array for each kind of feature."""
-    one, two = t.before(t.hash, 1, START), t.before(t.hash, 2, START)
-    near, far = t.before(kind, 1, OTHER_CLASS), t.before(kind, 2, OTHER_CLASS)
-    row = lambda x: (mix(x) >> np.uint64(64 - 12)).astype(np.int64)
-    return [row(one), ROWS + row(one * K2 + two), 2 * ROWS + row(two), 3 * ROWS + near.astype(np.int64) * CLASSES + far]
+@dataclass
+class Cells:
+    """Where words lie, and which rows of a kind the cells of each group have."""
+
+    words: np.ndarray  # hashes of the words with a cell of their own, sorted
+    own: np.ndarray
+    of_ending: np.ndarray
+    start: np.ndarray  # by group
+    rows: np.ndarray
+
+    def of(self, t: Tokens) -> np.ndarray:
+        cell = self.of_ending[t.ending]
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, t.hash), len(self.words) - 1)
+            cell = np.where(self.words[at] == t.hash, self.own[at], cell)
+        return cell
 
+    def group_of_row(self) -> np.ndarray:
+        return np.repeat(np.arange(GROUPS), self.rows)
 
-def _class_scores(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Logits of every token and class, the largest of a token moved to 0."""
-    z = weights[rows[0]]
-    z += bias
+
+def choose_cells(endings: pd.DataFrame, top: pd.DataFrame) -> tuple[Cells, np.ndarray, np.ndarray]:
+    """Cells of the words, and tokens and distinct words of each cell.
+
+    `endings`: ending, n, v (all tokens and words with it); `top`: frequent words.
+    """
+    own = top[top["ending"] != END_ENDING].sort_values(["n", "word"], ascending=[False, True])[:OWN]
+    inside = own.groupby("ending")["n"].agg(["sum", "count"]).reindex(endings["ending"], fill_value=0)
+    n = endings["n"].to_numpy(np.int64) - inside["sum"].to_numpy(np.int64)
+    v = endings["v"].to_numpy(np.int64) - inside["count"].to_numpy(np.int64)
+    ending = endings["ending"].to_numpy(np.int64)
+    named = [e for e in ending[np.lexsort((ending, -n))] if e != END_ENDING][: END_CELL - OWN - SHARED]
+
+    alike = lambda e: (int(e) & 255, int(e) >> 8)
+    units = [(*alike(e), 0, int(e)) for e in named] + [(*alike(e), 1, i) for i, e in enumerate(own["ending"])]
+    of_ending = np.empty(END_ENDING + 1, np.int32)
+    shared = (mix(np.arange(END_ENDING + 1, dtype=np.uint64) + K2) % np.uint64(SHARED)).astype(np.int32)
+    of_ending[:] = END_CELL - SHARED + shared
+    of_ending[END_ENDING] = END_CELL
+    cell_of_own = np.zeros(len(own), np.int32)
+    for cell, (_, _, single, what) in enumerate(sorted(units)):
+        (cell_of_own if single else of_ending)[what] = cell
+    tokens_in = np.bincount(of_ending[ending], n, CELLS) + np.bincount(cell_of_own, own["n"].to_numpy(float), CELLS)
+    words_in = np.bincount(of_ending[ending], v, CELLS) + np.bincount(cell_of_own, minlength=CELLS)
+
+    by_group = tokens_in.reshape(GROUPS, WIDE).sum(1)
+    rows = 1 + ((INNER - GROUPS) * by_group / max(by_group.sum(), 1)).astype(np.int64)
+    rows[np.argmax(rows)] += INNER - rows.sum()
+    hashes = own["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Cells(hashes[order], cell_of_own[order], of_ending, np.cumsum(rows) - rows, rows), tokens_in, words_in
+
+
+def features(t: Tokens, cell: np.ndarray, cells: Cells) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Rows of the weight table of each token's history, by kind: over groups, over cells."""
+    one, two = t.before(t.hash, 1, START), t.before(t.hash, 2, START)
+    near, far = t.before(cell, 1, END_CELL), t.before(cell, 2, END_CELL)
+    group = cell // WIDE
+    rows, start = cells.rows.astype(np.uint64)[group], cells.start[group]
+    outer, inner = [], []
+    for k, x in enumerate((one, one * K2 + two, two, (near * CELLS + far).astype(np.uint64) + K3)):
+        h = mix(x)
+        outer.append(k * OUTER + (h >> np.uint64(64 - 12)).astype(np.int64))
+        low = ((h & np.uint64(0xFFFFFFFF)) * rows >> np.uint64(32)).astype(np.int64)
+        inner.append(KINDS * OUTER + k * INNER + start + low)
+    return outer, inner
+
+
+def _raised(table: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of every token and choice, and their exponentials' sums.
+
+    A weight moves by at most one a round, so no exponential leaves the range of floats.
+    """
+    z = table.take(rows[0], 0)
     for r in rows[1:]:
-        z += weights[r]
-    z -= z.max(1, keepdims=True)
-    return z
+        z += table.take(r, 0)
+    return z, np.exp(z) @ np.ones(WIDE, z.dtype)
 
 
-def class_logs(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """log P(class | history) of every token and class."""
-    z = _class_scores(weights, bias, rows)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+def history_logs(table: np.ndarray, cells: Cells, t: Tokens, cell: np.ndarray) -> np.ndarray:
+    """log P(cell | history) of every token's own cell."""
+    out = np.zeros(len(cell))
+    for rows, choice in zip(features(t, cell, cells), (cell // WIDE, cell % WIDE), strict=True):
+        z, total = _raised(table, rows)
+        out += z[np.arange(len(cell)), choice] - np.log(total)
+    return out
 
 
 def _pieces(column: pa.Array, limit: int = 1 << 20):
@@ -119,92 +193,107 @@ def _counts(batches, most: int = 1 << 20):
     yield out()
 
 
-def _observed(batches, class_of: np.ndarray):
-    """Per row of the weight table, a task's tokens of each class; the same in every round."""
-    seen = np.zeros(KINDS * ROWS * CLASSES)
+def _spans() -> list[tuple[int, int]]:
+    """Where the rows of each kind begin in the table, and how many there are."""
+    outer = [(k * OUTER, OUTER) for k in range(KINDS)]
+    return outer + [(KINDS * OUTER + k * INNER, INNER) for k in range(KINDS)]
+
+
+def _observed(batches, cells: Cells):
+    """Per row of the weight table, a task's tokens of each choice; the same in every round."""
+    seen = np.zeros((TABLE_ROWS, WIDE))
     for batch in batches:
-        at = [np.zeros(0, np.int64)]
         for _, _, t in _pieces(batch.column(0)):
-            kind = class_of[t.ending]
-            at += [r * CLASSES + kind for r in features(t, kind)]
-        seen += np.bincount(np.concatenate(at), minlength=len(seen))
-    yield from _table(seen.reshape(-1, CLASSES))
+            cell = cells.of(t)
+            outer, inner = features(t, cell, cells)
+            choices = [cell // WIDE] * KINDS + [cell % WIDE] * KINDS
+            for rows, choice, (low, many) in zip(outer + inner, choices, _spans(), strict=True):
+                at = (rows - low) * WIDE + choice
+                seen[low : low + many] += np.bincount(at, minlength=many * WIDE).reshape(-1, WIDE)
+    yield from _table(seen)
 
 
-def _expected(batches, class_of: np.ndarray, weights: np.ndarray, bias: np.ndarray):
+def _expected(batches, cells: Cells, table: np.ndarray):
     """The same as the model expects them, summed over a task's histories."""
-    total = np.zeros((KINDS * ROWS, CLASSES))
+    total = np.zeros((WIDE, TABLE_ROWS))
     for batch in batches:
         for _, _, t in _pieces(batch.column(0), IN_CACHE):
-            rows = features(t, class_of[t.ending])
-            p = _class_scores(weights, bias, rows)
-            np.exp(p, out=p)
-            p /= p.sum(1, keepdims=True)
-            for r in rows:
-                order = np.argsort(r, kind="stable")
-                own, begin = np.unique(r[order], return_index=True)
-                total[own] += np.add.reduceat(p[order], begin, axis=0)
-    yield from _table(total)
+            outer, inner = features(t, cells.of(t), cells)
+            shares = [_shares(table, outer)] * KINDS + [_shares(table, inner)] * KINDS
+            for rows, p, (low, many) in zip(outer + inner, shares, _spans(), strict=True):
+                for own, weight in zip(total, p, strict=True):
+                    own[low : low + many] += np.bincount(rows - low, weight, many)
+    yield from _table(total.T)
+
+
+def _shares(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Every choice's probability for each token, one choice after the other."""
+    z, sums = _raised(table, rows)
+    p = np.ascontiguousarray(np.exp(z, out=z).T, np.float64)
+    p /= sums
+    return p
 
 
 def _table(sums: np.ndarray):
     some = np.flatnonzero(sums.any(1))
-    yield pa.record_batch([pa.array(some), *(pa.array(sums[some, k]) for k in range(CLASSES))], ["row", *COLUMNS])
+    yield pa.record_batch([pa.array(some), *(pa.array(sums[some, k]) for k in range(WIDE))], ["row", *COLUMNS])
 
 
 def _summed(parts: DataFrame) -> np.ndarray:
-    """The tasks' tables added up: at most KINDS * ROWS rows, whatever the corpus is."""
+    """The tasks' tables added up: at most TABLE_ROWS rows, whatever the corpus is."""
     rows = parts.groupBy("row").agg(*(F.sum(x).alias(x) for x in COLUMNS)).toPandas()
-    out = np.zeros((KINDS * ROWS, CLASSES))
+    out = np.zeros((TABLE_ROWS, WIDE))
     out[rows["row"].to_numpy()] = rows[COLUMNS].to_numpy()
     return out
 
 
-COLUMNS = [f"c{k}" for k in range(CLASSES)]
+COLUMNS = [f"c{k}" for k in range(WIDE)]
 TABLE = "row long, " + ", ".join(f"{x} double" for x in COLUMNS)
 
 
 @dataclass
 class Model:
-    class_of: np.ndarray
-    weights: np.ndarray
-    bias: np.ndarray
-    class_total: np.ndarray  # N_class + V_class + 1
+    cells: Cells
+    table: np.ndarray  # logits of no history are in the rows of the first kind
+    cell_total: np.ndarray  # N + V + 1 of each cell
     words: np.ndarray  # the most frequent words, sorted, and their counts
     counts: np.ndarray
     total: int
     distinct: int
 
 
-def fit(training: DataFrame, vocabulary: DataFrame, rounds: int = 3, prior: float = 4.0) -> Model:
+def fit(training: DataFrame, vocabulary: DataFrame, rounds: int = 3, prior: float = 12.0) -> Model:
     """Trains on every token of `training` (column text); `vocabulary`: word, ending, n."""
+    if rounds > 20:
+        raise ValueError("more than 20 rounds may leave the range of single floats")
+    top = frequent_words(vocabulary).toPandas()
     endings = vocabulary.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
-    named = endings[endings["ending"] != END_ENDING].sort_values(["n", "ending"], ascending=[False, True])
-    class_of = np.full(END_ENDING + 1, OTHER_CLASS, np.int32)
-    class_of[named["ending"].to_numpy()[:OTHER_CLASS]] = np.arange(min(len(named), OTHER_CLASS))
-    class_of[END_ENDING] = END_CLASS
-    kind = class_of[endings["ending"].to_numpy(np.int64)]
-    tokens_in = np.bincount(kind, endings["n"].to_numpy(float), CLASSES)
-    class_total = tokens_in + np.bincount(kind, endings["v"].to_numpy(float), CLASSES) + 1
+    cells, tokens_in, words_in = choose_cells(endings, top)
     total = int(tokens_in.sum())
-    share = (tokens_in + 1) / (total + CLASSES)
-    bias = np.log(share).astype(np.float32)
-    weights = np.zeros((KINDS * ROWS, CLASSES), np.float32)
+    by_group = tokens_in.reshape(GROUPS, WIDE).sum(1)
+    outer = (by_group + 1) / (total + GROUPS)
+    inner = (tokens_in.reshape(GROUPS, WIDE) + 1) / (by_group[:, None] + WIDE)
+    per_row = inner[cells.group_of_row()]
+    share = np.concatenate([np.broadcast_to(outer, (KINDS * OUTER, WIDE)), np.tile(per_row, (KINDS, 1))])
+    bias = np.zeros((TABLE_ROWS, WIDE))
+    bias[:OUTER], bias[KINDS * OUTER :][:INNER] = np.log(outer), np.log(per_row)
+    table = bias.astype(np.float32)
     context, texts = training.sparkSession.sparkContext, training.select("text")
     if total:
-        seen = _summed(texts.mapInArrow(lambda b: _observed(b, class_of), TABLE))
+        seen = _summed(texts.mapInArrow(lambda b: _observed(b, cells), TABLE))
     for k in range(rounds if total else 0):
         if k:
-            now = context.broadcast(weights)
-            expected = _summed(texts.mapInArrow(lambda b, now=now: _expected(b, class_of, now.value, bias), TABLE))
+            now = context.broadcast(table)
+            expected = _summed(texts.mapInArrow(lambda b, now=now: _expected(b, cells, now.value), TABLE))
+            now.destroy()
         else:
             expected = seen.sum(1, keepdims=True) * share  # of weights that are all zero
         step = (seen - expected) / (np.maximum(seen, expected) + prior)
-        weights = weights + step.astype(np.float32) / (1 if k else 2)
-    top = frequent_words(vocabulary).toPandas()
+        table = table + step.astype(np.float32) / (1 if k else 2)
     words = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
-    return Model(class_of, weights, bias, class_total, words[order], top["n"].to_numpy(np.int64)[order], total, int(endings["v"].sum()))
+    counts = top["n"].to_numpy(np.int64)[order]
+    return Model(cells, table, tokens_in + words_in + 1, words[order], counts, total, int(endings["v"].sum()))
 
 
 def frequent_words(vocabulary: DataFrame) -> DataFrame:
@@ -222,8 +311,8 @@ def frequent_words(vocabulary: DataFrame) -> DataFrame:
             break
         least = row["level"]
     if least is None:
-        return vocabulary.select("word", "n").limit(0)
-    return vocabulary.filter(level >= least).select("word", "n")
+        return vocabulary.select("word", "ending", "n").limit(0)
+    return vocabulary.filter(level >= least).select("word", "ending", "n")
 
 
 def _frequent(model: Model, hashes: np.ndarray) -> np.ndarray:
@@ -241,13 +330,13 @@ def _text_key(hashes: np.ndarray) -> int:
 
 def _documents(batches, shared):
     model = shared.value
-    smooth = np.log(model.class_total)
+    smooth = np.log(model.cell_total)
     for batch in batches:
         held = common.held_out(batch.column(0), HELD)
         n, known, logs, gain, key = [], [], [], [], []
         for _, _, t in _pieces(batch.column(1), IN_CACHE):
-            kind = model.class_of[t.ending]
-            value = class_logs(model.weights, model.bias, features(t, kind))[np.arange(len(kind)), kind] - smooth[kind]
+            cell = model.cells.of(t)
+            value = history_logs(model.table, model.cells, t, cell) - smooth[cell]
             count = _frequent(model, t.hash)
             begin = t.first[:-1]
             n.append(np.diff(t.first))
