@@ -48,7 +48,7 @@ from ledgerlens.schema import (
 from ledgerlens.session import scratch_path, shared_dir
 from ledgerlens.sources import events, log, tables
 from ledgerlens.streaming import jobs as stream_jobs
-from ledgerlens.streaming import online, panels, source, state
+from ledgerlens.streaming import live, online, panels, source, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTERED: dict[str, Query] = {}
@@ -797,12 +797,26 @@ def st_state_newest(spark, d):
 
 @query
 def st_windowed_monitoring(spark, d):
-    live = events.outcome_log(source.event_transactions(spark, d), events.stored_features(events.transactions(spark, d)))
+    outcomes = events.outcome_log(source.event_transactions(spark, d), events.stored_features(events.transactions(spark, d)))
     path = scratch_path(spark, "panels")
-    stream_jobs.run_batches(live, panels.write_into(path), scratch_path(spark, "panels-checkpoint"))
+    stream_jobs.run_batches(outcomes, panels.write_into(path), scratch_path(spark, "panels-checkpoint"))
     return rounded(panels.request_rate(panels.read(spark, path)), "requests_per_second")
 
 
+@query
+def st_live_performance(spark, d):
+    """Labels come up to nine days after their requests; those of a week and less count."""
+    sent = source.event_transactions(spark, d)
+    outcomes = events.outcome_log(sent, events.stored_features(events.transactions(spark, d)))
+    labelled_at = F.col("ts") + F.make_dt_interval(F.pmod("event_id", F.lit(10)).cast("int"))
+    labels = source.event_transactions(spark, d).select("event_id", "isFraud", labelled_at.alias("labelled_at"))
+    path = scratch_path(spark, "live")
+    # The files of the table are in no order of time, so no row of it may count as late.
+    pairs = live.judged(outcomes, labels, "7 days", late="10000 days")
+    stream_jobs.run_batches(pairs, live.write_into(path), scratch_path(spark, "live-checkpoint"))
+    return rounded(live.read(spark, path).drop("expired"), *metrics.SCORES)
+
+
 # ---- feature tables
 
 

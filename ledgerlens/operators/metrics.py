@@ -16,7 +16,7 @@ METRICS = (*SCORES, *RANKING, *CONFUSION)
 COMPARED = ("average_precision", "roc_auc", "recall", "precision", "f1")
 
 
-def _cells(truth: str, prediction: str) -> dict[str, Column]:
+def confusion_cells(truth: str, prediction: str) -> dict[str, Column]:
     t, p = F.col(truth), F.col(prediction)
     return {
         "true_negatives": F.count_if((t == 0) & (p == 0)),
@@ -44,7 +44,7 @@ def score_columns() -> dict[str, Column]:
 def confusion(
     scored: DataFrame, truth: str = "truth", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    return scored.groupBy(*by).agg(*[c.alias(n) for n, c in _cells(truth, prediction).items()])
+    return scored.groupBy(*by).agg(*[c.alias(n) for n, c in confusion_cells(truth, prediction).items()])
 
 
 def scores(
@@ -100,7 +100,7 @@ def evaluate(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """All ten metrics, one row per group, from one aggregation by score."""
-    cells = _cells(truth, prediction)
+    cells = confusion_cells(truth, prediction)
     grouped = (
         scored.withColumn("_truth", F.col(truth))
         .groupBy(*by, probability)

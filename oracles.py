@@ -609,6 +609,10 @@ def statements() -> dict[str, str]:
         ),
         "mon_history_cap": _scored("SELECT seq, truth, prediction, prediction = truth AS correct FROM sc ORDER BY seq DESC LIMIT 500"),
         "mon_recent": _scored("SELECT seq, truth, prediction, prediction = truth AS correct FROM sc ORDER BY seq DESC LIMIT 25"),
+        "st_live_performance": f"""{_with(LOG, SCORED, OUTCOMES)},
+            judged AS (SELECT * FROM ol WHERE outcome = 'success' AND event_id % 10 <= 7)
+            SELECT tn AS true_negatives, fp AS false_positives, fn AS false_negatives, tp AS true_positives,
+              tn + fp + fn + tp AS scored, {RATES} FROM {_cells_of('judged')}""",
         "st_features": f"{_with(SENT, FEATURES)} SELECT event_id, {VIEW} FROM f WHERE k NOT IN (0, 1, 2, 3, 7)",
         "st_fault_isolation": f"""{_with(SENT)} SELECT CASE WHEN reason IS NULL THEN 'OK' ELSE 'SKIPPED' END AS status,
             CASE WHEN reason IS NOT NULL THEN 'invalid' END AS kind, reason, count(*) AS rows,
