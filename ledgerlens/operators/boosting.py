@@ -1,10 +1,11 @@
 """Second-order boosted trees on binned columns, grown by Spark aggregates.
 
 Every input is cut once at 254 estimated quantiles; a row keeps one byte per input (the last
-value is for missing numbers), its label, weight and score. A round fits one tree to the
-gradients and hessians of the logistic loss. A pass sums both by node, input and bin in the
-tasks, Spark adds the sums, and the driver, which sees one number per cell, picks the
-splits. Of two siblings only the one with fewer rows is summed; the other is the
+value is for missing numbers), its label, weight and score. Rows that agree in all bytes,
+label and weight stay alike in every round, so they are kept once, with their number. A
+round fits one tree to the gradients and hessians of the logistic loss. A pass sums both by
+node, input and bin in the tasks, Spark adds the sums in a tree, and the driver, which sees
+one number per cell, picks the splits. Of two siblings only the one with fewer rows is summed; the other is the
 difference to the parent. Leaves are worth -G / (H + L2) times the step size.
 
 `level` growth splits every node of a depth that gains, down to `maxDepth`: one pass a
@@ -12,8 +13,10 @@ depth. `leaf` growth splits the leaf of greatest gain until there are `maxLeaves
 depth; each pass serves all leaves that may be next, so there is at most one pass a depth
 here, too, and the tree is the same as if they were asked for one by one.
 
-Rows keep no state between passes. Their scores are written every `STORE_EVERY` rounds to
-the shared folder, which cuts the lineage; in between each pass adds the few trees since.
+Rows are cached as blocks of arrays, so a pass is one short stage of as many tasks as there
+are cores, or more where a task would get beyond `TASK_ROWS` rows. The first pass of a round
+adds the tree before to the scores and caches the blocks anew. Every `STORE_EVERY` rounds
+they are checkpointed in the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -32,12 +36,14 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import drop_path, scratch_path
+from ledgerlens.session import drop_path, shared_dir
 
 BINS = 256
 MISSING = BINS - 1
 EDGES = BINS - 2
 STORE_EVERY = 10
+TASK_ROWS = 1 << 18
+FLAT_TASKS = 16  # the sums of so many tasks are added on the driver alone
 LEAST_GAIN, ALIKE = 1e-6, 1e-10
 LEVEL, LEAF = "level", "leaf"
 
@@ -220,13 +226,14 @@ def _by_leaf(g: _Growing) -> Tree:
 # ---- passes over rows
 
 ROWS = "bins binary, label double, weight double, score double"
+BLOCK_FIELDS = ("bins", "label", "weight", "rows", "score")
+BLOCKS = ", ".join(f"{f} binary" for f in BLOCK_FIELDS)
+Block = tuple[np.ndarray, ...]  # bins (rows, columns), label, summed weight, rows, score
 
 
-def _bins(batch: pa.RecordBatch, columns: int) -> np.ndarray:
-    packed = batch.column(0)
+def _octets(packed: pa.Array) -> np.ndarray:
     ends = np.frombuffer(packed.buffers()[1], np.int32, len(packed) + 1, packed.offset * 4)
-    octets = np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    return octets.reshape(len(packed), columns)
+    return np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]]
 
 
 def edges_of(rows: DataFrame, inputs: Sequence[str]) -> list[np.ndarray]:
@@ -274,55 +281,76 @@ def slopes(score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np
     return weight * (p - label), weight * p * (1 - p)
 
 
-def cell_sums(bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int) -> np.ndarray:
+def cell_sums(
+    bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int, rows: np.ndarray | None = None
+) -> np.ndarray:
     """(3, slots, columns, bins): gradient, hessian and rows; a negative slot is not summed."""
-    inside = slot >= 0
-    bins, slot, g, h = bins[inside], slot[inside], g[inside], h[inside]
-    columns = bins.shape[1]
-    cell = ((slot[:, None] * columns + np.arange(columns)) * BINS + bins).ravel()
-    sums = [np.bincount(cell, None if w is None else np.repeat(w, columns), slots * columns * BINS) for w in (g, h, None)]
-    return np.array(sums, float).reshape(3, slots, columns, BINS)
+    inside = np.flatnonzero(slot >= 0)
+    bins, first = bins[inside], slot[inside] * BINS
+    weights = [None if w is None else w[inside] for w in (g, h, rows)]
+    out = np.empty((3, slots, bins.shape[1], BINS))
+    for j in range(bins.shape[1]):
+        cell = first + bins[:, j]
+        for k, w in enumerate(weights):
+            out[k, :, j] = np.bincount(cell, w, slots * BINS).reshape(slots, BINS)
+    return out
 
 
-def _pass(rows: DataFrame, columns: int, recent: list[Tree], tree: Tree, nodes: list[int]) -> dict[int, np.ndarray]:
+def _pass(blocks: RDD[Block], columns: int, tree: Tree, nodes: list[int]) -> dict[int, np.ndarray]:
     """One aggregate over all rows; per asked node, input and bin one number comes back."""
 
-    def summed(batches):
+    def summed(part):
         slot_of = np.full(len(tree.column), -1)
         slot_of[nodes] = np.arange(len(nodes))
-        total = 0
-        for batch in batches:
-            if batch.num_rows:
-                bins = _bins(batch, columns)
-                label, weight, score = (batch.column(k).to_numpy() for k in (1, 2, 3))
-                for t in recent:
-                    score = score + t.predict(bins)
-                total = total + cell_sums(bins, slot_of[tree.leaves_of(bins)], *slopes(score, label, weight), len(nodes))
-        if not np.isscalar(total):
-            g, h, n = total.reshape(3, -1)
-            cell = np.flatnonzero(n)
-            yield pa.record_batch([pa.array(x) for x in (cell, g[cell], h[cell], n[cell])], ["cell", "g", "h", "n"])
-
-    parts = rows.mapInArrow(summed, "cell long, g double, h double, n double")
-    sums = parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in "ghn"]).toArrow()
-    out = np.zeros((3, len(nodes) * columns * BINS))
-    cell = sums["cell"].to_numpy()
-    for k, c in enumerate("ghn"):
-        out[k, cell] = sums[c].to_numpy()
-    out = out.reshape(3, len(nodes), columns, BINS)
+        total = np.zeros((3, len(nodes), columns, BINS))
+        for bins, label, weight, rows, score in part:
+            slot = slot_of[tree.leaves_of(bins)]
+            total += cell_sums(bins, slot, *slopes(score, label, weight), len(nodes), rows)
+        yield total
+
+    tasks = blocks.getNumPartitions()
+    sums = blocks.mapPartitions(summed)
+    out = sums.treeReduce(np.add, 1 if tasks <= FLAT_TASKS else 2) if tasks else next(summed(()))
     return {n: out[:, i] for i, n in enumerate(nodes)}
 
 
-def _scored_rows(rows: DataFrame, columns: int, recent: list[Tree]) -> DataFrame:
-    def score(batches):
+def _rescored(blocks: RDD[Block], tree: Tree) -> RDD[Block]:
+    return blocks.map(lambda b: (*b[:-1], b[-1] + tree.predict(b[0])))
+
+
+def tasks_for(rows: int, cores: int) -> int:
+    """A task a core, as far as each gets some rows; more when one would get too many."""
+    return max(1, min(cores, -(-rows // 4096)), -(-rows // TASK_ROWS))
+
+
+def blocks_of(rows: DataFrame, columns: int) -> RDD[Block]:
+    """The rows of `binned`, each kind once, as arrays, a block an Arrow batch."""
+
+    def pack(batches):
         for batch in batches:
             if batch.num_rows:
-                bins, made = _bins(batch, columns), batch.column(3).to_numpy()
-                for t in recent:
-                    made = made + t.predict(bins)
-                yield pa.record_batch([*batch.columns[:3], pa.array(made)], ["bins", "label", "weight", "score"])
+                label, weight, score, many = (batch.column(k).to_numpy().astype(float) for k in range(1, 5))
+                arrays = _octets(batch.column(0)), label, weight * many, many, score
+                yield pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in arrays], list(BLOCK_FIELDS))
+
+    def unpack(row) -> Block:
+        bins, *numbers = row
+        return np.frombuffer(bins, np.uint8).reshape(-1, columns), *(np.frombuffer(x) for x in numbers)
+
+    kinds = rows.groupBy("bins", "label", "weight", "score").agg(F.count("*").alias("many")).persist()
+    try:
+        tasks = tasks_for(kinds.count(), rows.sparkSession.sparkContext.defaultParallelism)
+        dealt = kinds.repartition(tasks).mapInArrow(pack, BLOCKS).rdd.map(unpack)
+        return _stored(dealt.persist(StorageLevel.MEMORY_AND_DISK))
+    finally:
+        kinds.unpersist()
+
 
-    return rows.mapInArrow(score, ROWS)
+def _stored(blocks: RDD[Block]) -> RDD[Block]:
+    """Blocks that are new, computed and checkpointed."""
+    blocks.checkpoint()
+    blocks.count()
+    return blocks
 
 
 def boost(rows: DataFrame, columns: int, rounds: int, rate: float, rules: Rules) -> list[Tree]:
@@ -330,26 +358,28 @@ def boost(rows: DataFrame, columns: int, rounds: int, rate: float, rules: Rules)
 
     `rows` as `binned` makes them.
     """
-    spark, trees, path = rows.sparkSession, [], None
-    kept = rows
+    spark, trees = rows.sparkSession, []
+    shared_dir(spark)
+    held = [blocks_of(rows, columns)]
+    path = held[0].getCheckpointFile()
     try:
         for k in range(rounds):
-            if k % STORE_EVERY == 0:
-                new = scratch_path(spark, "boosted-rows")
-                _scored_rows(kept, columns, trees[k - STORE_EVERY :] if k else []).write.parquet(new)
-                if path:
-                    kept.unpersist()
-                    drop_path(spark, path)
-                path, kept = new, spark.read.schema(ROWS).parquet(new).persist()
-            recent = trees[k - k % STORE_EVERY :]
-            tree = grow(lambda t, nodes: _pass(kept, columns, recent, t, nodes), rules, rate)
+            if k:
+                held.append(_rescored(held[-1], trees[-1]).persist(StorageLevel.MEMORY_AND_DISK))
+                if k % STORE_EVERY == 0:
+                    old, path = path, _stored(held[-1]).getCheckpointFile()
+                    drop_path(spark, old)
+            tree = grow(lambda t, nodes: _pass(held[-1], columns, t, nodes), rules, rate)
+            for blocks in held[:-1]:
+                blocks.unpersist()
+            held = held[-1:]
             if tree.left[0] < 0:
                 break
             trees.append(tree)
     finally:
-        if path:
-            kept.unpersist()
-            drop_path(spark, path)
+        for blocks in held:
+            blocks.unpersist()
+        drop_path(spark, path)
     return trees
 
 

@@ -191,3 +191,37 @@ def test_penalty_keeps_precision_over_rounds(spark):
 
     few, many = precision(4), precision(20)
     assert few > 0.3 and many > few - 0.1
+
+
+def test_copies_are_kept_once_with_their_number(rows):
+    packed = boosting.binned(rows, list("abcd"), boosting.edges_of(rows, list("abcd")), "label", "w", 0.0)
+    once, many = boosting.blocks_of(packed, 4), boosting.blocks_of(packed.unionByName(packed).unionByName(packed), 4)
+
+    def facts(blocks):
+        found = blocks.collect()
+        return [sum(len(b[0]) for b in found), *(sum(b[k].sum() for b in found) for k in (2, 3))]
+
+    kinds, weight, n = facts(once)
+    assert n == 1500 and kinds <= 1500 and facts(many) == [kinds, 3 * weight, 4500]
+    a, b = (boosting._pass(x, 4, boosting.Tree(), [0])[0] for x in (once, many))
+    assert b == pytest.approx(3 * a)
+    for x in (once, many):
+        x.unpersist()
+
+
+def test_a_pass_is_one_job(spark, rows):
+    """A round of depth 3 takes three passes; what comes before the rounds is not many jobs."""
+    context = spark.sparkContext
+
+    def jobs(rounds):
+        context.setJobGroup(f"boost-{rounds}", "")
+        assert len(estimator(maxIter=rounds, maxDepth=3, minRows=20).fit(rows).trees) == rounds
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(f"boost-{rounds}"))
+
+    assert jobs(7) - jobs(2) <= 5 * 3
+
+
+def test_tasks_follow_the_rows():
+    assert boosting.tasks_for(0, 8) == 1 and boosting.tasks_for(10**5, 8) == 8
+    assert boosting.tasks_for(10**8, 8) == -(-(10**8) // boosting.TASK_ROWS)
