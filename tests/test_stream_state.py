@@ -1,5 +1,9 @@
+import datetime
+
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.operators import store
 from ledgerlens.schema import ENTITY_KEY
@@ -61,3 +65,47 @@ def test_restart_and_expiry(spark, log, topic, tmp_path):
     assert log_of_changes.where("live").count() == 61
     assert log_of_changes.where("NOT live").count() == 60 - kept.count()
     assert log_of_changes.where("NOT live").join(kept, ENTITY_KEY).isEmpty()
+
+
+class Calls:
+    """State, timers and handle of one key, which note every call."""
+
+    def __init__(self):
+        self.value, self.made = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.made.append("get")
+        return self.value
+
+    def update(self, value):
+        self.made.append("update")
+        self.value = value
+
+    def registerTimer(self, moment):
+        self.made.append("register")
+
+    def deleteTimer(self, moment):
+        self.made.append("delete")
+
+
+def test_a_key_takes_plain_rows_and_few_calls():
+    fields = [T.StructField("t", T.TimestampNTZType()), T.StructField("at", T.LongType()), T.StructField("x", T.DoubleType())]
+    kept, calls = state._Newest(T.StructField("key", T.StringType()), fields), Calls()
+    kept.init(calls)
+    noon = datetime.datetime(2024, 1, 1, 12)
+
+    def given(*rows):
+        calls.made.clear()
+        return list(kept.handleInputRows(("a",), iter([Row(x=x, at=at, t=t) for t, at, x in rows]), None))
+
+    nan = float("nan")
+    (out,) = given((noon, 1, None), (noon, 2, nan), (noon, 2, 5.0))  # NaN is greatest, as in Spark
+    assert out.at == 2 and out.x != out.x and out.live and calls.made == ["get", "register", "update"]
+    assert given((noon, 2, 7.0), (noon, 1, 8.0)) == [] and calls.made == ["get"]
+    (out,) = given((noon, 3, None))  # the same time: the timer stays
+    assert out.asDict() == {"key": "a", "t": noon, "at": 3, "x": None, "live": True} and calls.made == ["get", "update"]
+    given((noon + datetime.timedelta(hours=1), 0, 1.0))
+    assert calls.made == ["get", "delete", "register", "update"]
