@@ -100,6 +100,17 @@ def model(data):
     return models.fit(data.where("split = 'train'"), models.MODEL_SPECS[0])
 
 
+def test_train_rows_are_dealt_in_bounded_parts(data, monkeypatch):
+    train = data.where("split = 'train'").coalesce(1)
+    counts = models.count_classes(train)
+    assert models.dealt(train, counts).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "ROWS_A_TASK", 4)
+    parts = models.dealt(train, counts)
+    sizes = parts.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(sizes) <= 8 and sum(sizes) == counts.rows
+    assert sorted(map(str, parts.collect())) == sorted(map(str, train.collect()))
+
+
 def test_scores_keep_row_columns(data, model):
     scored = models.score(data, model, "4")
     assert scored.columns == [*data.columns, "prediction", "fraud_probability", "model_version"]
