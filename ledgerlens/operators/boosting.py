@@ -13,6 +13,11 @@ depth. `leaf` growth splits the leaf of greatest gain until there are `maxLeaves
 depth; each pass serves all leaves that may be next, so there is at most one pass a depth
 here, too, and the tree is the same as if they were asked for one by one.
 
+A round's tree often has the splits of the one before. The first pass of a round therefore
+sums the nodes that the last tree asked for, too; where the new tree splits alike, the sums
+are known, and another pass is for the rest only. As long as less than half of a tree's nodes
+are found so, no pass sums ahead.
+
 Rows are cached as blocks of arrays, so a pass is one short stage of as many tasks as there
 are cores, or more where a task would get beyond `TASK_ROWS` rows. The first pass of a round
 adds the tree before to the scores and caches the blocks anew. Every `STORE_EVERY` rounds
@@ -21,7 +26,7 @@ they are checkpointed in the shared folder, which cuts the lineage.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -74,21 +79,40 @@ class Tree:
     def _lists(self) -> tuple[list, ...]:
         return self.column, self.cut, self.missing_left, self.left, self.right, self.value
 
-    def leaves_of(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of each row of bins."""
+    def walk(self, bins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per depth the rows of bins that get there, and the node of each."""
         column, cut, missing_left, left, right = (np.array(x) for x in self._lists()[:5])
         node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
         while len(rows):
-            rows = rows[left[node[rows]] >= 0]
-            at = node[rows]
+            yield rows, node
+            goes_on = left[node] >= 0
+            rows, at = rows[goes_on], node[goes_on]
             b = bins[rows, column[at]]
             goes_left = np.where(b == MISSING, missing_left[at], b <= cut[at])
-            node[rows] = np.where(goes_left, left[at], right[at])
-        return node
+            node = np.where(goes_left, left[at], right[at])
+
+    def leaves_of(self, bins: np.ndarray) -> np.ndarray:
+        """The leaf of each row of bins."""
+        leaf = np.zeros(len(bins), np.int64)
+        for rows, node in self.walk(bins):
+            leaf[rows] = node
+        return leaf
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
         return np.array(self.value)[self.leaves_of(bins)]
 
+    def alike(self, other: Tree) -> dict[int, int]:
+        """Nodes with the same splits above them in both trees: number here -> number there."""
+        out = {0: 0}
+        for n in range(len(self.column)):
+            m = out.get(n)
+            if m is not None and self.left[n] >= 0 and other.left[m] >= 0 and self._split_at(n) == other._split_at(m):
+                out[self.left[n]], out[self.right[n]] = other.left[m], other.right[m]
+        return out
+
+    def _split_at(self, node: int) -> tuple[int, int, bool]:
+        return self.column[node], self.cut[node], self.missing_left[node]
+
     def kept(self, inner: set[int]) -> Tree:
         """The tree with only these nodes split, numbered anew."""
         out, todo = Tree(), [(0, 0)]
@@ -297,15 +321,21 @@ def cell_sums(
 
 
 def _pass(blocks: RDD[Block], columns: int, tree: Tree, nodes: list[int]) -> dict[int, np.ndarray]:
-    """One aggregate over all rows; per asked node, input and bin one number comes back."""
+    """One aggregate over all rows; per asked node, input and bin one number comes back.
+
+    Asked nodes may lie above each other.
+    """
 
     def summed(part):
         slot_of = np.full(len(tree.column), -1)
         slot_of[nodes] = np.arange(len(nodes))
         total = np.zeros((3, len(nodes), columns, BINS))
         for bins, label, weight, rows, score in part:
-            slot = slot_of[tree.leaves_of(bins)]
-            total += cell_sums(bins, slot, *slopes(score, label, weight), len(nodes), rows)
+            met = [(at[slot_of[node] >= 0], slot_of[node][slot_of[node] >= 0]) for at, node in tree.walk(bins)]
+            if met:
+                at, slot = (np.concatenate(x) for x in zip(*met))
+                g, h = slopes(score[at], label[at], weight[at])
+                total += cell_sums(bins[at], slot, g, h, len(nodes), rows[at])
         yield total
 
     tasks = blocks.getNumPartitions()
@@ -314,6 +344,29 @@ def _pass(blocks: RDD[Block], columns: int, tree: Tree, nodes: list[int]) -> dic
     return {n: out[:, i] for i, n in enumerate(nodes)}
 
 
+class _Ahead:
+    """Sums for round after round; the first pass of one also sums what the last tree asked for."""
+
+    def __init__(self):
+        self.tree, self.asked, self.worth = Tree(), [0], True
+
+    def histograms(self, sums: Histograms) -> Histograms:
+        """The sums of a new round, for a tree that grows from its root."""
+        last, had, asked = self.tree, set(self.asked), []
+        known = sums(last, self.asked) if self.worth else {}
+
+        def ask(tree: Tree, nodes: list[int]) -> dict[int, np.ndarray]:
+            there = tree.alike(last)
+            found = {n: known[there[n]] for n in nodes if there.get(n) in known}
+            rest = [n for n in nodes if n not in found]
+            asked.extend(nodes)
+            self.tree, self.asked = tree, asked
+            self.worth = 2 * sum(there.get(n) in had for n in asked) >= len(asked)
+            return found | sums(tree, rest) if rest else found
+
+        return ask
+
+
 def _rescored(blocks: RDD[Block], tree: Tree) -> RDD[Block]:
     return blocks.map(lambda b: (*b[:-1], b[-1] + tree.predict(b[0])))
 
@@ -358,7 +411,7 @@ def boost(rows: DataFrame, columns: int, rounds: int, rate: float, rules: Rules)
 
     `rows` as `binned` makes them.
     """
-    spark, trees = rows.sparkSession, []
+    spark, trees, ahead = rows.sparkSession, [], _Ahead()
     shared_dir(spark)
     held = [blocks_of(rows, columns)]
     path = held[0].getCheckpointFile()
@@ -369,7 +422,7 @@ def boost(rows: DataFrame, columns: int, rounds: int, rate: float, rules: Rules)
                 if k % STORE_EVERY == 0:
                     old, path = path, _stored(held[-1]).getCheckpointFile()
                     drop_path(spark, old)
-            tree = grow(lambda t, nodes: _pass(held[-1], columns, t, nodes), rules, rate)
+            tree = grow(ahead.histograms(lambda t, nodes: _pass(held[-1], columns, t, nodes)), rules, rate)
             for blocks in held[:-1]:
                 blocks.unpersist()
             held = held[-1:]

@@ -21,7 +21,7 @@ from ledgerlens.errors import ModelError
 from ledgerlens.operators import boosting, metrics, versions
 from ledgerlens.operators.scoring import score_vectors
 from ledgerlens.schema import LABEL, MODEL_INPUTS, SPLITS, feature_version
-from ledgerlens.session import shared_dir
+from ledgerlens.session import scratch_path, shared_dir
 from ledgerlens.sources import folders
 
 SEED = 42
@@ -259,7 +259,10 @@ def train_compare(
         "split", "truth", "r.*"
     )
     table = metrics.evaluate(long, by=["model", "spec_order", "run_id", "split"])
-    return Runs(models, run_ids, table.withColumn("feature_version", F.lit(feature_version())))
+    # Written once: every reader of these few rows would score all held-out rows anew.
+    path = scratch_path(table.sparkSession, "runs")
+    table.withColumn("feature_version", F.lit(feature_version())).write.parquet(path)
+    return Runs(models, run_ids, table.sparkSession.read.parquet(path))
 
 
 def parameters(model: PipelineModel) -> dict[str, str]:

@@ -225,3 +225,46 @@ def test_a_pass_is_one_job(spark, rows):
 def test_tasks_follow_the_rows():
     assert boosting.tasks_for(0, 8) == 1 and boosting.tasks_for(10**5, 8) == 8
     assert boosting.tasks_for(10**8, 8) == -(-(10**8) // boosting.TASK_ROWS)
+
+
+def test_a_round_like_the_last_takes_one_pass():
+    """Sums ahead change no tree, and are left off while trees differ."""
+    bins, label, weight = table()
+    g, h = boosting.slopes(np.zeros(len(label)), label, weight)
+    other = np.random.default_rng(1).normal(size=len(g))
+    asked = []
+
+    def sums(g):
+        def of(tree, nodes):
+            asked.append(len(nodes))
+            out = {}
+            for n in nodes:  # asked nodes may lie above each other
+                at = next((rows[node == n] for rows, node in tree.walk(bins) if (node == n).any()), np.zeros(0, int))
+                out[n] = boosting.cell_sums(bins[at], np.zeros(len(at), int), g[at], h[at], 1)[:, 0]
+            return out
+
+        return of
+
+    for growth in (LEVEL, LEAF):
+        ahead, passes = boosting._Ahead(), []
+        for x in (g, 0.9 * g, 0.8 * g, other, g, g, g):
+            asked.clear()
+            tree = boosting.grow(ahead.histograms(sums(x)), RULES[growth], 0.1)
+            passes.append(len(asked))
+            alone = boosting.grow(local_passes(bins, x, h, []), RULES[growth], 0.1)
+            assert tree._lists()[:5] == alone._lists()[:5] and tree.value == pytest.approx(alone.value)
+        assert passes[0] > 2 and passes[1] > 2 and passes[2] == 1
+        assert passes[3] > 1 and passes[4] > 2 and passes[-1] == 1
+
+
+def test_a_pass_sums_nodes_above_each_other(spark):
+    bins, label, weight = table(300)
+    tree = boosting.Tree()
+    low, high = tree.split(0, 0, 5, True)
+    tree.split(low, 2, 6, False)
+    score, one = np.zeros(300), np.ones(300)
+    blocks = spark.sparkContext.parallelize([(bins[a:b], label[a:b], weight[a:b], one[a:b], score[a:b]) for a, b in ((0, 90), (90, 300))], 2)
+    found = boosting._pass(blocks, 4, tree, [0, low, high, 3])
+    left = (bins[:, 0] <= 5) | (bins[:, 0] == MISSING)
+    assert found[0] == pytest.approx(found[low] + found[high])
+    assert found[low][2, 1].sum() == left.sum() and found[3][2, 0].sum() == (left & (bins[:, 2] <= 6)).sum()
