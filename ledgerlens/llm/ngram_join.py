@@ -23,6 +23,10 @@ compared with each other. Of the pairs that may be links a group puts out those
 connect its components, nearest first; if it has others, its key goes to another round,
 with the components found by then. Keys of one component are done. When a round finds no
 link, the keys that are left put out all their pairs.
+
+A row of this check carries its set's sketch, once per key that it shares. The keys are taken
+in parts, one after the other, so that the rows of a part take about half the bytes of the sets
+themselves; a part begins with the components that those before it have found.
 """
 
 from __future__ import annotations
@@ -48,6 +52,8 @@ BLOCK = 4096
 SMALL_GROUP, PAIRS_AT_ONCE = 64, 1 << 20
 ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 16, 4 << 20
 BROADCAST_NODES = 500_000
+#: Rows of a part of the keys take at least so many bytes, and so many more beside the sketch.
+PART_BYTES, ROW_BYTES = 128 << 20, 64
 SET_LOW, SET_HIGH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -81,8 +87,8 @@ def set_key(value: np.ndarray) -> int:
 
 
 def sketch(dealt: np.ndarray) -> bytes:
-    """Parities of the tokens per slot, in four or more bits per token."""
-    bits = max(9, (4 * len(dealt) - 1).bit_length())
+    """Parities of the tokens per slot, in two or more bits per token."""
+    bits = max(9, (2 * len(dealt) - 1).bit_length())
     return np.packbits(np.bincount((dealt >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1 > 0).tobytes()
 
 
@@ -434,13 +440,9 @@ def _near_blocks(rows, partners, own, root, size, sketches: Sketches, num: int,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def possible_links(placed: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool = False) -> DataFrame:
-    """Pairs (a, b) under a shared key that are in different components and may be links.
-
-    `placed`: key, node, root. Keys of one component need no pairs and are left out. Of the
-    others the largest component is kept apart, in blocks of its own that meet only blocks
-    of the other sets. Rows with `more` name the keys of which only nearest pairs are here.
-    """
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Per key of several components: the largest one, how many blocks it and the others
+    have, and how many rows the blocks' groups take."""
     by_root = placed.groupBy("key", "root").count().groupBy("key")
     mixed = by_root.agg(F.max(F.struct("count", "root")).alias("big"), F.sum("count").alias("many"), F.count("*").alias("roots"))
     apart = F.when(F.col("big.count") > 1, F.col("big.count")).otherwise(0)
@@ -449,8 +451,28 @@ def possible_links(placed: DataFrame, sets: DataFrame, num: int, den: int, neare
         F.when(apart > 0, F.col("big.root")).alias("big"),
         F.ceil((F.col("many") - apart) / BLOCK).cast("int").alias("others"),
         F.ceil(apart / BLOCK).cast("int").alias("bigs"),
+        apart.alias("apart"),
+        (F.col("many") - apart).alias("rest"),
     )
-    rows = placed.join(mixed, "key").join(sets.select("node", "n", "sketch"), "node")
+    rows = F.col("rest") * (F.col("others") + F.col("bigs")) + F.col("apart") * F.col("others")
+    return mixed.withColumn("rows", rows).drop("apart", "rest")
+
+
+def _parts(placed: DataFrame, sets: DataFrame) -> int:
+    """In how many parts the keys are taken."""
+    rows = _mixed(placed).agg(F.sum("rows")).first()[0] or 0
+    held, row = sets.agg(F.sum(F.length("items")), F.avg(F.length("sketch"))).first()
+    return max(1, math.ceil(rows * ((row or 0) + ROW_BYTES) / max((held or 0) / 2, PART_BYTES)))
+
+
+def possible_links(placed: DataFrame, sets: DataFrame, num: int, den: int, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) under a shared key that are in different components and may be links.
+
+    `placed`: key, node, root. Keys of one component need no pairs and are left out. Of the
+    others the largest component is kept apart, in blocks of its own that meet only blocks
+    of the other sets. Rows with `more` name the keys of which only nearest pairs are here.
+    """
+    rows = placed.join(_mixed(placed).drop("rows"), "key").join(sets.select("node", "n", "sketch"), "node")
     is_big, dealt = F.coalesce(F.col("root") == F.col("big"), F.lit(False)), F.xxhash64("node")
     rows = rows.withColumn(
         "block",
@@ -546,23 +568,38 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     common.let_go(spark)
     links, done = stored(verified(stars, sets, num, den), "links"), stars
     members = members.select("key", "node")
+    parts, part, left = 0, 0, members
     nearest = True
     while True:
         common.let_go(spark)
         roots = components(links)
-        placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        round_ = stored(possible_links(placed, sets, num, den, nearest), "possible")
+        if not parts:
+            parts = _parts(_placed(members, roots), sets)
+            left = _part(members, 0, parts)
+        round_ = stored(possible_links(_placed(left, roots), sets, num, den, nearest), "possible")
         new = stored(round_.filter("more is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "new-pairs")
         found = stored(verified(new, sets, num, den), "found")
         links, done = links.unionByName(found), done.unionByName(new)
         open_keys = round_.filter("more is not null").select(F.col("more").alias("key"))
-        if open_keys.isEmpty():
+        if not open_keys.isEmpty():
+            left = stored(left.join(open_keys, "key", "left_semi"), "open-members")
+            nearest = not found.isEmpty()
+            continue
+        part += 1
+        if part == parts:
             break
-        members = stored(members.join(open_keys, "key", "left_semi"), "open-members")
-        nearest = not found.isEmpty()
+        left, nearest = _part(members, part, parts), True
     return _labelled(sizes, nodes, stored(components(links), "roots"), ("node",) if keyed else ())
 
 
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def _part(members: DataFrame, part: int, parts: int) -> DataFrame:
+    return members.filter(F.pmod(F.xxhash64("key"), F.lit(parts)) == part) if parts > 1 else members
+
+
 def _labelled(sizes: DataFrame, nodes: DataFrame, roots: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     named = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), "first_id"

@@ -129,3 +129,26 @@ def test_pairs_in_blocks_equal_all_pairs(spark, monkeypatch, block):
     }
     assert {(b, a) for a, b in close} <= got and all(a < b and a // 3 != b // 3 for a, b in got)
     assert len(got) < 150
+
+
+def test_keys_in_parts(spark, monkeypatch):
+    """Keys taken in three parts give the components of all pairs; each part is smaller than all."""
+    docs, taken, inner = small(spark, "documents"), [], nj.possible_links
+
+    def counted(placed, *rest):
+        taken.append(placed.count())
+        return inner(placed, *rest)
+
+    monkeypatch.setattr(nj, "possible_links", counted)
+    monkeypatch.setattr(nj, "_parts", lambda *_: 3)
+    got = {r.doc_id: r.component_id for r in nj.jaccard_components(docs, 5, 60, 100).collect()}
+    assert got == nj.brute_force(docs.toPandas(), 5, 60, 100)
+    assert len(taken) >= 3 and max(taken) < sum(taken)
+
+
+def test_parts_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(nj, "PART_BYTES", 1)
+    placed = spark.createDataFrame([(k, i, i) for k in range(10) for i in range(8)], "key long, node long, root long")
+    sets = spark.createDataFrame([(i, 40, bytes(64), bytes(320)) for i in range(8)], "node long, n long, sketch binary, items binary")
+    assert nj._parts(placed, sets) == -(-10 * 8 * (64 + nj.ROW_BYTES) * 2 // (8 * 320))
+    assert nj._parts(placed.withColumn("root", placed.key), sets) == 1
