@@ -77,3 +77,38 @@ def test_another_dictionary_is_refused():
     assert len(tf.Segment(data, b"one").doc_id) == 0
     with pytest.raises(ValueError):
         tf.Segment(data, b"two")
+
+
+def test_words_of_letters_go_without_separators(monkeypatch):
+    """Of new words only those that are not letters alone have a special token between them."""
+    definition = open(FILE).read()
+    tokenizer = Tokenizer.from_str(definition)
+    encoder = tf.WordEncoder(definition, "<|endoftext|>", tokenizer.token_to_id("<|endoftext|>"))
+    slow, separated = [], encoder._separated
+
+    def counted(data, start, length):
+        slow.extend(data[a : a + n].tobytes().decode() for a, n in zip(start, length, strict=True))
+        return separated(data, start, length)
+
+    monkeypatch.setattr(encoder, "_separated", counted)
+    draw = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz\u00e9\u00df\u03c3\u4e2d\u05d0")
+    words = ["".join(draw.choice(letters, draw.integers(1, 12))) for _ in range(2000)]
+    texts = [" ".join(words), "Abc*** x-- \u00c9t\u00e9. a|b c|> x' 'tis don't x2y \u0130x \u00a0 e\u0301a \u03a3\u03a3\u03a3 \u00aa\u02b0 \u0e01\u0e33 \u216b", "a__ b~~ (c) d\"\" e)!) f<> g>. <|startoftext|>*** z'*"]
+    ids, first = encoder.encode(pa.array(texts))
+    for t, a, b in zip(texts, first, first[1:], strict=False):
+        assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert 0 < len(slow) < 30 and not set(slow) & set(words)
+
+
+def test_letters_that_the_tokenizer_cuts(monkeypatch):
+    """A word that gives more ends than words takes its texts back to the separator."""
+    definition = open(FILE).read()
+    tokenizer = Tokenizer.from_str(definition)
+    encoder = tf.WordEncoder(definition, "<|endoftext|>", tokenizer.token_to_id("<|endoftext|>"))
+    encoder.ends[:] = True
+    text = "some plain words in one line"
+    assert encoder.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    encoder.cache.clear()
+    encoder.ends = None
+    assert encoder.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
