@@ -1,8 +1,12 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerlens.llm import common
 from ledgerlens.llm import substring_dedup as sd
 from odd_rows import no_docs, odd_docs, small
 
@@ -83,3 +87,17 @@ def test_odd_rows(spark):
     assert (rows[rows.doc_id.isna()]["n_removed"] == 0).all() and named.loc[4, "kept"] == ""
     assert (rows["odd name"] == "z").all() and (rows["rest"] == 3).all()
     assert sd.substring_dedup(no_docs(spark)).count() == 0
+
+
+def test_key_filter_takes_little_of_the_driver(spark):
+    """The marks of many keys reach the driver as bytes; a row object for each takes many times as much."""
+    keys = spark.range(0, 300_000, 1, 4).select((F.col("id") * 7919).alias("key"))
+    common.key_filter(keys.limit(10), "key")
+    tracemalloc.start()
+    table = common.key_filter(keys, "key")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    assert common.admitted(np.arange(300_000) * 7919, table).all()
+    assert int(np.bitwise_count(table).sum()) <= 300_000
+    assert not common.key_filter(keys.filter("key < 0"), "key").any()
