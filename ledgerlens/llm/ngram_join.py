@@ -566,30 +566,28 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     )
     sets = stored(sets, "sets")
     common.let_go(spark)
-    links, done = stored(verified(stars, sets, num, den), "links"), stars
+    roots, done = components(verified(stars, sets, num, den)), stars
     members = members.select("key", "node")
-    parts, part, left = 0, 0, members
-    nearest = True
+    parts, part = _parts(_placed(members, roots), sets), 0
+    left, nearest = _part(members, 0, parts), True
     while True:
         common.let_go(spark)
-        roots = components(links)
-        if not parts:
-            parts = _parts(_placed(members, roots), sets)
-            left = _part(members, 0, parts)
         round_ = stored(possible_links(_placed(left, roots), sets, num, den, nearest), "possible")
         new = stored(round_.filter("more is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "new-pairs")
         found = stored(verified(new, sets, num, den), "found")
-        links, done = links.unionByName(found), done.unionByName(new)
+        done, some = done.unionByName(new), not found.isEmpty()
+        if some:
+            roots = components(found, roots)
         open_keys = round_.filter("more is not null").select(F.col("more").alias("key"))
         if not open_keys.isEmpty():
             left = stored(left.join(open_keys, "key", "left_semi"), "open-members")
-            nearest = not found.isEmpty()
+            nearest = some
             continue
         part += 1
         if part == parts:
             break
         left, nearest = _part(members, part, parts), True
-    return _labelled(sizes, nodes, stored(components(links), "roots"), ("node",) if keyed else ())
+    return _labelled(sizes, nodes, roots, ("node",) if keyed else ())
 
 
 def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
