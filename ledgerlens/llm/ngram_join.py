@@ -24,9 +24,14 @@ connect its components, nearest first; if it has others, its key goes to another
 with the components found by then. Keys of one component are done. When a round finds no
 link, the keys that are left put out all their pairs.
 
+Which keys several sets have is counted on keys of six bytes alone, in buckets that a task
+sorts; only sets that several rows have come with their node there, since copies of one set
+are no pair. A second pass lists the sets of these keys. Where the sets themselves are
+needed, their texts move, compressed, and the sets are made again.
+
 A row of this check carries its set's sketch, once per key that it shares. The keys are taken
 in parts, one after the other, so that the rows of a part take about half the bytes of the sets
-themselves; a part begins with the components that those before it have found.
+have at eight bytes a token; a part begins with the components that those before it have found.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +58,8 @@ BLOCK = 4096
 SMALL_GROUP, PAIRS_AT_ONCE = 64, 1 << 20
 ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 16, 4 << 20
 BROADCAST_NODES = 500_000
+#: A key is so many bytes; a task sorts so many at once, and a bucket of them has about so many.
+KEY_BYTES, KEYS_AT_ONCE, KEYS_A_BUCKET = 6, 1 << 20, 1 << 17
 #: Rows of a part of the keys take at least so many bytes, and so many more beside the sketch.
 PART_BYTES, ROW_BYTES = 128 << 20, 64
 SET_LOW, SET_HIGH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -62,7 +70,10 @@ SET_LOW, SET_HIGH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """Per text the sorted distinct n-gram hashes; fewer words count as one sequence."""
-    data, offsets = text_bytes(texts)
+    yield from _sets(*text_bytes(texts), n)
+
+
+def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
     for low, high in common.pieces(offsets):
         words = split_words(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], lower=True)
         one = words.hashes()
@@ -76,6 +87,15 @@ def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+def unpacked_sets(packed: list[bytes], n: int) -> Iterator[np.ndarray]:
+    """The sets of compressed texts; about `common.PIECE_BYTES` of them are unpacked at once."""
+    unpack = zstandard.ZstdDecompressor()
+    offsets = np.cumsum([0, *map(zstandard.frame_content_size, packed)])
+    for low, high in common.pieces(offsets):
+        data = np.frombuffer(b"".join(map(unpack.decompress, packed[low:high])), np.uint8)
+        yield from _sets(data, offsets[low : high + 1] - offsets[low], n)
+
+
 def hashed(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of each token: one deals it out, the other is summed."""
     return mix(sets ^ SET_LOW), mix(sets ^ SET_HIGH)
@@ -213,9 +233,115 @@ def index_keys(dealt: np.ndarray, value: np.ndarray, edges: list[tuple[int, int]
     return own
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """Keys of `KEY_BYTES` bytes. Sets that meet under one by chance are told apart later."""
+    return keys >> np.uint64(64 - 8 * KEY_BYTES)
+
+
+def bucket_count(edges, plans, counts: dict[int, int]) -> int:
+    """Buckets for the keys of all sets, from an upper estimate of their number."""
+    total = 0.0
+    for k, ((low, high), (deletions, whole, _)) in enumerate(zip(edges, plans, strict=True)):
+        each = whole + deletions * (1 + (low + high) / 2 / max(1, deletions + whole))
+        total += (counts.get(k, 0) + counts.get(k - 1, 0)) * each
+    return max(1, int(total) // KEYS_A_BUCKET)
+
+
 @common.frugal
-def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
-    """(key, node) once per set of a task; with `wanted` only keys that it admits."""
+def _bundles(batches, n: int, edges, plans, num: int, den: int, copied, buckets: int):
+    """(bucket, alone, key, node): keys of a bucket as bytes, once per set of a task.
+
+    `alone` has those of sets that one row has; keys of sets that `copied` admits, which
+    other tasks may have too, come with their node. Of a key two sets are enough.
+    """
+    seen: set[int] = set()
+    keys, nodes, held = [], [], 0
+    for batch in batches:
+        for s in shingle_sets(batch.column(0), n):
+            dealt, value = hashed(s)
+            if not len(s) or (node := set_key(value)) in seen:
+                continue
+            seen.add(node)
+            keys.append(short(index_keys(dealt, value, edges, plans, num, den)))
+            nodes.append(node)
+            held += len(keys[-1])
+            if held >= KEYS_AT_ONCE:
+                yield _bundle(keys, nodes, copied.value, buckets)
+                keys, nodes, held = [], [], 0
+    if keys:
+        yield _bundle(keys, nodes, copied.value, buckets)
+
+
+def _bundle(keys: list[np.ndarray], nodes: list[int], copied: np.ndarray, buckets: int) -> pa.RecordBatch:
+    node, size = np.array(nodes, np.int64), np.array([len(k) for k in keys])
+    key, marked = np.concatenate(keys), np.repeat(common.admitted(node, copied), size)
+    alone = _two_of_each(np.sort(key[~marked]))[0]
+    node, key = np.repeat(node, size)[marked], key[marked]
+    order = np.argsort(key, kind="stable")
+    key, node = _two_of_each(key[order], node[order])
+    columns = [(_cut(k, buckets), k, v) for k, v in ((alone, _as_bytes(alone)), (key, _as_bytes(key)), (key, node.view(np.uint8).reshape(-1, 8)))]
+    some = np.flatnonzero(np.any([np.diff(at) for at, _, _ in columns], axis=0))
+    made = []
+    for at, k, v in columns:
+        ends = np.append(at[some], len(k)).astype(np.int32) * v.shape[1]
+        made.append(pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends), pa.py_buffer(v.tobytes())]))
+    return pa.record_batch([pa.array(some, pa.int64()), *made], ["bucket", "alone", "key", "node"])
+
+
+def _two_of_each(key: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted keys, each at most twice, and what belongs to them."""
+    kept = np.ones(len(key), bool)
+    kept[2:] = key[2:] != key[:-2]
+    return tuple(x[kept] for x in (key, *others))
+
+
+def _cut(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket of sorted keys begins, and their end."""
+    bucket = (key >> np.uint64(8 * KEY_BYTES - 32)) * np.uint64(buckets) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+
+
+def _as_bytes(key: np.ndarray) -> np.ndarray:
+    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+
+
+def _from_bytes(packed: list[bytes]) -> np.ndarray:
+    some = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, KEY_BYTES)
+    out = np.zeros((len(some), 8), np.uint8)
+    out[:, :KEY_BYTES] = some
+    return out.view("<u8").ravel()
+
+
+@common.frugal
+def _shared(batches):
+    """Rows of `_bundles` sorted by bucket: the keys that several sets have, once."""
+    last, held = None, ([], [], [])
+    for batch in batches:
+        for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != last and held[0]:
+                yield _of_several(*held)
+                held = [], [], []
+            last = bucket
+            for some, part in zip(held, parts, strict=True):
+                some.append(part)
+    if held[0]:
+        yield _of_several(*held)
+
+
+def _of_several(alone: list[bytes], keys: list[bytes], nodes: list[bytes]) -> pa.RecordBatch:
+    key, node = _from_bytes(keys), np.frombuffer(b"".join(nodes), np.int64)
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    one = np.ones(len(key), bool)
+    one[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    every = np.sort(np.concatenate([_from_bytes(alone), key[one]]))
+    again = np.unique(every[1:][every[1:] == every[:-1]])
+    return pa.record_batch([pa.array(again.view(np.int64))], ["key"])
+
+
+@common.frugal
+def _keys(batches, n: int, edges, plans, num: int, den: int, wanted):
+    """(key, node) of the keys that `wanted` admits, once per set of a task."""
     seen: set[int] = set()
     for batch in batches:
         keys, nodes, held = [], [], 0
@@ -224,9 +350,8 @@ def _keys(batches, n: int, edges, plans, num: int, den: int, wanted=None):
             if not len(s) or (node := set_key(value)) in seen:
                 continue
             seen.add(node)
-            mine = index_keys(dealt, value, edges, plans, num, den)
-            if wanted is not None:
-                mine = mine[common.admitted(mine, wanted.value)]
+            mine = short(index_keys(dealt, value, edges, plans, num, den))
+            mine = mine[common.admitted(mine, wanted.value)]
             keys.append(mine.view(np.int64))
             nodes.append(np.full(len(mine), node, np.int64))
             held += len(mine)
@@ -247,24 +372,26 @@ def _sliced(keys: list[np.ndarray], nodes: list[np.ndarray]):
 
 @common.frugal
 def _blobs(batches, n: int, wanted):
-    """(node, size, sketch, set as bytes) of the sets that the filter admits, once per task."""
+    """(node, size, sketch, compressed text) of the sets that the filter admits, once per task."""
+    pack = zstandard.ZstdCompressor()
     seen: set[int] = set()
 
     def made(rows):
         columns = zip(*rows, strict=True) if rows else [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "n", "sketch", "items"])
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "n", "sketch", "packed"])
 
     for batch in batches:
         rows: list[tuple[int, int, bytes, bytes]] = []
         held = 0
-        for s in shingle_sets(batch.column(0), n):
+        data, offsets = text_bytes(batch.column(0))
+        for i, s in enumerate(_sets(data, offsets, n)):
             dealt, value = hashed(s)
             if not len(s) or (node := set_key(value)) in seen:
                 continue
             seen.add(node)
             if common.admitted(np.array([node]), wanted.value)[0]:
-                rows.append((node, len(s), sketch(dealt), s.tobytes()))
+                rows.append((node, len(s), sketch(dealt), pack.compress(data[offsets[i] : offsets[i + 1]].tobytes())))
                 held += s.nbytes
                 if held >= BYTES_AT_ONCE:
                     yield made(rows)
@@ -276,13 +403,11 @@ def _blobs(batches, n: int, wanted):
 
 
 @common.frugal
-def _linked(batches, num: int, den: int):
+def _linked(batches, n: int, num: int, den: int):
     for frame in batches:
         keep = np.zeros(len(frame), bool)
-        for i, (x, y) in enumerate(zip(frame["x"], frame["y"], strict=True)):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if min(len(x), len(y)) * den < num * max(len(x), len(y)):
-                continue
+        sets = unpacked_sets([p for pair in zip(frame["x"], frame["y"], strict=True) for p in pair], n)
+        for i, (x, y) in enumerate(zip(sets, sets, strict=True)):
             both = len(x) + len(y) - len(np.union1d(x, y))
             keep[i] = den * both >= num * (len(x) + len(y) - both)
         yield frame.loc[keep, ["a", "b"]]
@@ -306,7 +431,7 @@ def _with_both(pairs: DataFrame, items: DataFrame, x: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs that are links: by sketches first, then by the sets of those that remain."""
     near = _with_both(pairs, sets, "sketch").mapInPandas(lambda b: _alike(b, num, den), "a long, b long")
     near = stored(near, "near")
@@ -314,7 +439,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     if ends.count() <= BROADCAST_NODES:
         ends = F.broadcast(ends)
     own = sets.join(ends, "node", "left_semi")
-    return _with_both(near, own, "items").mapInPandas(lambda b: _linked(b, num, den), "a long, b long")
+    return _with_both(near, own, "packed").mapInPandas(lambda b: _linked(b, n, num, den), "a long, b long")
 
 
 GROUP = ("key", "low", "high", "block")
@@ -461,7 +586,7 @@ def _mixed(placed: DataFrame) -> DataFrame:
 def _parts(placed: DataFrame, sets: DataFrame) -> int:
     """In how many parts the keys are taken."""
     rows = _mixed(placed).agg(F.sum("rows")).first()[0] or 0
-    held, row = sets.agg(F.sum(F.length("items")), F.avg(F.length("sketch"))).first()
+    held, row = sets.agg(F.sum("n") * 8, F.avg(F.length("sketch"))).first()
     return max(1, math.ceil(rows * ((row or 0) + ROW_BYTES) / max((held or 0) / 2, PART_BYTES)))
 
 
@@ -525,7 +650,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     nodes = stored(
         sizes.filter("node is not null")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n")),
+        .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")),
         "nodes",
     )
     top = nodes.agg(F.max("n")).first()[0] or 0
@@ -538,45 +663,38 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     ) if top else {}
     plans = [allocate(*e, counts.get(k, 0) + counts.get(k - 1, 0), num, den) for k, e in enumerate(edges)]
 
-    indexed = texts.mapInArrow(lambda b: _keys(b, n, edges, plans, num, den), "key long, node long")
-    shared = stored(
-        indexed.groupBy("key")
-        .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("members"))
-        .filter("a < b"),
-        "shared-keys",
+    copied = spark.sparkContext.broadcast(common.key_filter(nodes.filter("copies > 1"), "node"))
+    buckets = bucket_count(edges, plans, counts)
+    bundles = texts.mapInArrow(
+        lambda b: _bundles(b, n, edges, plans, num, den, copied, buckets), "bucket long, alone binary, key binary, node binary"
     )
+    shared = stored(bundles.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "key long"), "shared-keys")
     common.let_go(spark)
-    many = shared.filter("members > 2").select("key", "a")
-    wanted = spark.sparkContext.broadcast(common.key_filter(many, "key"))
+    wanted = spark.sparkContext.broadcast(common.key_filter(shared, "key"))
     again = texts.mapInArrow(lambda b: _keys(b, n, edges, plans, num, den, wanted), "key long, node long")
-    members = stored(many.join(again, "key").distinct(), "members")
-    stars = stored(
-        shared.filter("members = 2")
-        .select("a", "b")
-        .unionByName(members.filter("a < node").select("a", F.col("node").alias("b")))
-        .distinct(),
-        "stars",
-    )
+    keyed_nodes = stored(shared.join(again, "key").distinct(), "keyed-nodes")
+    least = keyed_nodes.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members"))
+    stars = stored(keyed_nodes.join(least, "key").filter("a < node").select("a", F.col("node").alias("b")).distinct(), "stars")
+    members = stored(keyed_nodes.join(least.filter("members > 2"), "key").select("key", "node"), "members")
     ends = _ends(stars)
     listed = spark.sparkContext.broadcast(common.key_filter(ends, "node"))
     sets = (
-        texts.mapInArrow(lambda b: _blobs(b, n, listed), "node long, n long, sketch binary, items binary")
+        texts.mapInArrow(lambda b: _blobs(b, n, listed), "node long, n long, sketch binary, packed binary")
         .join(ends, "node", "left_semi")
         .dropDuplicates(["node"])
     )
     sets = stored(sets, "sets")
     common.let_go(spark)
-    links, done = stored(verified(stars, sets, num, den), "links"), stars
+    links, done = stored(verified(stars, sets, n, num, den), "links"), stars
     common.let_go(spark)
     roots = components(links)
-    members = members.select("key", "node")
     parts, part = _parts(_placed(members, roots), sets), 0
     left, nearest = _part(members, 0, parts), True
     while True:
         common.let_go(spark)
         round_ = stored(possible_links(_placed(left, roots), sets, num, den, nearest), "possible")
         new = stored(round_.filter("more is null").select("a", "b").join(done, ["a", "b"], "left_anti"), "new-pairs")
-        found = stored(verified(new, sets, num, den), "found")
+        found = stored(verified(new, sets, n, num, den), "found")
         done, some = done.unionByName(new), not found.isEmpty()
         if some:
             common.let_go(spark)

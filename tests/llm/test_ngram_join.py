@@ -1,6 +1,10 @@
+import os
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import ngram_join as nj
 from odd_rows import no_docs, odd_docs, small
@@ -152,3 +156,90 @@ def test_parts_follow_the_rows(spark, monkeypatch):
     sets = spark.createDataFrame([(i, 40, bytes(64), bytes(320)) for i in range(8)], "node long, n long, sketch binary, items binary")
     assert nj._parts(placed, sets) == -(-10 * 8 * (64 + nj.ROW_BYTES) * 2 // (8 * 320))
     assert nj._parts(placed.withColumn("root", placed.key), sets) == 1
+
+
+def test_bundled_keys_are_those_of_several_sets(monkeypatch):
+    """Keys in buckets, from tasks that saw copies of the same sets; six bytes a key, or less."""
+    monkeypatch.setattr(nj, "KEYS_AT_ONCE", 500)
+    draw = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(draw.permutation(words)) for _ in range(6)] + [" ".join(words)] * 2
+    for k in range(12):
+        words[5 * k] = f"edit{k}"
+        texts.append(" ".join(words))
+    tasks = [texts, texts[3:9], texts[:2]]  # rows that other tasks have, too
+    edges = nj.bands(80, 85, 100)
+    plans = [nj.allocate(*e, 1000, 85, 100) for e in edges]
+    owners, node_rows, rows = {}, {}, []
+    for task in tasks:
+        for s in nj.shingle_sets(pa.array(task), 4):
+            dealt, value = nj.hashed(s)
+            node_rows[nj.set_key(value)] = node_rows.get(nj.set_key(value), 0) + 1
+            for key in nj.short(nj.index_keys(dealt, value, edges, plans, 85, 100)).tolist():
+                owners.setdefault(key, set()).add(nj.set_key(value))
+    bits = np.zeros(1 << 10, np.uint64)
+    slots = nj.common.spark_hash(np.array([x for x, k in node_rows.items() if k > 1], np.int64).view(np.uint64)) >> np.uint64(48)
+    np.bitwise_or.at(bits, (slots >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slots & np.uint64(63)))
+    assert 0 < len(slots) < len(node_rows)
+
+    class Sent:
+        value = bits
+
+    for task in tasks:
+        batch = pa.record_batch([pa.array(task)], ["text"])
+        for out in nj._bundles([batch], 4, edges, plans, 85, 100, Sent, 16):
+            rows += zip(*(c.to_pylist() for c in out.columns))
+    assert max(r[0] for r in rows) < 16 and sum(len(r[1]) for r in rows) > 0 < sum(len(r[3]) for r in rows)
+    assert all(len(r[1]) % 6 == 0 and len(r[2]) // 6 == len(r[3]) // 8 for r in rows)
+    rows.sort(key=lambda r: r[0])
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    whole = pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "alone", "key", "node"])
+    parts = [whole.slice(i, 7) for i in range(0, whole.num_rows, 7)]
+    found = [k for out in nj._shared(parts) for k in out.column(0).to_pylist()]
+    assert sorted(found) == sorted(k for k, nodes in owners.items() if len(nodes) > 1) and found
+
+
+def test_packed_texts_give_their_sets(monkeypatch):
+    monkeypatch.setattr(nj.common, "PIECE_BYTES", 100)
+    texts = ["", "one", "Ünï ▁ \U0001f600 of them", "long " * 3000, " \t", "a B c d e f"]
+    pack = nj.zstandard.ZstdCompressor()
+    got = list(nj.unpacked_sets([pack.compress(t.encode()) for t in texts], 4))
+    assert [s.tolist() for s in got] == [s.tolist() for s in nj.shingle_sets(pa.array(texts), 4)]
+
+
+def test_disk_of_the_join(spark, monkeypatch):
+    """Tables and shuffle files of the join take less than its texts do (twice as much before)."""
+    draw = np.random.default_rng(1)
+    lexicon = np.array([f"word{i}" for i in range(3000)])
+    rows = []
+    for k in range(1500):
+        words = lexicon[draw.integers(0, 3000, 300)]
+        for copy in range(2):
+            rows.append((2 * k + copy, " ".join(words)))
+            words = words.copy()
+            words[10] = "edited"
+    held, inner = {}, nj.stored
+
+    def sized(df, name):
+        out = inner(df, name)
+        held[name] = sum(os.path.getsize(f.removeprefix("file:")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(nj, "stored", sized)
+    out = nj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.component_id for r in out.collect()} == set(range(0, 3000, 2))
+    assert sum(held.values()) < sum(len(t) for _, t in rows)
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """Before, the files stayed until the driver's garbage was collected, or longer."""
+    folders = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    sent = lambda: sum(os.path.getsize(os.path.join(r, f)) for d in folders for r, _, fs in os.walk(d) for f in fs if f.startswith("shuffle_"))
+    before = sent()
+    table = nj.stored(spark.range(200_000).groupBy(F.xxhash64("id").alias("k")).count(), "counted")
+    for _ in range(50):
+        if sent() <= before:
+            break
+        time.sleep(0.1)
+    assert sent() <= before and table.count() == 200_000
+    assert spark.conf.get(nj.common.FILE_CLEANUP, None) is None
