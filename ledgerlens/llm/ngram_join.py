@@ -676,6 +676,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     least = keyed_nodes.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members"))
     stars = stored(keyed_nodes.join(least, "key").filter("a < node").select("a", F.col("node").alias("b")).distinct(), "stars")
     members = stored(keyed_nodes.join(least.filter("members > 2"), "key").select("key", "node"), "members")
+    common.drop(shared, keyed_nodes)
     ends = _ends(stars)
     listed = spark.sparkContext.broadcast(common.key_filter(ends, "node"))
     sets = (
@@ -708,6 +709,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         if part == parts:
             break
         left, nearest = _part(members, part, parts), True
+    common.drop(sets, members, stars)
     return _labelled(sizes, nodes, roots, ("node",) if keyed else ())
 
 

@@ -243,3 +243,17 @@ def test_shuffle_files_go_with_the_write(spark):
         time.sleep(0.1)
     assert sent() <= before and table.count() == 200_000
     assert spark.conf.get(nj.common.FILE_CLEANUP, None) is None
+
+
+def test_large_tables_are_gone_before_the_result(spark, monkeypatch):
+    made, inner = {}, nj.stored
+
+    def noted(df, name):
+        out = inner(df, name)
+        made.setdefault(name, out.inputFiles()[0].removeprefix("file:"))
+        return out
+
+    monkeypatch.setattr(nj, "stored", noted)
+    out = nj.jaccard_components(odd_docs(spark))
+    assert [x for x in ("shared-keys", "keyed-nodes", "sets", "members") if os.path.exists(made[x])] == []
+    assert out.count() == 17
