@@ -18,14 +18,19 @@ sums the nodes that the last tree asked for, too; where the new tree splits alik
 are known, and another pass is for the rest only. As long as less than half of a tree's nodes
 are found so, no pass sums ahead.
 
-Rows are cached as blocks of arrays, so a pass is one short stage of as many tasks as there
-are cores, or more where a task would get beyond `TASK_ROWS` rows. The first pass of a round
-adds the tree before to the scores and caches the blocks anew. Every `STORE_EVERY` rounds
-they are checkpointed in the shared folder, which cuts the lineage.
+Rows are cached as blocks of arrays by column, so a pass is one short stage of as many tasks as
+there are cores, or more where a task would get beyond `TASK_ROWS` rows. A row keeps the node of
+the last tree that it fell in. A pass starts there: it walks a row only below the splits that
+both trees have, and only on the way to asked nodes. Each row is summed once, at the deepest
+asked node; the sums of the nodes above follow. A tree that has no other splits than the last
+one adds its values per node, and the cached rows stay as they are; only after other splits are
+they walked and cached anew. Every `STORE_EVERY` times that they are, they are checkpointed in
+the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -38,7 +43,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasMaxIter, HasStepSize, HasWeightCol
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.session import drop_path, shared_dir
@@ -47,7 +52,8 @@ BINS = 256
 MISSING = BINS - 1
 EDGES = BINS - 2
 STORE_EVERY = 10
-TASK_ROWS = 1 << 18
+TASK_ROWS = 1 << 20
+BLOCK_ROWS = 1 << 16
 FLAT_TASKS = 16  # the sums of so many tasks are added on the driver alone
 LEAST_GAIN, ALIKE = 1e-6, 1e-10
 LEVEL, LEAF = "level", "leaf"
@@ -81,22 +87,32 @@ class Tree:
 
     def walk(self, bins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per depth the rows of bins that get there, and the node of each."""
-        column, cut, missing_left, left, right = (np.array(x) for x in self._lists()[:5])
         node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
         while len(rows):
-            yield rows, node
-            goes_on = left[node] >= 0
-            rows, at = rows[goes_on], node[goes_on]
-            b = bins[rows, column[at]]
-            goes_left = np.where(b == MISSING, missing_left[at], b <= cut[at])
-            node = np.where(goes_left, left[at], right[at])
+            yield rows, node[rows]
+            rows = rows[np.array(self.left)[node[rows]] >= 0]
+            self._step(bins, node, rows)
+
+    def _step(self, bins: np.ndarray, node: np.ndarray, rows: np.ndarray) -> None:
+        """Moves these rows from their nodes to the children."""
+        column, cut, missing_left, left, right = (np.array(x) for x in self._lists()[:5])
+        at = node[rows]
+        b = bins[rows, column[at]]
+        goes_left = np.where(b == MISSING, missing_left[at], b <= cut[at])
+        node[rows] = np.where(goes_left, left[at], right[at])
+
+    def walk_on(self, bins: np.ndarray, node: np.ndarray, goes_on: np.ndarray | None = None) -> np.ndarray:
+        """Where rows get from these nodes; `goes_on` tells per node if its rows go on, else all but leaves do."""
+        goes_on = np.array(self.left) >= 0 if goes_on is None else goes_on
+        rows = np.flatnonzero(goes_on[node])
+        while len(rows):
+            self._step(bins, node, rows)
+            rows = rows[goes_on[node[rows]]]
+        return node
 
     def leaves_of(self, bins: np.ndarray) -> np.ndarray:
         """The leaf of each row of bins."""
-        leaf = np.zeros(len(bins), np.int64)
-        for rows, node in self.walk(bins):
-            leaf[rows] = node
-        return leaf
+        return self.walk_on(bins, np.zeros(len(bins), np.int64))
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
         return np.array(self.value)[self.leaves_of(bins)]
@@ -110,6 +126,23 @@ class Tree:
                 out[self.left[n]], out[self.right[n]] = other.left[m], other.right[m]
         return out
 
+    def within(self, other: Tree) -> np.ndarray:
+        """Per node the deepest node there that has all its rows, as the splits above both tell."""
+        same, out = self.alike(other), np.zeros(len(self.column), np.int64)
+        for n in range(len(self.column)):
+            if self.left[n] >= 0:
+                for child in (self.left[n], self.right[n]):
+                    out[child] = same.get(child, out[n])
+        return out
+
+    def finer(self, other: Tree) -> bool:
+        """Whether a leaf here lies in one leaf there, as the splits tell."""
+        leaves = np.array(self.left) < 0
+        return bool((np.array(other.left)[self.within(other)[leaves]] < 0).all())
+
+    def shape(self) -> tuple:
+        return tuple(map(tuple, self._lists()[:5]))
+
     def _split_at(self, node: int) -> tuple[int, int, bool]:
         return self.column[node], self.cut[node], self.missing_left[node]
 
@@ -252,7 +285,8 @@ def _by_leaf(g: _Growing) -> Tree:
 ROWS = "bins binary, label double, weight double, score double"
 BLOCK_FIELDS = ("bins", "label", "weight", "rows", "score")
 BLOCKS = ", ".join(f"{f} binary" for f in BLOCK_FIELDS)
-Block = tuple[np.ndarray, ...]  # bins (rows, columns), label, summed weight, rows, score
+# Bins (rows, columns), label, summed weight, rows, score; the node, too, once there was a tree.
+Block = tuple[np.ndarray, ...]
 
 
 def _octets(packed: pa.Array) -> np.ndarray:
@@ -275,7 +309,7 @@ def _number(name: str) -> Column:
 
 def to_bins(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
     """A row's bin: how many cuts are below its value."""
-    out = np.empty(values.shape, np.uint8)
+    out = np.empty(values.shape, np.uint8, "F")
     for j, e in enumerate(edges):
         out[:, j] = np.where(np.isnan(values[:, j]), MISSING, np.searchsorted(e, values[:, j], "left"))
     return out
@@ -309,38 +343,74 @@ def cell_sums(
     bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int, rows: np.ndarray | None = None
 ) -> np.ndarray:
     """(3, slots, columns, bins): gradient, hessian and rows; a negative slot is not summed."""
+    out = np.zeros((3, slots, bins.shape[1], BINS))
     inside = np.flatnonzero(slot >= 0)
-    bins, first = bins[inside], slot[inside] * BINS
-    weights = [None if w is None else w[inside] for w in (g, h, rows)]
-    out = np.empty((3, slots, bins.shape[1], BINS))
-    for j in range(bins.shape[1]):
-        cell = first + bins[:, j]
-        for k, w in enumerate(weights):
-            out[k, :, j] = np.bincount(cell, w, slots * BINS).reshape(slots, BINS)
+    _add_cells(out, bins, inside, slot[inside], [None if w is None else w[inside] for w in (g, h, rows)])
     return out
 
 
-def _pass(blocks: RDD[Block], columns: int, tree: Tree, nodes: list[int]) -> dict[int, np.ndarray]:
+def _add_cells(out: np.ndarray, bins: np.ndarray, at: np.ndarray | None, slot: np.ndarray, weights: Sequence) -> None:
+    """Adds the rows of bins `at` these places (None: all) to the cells of their slots."""
+    first, slots = slot.astype(np.int64) * BINS, out.shape[1]
+    for j in range(bins.shape[1]):
+        cell = first + (bins[:, j] if at is None else bins[:, j][at])
+        for k, w in enumerate(weights):
+            out[k, :, j] += np.bincount(cell, w, slots * BINS).reshape(slots, BINS)
+
+
+def _asked(tree: Tree, nodes: list[int]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Per node the place in `nodes` of the deepest one that is it or above it (-1: none), and
+    whether one is below it; pairs of places, (one, the next above it), from below."""
+    size, place = len(tree.column), {n: i for i, n in enumerate(nodes)}
+    deepest, below, above = np.full(size, -1), np.zeros(size, bool), []
+    for n in range(size):
+        if n in place:
+            if deepest[n] >= 0:
+                above.append((place[n], int(deepest[n])))
+            deepest[n] = place[n]
+        if tree.left[n] >= 0:
+            deepest[[tree.left[n], tree.right[n]]] = deepest[n]
+    for n in reversed(range(size)):
+        if tree.left[n] >= 0:
+            below[n] = any(c in place or below[c] for c in (tree.left[n], tree.right[n]))
+    return deepest, below, above[::-1]
+
+
+def _numbers(block: Block, worth: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Bins, label, weight, rows, score with the worth of the node added, and node."""
+    bins, label, weight, rows, score, *node = block
+    node = node[0] if node else np.zeros(len(bins), np.uint8)
+    return bins, label, weight, rows, score + worth[node], node
+
+
+def _pass(
+    blocks: RDD[Block], columns: int, tree: Tree, nodes: list[int], walked: Tree = Tree(), worth: np.ndarray = np.zeros(1)
+) -> dict[int, np.ndarray]:
     """One aggregate over all rows; per asked node, input and bin one number comes back.
 
-    Asked nodes may lie above each other.
+    Asked nodes may lie above each other. The blocks' nodes are those of `walked`, of whose
+    worth their scores are short.
     """
+    start = walked.within(tree)
+    deepest, below, above = _asked(tree, nodes)
 
     def summed(part):
-        slot_of = np.full(len(tree.column), -1)
-        slot_of[nodes] = np.arange(len(nodes))
         total = np.zeros((3, len(nodes), columns, BINS))
-        for bins, label, weight, rows, score in part:
-            met = [(at[slot_of[node] >= 0], slot_of[node][slot_of[node] >= 0]) for at, node in tree.walk(bins)]
-            if met:
-                at, slot = (np.concatenate(x) for x in zip(*met))
-                g, h = slopes(score[at], label[at], weight[at])
-                total += cell_sums(bins[at], slot, g, h, len(nodes), rows[at])
+        for block in part:
+            bins, label, weight, rows, score, node = _numbers(block, worth)
+            slot, at = deepest[tree.walk_on(bins, start[node], below)], None
+            if len(slot) and slot.min() < 0:
+                at = np.flatnonzero(slot >= 0)
+                slot, label, weight, rows, score = (x[at] for x in (slot, label, weight, rows, score))
+            g, h = slopes(score, label, weight)
+            _add_cells(total, bins, at, slot, (g, h, None if (rows == 1).all() else rows.astype(float)))
         yield total
 
     tasks = blocks.getNumPartitions()
     sums = blocks.mapPartitions(summed)
     out = sums.treeReduce(np.add, 1 if tasks <= FLAT_TASKS else 2) if tasks else next(summed(()))
+    for i, over in above:
+        out[:, over] += out[:, i]
     return {n: out[:, i] for i, n in enumerate(nodes)}
 
 
@@ -367,8 +437,15 @@ class _Ahead:
         return ask
 
 
-def _rescored(blocks: RDD[Block], tree: Tree) -> RDD[Block]:
-    return blocks.map(lambda b: (*b[:-1], b[-1] + tree.predict(b[0])))
+def _rescored(blocks: RDD[Block], walked: Tree, worth: np.ndarray, tree: Tree) -> RDD[Block]:
+    """Blocks whose nodes are those of `tree`, with the worth of the nodes before in the scores."""
+    start, small = walked.within(tree), np.min_scalar_type(len(tree.column))
+
+    def moved(block: Block) -> Block:
+        bins, *numbers, node = _numbers(block, worth)
+        return bins, *numbers, tree.walk_on(bins, start[node]).astype(small)
+
+    return blocks.map(moved)
 
 
 def tasks_for(rows: int, cores: int) -> int:
@@ -376,19 +453,37 @@ def tasks_for(rows: int, cores: int) -> int:
     return max(1, min(cores, -(-rows // 4096)), -(-rows // TASK_ROWS))
 
 
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """In a byte each, if they are whole and fit."""
+    fits = len(numbers) and (numbers == np.clip(np.round(numbers), 0, 255)).all()
+    return numbers.astype(np.uint8) if fits else numbers
+
+
 def blocks_of(rows: DataFrame, columns: int) -> RDD[Block]:
-    """The rows of `binned`, each kind once, as arrays, a block an Arrow batch."""
+    """The rows of `binned`, each kind once, as arrays by column, a block for BLOCK_ROWS rows or some more."""
+
+    def block(batches) -> pa.RecordBatch:
+        bins = np.concatenate([_octets(b.column(0)).reshape(-1, columns) for b in batches])
+        label, weight, score, many = (
+            np.concatenate([b.column(k).to_numpy().astype(float) for b in batches]) for k in range(1, 5)
+        )
+        arrays = np.asfortranarray(bins).ravel("F"), label, weight * many, many, score
+        return pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in arrays], list(BLOCK_FIELDS))
 
     def pack(batches):
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if batch.num_rows:
-                label, weight, score, many = (batch.column(k).to_numpy().astype(float) for k in range(1, 5))
-                arrays = _octets(batch.column(0)), label, weight * many, many, score
-                yield pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in arrays], list(BLOCK_FIELDS))
+            held += [batch] if batch.num_rows else []
+            if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+                yield block(held)
+                held = []
+        if held:
+            yield block(held)
 
     def unpack(row) -> Block:
         bins, *numbers = row
-        return np.frombuffer(bins, np.uint8).reshape(-1, columns), *(np.frombuffer(x) for x in numbers)
+        label, weight, many, score = (np.frombuffer(x) for x in numbers)
+        return np.frombuffer(bins, np.uint8).reshape(columns, -1).T, _small(label), weight, _small(many), score
 
     kinds = rows.groupBy("bins", "label", "weight", "score").agg(F.count("*").alias("many")).persist()
     try:
@@ -406,36 +501,86 @@ def _stored(blocks: RDD[Block]) -> RDD[Block]:
     return blocks
 
 
-def boost(rows: DataFrame, columns: int, rounds: int, rate: float, rules: Rules) -> list[Tree]:
+def boost(first: RDD[Block], columns: int, rounds: int, rate: float, rules: Rules, spark: SparkSession) -> list[Tree]:
     """Trees of up to `rounds` rounds; ends early when no split gains any more.
 
-    `rows` as `binned` makes them.
+    `first` as `blocks_of` makes them; they are left as they are.
     """
-    spark, trees, ahead = rows.sparkSession, [], _Ahead()
-    shared_dir(spark)
-    held = [blocks_of(rows, columns)]
-    path = held[0].getCheckpointFile()
+    trees, ahead, held, made, path = [], _Ahead(), [], 0, None
+    blocks, walked, worth = first, Tree(), np.zeros(1)
     try:
-        for k in range(rounds):
-            if k:
-                held.append(_rescored(held[-1], trees[-1]).persist(StorageLevel.MEMORY_AND_DISK))
-                if k % STORE_EVERY == 0:
-                    old, path = path, _stored(held[-1]).getCheckpointFile()
-                    drop_path(spark, old)
-            tree = grow(ahead.histograms(lambda t, nodes: _pass(held[-1], columns, t, nodes)), rules, rate)
-            for blocks in held[:-1]:
-                blocks.unpersist()
+        for _ in range(rounds):
+            sums = lambda t, nodes: _pass(blocks, columns, t, nodes, walked, worth)  # noqa: B023, E731
+            tree = grow(ahead.histograms(sums), rules, rate)
+            for old in held[:-1]:
+                old.unpersist()
             held = held[-1:]
             if tree.left[0] < 0:
                 break
             trees.append(tree)
+            if walked.finer(ahead.tree):
+                worth = worth + np.array(tree.value)[walked.within(tree)]
+                continue
+            blocks = _rescored(blocks, walked, worth, ahead.tree).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(blocks)
+            walked = ahead.tree
+            worth, made = np.array(tree.value)[walked.within(tree)], made + 1
+            if made % STORE_EVERY == 0:
+                old, path = path, _stored(blocks).getCheckpointFile()
+                _drop(spark, old)
     finally:
-        for blocks in held:
-            blocks.unpersist()
-        drop_path(spark, path)
+        for old in held:
+            old.unpersist()
+        _drop(spark, path)
     return trees
 
 
+def _drop(spark: SparkSession, path: str | None) -> None:
+    if path:
+        drop_path(spark, path)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """What a fit starts from: log odds of all rows, cuts and blocks."""
+
+    base: float
+    edges: list[np.ndarray]
+    blocks: RDD[Block]
+
+
+class Share:
+    """Fits of the same rows with the same weights, also at once, are prepared for once.
+
+    The blocks stay until it is closed.
+    """
+
+    def __init__(self):
+        self.lock, self.made = threading.Lock(), []
+
+    def prepared(self, rows: DataFrame, inputs: Sequence[str], label: str, weight: str) -> Prepared:
+        kept = rows.select(*[F.col(c) for c in inputs], F.col(label), F.col(weight))
+        with self.lock:
+            for known, value in self.made:
+                if known.columns == kept.columns and known.sameSemantics(kept):
+                    return value
+            shared_dir(rows.sparkSession)
+            edges = edges_of(kept, inputs)
+            of = lambda y: F.sum(F.when(F.col(label) == y, F.col(weight)))
+            ones, zeros = (float(x or 0) for x in kept.agg(of(1), of(0)).first())
+            base = float(np.log(ones / zeros)) if ones and zeros else 0.0
+            packed = binned(kept, inputs, edges, label, weight, base)
+            value = Prepared(base, edges, blocks_of(packed, len(inputs)))
+            self.made.append((kept, value))
+            return value
+
+    def close(self) -> None:
+        for known, value in self.made:
+            value.blocks.unpersist()
+            _drop(known.sparkSession, value.blocks.getCheckpointFile())
+        self.made = []
+
+
 # ---- as an estimator
 
 
@@ -458,6 +603,8 @@ class _Settings(HasInputCols, HasLabelCol, HasWeightCol, HasMaxIter, HasStepSize
 class BoostedTrees(Estimator, _Settings):
     """Binary classifier; see the module for the method. Labels are 0 and 1."""
 
+    share: Share | None = None
+
     def __init__(self, **settings):
         super().__init__()
         self._setDefault(
@@ -476,13 +623,15 @@ class BoostedTrees(Estimator, _Settings):
         weight = self.getWeightCol() if self.isDefined(self.weightCol) else None
         rows = dataset if weight else dataset.withColumn("_one", F.lit(1.0))
         weight = weight or "_one"
-        edges = edges_of(rows, inputs)
-        of = lambda y: F.sum(F.when(F.col(label) == y, F.col(weight)))
-        ones, zeros = (float(x or 0) for x in rows.agg(of(1), of(0)).first())
-        base = float(np.log(ones / zeros)) if ones and zeros else 0.0
-        packed = binned(rows, inputs, edges, label, weight, base)
-        trees = boost(packed, len(inputs), self.getMaxIter(), self.getStepSize(), rules)
-        return self._copyValues(BoostedTreesModel(base, edges, trees))
+        share = self.share or Share()
+        try:
+            start = share.prepared(rows, inputs, label, weight)
+            settings = len(inputs), self.getMaxIter(), self.getStepSize(), rules
+            trees = boost(start.blocks, *settings, dataset.sparkSession)
+        finally:
+            if share is not self.share:
+                share.close()
+        return self._copyValues(BoostedTreesModel(start.base, start.edges, trees))
 
 
 NODES = "tree int, node int, column int, cut int, missing_left boolean, left int, right int, value double"
@@ -492,8 +641,11 @@ CUTS = "column int, edges array<double>"
 def margins(values: np.ndarray, base: float, edges: Sequence[np.ndarray], trees: Sequence[Tree]) -> np.ndarray:
     """Log odds of rows of input values."""
     bins, out = to_bins(values, edges), np.full(len(values), base)
+    alike: dict[tuple, list[Tree]] = {}  # trees of the same splits are walked once
     for t in trees:
-        out += t.predict(bins)
+        alike.setdefault(t.shape(), []).append(t)
+    for same in alike.values():
+        out += np.sum([t.value for t in same], 0)[same[0].leaves_of(bins)]
     return out
 
 

@@ -185,17 +185,26 @@ def dealt(train: DataFrame, counts: ClassCounts) -> DataFrame:
 
 
 def fit(
-    train: DataFrame, spec: ModelSpec, counts: ClassCounts | None = None, order: Sequence[str] = MODEL_INPUTS
+    train: DataFrame,
+    spec: ModelSpec,
+    counts: ClassCounts | None = None,
+    order: Sequence[str] = MODEL_INPUTS,
+    share: boosting.Share | None = None,
 ) -> PipelineModel:
     """Fits one spec; tree learners cut their lineage in the shared folder.
 
-    Who knows the counts has dealt the rows, too.
+    Who knows the counts has dealt the rows, too. Boosted trees that have the `share` in common
+    bin the rows once.
     """
     shared_dir(train.sparkSession)
     if counts is None:
         counts = count_classes(train)
         train = dealt(train, counts)
-    return spec.build(order, counts).fit(weighted(train, spec, counts))
+    estimator = spec.build(order, counts)
+    for stage in estimator.getStages() if isinstance(estimator, Pipeline) else (estimator,):
+        if isinstance(stage, boosting.BoostedTrees):
+            stage.share = share
+    return estimator.fit(weighted(train, spec, counts))
 
 
 def score(df: DataFrame, model: PipelineModel, version: str = "") -> DataFrame:
@@ -227,14 +236,16 @@ def train_compare(
     if not counts.rows:
         raise ModelError("the train split is empty")
     train = dealt(train, counts).persist()
+    share = boosting.Share()
     try:
         # The fits share the cached rows and run side by side, like MLlib's own
         # cross-validation; Spark schedules their jobs.
         in_thread = inheritable_thread_target(train.sparkSession)
         with ThreadPoolExecutor(parallelism) as pool:
-            jobs = [pool.submit(in_thread(fit), train, s, counts, order) for s in specs]
+            jobs = [pool.submit(in_thread(fit), train, s, counts, order, share) for s in specs]
             models = {s.name: job.result() for s, job in zip(specs, jobs)}
     finally:
+        share.close()
         train.unpersist()
     run_ids = {name: uuid.uuid4().hex for name in models}
 

@@ -268,3 +268,49 @@ def test_a_pass_sums_nodes_above_each_other(spark):
     left = (bins[:, 0] <= 5) | (bins[:, 0] == MISSING)
     assert found[0] == pytest.approx(found[low] + found[high])
     assert found[low][2, 1].sum() == left.sum() and found[3][2, 0].sum() == (left & (bins[:, 2] <= 6)).sum()
+
+
+def test_rows_are_walked_again_only_after_other_splits(rows, monkeypatch):
+    """Rounds with the splits of the last add their values per node; cached rows stay as they are."""
+    made, real = [], boosting._rescored
+    monkeypatch.setattr(boosting, "_rescored", lambda *a: made.append(a[3].shape()) or real(*a))
+    model = estimator(maxIter=12, maxDepth=2, stepSize=0.01).fit(rows)
+    shapes = [t.shape() for t in model.trees]
+    assert len(shapes) == 12 and len(made) == sum(a != b for a, b in zip([None, *shapes], shapes)) < 12
+
+
+def test_a_pass_goes_on_from_known_nodes(spark):
+    bins, label, weight = table(300)
+    walked, tree = boosting.Tree(), boosting.Tree()
+    low, high = walked.split(0, 0, 5, True)
+    walked.split(low, 2, 6, False)
+    tree.split(0, 0, 5, True)
+    tree.split(high, 1, 4, False)  # the left side is coarser than what was walked, the right one finer
+    node, worth = walked.leaves_of(bins), np.array([0.0, 0.0, 0.7, -0.2, 0.4])
+    blocks = spark.sparkContext.parallelize([(bins, label, weight, np.ones(300), np.zeros(300), node)], 1)
+    there = tree.leaves_of(bins)
+    g, h = boosting.slopes(worth[node], label, weight)
+    for nodes in ([0, low, 3], [3], [4, 0]):
+        found = boosting._pass(blocks, 4, tree, nodes, walked, worth)
+        for n in nodes:
+            at = np.isin(there, {0: [1, 3, 4], low: [1], 3: [3], 4: [4]}[n])
+            assert found[n] == pytest.approx(boosting.cell_sums(bins, np.where(at, 0, -1), g, h, 1)[:, 0])
+    assert walked.finer(walked) and not walked.finer(tree)
+    ((*_, score, moved),) = boosting._rescored(blocks, walked, worth, tree).collect()
+    assert score == pytest.approx(worth[node]) and (moved == there).all()
+
+
+def test_fits_of_the_same_rows_are_prepared_for_once(rows, monkeypatch):
+    made, real = [], boosting.blocks_of
+    monkeypatch.setattr(boosting, "blocks_of", lambda *a: made.append(1) or real(*a))
+    share = boosting.Share()
+    try:
+        for growth, weight in ((LEVEL, "w"), (LEAF, "w"), (LEVEL, "v")):
+            one = BoostedTrees(inputCols=list("abcd"), weightCol=weight, growth=growth, maxIter=3)
+            one.share = share
+            data = rows.withColumn("v", F.col("w") * 2)
+            alone = BoostedTrees(inputCols=list("abcd"), weightCol=weight, growth=growth, maxIter=3).fit(data)
+            assert [t.shape() for t in one.fit(data).trees] == [t.shape() for t in alone.trees]
+    finally:
+        share.close()
+    assert len(made) == 3 + 2
