@@ -109,3 +109,62 @@ def test_a_key_takes_plain_rows_and_few_calls():
     assert out.asDict() == {"key": "a", "t": noon, "at": 3, "x": None, "live": True} and calls.made == ["get", "update"]
     given((noon + datetime.timedelta(hours=1), 0, 1.0))
     assert calls.made == ["get", "delete", "register", "update"]
+
+
+def odd_rows(spark):
+    """Ties in time and offset that only values decide, nulls and NaN among them, and a hot key."""
+    hour, nan = datetime.timedelta(hours=1), float("nan")
+    noon = datetime.datetime(2024, 1, 1, 12)
+    data = [
+        ("a", noon, noon, 1, 2.0, "x"), ("a", noon, noon, 1, nan, "x"), ("a", noon, noon, 1, 9.0, "z"),
+        ("b", noon, None, 1, None, "y"), ("b", noon, None, 1, None, None), ("b", noon, None, None, 5.0, "y"),
+        ("c", noon, noon, 1, 1.0, "x"), ("c", noon + hour, None, 0, None, None), ("c", None, noon, 9, 9.0, "y"),
+        (None, noon, noon, 1, 3.0, "x"), (None, noon, noon, 2, -0.0, "x"), ("d", noon, noon, 7, 1.0, "u"), ("d", noon, noon, 7, 1.0, "u"),
+    ]
+    data += [("hot", noon + (i % 7) * hour, noon, i, float(i), str(i)) for i in range(300)]
+    fields = f"{ENTITY_KEY} string, event_timestamp timestamp_ntz, written_at timestamp, source_offset bigint, x double, s string"
+    return spark.createDataFrame(data, fields)
+
+
+@pytest.mark.parametrize("buckets", [state.BUCKETS, 2, 0])
+def test_odd_rows_in_buckets_and_key_by_key(spark, topic, tmp_path, monkeypatch, buckets):
+    monkeypatch.setattr(state, "CHUNK_ROWS", 50)
+    given, checkpoint = odd_rows(spark), str(tmp_path / "c")
+    if not buckets:  # a value per key knows no times with a zone
+        given = given.withColumn("written_at", F.col("written_at").cast("timestamp_ntz"))
+    later = given.where("x > 100").withColumn("x", F.col("x") + 0.5).withColumn("source_offset", F.col("source_offset") + 1000)
+    told = []
+    changes = lambda df, batch: told.extend(df.where("live").groupBy(ENTITY_KEY).count().collect())
+    state.keep_newest(topic(given.where("x IS NULL OR x <= 1")), checkpoint, changes=changes, buckets=buckets)
+    # A checkpoint goes on with the buckets that it began with.
+    state.keep_newest(topic(given.where("NOT (x IS NULL OR x <= 1)"), later), checkpoint, changes=changes)
+    want = store.latest_per_key(given.where("event_timestamp IS NOT NULL").unionByName(later))
+    got = state.read_newest(spark, checkpoint)
+    assert got.columns == [ENTITY_KEY, "event_timestamp", "written_at", "source_offset", "x", "s"]
+    assert str(rows(got)) == str(rows(want)) and got.count() == 6  # NaN equals nothing
+    assert max(r["count"] for r in told) == 1  # a key changes once a batch
+
+
+def test_a_bucket_takes_few_calls():
+    """Many keys with many rows: one read, one timer and one write of the state."""
+    fields = [T.StructField("k", T.StringType()), T.StructField("t", T.TimestampNTZType()), T.StructField("at", T.LongType())]
+    kept, calls = state._NewestOfBucket(fields), Calls()
+    kept.init(calls)
+    noon, hour = datetime.datetime(2024, 1, 1, 12), datetime.timedelta(hours=1)
+
+    class Watermark:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    def given(*rows):
+        calls.made.clear()
+        batch = state.pa.RecordBatch.from_pylist([dict(zip(("k", "t", "at"), r)) for r in rows], kept.packed)
+        out = list(kept.handleInputRows((3,), iter([Row(_packed=state._bytes(batch))]), Watermark()))
+        return [r for o in out for r in state._batch(o[state.PACKED], kept.packed).to_pylist()]
+
+    many = [(f"k{i % 500}", noon + (i // 500) * hour, i) for i in range(1500)]
+    assert [r["at"] for r in given(*many)] == list(range(1000, 1500))
+    assert calls.made == ["get", "register", "update"]
+    assert given(*many[:700]) == [] and calls.made == ["get"]
+    assert [r["at"] for r in given(("k7", noon + 2 * hour, 2000), ("k8", noon, 3000))] == [2000] and calls.made == ["get", "update"]
+    assert len(given(("new", noon, 1))) == 1 and calls.made == ["get", "delete", "register", "update"]
